@@ -36,7 +36,7 @@ def age_bucket(years: Column | str) -> Column:
 
 def death_age_years(raw: Column | str, day_codes: tuple[int, int] = (0, 399), year_base: int = 400) -> Column:
     """Coded age: low codes are days, ``400`` to ``499`` are completed years, the rest is unknown."""
-    code = col(raw).cast("string").try_cast("double")
+    code = col(raw).try_cast("double")
     return (
         F.when(code.between(*day_codes), code / 365)
         .when(code.between(year_base, year_base + 99), code - year_base)
@@ -45,7 +45,7 @@ def death_age_years(raw: Column | str, day_codes: tuple[int, int] = (0, 399), ye
 
 def notification_age_years(raw: Column | str, unit: Column | str) -> Column:
     """Age with its unit: 3 years, 2 months, 1 day."""
-    value = col(raw).cast("string").try_cast("double")
+    value = col(raw).try_cast("double")
     code = normalize_code(unit)
     return F.when(code == "3", value).when(code == "2", value / 12).when(code == "1", value / 365)
 

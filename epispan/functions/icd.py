@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import Outcome
@@ -14,33 +15,57 @@ from .text import col
 _BOUND = re.compile(r"\A([A-Z])(\d{2})(\d?)\Z")
 
 
-def _single(code: Column, expression: str, strict: bool) -> Column:
+@dataclass(frozen=True)
+class CodeParts:
+    """A code and the pieces range tests compare."""
+
+    code: Column
+    letter: Column
+    category: Column
+
+    @staticmethod
+    def of(code: Column | str) -> CodeParts:
+        text = col(code)
+        return CodeParts(text, F.substring(text, 1, 1), F.substring(text, 2, 2).try_cast("int"))
+
+
+def _single(parts: CodeParts, expression: str, strict: bool) -> Column:
+    code = parts.code
     if "-" not in expression:
         return code.startswith(expression) if len(expression) == 3 else code == expression
     low, high = (_BOUND.match(part) for part in expression.split("-", 1))
     if not low or not high or low[1] != high[1]:
         raise ValueError(f"unsupported diagnosis range: {expression}")
-    same_letter = F.substring(code, 1, 1) == low[1]
+    same_letter = parts.letter == low[1]
     if strict and low[3] and high[3]:
         digits = F.substring(code, 2, 3).try_cast("int")
         return same_letter & (F.length(code) == 4) & digits.between(int(low[2] + low[3]), int(high[2] + high[3]))
-    return same_letter & F.substring(code, 2, 2).try_cast("int").between(int(low[2]), int(high[2]))
+    return same_letter & parts.category.between(int(low[2]), int(high[2]))
 
 
-def icd_match(code: Column | str, ranges: list[str] | tuple[str, ...], strict: bool = True) -> Column:
+def icd_match(code: Column | str | CodeParts, ranges: list[str] | tuple[str, ...], strict: bool = True) -> Column:
     """Whether a normalised code falls in any of ``ranges``.
 
     Three characters mean a whole category, longer single codes are exact, and
     ``A00-A99`` compares the two category digits. When both bounds carry a
     fourth character the third digit counts too; ``strict=False`` ignores it.
     """
+    parts = code if isinstance(code, CodeParts) else CodeParts.of(code)
     cleaned = [r.upper().replace(".", "").replace(" ", "") for r in ranges]
-    tests = [_single(col(code), r, strict) for r in cleaned]
+    tests = [_single(parts, r, strict) for r in cleaned]
     return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False)) if tests else F.lit(False)
 
 
-def matching_outcomes(code: Column | str, definitions: list[Outcome], strict: bool = True) -> Column:
-    """Array of the ids of every outcome the code counts in; outcomes may overlap."""
-    return F.array_compact(
-        F.array(*[F.when(icd_match(code, d.ranges, strict), F.lit(d.id)) for d in definitions])
+def with_outcomes(df: DataFrame, code: str, definitions: list[Outcome], strict: bool = True) -> DataFrame:
+    """One row per outcome the code counts in; outcomes may overlap, unmatched codes drop out.
+
+    The pieces of the code are cut once, in a projection of their own, before the
+    dozens of range tests use them.
+    """
+    cut = CodeParts.of(code)
+    staged = df.withColumns({"_letter": cut.letter, "_category": cut.category})
+    parts = CodeParts(F.col(code), F.col("_letter"), F.col("_category"))
+    matches = F.array_compact(
+        F.array(*[F.when(icd_match(parts, d.ranges, strict), F.lit(d.id)) for d in definitions])
     )
+    return staged.withColumn("outcome_id", F.explode(matches)).drop("_letter", "_category")

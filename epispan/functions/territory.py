@@ -27,10 +27,10 @@ def classify_geography(code: Column | str, territory: Territory) -> Column:
     """Selected city, rest of its state, rest of the country, or outside it."""
     clean = normalize_code(code)
     return (
-        F.when(in_state(clean, territory) & (clean == territory.selected_code6), F.lit(SELECTED))
-        .when(in_state(clean, territory), F.lit(REST_OF_STATE))
-        .when(residence_code_valid(clean), F.lit(REST_OF_COUNTRY))
-        .otherwise(F.lit(OUTSIDE_COUNTRY))
+        F.when(~residence_code_valid(clean), F.lit(OUTSIDE_COUNTRY))
+        .when(clean == territory.selected_code6, F.lit(SELECTED))
+        .when(clean.startswith(territory.state_prefix), F.lit(REST_OF_STATE))
+        .otherwise(F.lit(REST_OF_COUNTRY))
     )
 
 
@@ -38,12 +38,18 @@ def classify_state_geography(code: Column | str, territory: Territory) -> Column
     """Selected city, rest of its state, or outside the state."""
     clean = clean_text(code)
     return (
-        F.when(in_state(clean, territory) & (clean == territory.selected_code6), F.lit(SELECTED))
+        F.when(clean == territory.selected_code6, F.lit(SELECTED))
         .when(in_state(clean, territory), F.lit(REST_OF_STATE))
         .otherwise(F.lit(OUTSIDE_STATE))
     )
 
 
+def eligible_code(code: Column | str, source: str, territory: Territory) -> Column:
+    """``eligible_residence`` told from the code alone: cheap enough to filter before labelling."""
+    clean = normalize_code(code)
+    return residence_code_valid(clean) if source == "SIM" else in_state(clean, territory)
+
+
 def eligible_residence(geography: Column | str, source: str) -> Column:
     """Deaths count anywhere in the country; notifications only inside the state."""
     label = col(geography)

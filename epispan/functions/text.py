@@ -24,7 +24,8 @@ def normalize_code(code: Column | str) -> Column:
 
 def clean_text(value: Column | str) -> Column:
     """Trimmed text without the ``.0`` that numeric readers leave behind."""
-    return F.regexp_replace(F.trim(F.coalesce(col(value).cast("string"), F.lit(""))), r"\.0\z", "")
+    text = F.trim(F.coalesce(col(value).cast("string"), F.lit("")))
+    return F.when(text.endswith(".0"), F.substring(text, F.lit(1), F.length(text) - 2)).otherwise(text)
 
 
 def optional_text(available: list[str], name: str) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import NOTIFICATION_OUTCOMES, Outcome
-from ..functions.icd import matching_outcomes
+from ..functions.icd import with_outcomes
 from ..functions.labels import outcome_label
 from ..functions.text import clean_text, normalize_code
 
@@ -19,7 +19,7 @@ from ..functions.text import clean_text, normalize_code
 def cause_map(events: DataFrame, code: str, definitions: list[Outcome], strict: bool = True) -> DataFrame:
     """(cause, outcome) pairs over the distinct codes present."""
     causes = events.select(normalize_code(code).alias("cause")).distinct()
-    return causes.select("cause", F.explode(matching_outcomes("cause", definitions, strict)).alias("outcome_id"))
+    return with_outcomes(causes, "cause", definitions, strict)
 
 
 def classified_events(events: DataFrame, causes: DataFrame, code: str) -> DataFrame:
@@ -32,8 +32,7 @@ def classified_counts(
 ) -> DataFrame:
     """Events per outcome and key, null keys kept as their own group."""
     per_code = events.groupBy(normalize_code(code).alias("cause"), *keys).agg(F.count(F.lit(1)).alias("n"))
-    unrolled = per_code.withColumn("outcome_id", F.explode(matching_outcomes("cause", definitions, strict)))
-    counted = unrolled.groupBy(*keys, "outcome_id").agg(F.sum("n").alias("count"))
+    counted = with_outcomes(per_code, "cause", definitions, strict).groupBy(*keys, "outcome_id").agg(F.sum("n").alias("count"))
     labels = {d.id: d.label for d in definitions}
     return counted.withColumn("outcome_label", outcome_label("outcome_id", labels))
 

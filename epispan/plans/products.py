@@ -11,14 +11,14 @@ from ..fixed_values import (
 )
 from ..functions.dates import in_observation_window, month_start
 from ..functions.demographics import (
-    death_age_group, notification_age_group, outcome_status_label, sex_label,
+    age_bucket, death_age_years, notification_age_years, outcome_status_label, sex_label,
 )
 from ..functions.icd import icd_match
 from ..functions.labels import outcome_label
 from ..functions.periods import death_period_status, product_period_status
 from ..functions.rates import crude_rate, monthly_rate, rate_ratio, share_pct
 from ..functions.territory import (
-    classify_geography, classify_state_geography, eligible_residence, in_state,
+    classify_geography, classify_state_geography, eligible_code, in_state,
 )
 from ..functions.text import clean_text, code7_to_code6, normalize_code
 from ..operators.classify import classified_counts, notification_counts
@@ -39,27 +39,44 @@ NOTIFICATION_UNIT = "notificação de SRAG de residente; vigilância, não incid
 
 
 def death_dimensions(deaths: DataFrame, territory: Territory) -> DataFrame:
-    """Eligible deaths with decoded dimensions, reduced to the columns counting needs."""
-    labelled = deaths.select(
+    """Eligible deaths with decoded dimensions, reduced to the columns counting needs.
+
+    Cleaning, decoding and labelling are separate projections, so each raw field
+    is parsed once per row although the labels test it many times.
+    """
+    cleaned = deaths.where(eligible_code("municipality_code_datasus", "SIM", territory)).select(
         "source_year",
-        classify_geography("municipality_code_datasus", territory).alias("geography"),
-        sex_label("sex_raw", "SIM").alias("sex"),
-        death_age_group("age_raw").alias("age_group"),
-        "underlying_cause",
+        normalize_code("municipality_code_datasus").alias("code"),
+        normalize_code("sex_raw").alias("sex_code"),
+        F.col("age_raw").try_cast("double").alias("age_code"),
+        normalize_code("underlying_cause").alias("cause"),
+    )
+    decoded = cleaned.withColumn("years", death_age_years("age_code"))
+    return decoded.select(
+        "source_year",
+        classify_geography("code", territory).alias("geography"),
+        sex_label("sex_code", "SIM").alias("sex"),
+        age_bucket("years").alias("age_group"),
+        "cause",
     )
-    return labelled.where(eligible_residence("geography", "SIM"))
 
 
 def notification_dimensions(events: DataFrame, territory: Territory) -> DataFrame:
-    labelled = events.select(
+    cleaned = events.where(eligible_code("municipality_code_datasus", "SIVEP-SRAG", territory)).select(
         "source_year",
-        classify_geography("municipality_code_datasus", territory).alias("geography"),
+        normalize_code("municipality_code_datasus").alias("code"),
         sex_label("sex_raw", "SIVEP-SRAG").alias("sex"),
-        notification_age_group("age_raw", "age_unit_raw").alias("age_group"),
+        F.col("age_raw").try_cast("double").alias("age_value"),
+        normalize_code("age_unit_raw").alias("unit"),
         outcome_status_label("outcome_raw").alias("outcome_status"),
         "final_classification_raw",
     )
-    return labelled.where(eligible_residence("geography", "SIVEP-SRAG"))
+    decoded = cleaned.withColumn("years", notification_age_years("age_value", "unit"))
+    return decoded.select(
+        "source_year",
+        classify_geography("code", territory).alias("geography"),
+        "sex", age_bucket("years").alias("age_group"), "outcome_status", "final_classification_raw",
+    )
 
 
 def death_outcome_counts(
@@ -68,7 +85,7 @@ def death_outcome_counts(
     """Deaths per outcome, year, age and sex for each area and the totals that contain it."""
     keys = ["source_year", "sex", "age_group"]
     counted = classified_counts(
-        death_dimensions(deaths, territory), "underlying_cause", definitions or outcome_definitions("SIM"),
+        death_dimensions(deaths, territory), "cause", definitions or outcome_definitions("SIM"),
         [*keys, "geography"], strict,
     )
     rolled = with_territory_totals(counted, [*keys, "outcome_id", "outcome_label"], ["count"])
@@ -142,12 +159,13 @@ def municipal_profile_counts(
     valid = population.select(code7_to_code6("municipality_code_ibge").alias("municipality_code_datasus")).distinct()
     code = F.trim(F.col("municipality_code_datasus"))
     state = deaths.where((F.col("source_year") == year) & F.col("residence_code_valid") & in_state(code, territory))
-    dimensions = state.select(
+    cleaned = state.select(
         code.alias("municipality_code_datasus"),
         sex_label("sex_raw", "SIM").alias("sex"),
-        death_age_group("age_raw").alias("age_group"),
+        F.col("age_raw").try_cast("double").alias("age_code"),
         "underlying_cause",
     )
+    dimensions = cleaned.withColumn("years", death_age_years("age_code")).withColumn("age_group", age_bucket("years"))
     keys = ["municipality_code_datasus", "age_group", "sex"]
     counted = classified_counts(dimensions, "underlying_cause", definitions, keys)
     return known_members(counted, valid, "municipality_code_datasus")
