@@ -95,10 +95,10 @@ def _(spark, folder):
       starts_with(cause, 'G30') OR starts_with(cause, 'F00') AS alzheimer_two_digits, count(*) AS n
     FROM death GROUP BY ALL""")
 def _(spark, folder):
-    cause = text.normalize_code("CAUSABAS")
+    cause = text.normalize_code("underlying_cause")
     dementia = ["G30", "F00.0-F00.2"]
     return tally(
-        raw_deaths(spark, folder), cause.alias("cause"),
+        deaths(spark, folder), cause.alias("cause"),
         icd_match(cause, ["J12-J18"]).alias("pneumonia"), icd_match(cause, ["C50"]).alias("breast"),
         icd_match(cause, ["U071", "U072"]).alias("covid"), icd_match(cause, dementia).alias("alzheimer"),
         icd_match(cause, dementia, strict=False).alias("alzheimer_two_digits"),
@@ -292,8 +292,8 @@ def _(spark, folder):
     SELECT label, nullif(regexp_extract(label, '^(C[0-9]{2})', 1), '') AS code, count(*) AS n
     FROM (SELECT cause || ' neoplasia' AS label FROM death) GROUP BY ALL""")
 def _(spark, folder):
-    label = F.concat(text.normalize_code("CAUSABAS"), F.lit(" neoplasia"))
-    return tally(raw_deaths(spark, folder), label.alias("label"), text.site_code(label).alias("code"))
+    label = F.concat(text.normalize_code("underlying_cause"), F.lit(" neoplasia"))
+    return tally(deaths(spark, folder), label.alias("label"), text.site_code(label).alias("code"))
 
 
 @query("p26_indicator_id_theme", """

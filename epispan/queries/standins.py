@@ -284,8 +284,8 @@ CTES: dict[str, str] = {
     "raw_n": f"SELECT {_cols(RAW_NOTIFICATION)} FROM orders",
     "death": """
         SELECT year, regexp_replace(trim(CODMUNRES), '\\.0$', '') AS code6,
-               regexp_replace(trim(SEXO), '\\.0$', '') AS sex_raw, IDADE AS age_raw, CAUSABAS AS cause_raw,
-               trim(replace(upper(CAUSABAS), '.', '')) AS cause, DTOBITO AS date_raw,
+               regexp_replace(trim(SEXO), '\\.0$', '') AS sex_raw, IDADE AS age_raw, regexp_replace(trim(CAUSABAS), '\\.0$', '') AS cause_raw,
+               trim(replace(upper(regexp_replace(trim(CAUSABAS), '\\.0$', '')), '.', '')) AS cause, DTOBITO AS date_raw,
                CASE trim(replace(SEXO, '.', '')) WHEN '1' THEN 'masculino' WHEN '2' THEN 'feminino' ELSE 'ignorado' END AS sex,
                CASE WHEN CAST(IDADE AS INT) BETWEEN 0 AND 399 THEN CAST(IDADE AS DOUBLE) / 365
                     WHEN CAST(IDADE AS INT) BETWEEN 400 AND 499 THEN CAST(IDADE AS DOUBLE) - 400 END AS years
