@@ -182,8 +182,8 @@ def missing_months(df: DataFrame, keys: list[str], period: str = "period") -> Da
     """Months absent between the first and last observed ``YYYY-MM``."""
     month = month_from_text(period)
     absent = F.array_except(months_between(F.min(month), F.max(month)), F.collect_set(month))
-    grouped = df.groupBy(*keys).agg(absent.alias("_absent"))
-    return grouped.select(*keys, F.date_format(F.explode("_absent"), "yyyy-MM").alias("missing_period"))
+    texts = F.transform(absent, lambda m: F.date_format(m, "yyyy-MM"))
+    return df.groupBy(*keys).agg(texts.alias("_absent")).select(*keys, F.explode("_absent").alias("missing_period"))
 
 
 def annual_totals(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:

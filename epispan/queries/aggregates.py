@@ -93,7 +93,7 @@ def _(spark, folder):
     return rollup.conditional_counts(placed, ["year", "geography"], {i: icd_match("cause", r) for i, r in definitions.items()})
 
 
-_NEURO = """
+NEUROLOGICAL_SQL = """
     nd AS (SELECT year, code6, cause, starts_with(cause, 'G30') OR cause IN ('F000', 'F001', 'F002') AS a,
         starts_with(cause, 'G30') OR substr(cause, 1, 3) IN ('F00', 'F01', 'F02', 'F03') AS b FROM death),
     nb AS (SELECT d.year, coalesce(p.code7, 'rest_of_brazil_excluding_rj') AS geography, count(*) FILTER (WHERE a) AS alzheimer, count(*) FILTER (WHERE b) AS dementias_all
@@ -104,7 +104,7 @@ _NEURO = """
       UNION ALL SELECT year, 'rest_of_rj_excluding_vr', sum(alzheimer)::BIGINT, sum(dementias_all)::BIGINT FROM nb WHERE starts_with(geography, '33') AND geography <> '3300000' GROUP BY 1)"""
 
 
-@query("a08_union_totals", f"WITH {_NEURO} SELECT year, geography, alzheimer, dementias_all FROM nu")
+@query("a08_union_totals", f"WITH {NEUROLOGICAL_SQL} SELECT year, geography, alzheimer, dementias_all FROM nu")
 def _(spark, folder):
     return neurological_counts(deaths(spark, folder), state_municipal_population(spark, folder), TERRITORY)
 

@@ -19,6 +19,8 @@ from ..fixed_values import (
 )
 from ..functions.periods import death_period_status
 from ..operators.joins import dense_grid
+from ..operators.series import leave_one_out
+from ..operators.suppression import is_small
 from ..operators.rollup import national_denominators, state_denominators
 from ..plans.products import (
     STATE_AREAS, death_outcome_counts, mortality_rates, municipal_map_rates, municipal_profiles,
@@ -227,6 +229,22 @@ def profile_cells(spark: SparkSession, folder: str) -> DataFrame:
     return municipal_profiles(deaths(spark, folder), state_age_sex(spark, folder), TERRITORY, PROFILE, STANDARD_YEAR)
 
 
+def city_series(spark: SparkSession, folder: str) -> DataFrame:
+    """Municipal rates with the rest of the state and the country beside them, small cells hidden."""
+    base = map_rates(spark, folder).withColumns({
+        "suppressed": is_small("count"),
+        "value": F.when(~is_small("count"), F.col("rate_per_100k")),
+        "shown_count": F.when(~is_small("count"), F.col("count")),
+    })
+    country = death_rates(spark, folder).where(F.col("geography") == COUNTRY_TOTAL).select(
+        "year", "outcome_id", F.col("rate_per_100k").alias("country_value"), F.col("count").alias("country_count"),
+        F.col("population").alias("country_population"),
+    )
+    status = F.when(F.col("year") >= 2001, F.lit("provisional")).otherwise(F.lit("source_observed"))
+    joined = leave_one_out(base, ["year", "outcome_id"]).join(country, ["year", "outcome_id"], "left")
+    return joined.withColumn("dataStatus", status)
+
+
 # --- The same data as SQL, for the checks ---------------------------------------------
 
 def _values(rows: list[tuple], names: str) -> str:
@@ -398,6 +416,13 @@ CTES: dict[str, str] = {
               THEN 'not_applicable' WHEN n < 5 THEN 'suppressed'
               WHEN n_small = 1 AND pos = 1 THEN 'suppressed_complementary' ELSE 'published' END AS status
         FROM profile_ranked""",
+    "cityseries": """
+        SELECT m.year, m.code7, m.outcome_id, m.n, m.population, m.n < 5 AS suppressed, CASE WHEN m.n >= 5 THEN m.rate END AS value,
+          CAST(sum(m.n) OVER w - m.n AS BIGINT) AS rest_count, CAST(sum(m.population) OVER w - m.population AS BIGINT) AS rest_population,
+          CASE WHEN m.n >= 5 THEN CAST(sum(m.n) OVER w - m.n AS DOUBLE) / CAST(sum(m.population) OVER w - m.population AS DOUBLE) * 100000.0 END AS rest,
+          b.rate AS country_value, b.n AS country_count, b.population AS country_population, m.year >= 2001 AS provisional
+        FROM munimap m LEFT JOIN mort b ON b.year = m.year AND b.outcome_id = m.outcome_id AND b.geography = 'brazil_total'
+        WINDOW w AS (PARTITION BY m.year, m.outcome_id)""",
     "standard": """
         SELECT age_group, sex, cell, CAST(cell AS DOUBLE) / sum(cell) OVER () AS weight FROM
           (SELECT age_group, sex, sum(population) AS cell FROM agesex GROUP BY age_group, sex)""",
