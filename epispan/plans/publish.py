@@ -101,10 +101,9 @@ def coverage_summary(municipal: DataFrame) -> DataFrame:
 
 def municipal_map(series: DataFrame) -> DataFrame:
     """Values of the latest year of each indicator, or of its standardised year where it has one."""
-    year = F.col("period").cast("int")
-    choice = series.groupBy("indicatorId").agg(
-        F.max(F.struct((F.col("metricKind") == STANDARDIZED).cast("int"), year, F.col("metricKind"))).alias("_pick")
-    ).select("indicatorId", F.col("_pick.metricKind").alias("metricKind"), F.col("_pick").getField("period").cast("string").alias("period"))
+    standard = (F.col("metricKind") == STANDARDIZED).cast("int")
+    best = F.max(F.struct(standard.alias("standard"), F.col("period"), F.col("metricKind"))).alias("_best")
+    choice = series.groupBy("indicatorId").agg(best).select("indicatorId", "_best.metricKind", "_best.period")
     return series.join(choice, ["indicatorId", "metricKind", "period"], "left_semi")
 
 
@@ -239,3 +238,9 @@ def filtered_download(
     return chosen.withColumn("selectedValue", shown).orderBy("period", "geographyId", "indicatorId")
 
 
+
+
+def release_status(gate: dict[str, str]) -> str:
+    """Public only once both human reviews are approved."""
+    approved = all(gate.get(name) == "approved" for name in ("epidemiologyReview", "accessibilityReview"))
+    return "public_release_ready" if approved else "technical_beta_not_for_public_release"

@@ -14,7 +14,10 @@ from ..operators.classify import classified_counts
 from ..operators.joins import join_denominator, wide_comparators
 from ..operators.quality import code_length_profile, column_profile, source_stats
 from ..operators.series import annual_totals
-from ..plans.products import death_dimensions, deduplicated_admissions, monthly_event_counts, neurological_counts
+from ..plans.products import (
+    death_dimensions, death_outcome_counts, deduplicated_admissions, monthly_event_counts, neurological_counts,
+    notification_outcome_counts,
+)
 from ..plans.publish import coverage_summary, map_scale, observations
 from ..plans.release import release_counters
 from ..session import table
@@ -42,14 +45,15 @@ def _(spark, folder):
     SELECT year, geography, outcome_id, sex, age_group, outcome_status, n AS count FROM notif_counts""")
 def _(spark, folder):
     """State-only input: the roll-up adds the state total and no country total."""
-    return notification_totals(spark, folder).select(
+    return notification_outcome_counts(notifications(spark, folder), TERRITORY).select(
         year_of(), "geography", "outcome_id", "sex", "age_group", "outcome_status", "count"
     )
 
 
 @query("a02_territory_rollup", "SELECT year, geography, sex, age_group, outcome_id, n AS count FROM death_counts")
 def _(spark, folder):
-    return death_counts(spark, folder).select(year_of(), "geography", "sex", "age_group", "outcome_id", "count")
+    counts = death_outcome_counts(deaths(spark, folder), TERRITORY)
+    return counts.select(year_of(), "geography", "sex", "age_group", "outcome_id", "count")
 
 
 @query("a03_complement_total", """

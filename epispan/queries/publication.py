@@ -1 +1,242 @@
-"""Registered queries."""
+"""Publication products (PB01-PB15)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..fixed_values import COUNTRY_TOTAL, SELECTED, STATE_TOTAL, outcome_definitions
+from ..functions.demographics import literal_map
+from ..operators.rollup import age_sex_denominators, national_denominators, state_denominators
+from ..operators.series import union_all
+from ..operators.standardize import direct_standardized_rate, standardized_rest_of_state
+from ..plans import products, publish
+from ..session import fresh_path, table
+from ..sources import provenance, sinks
+from .registry import query
+from .standins import (
+    MUNICIPALITIES, STANDARD_YEAR, TERRITORY, admission_windows, death_counts, death_rates, map_rates, monthly_admissions,
+    municipal_population, notification_totals, population, population_age_sex, profile_cells, state_age_sex,
+    state_municipal_population,
+)
+
+MANIFEST = "manifest.json"
+NEURO = ["alzheimer", "dementias_all"]
+
+
+def _aggregate(spark, folder):
+    return publish.observations(death_rates(spark, folder), "SIM", "population", MANIFEST)
+
+
+def _standardized(spark, folder):
+    cells = profile_cells(spark, folder).where(F.col("outcome_id").isin(NEURO))
+    slim = cells.select("municipality_code_ibge", "outcome_id", "age_group", "sex", "count", "population")
+    rates = direct_standardized_rate(slim, population_age_sex(spark, folder), ["municipality_code_ibge", "outcome_id"])
+    return publish.standardized_observations(rates, "SIM", STANDARD_YEAR, MANIFEST)
+
+
+def _municipal(spark, folder):
+    crude = publish.observations(map_rates(spark, folder), "SIM", "population", MANIFEST, "municipality_code_ibge")
+    return union_all([crude, _standardized(spark, folder)])
+
+
+_STD = """
+    adj AS (SELECT p.code7, p.outcome_id, sum(s.weight * p.n / p.population * 100000.0) AS rate, sum(p.n)::BIGINT AS n, sum(p.population)::BIGINT AS population
+      FROM profile p JOIN standard s USING (age_group, sex) WHERE outcome_id IN ('alzheimer', 'dementias_all') GROUP BY ALL),
+    ms AS (SELECT code7, outcome_id, year, 'crude_rate_per_100k' AS metric, rate, n, population FROM munimap
+      UNION ALL SELECT code7, outcome_id, 2000, 'age_sex_standardized_rate_per_100k', rate, n, population FROM adj)"""
+_IND = "'sim-' || replace(outcome_id, '_', '-')"
+_SHOWN = "CASE WHEN n >= 5 THEN n END AS count, CASE WHEN n >= 5 THEN round(rate, 5) END AS value"
+
+
+def _shown(df, *extra):
+    return df.select(
+        F.col("indicatorId").alias("indicator"), *extra, "period", "count", F.round("value", 5).alias("value"),
+    )
+
+
+@query("pb01_catalog", f"""
+    SELECT {_IND} AS indicator, section AS theme, outcome_label AS label, 'mortality' AS measure, 'brazil_total|rest_of_rj_excluding_vr|rj_total|volta_redonda' AS geographies,
+      1995 AS year_start, 2001 AS year_end, count(DISTINCT code7) FILTER (WHERE n >= 5) AS publishable, '1998' AS missing
+    FROM munimap JOIN (SELECT outcome_id, outcome_label FROM outcomes) o USING (outcome_id) WHERE outcome_id IN (SELECT outcome_id FROM mort) GROUP BY ALL""")
+def _(spark, folder):
+    crude = publish.observations(map_rates(spark, folder), "SIM", "population", MANIFEST, "municipality_code_ibge")
+    labels = literal_map({o.id: o.label for o in outcome_definitions()})
+    aggregate = _aggregate(spark, folder)
+    named = aggregate.select("outcomeId").distinct().withColumn("label", labels[F.col("outcomeId")])
+    records = publish.catalog(aggregate, crude, named)
+    return records.select(
+        F.col("indicatorId").alias("indicator"), "theme", "label", "measure", F.array_join("geographyIds", "|").alias("geographies"),
+        F.col("yearStart").alias("year_start"), F.col("yearEnd").alias("year_end"),
+        F.col("publishableMunicipalityCount").alias("publishable"), F.array_join("missingPeriods", "|").alias("missing"),
+    )
+
+
+@query("pb02_series", f"SELECT {_IND} AS indicator, geography, CAST(year AS STRING) AS period, {_SHOWN} FROM mort")
+def _(spark, folder):
+    return _shown(_aggregate(spark, folder), F.col("geographyId").alias("geography"))
+
+
+@query("pb02_admission_series", """
+    WITH a AS (SELECT year, geography, outcome_id, sum(value)::BIGINT AS n FROM adm WHERE year IN (SELECT year FROM adm_years) GROUP BY ALL)
+    SELECT 'sih-' || replace(outcome_id, '_', '-') AS indicator, geography, CAST(year AS STRING) AS period, CASE WHEN n >= 5 THEN n END AS count,
+      CASE WHEN n >= 5 THEN round(n / population * 100000.0, 5) END AS value FROM a JOIN pop USING (year, geography)""")
+def _(spark, folder):
+    rates = products.annual_admission_rates(admission_windows(spark, folder), population(spark, folder))
+    return _shown(publish.observations(rates, "SIH", "denominator", MANIFEST), F.col("geographyId").alias("geography"))
+
+
+@query("pb03_municipal_map", f"""
+    WITH {_STD} SELECT {_IND} AS indicator, code7, CAST(year AS STRING) AS period, metric, {_SHOWN} FROM ms
+    WHERE CASE WHEN outcome_id IN ('alzheimer', 'dementias_all') THEN metric <> 'crude_rate_per_100k' ELSE year = 2001 END""")
+def _(spark, folder):
+    chosen = publish.municipal_map(_municipal(spark, folder))
+    return _shown(chosen, F.col("geographyId").alias("code7"), F.col("metricKind").alias("metric"))
+
+
+@query("pb03_alternative_map", f"""
+    SELECT {_IND} AS indicator, code7, CAST(year AS STRING) AS period, {_SHOWN} FROM munimap WHERE outcome_id IN ('alzheimer', 'dementias_all') AND year = 2001""")
+def _(spark, folder):
+    return _shown(publish.alternative_map(_municipal(spark, folder)), F.col("geographyId").alias("code7"))
+
+
+@query("pb04_municipal_series", f"WITH {_STD} SELECT {_IND} AS indicator, code7, CAST(year AS STRING) AS period, metric, {_SHOWN} FROM ms")
+def _(spark, folder):
+    return _shown(_municipal(spark, folder), F.col("geographyId").alias("code7"), F.col("metricKind").alias("metric"))
+
+
+@query("pb05_profiles", f"""
+    SELECT code7, {_IND} AS indicator, age_group, sex, CASE WHEN status = 'published' THEN n END AS count, CASE WHEN status <> 'not_applicable' THEN population END AS denominator,
+      CASE WHEN status = 'published' THEN round(rate, 6) END AS rate, CASE WHEN status = 'suppressed_complementary' THEN 'suppressed' ELSE status END AS status FROM profile_status""")
+def _(spark, folder):
+    public = publish.profiles(profile_cells(spark, folder), STANDARD_YEAR, MANIFEST)
+    return public.select(
+        F.col("municipalityCode").alias("code7"), F.col("indicatorId").alias("indicator"), F.col("ageGroup").alias("age_group"), "sex",
+        "count", "denominator", F.round("ratePer100k", 6).alias("rate"), F.col("suppressionStatus").alias("status"),
+    )
+
+
+@query("pb06_comparisons", f"""
+    WITH r AS (SELECT year, code7, outcome_id, (sum(n) OVER w - n)::BIGINT AS n, (sum(population) OVER w - population)::BIGINT AS population FROM munimap
+      WHERE outcome_id IN ('alzheimer', 'dementias_all') WINDOW w AS (PARTITION BY year, outcome_id))
+    SELECT {_IND} AS indicator, code7, CAST(year AS STRING) AS period, population AS denominator, CASE WHEN n >= 5 THEN n END AS count,
+      CASE WHEN n >= 5 THEN round(n / population * 100000.0, 5) END AS value FROM r""")
+def _(spark, folder):
+    rates = map_rates(spark, folder).where(F.col("outcome_id").isin(NEURO))
+    rows = publish.comparisons(rates, MANIFEST)
+    return _shown(rows, F.col("municipalityCode").alias("code7"), "denominator")
+
+
+@query("pb07_municipality_summaries", f"""
+    WITH {_STD}, sr AS (SELECT code7, outcome_id, sum(s.weight * r.n / r.population * 100000.0) AS rate FROM
+        (SELECT code7, outcome_id, age_group, sex, sum(n) OVER w - n AS n, sum(population) OVER w - population AS population FROM profile WHERE outcome_id IN ('alzheimer', 'dementias_all')
+         WINDOW w AS (PARTITION BY outcome_id, age_group, sex)) r JOIN standard s USING (age_group, sex) GROUP BY ALL),
+      l AS (SELECT * FROM ms WHERE CASE WHEN outcome_id IN ('alzheimer', 'dementias_all') THEN metric <> 'crude_rate_per_100k' ELSE year = 2001 END)
+    SELECT 'sim-' || replace(l.outcome_id, '_', '-') AS indicator, l.code7, CAST(l.year AS STRING) AS period, CASE WHEN l.n >= 5 THEN l.n END AS count, CASE WHEN l.n >= 5 THEN round(l.rate, 5) END AS value,
+      CASE WHEN l.n < 5 THEN NULL WHEN sr.rate IS NOT NULL THEN round(sr.rate, 5) WHEN st.n >= 5 AND st.n >= l.n THEN round((st.n - l.n) / (st.population - l.population) * 100000.0, 5) END AS rest_value,
+      CASE WHEN sr.rate IS NULL AND b.n >= 5 THEN round(b.rate, 5) END AS country_value
+    FROM l LEFT JOIN sr USING (code7, outcome_id) LEFT JOIN mort st ON st.year = l.year AND st.outcome_id = l.outcome_id AND st.geography = 'rj_total'
+    LEFT JOIN mort b ON b.year = l.year AND b.outcome_id = l.outcome_id AND b.geography = 'brazil_total'""")
+def _(spark, folder):
+    rest = standardized_rest_of_state(
+        profile_cells(spark, folder).where(F.col("outcome_id").isin(NEURO)), population_age_sex(spark, folder),
+        "municipality_code_ibge", ["outcome_id"],
+    ).select(
+        F.col("outcome_id").alias("outcomeId"), F.col("municipality_code_ibge").alias("geographyId"),
+        F.col("standardized_rate_per_100k").alias("standardized_rest"),
+    )
+    rows = publish.municipality_summaries(_municipal(spark, folder), _aggregate(spark, folder), rest)
+    return _shown(
+        rows, F.col("municipalityCode").alias("code7"), F.round("restOfStateValue", 5).alias("rest_value"),
+        F.round("brazilValue", 5).alias("country_value"),
+    )
+
+
+@query("pb08_public_csv", f"""
+    SELECT {_IND} AS indicator, geography, CAST(year AS STRING) AS period, n < 5 AS suppressed, {_SHOWN} FROM mort""")
+def _(spark, folder):
+    path = fresh_path(spark, "public-download")
+    sinks.write_public_download(_aggregate(spark, folder), path)
+    schema = ", ".join(f"`{f}` string" for f in sinks.DOWNLOAD_FIELDS)
+    back = spark.read.schema(schema).csv(path, header=True, enforceSchema=True)
+    typed = back.withColumns({"count": F.col("count").cast("long"), "value": F.col("value").cast("double")})
+    return _shown(typed, F.col("geographyId").alias("geography"), F.col("suppressed").cast("boolean").alias("suppressed"))
+
+
+@query("pb09_release_manifest", f"""
+    SELECT path, strlen(body) AS bytes, sha256(body) AS sha256, gate FROM (SELECT {_IND} || '.csv' AS path, string_agg(geography || ';' || CAST(year AS STRING) || ';' ||
+      coalesce(CAST(CASE WHEN n >= 5 THEN n END AS STRING), ''), chr(10) ORDER BY geography, year) AS body, 'technical_beta_not_for_public_release' AS gate FROM mort GROUP BY 1)""")
+def _(spark, folder):
+    """Checksums of one document per indicator, with the release state the review gates give."""
+    line = F.concat_ws(";", "geographyId", "period", F.coalesce(F.col("count").cast("string"), F.lit("")))
+    lines = F.array_sort(F.collect_list(F.struct("geographyId", "period", line.alias("line"))))
+    files = _aggregate(spark, folder).groupBy(F.concat("indicatorId", F.lit(".csv")).alias("path")).agg(
+        F.array_join(F.transform(lines, lambda s: s["line"]), "\n").cast("binary").alias("content")
+    )
+    gate = publish.release_status({"epidemiologyReview": "approved", "accessibilityReview": "pending"})
+    return provenance.checksum_manifest(files).withColumn("gate", F.lit(gate))
+
+
+@query("pb10_geometry_table", """
+    SELECT lpad(CAST(vec_id AS STRING), 7, '0') AS code, 'NATION_' || CAST(vec_id % 25 AS STRING) AS name, vec_id = 7 AS selected,
+      array_to_string([CAST((row_number() OVER (ORDER BY vec_id) - 1) * 8 + i AS STRING) for i in range(8)], '|') AS arcs FROM embeddings""")
+def _(spark, folder):
+    """Vectors as outlines: two polygons of four rings each, named from the nation table."""
+    vectors = table(spark, folder, "embeddings").select(F.lpad(F.col("vec_id").cast("string"), 7, "0").alias("code"), "vec_id", "embedding")
+    rings = F.transform(F.sequence(F.lit(0), F.lit(1)), lambda p: F.transform(
+        F.sequence(F.lit(0), F.lit(3)), lambda r: F.array(F.slice("embedding", p * 32 + r * 8 + 1, 8))
+    ))
+    nations = table(spark, folder, "nation").select("n_nationkey", F.concat("n_name", F.lit(" - RJ")).alias("municipality_name"))
+    names = vectors.join(nations, F.col("vec_id") % 25 == F.col("n_nationkey")).select(
+        F.col("code").alias("municipality_code_ibge"), "municipality_name"
+    )
+    arcs = publish.number_arcs(publish.polygon_rings(vectors.select("code", rings.alias("coordinates"))))
+    places = publish.geometry_table(arcs, names, "0000007")
+    return places.select("code", "name", F.col("isSelected").alias("selected"), F.array_join("arcs", "|").alias("arcs"))
+
+
+@query("pb11_monthly_admission_derivation", """
+    WITH s AS (SELECT year, month, outcome_id, value AS s, (SELECT v.value FROM adm_monthly v WHERE v.geography = 'volta_redonda' AND v.year = a.year AND v.month = a.month AND v.outcome_id = a.outcome_id) AS c
+      FROM adm_monthly a WHERE geography = 'rj_total')
+    SELECT year, month, outcome_id, g AS geography, CASE g WHEN 'rj_total' THEN s WHEN 'volta_redonda' THEN c ELSE s - c END AS value FROM s,
+      (VALUES ('rj_total'), ('volta_redonda'), ('rest_of_rj_excluding_vr')) v(g) WHERE c IS NOT NULL""")
+def _(spark, folder):
+    monthly = monthly_admissions(spark, folder)
+    return products.derived_admissions(monthly.where(F.col("geography") == STATE_TOTAL), monthly.where(F.col("geography") == SELECTED))
+
+
+@query("pb13_outcome_counts", """
+    SELECT 'SIM' AS source, year, geography, outcome_id, 'óbito' AS outcome_status, sum(n)::BIGINT AS count FROM death_counts GROUP BY ALL
+    UNION ALL SELECT 'SIVEP-SRAG', year, geography, outcome_id, outcome_status, sum(n)::BIGINT FROM notif_counts GROUP BY ALL""")
+def _(spark, folder):
+    both = death_counts(spark, folder).unionByName(notification_totals(spark, folder))
+    return both.groupBy(
+        "source", F.col("source_year").cast("int").alias("year"), "geography", "outcome_id", "outcome_status"
+    ).agg(F.sum("count").alias("count"))
+
+
+@query("pb14_population_products", """
+    SELECT 'annual' AS product, CAST(year AS STRING) AS part, geography, population FROM pop
+    UNION ALL SELECT 'age_sex', age_group || '|' || sex, g, sum(population)::BIGINT FROM state_agesex, (VALUES ('rj_total'), ('volta_redonda'), ('rest_of_rj_excluding_vr')) v(g)
+      WHERE g = 'rj_total' OR (g = 'volta_redonda') = (code7 = '3300000') GROUP BY ALL
+    UNION ALL SELECT 'standard', age_group || '|' || sex, 'brazil_total', CAST(cell AS BIGINT) FROM standard""")
+def _(spark, folder):
+    municipal = municipal_population(spark, folder)
+    state = state_denominators(state_municipal_population(spark, folder), TERRITORY, MUNICIPALITIES)
+    annual = products.population_product(municipal, state, national_denominators(municipal)).select(
+        F.lit("annual").alias("product"), F.col("year").cast("string").alias("part"), "geography", "population"
+    )
+    cell = F.concat_ws("|", "age_group", "sex").alias("part")
+    age_sex = age_sex_denominators(state_age_sex(spark, folder), TERRITORY).select(
+        F.lit("age_sex").alias("product"), cell, "geography", "population"
+    )
+    standard = population_age_sex(spark, folder).groupBy("age_group", "sex").agg(F.sum("population").alias("population")).select(
+        F.lit("standard").alias("product"), cell, F.lit(COUNTRY_TOTAL).alias("geography"), "population"
+    )
+    return union_all([annual, age_sex, standard])
+
+
+@query("pb15_admission_summary", """
+    SELECT outcome_id, geography, sum(value)::BIGINT AS total, count(*) AS months, 0::BIGINT AS negatives, min(printf('%04d-%02d', year, month)) AS first_period,
+      max(printf('%04d-%02d', year, month)) AS last_period FROM adm GROUP BY ALL""")
+def _(spark, folder):
+    return products.admission_summary(admission_windows(spark, folder))

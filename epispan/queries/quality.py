@@ -1 +1,179 @@
-"""Registered queries."""
+"""Data-quality operators (DQ01-DQ11)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..fixed_values import DEATH_REQUIRED, OBSERVATION_FIELDS
+from ..operators import quality
+from ..operators.standardize import coverage_gaps
+from ..plans import release
+from ..plans.products import municipal_profile_counts
+from ..plans.publish import municipal_map, observations, profiles
+from ..operators.suppression import protected_leaks
+from ..session import fresh_path, materialize, table
+from ..sources.provenance import file_format_check, header_fields, scan_headers
+from .registry import query
+from .standins import (
+    MUNICIPALITIES, PROFILE, STANDARD_YEAR, TERRITORY, death_rates, deaths, map_rates, monthly_admissions,
+    municipal_population, population, population_age_sex, profile_cells, raw_deaths, state_age_sex,
+)
+
+CITY = F.col("municipality_code_ibge").alias("code7")
+
+
+@query("dq01_layout_audit", """
+    SELECT 'short' AS layout, f AS field, count(*) AS rows FROM lineitem, (VALUES ('CAUSABAS'), ('IDADE')) v(f) WHERE l_linenumber <= 3 GROUP BY f""")
+def _(spark, folder):
+    """Two layouts of the death files, one without two required fields."""
+    path = fresh_path(spark, "layouts")
+    raw = raw_deaths(spark, folder).withColumn("line", F.lit(0))
+    raw.write.csv(f"{path}/full", sep=";", encoding="ISO-8859-1", header=True)
+    short = table(spark, folder, "lineitem").where("l_linenumber <= 3").selectExpr("l_suppkey AS CODMUNRES", "l_returnflag AS SEXO")
+    short.write.csv(f"{path}/short", sep=";", encoding="ISO-8859-1", header=True)
+    headers = header_fields(scan_headers(spark, f"{path}/*/"))
+    layout = F.regexp_extract("source_file", r"/(full|short)/", 1)
+    missing = quality.required_fields_missing(headers, DEATH_REQUIRED).select(layout.alias("layout"), "field").distinct()
+    rows = short.agg(F.count(F.lit(1)).alias("rows"))
+    return missing.select("*", rows.scalar().alias("rows"))
+
+
+@query("dq02_non_negative", "SELECT c_custkey AS id, c_acctbal AS balance FROM customer WHERE c_acctbal < 0")
+def _(spark, folder):
+    rows = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"))
+    return quality.negative_rows(rows, "balance")
+
+
+@query("dq03_unique_key", """
+    SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem GROUP BY ALL HAVING count(*) > 1""")
+def _(spark, folder):
+    return quality.duplicate_keys(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("dq04_grid_completeness", """
+    SELECT c_nationkey AS area, count(*) AS rows, count(DISTINCT (c_mktsegment, CAST(floor(c_acctbal / 2000) AS INT))) AS cells FROM customer GROUP BY 1
+    HAVING count(*) <> 30 OR count(DISTINCT (c_mktsegment, CAST(floor(c_acctbal / 2000) AS INT))) <> 30""")
+def _(spark, folder):
+    """Nations whose customers do not fill segment by balance band exactly once."""
+    band = F.floor(F.col("c_acctbal") / 2000).cast("int")
+    rows = table(spark, folder, "customer").select(F.col("c_nationkey").alias("area"), "c_mktsegment", band.alias("band"))
+    return quality.grid_gaps(rows, "area", ["c_mktsegment", "band"], 30)
+
+
+@query("dq04_area_set_mismatch", """
+    SELECT code6, 'only_left' AS side FROM (SELECT DISTINCT code6 FROM death WHERE starts_with(code6, '33')) WHERE code6 NOT IN (SELECT substr(code7, 1, 6) FROM munipop)
+    UNION ALL SELECT DISTINCT substr(code7, 1, 6), 'only_right' FROM munipop WHERE substr(code7, 1, 6) NOT IN (SELECT code6 FROM death WHERE starts_with(code6, '33'))""")
+def _(spark, folder):
+    left = deaths(spark, folder).select(F.col("municipality_code_datasus").alias("code6")).where("code6 LIKE '33%'")
+    right = municipal_population(spark, folder).select(F.substring("municipality_code_ibge", 1, 6).alias("code6"))
+    return quality.set_mismatch(left, right, "code6")
+
+
+@query("dq05_standard_cell_coverage", """
+    SELECT code7, 16 - count(*) FILTER (WHERE NOT (code7 < '3300055' AND age_group = '75+')) AS missing_cells, 0::BIGINT AS extra_cells FROM state_agesex GROUP BY 1""")
+def _(spark, folder):
+    """Some areas lose their oldest cells: the check names each of them."""
+    cells = state_age_sex(spark, folder).where("NOT (municipality_code_ibge < '3300055' AND age_group = '75+')")
+    gaps = coverage_gaps(cells, population_age_sex(spark, folder), ["municipality_code_ibge"])
+    return gaps.select(CITY, "missing_cells", "extra_cells")
+
+
+@query("dq06_reconciliation", """
+    SELECT outcome_id, sum(n)::BIGINT AS expected, sum(n) FILTER (WHERE age_group <> 'ignorado' AND sex <> 'ignorado')::BIGINT AS observed FROM profile_base GROUP BY 1
+    HAVING sum(n) <> sum(n) FILTER (WHERE age_group <> 'ignorado' AND sex <> 'ignorado')""")
+def _(spark, folder):
+    """Published profile cells against all classified deaths: they differ by unknown age or sex."""
+    counts = municipal_profile_counts(deaths(spark, folder), state_age_sex(spark, folder), TERRITORY, PROFILE, STANDARD_YEAR)
+    cells = profile_cells(spark, folder)
+    return quality.reconcile(cells, counts, ["outcome_id"]).where("expected IS NOT NULL")
+
+
+_SUFFIX = "CASE doc_id % 5 WHEN 0 THEN 'json' WHEN 1 THEN 'csv' WHEN 2 THEN 'pdf' WHEN 3 THEN 'html' ELSE 'xls' END"
+
+
+@query("dq07_file_format_check", f"""
+    SELECT doc_id, doc_id % 2 = 0 AND doc_id % 5 <> 4 AS format_ok FROM documents""")
+def _(spark, folder):
+    """Documents wrapped as raw files of several formats; odd ones are left unwrapped and so malformed."""
+    wrapped = (
+        F.when(F.col("doc_id") % 5 == 0, F.to_json(F.array(F.struct("text"))))
+        .when(F.col("doc_id") % 5 == 1, F.concat(F.lit("CODMUNRES;SEXO;IDADE;CAUSABAS\n"), "text"))
+        .when(F.col("doc_id") % 5 == 2, F.concat(F.lit("%PDF-1.4\n"), "text"))
+        .otherwise(F.concat(F.lit('TabNet Win32 "Total" Sistema de Informações Hospitalares '), "text"))
+    )
+    body = F.when(F.col("doc_id") % 2 == 0, wrapped).otherwise(F.concat(F.lit("x"), "text"))
+    encoded = F.when(F.expr(_SUFFIX) == "html", F.encode(F.regexp_replace(body, r"[^\x{0}-\x{ff}]", "?"), "ISO-8859-1"))
+    files = table(spark, folder, "documents").select(
+        F.concat(F.lit("/raw/"), "doc_id", F.lit("."), F.expr(_SUFFIX)).alias("path"),
+        F.coalesce(encoded, body.cast("binary")).alias("content"),
+    )
+    number = F.regexp_extract("path", r"/raw/(\d+)\.", 1).cast("long")
+    return file_format_check(files).select(number.alias("doc_id"), "format_ok")
+
+
+@query("dq08_contract_check", """
+    SELECT 'sim-' || replace(outcome_id, '_', '-') AS indicator, field AS missing_field, count(*) AS records FROM mort,
+      (VALUES ('value'), ('count'), ('ciLow'), ('ciHigh'), ('manifestRef')) v(field) WHERE field = 'manifestRef' OR n < 5 GROUP BY ALL""")
+def _(spark, folder):
+    """Without the manifest reference every record breaks the contract; protected fields are null by rule."""
+    public = observations(death_rates(spark, folder), "SIM", "population", "m.json").drop("manifestRef")
+    gaps = quality.contract_violations(public, OBSERVATION_FIELDS, ["indicatorId"])
+    return gaps.groupBy(F.col("indicatorId").alias("indicator"), "missing_field").agg(F.count(F.lit(1)).alias("records"))
+
+
+def _release(spark, folder):
+    """The audit reads the package as written, the way readers will see it."""
+    municipal = materialize(
+        observations(map_rates(spark, folder), "SIM", "population", "m.json", "municipality_code_ibge"), "package-municipal"
+    )
+    national = materialize(observations(death_rates(spark, folder), "SIM", "population", "m.json"), "package-series")
+    cells = materialize(profiles(profile_cells(spark, folder), STANDARD_YEAR, "m.json"), "package-profiles")
+    maps = municipal_map(municipal)
+    presence = release.indicator_presence(national, maps, cells)
+    years = deaths(spark, folder).select(F.col("source_year").cast("int").alias("year")).distinct()
+    gaps = years.exceptAll(population(spark, folder).select("year").distinct())
+    catalog = table(spark, folder, "nation").select(
+        F.col("n_name").alias("source_id"), F.when(F.col("n_nationkey") % 5 == 4, F.lit("pending")).otherwise(F.lit("verified")).alias("status")
+    )
+    hidden = F.col("suppressionStatus") == "suppressed"
+    download = protected_leaks(national, F.col("suppressed"), ["value", "count", "ciLow", "ciHigh"])
+    contract = quality.contract_violations(national.select("indicatorId", "source", "period"), ["source", "period"], ["indicatorId"])
+    return release.release_metrics(
+        national, presence, cells, gaps, quality.unverified_sources(catalog),
+        protected_leaks(cells, hidden, ["count", "ratePer100k", "ciLow", "ciHigh"]), download, contract,
+        {"epidemiologyReview": "approved", "accessibilityReview": "pending"}, "technical_beta", MUNICIPALITIES,
+    )
+
+
+@query("dq09_release_gate", """
+    SELECT v.f AS finding_id, v.s AS severity, (SELECT count(*) FROM mort) AS observations FROM (VALUES ('release-not-public', 'blocker'), ('review-gates-pending', 'blocker'), ('denominator-gaps', 'warning'),
+      ('source-catalog-open-items', 'warning')) v(f, s) UNION ALL
+    SELECT 'profiles-incomplete', 'blocker', (SELECT count(*) FROM mort) WHERE EXISTS (SELECT 1 FROM mort WHERE outcome_id = 'covid19')""")
+def _(spark, folder):
+    metrics = _release(spark, folder)
+    findings = release.release_findings(metrics)
+    total = observations(death_rates(spark, folder), "SIM", "population", "m.json").agg(F.count(F.lit(1)))
+    return findings.select("*", total.scalar().alias("observations"))
+
+
+@query("dq09_release_verdict", """
+    SELECT 2 + count(*) FILTER (WHERE covid) AS blocker_count, 2::BIGINT AS warning_count, false AS publication_allowed, max(n) AS observations FROM
+      (SELECT bool_or(outcome_id = 'covid19') AS covid, count(*) AS n FROM mort)""")
+def _(spark, folder):
+    metrics = _release(spark, folder)
+    verdict = release.release_gate(release.release_findings(metrics))
+    return verdict.select("*", metrics.select("observations").scalar().alias("observations"))
+
+
+@query("dq10_source_catalog_status", """
+    SELECT n_name AS source_id, 'pending' AS status FROM nation WHERE n_nationkey % 5 = 4""")
+def _(spark, folder):
+    state = F.when(F.col("n_nationkey") % 5 == 4, F.lit("pending")).when(F.col("n_nationkey") % 5 == 3, F.lit("")).otherwise(F.lit("verified"))
+    return quality.unverified_sources(table(spark, folder, "nation").select(F.col("n_name").alias("source_id"), state.alias("status")))
+
+
+@query("dq11_series_structure_check", """
+    SELECT count(*) AS rows, 0::BIGINT AS negatives, 1200::BIGINT AS expected_rows, CASE WHEN count(*) = 1200 THEN 'validated_structure_only_no_epidemiological_estimate'
+      ELSE 'incomplete_or_inconsistent_series' END AS status FROM adm_monthly""")
+def _(spark, folder):
+    return quality.series_structure(monthly_admissions(spark, folder), 80 * 5 * 3)

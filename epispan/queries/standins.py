@@ -95,12 +95,19 @@ def raw_notifications(spark: SparkSession, folder: str) -> DataFrame:
 _STAGED: dict[tuple[str, str, str], str] = {}
 
 
-def _staged(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Harmonise a table once per application and let every query read the written result."""
+def _staged(
+    spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame], small: bool = False
+) -> DataFrame:
+    """Write a stage once per application and let every query read the written result.
+
+    Stages hand over through files, as the published workflow does: facts are
+    scanned once, and a lost executor costs a re-read, not a recomputation.
+    """
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _STAGED:
-        path = fresh_path(spark, f"harmonized-{name}")
-        spread(build()).write.option("compression", "zstd").parquet(path)
+        path = fresh_path(spark, name)
+        frame = build()
+        (frame if small else spread(frame)).write.option("compression", "zstd").parquet(path)
         _STAGED[key] = path
     return spark.read.parquet(_STAGED[key])
 
@@ -111,7 +118,7 @@ def deaths(spark: SparkSession, folder: str) -> DataFrame:
         placed = raw.withColumns({"source_file": F.lit("lineitem"), "source_row_number": F.lit(0)})
         return harmonize_deaths(placed, TERRITORY, F.col("year"))
 
-    return _staged(spark, folder, "deaths", build)
+    return _staged(spark, folder, "harmonized-deaths", build)
 
 
 def notifications(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,7 +127,7 @@ def notifications(spark: SparkSession, folder: str) -> DataFrame:
         placed = raw.withColumns({"source_file": F.lit("orders"), "source_row_number": F.lit(0)})
         return harmonize_notifications(placed, TERRITORY, F.col("year"))
 
-    return _staged(spark, folder, "notifications", build)
+    return _staged(spark, folder, "harmonized-notifications", build)
 
 
 def municipal_population(spark: SparkSession, folder: str) -> DataFrame:
@@ -210,23 +217,42 @@ def admission_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def death_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return death_outcome_counts(deaths(spark, folder), TERRITORY, SIM)
+    """Outcome counts, written once: every rate product starts from them, not from the facts."""
+    return _staged(
+        spark, folder, "death-counts", lambda: death_outcome_counts(deaths(spark, folder), TERRITORY, SIM), small=True
+    )
 
 
 def notification_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return notification_outcome_counts(notifications(spark, folder), TERRITORY)
+    return _staged(
+        spark, folder, "notification-counts",
+        lambda: notification_outcome_counts(notifications(spark, folder), TERRITORY), small=True,
+    )
 
 
 def death_rates(spark: SparkSession, folder: str) -> DataFrame:
-    return mortality_rates(death_counts(spark, folder), population(spark, folder))
+    return _staged(
+        spark, folder, "death-rates",
+        lambda: mortality_rates(death_counts(spark, folder), population(spark, folder)), small=True,
+    )
 
 
 def map_rates(spark: SparkSession, folder: str) -> DataFrame:
-    return municipal_map_rates(deaths(spark, folder), state_municipal_population(spark, folder), TERRITORY, SIM)
+    return _staged(
+        spark, folder, "map-rates",
+        lambda: municipal_map_rates(deaths(spark, folder), state_municipal_population(spark, folder), TERRITORY, SIM),
+        small=True,
+    )
 
 
 def profile_cells(spark: SparkSession, folder: str) -> DataFrame:
-    return municipal_profiles(deaths(spark, folder), state_age_sex(spark, folder), TERRITORY, PROFILE, STANDARD_YEAR)
+    return _staged(
+        spark, folder, "profile-cells",
+        lambda: municipal_profiles(
+            deaths(spark, folder), state_age_sex(spark, folder), TERRITORY, PROFILE, STANDARD_YEAR
+        ),
+        small=True,
+    )
 
 
 def city_series(spark: SparkSession, folder: str) -> DataFrame:

@@ -25,7 +25,7 @@ from ..session import table
 from .aggregates import NEUROLOGICAL_SQL
 from .registry import query
 from .standins import (
-    ADMISSION_OUTCOMES, STANDARD_YEAR, TERRITORY, admission_windows, city_series, death_counts, death_rates, deaths,
+    ADMISSION_OUTCOMES, PROFILE, SIM, STANDARD_YEAR, TERRITORY, admission_windows, city_series, death_counts, death_rates, deaths,
     map_rates, monthly_admissions, notification_totals, notifications, population, population_age_sex, profile_cells,
     state_age_sex, state_municipal_population,
 )
@@ -64,7 +64,8 @@ def year_of(name: str = "source_year"):
 def _(spark, folder):
     """Flagship: classify, count, roll up, rate, compare and protect, in one plan."""
     small = F.col("count") < 5
-    return death_rates(spark, folder).select(
+    counts = products.death_outcome_counts(deaths(spark, folder), TERRITORY)
+    return products.mortality_rates(counts, population(spark, folder)).select(
         "outcome_id", "year", "geography", F.when(~small, F.col("count")).alias("count"), "population",
         F.when(~small, F.round("rate_per_100k", 6)).alias("rate_per_100k"),
         F.round("rate_ratio_vr_vs_rest", 6).alias("rate_ratio_vr_vs_rest"), small.alias("suppressed"),
@@ -136,7 +137,8 @@ def _(spark, folder):
     SELECT m.year, m.geography, m.outcome_id, m.n AS count, m.population, round(rate, 6) AS rate, round(lower / population * 100000.0, 4) AS ci_lower,
       round(upper / population * 100000.0, 4) AS ci_upper, s.period_status FROM mort m JOIN lim ON k = n JOIN death_status s USING (year, outcome_id)""")
 def _(spark, folder):
-    return death_rates(spark, folder).select(
+    rates = products.mortality_rates(death_counts(spark, folder), population(spark, folder))
+    return rates.select(
         "year", "geography", "outcome_id", "count", "population", F.round("rate_per_100k", 6).alias("rate"),
         F.round("rate_ci_lower_per_100k", 4).alias("ci_lower"), F.round("rate_ci_upper_per_100k", 4).alias("ci_upper"),
         "period_status",
@@ -171,7 +173,10 @@ def _(spark, folder):
     SELECT code7, outcome_id, age_group, sex, n AS count, population, round(rate, 6) AS rate, round(lower / population * 100000.0, 3) AS ci_lower,
       round(upper / population * 100000.0, 3) AS ci_upper, status FROM profile_status JOIN lim ON k = n""")
 def _(spark, folder):
-    return profile_cells(spark, folder).select(
+    cells = products.municipal_profiles(
+        deaths(spark, folder), state_age_sex(spark, folder), TERRITORY, PROFILE, STANDARD_YEAR
+    )
+    return cells.select(
         CITY, "outcome_id", "age_group", "sex", "count", "population", F.round("rate_per_100k", 6).alias("rate"),
         F.round("rate_ci_lower_per_100k", 3).alias("ci_lower"), F.round("rate_ci_upper_per_100k", 3).alias("ci_upper"),
         F.col("suppression_status").alias("status"),
@@ -183,7 +188,8 @@ def _(spark, folder):
     SELECT m.year, m.code7, m.outcome_id, n AS count, m.population, round(rate, 6) AS rate, round(lower / population * 100000.0, 4) AS ci_lower,
       round(upper / population * 100000.0, 4) AS ci_upper, s.period_status FROM munimap m JOIN lim ON k = n JOIN death_status s USING (year, outcome_id)""")
 def _(spark, folder):
-    return map_rates(spark, folder).select(
+    rates = products.municipal_map_rates(deaths(spark, folder), state_municipal_population(spark, folder), TERRITORY, SIM)
+    return rates.select(
         "year", CITY, "outcome_id", "count", "population", F.round("rate_per_100k", 6).alias("rate"),
         F.round("rate_ci_lower_per_100k", 4).alias("ci_lower"), F.round("rate_ci_upper_per_100k", 4).alias("ci_upper"), "period_status",
     )

@@ -67,8 +67,8 @@ def upsert_manifest(existing: DataFrame, updates: DataFrame, key: str) -> DataFr
 
 def header_fields(heads: DataFrame, separator: str = ";") -> DataFrame:
     """(source_file, header line) to one row per field name."""
-    names = F.explode(F.split(F.col("header"), separator))
-    return heads.select("source_file", F.trim(F.translate(names, '"', "")).alias("field"))
+    names = F.transform(F.split(F.col("header"), separator), lambda n: F.trim(F.translate(n, '"', "")))
+    return heads.select("source_file", F.explode(names).alias("field"))
 
 
 def scan_headers(spark: SparkSession, path: str) -> DataFrame:
