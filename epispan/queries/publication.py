@@ -56,8 +56,9 @@ def _shown(df, *extra):
 
 @query("pb01_catalog", f"""
     SELECT {_IND} AS indicator, section AS theme, outcome_label AS label, 'mortality' AS measure, 'brazil_total|rest_of_rj_excluding_vr|rj_total|volta_redonda' AS geographies,
-      1995 AS year_start, 2001 AS year_end, count(DISTINCT code7) FILTER (WHERE n >= 5) AS publishable, '1998' AS missing
-    FROM munimap JOIN (SELECT outcome_id, outcome_label FROM outcomes) o USING (outcome_id) WHERE outcome_id IN (SELECT outcome_id FROM mort) GROUP BY ALL""")
+      CAST(y0 AS INT) AS year_start, CAST(y1 AS INT) AS year_end, count(DISTINCT code7) FILTER (WHERE n >= 5) AS publishable, '1998' AS missing
+    FROM munimap JOIN (SELECT outcome_id, outcome_label FROM outcomes) o USING (outcome_id)
+    JOIN (SELECT outcome_id, min(year) AS y0, max(year) AS y1 FROM mort GROUP BY 1) USING (outcome_id) GROUP BY ALL""")
 def _(spark, folder):
     crude = publish.observations(map_rates(spark, folder), "SIM", "population", MANIFEST, "municipality_code_ibge")
     labels = literal_map({o.id: o.label for o in outcome_definitions()})
