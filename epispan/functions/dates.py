@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import clean_text, col
+from .text import col
 
 
 def compact_date(value: Column | str) -> Column:
-    """``ddMMyyyy`` text to a date; anything else is null."""
-    text = clean_text(value)
-    return F.when(text.rlike(r"\A\d{8}\z"), F.try_to_date(text, "ddMMyyyy"))
+    """Cleaned ``ddMMyyyy`` text to a date; anything else is null."""
+    return F.when(F.length(col(value)) == 8, F.try_to_date(col(value), "ddMMyyyy"))
 
 
 def lenient_timestamp(value: Column | str) -> Column:

@@ -58,6 +58,22 @@ def fill_grid(grid: DataFrame, counts: DataFrame, keys: list[str], values: list[
     return grid.join(counts.select(*keys, *values), keys, "left").fillna(0, subset=values)
 
 
+def dense_counts(df: DataFrame, keys: list[str], dimension: str, labels: list[str], value: str = "count") -> DataFrame:
+    """Sums of ``value`` for every key and every label, zero where nobody reported.
+
+    One aggregation with a column per label, unrolled again: the input is read
+    once, where a grid built from it and joined back would read it twice.
+    """
+    wide = df.groupBy(*keys).agg(*[
+        F.coalesce(F.sum(F.when(F.col(dimension) == label, F.col(value))), F.lit(0)).alias(f"_{i}")
+        for i, label in enumerate(labels)
+    ])
+    cells = F.array(*[
+        F.struct(F.lit(label).alias(dimension), F.col(f"_{i}").alias(value)) for i, label in enumerate(labels)
+    ])
+    return wide.select(*keys, F.explode(cells).alias("_cell")).select(*keys, "_cell.*")
+
+
 def municipality_with_fallback(
     events: DataFrame, municipalities: DataFrame, code: str, year: str, fallback: str
 ) -> DataFrame:

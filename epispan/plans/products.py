@@ -23,7 +23,7 @@ from ..functions.territory import (
 from ..functions.text import clean_text, code7_to_code6, normalize_code
 from ..operators.classify import classified_counts, notification_counts
 from ..operators.joins import (
-    dense_grid, fill_grid, full_outer_series, join_denominator, known_members, municipality_with_fallback,
+    dense_counts, dense_grid, fill_grid, full_outer_series, join_denominator, known_members, municipality_with_fallback,
     unique_rows, wide_comparators,
 )
 from ..operators.rates import add_comparison, add_rates
@@ -126,10 +126,9 @@ def annual_admission_rates(windows: DataFrame, population: DataFrame) -> DataFra
 def mortality_rates(counts: DataFrame, population: DataFrame, areas: list[str] | None = None) -> DataFrame:
     """Annual death rates on the full (year, outcome, area) grid, years without population left out."""
     areas = areas or AREAS
-    keys = ["year", "outcome_id", "outcome_label", "geography"]
-    totals = counts.groupBy(F.col("source_year").cast("int").alias("year"), *keys[1:]).agg(F.sum("count").alias("count"))
-    grid = dense_grid(totals.select(*keys[:3]).distinct(), geography=areas)
-    covered = fill_grid(grid, totals, keys, ["count"]).join(population.select("year").distinct(), "year", "left_semi")
+    dated = counts.withColumn("year", F.col("source_year").cast("int"))
+    grid = dense_counts(dated, ["year", "outcome_id", "outcome_label"], "geography", areas)
+    covered = grid.join(population.select("year").distinct(), "year", "left_semi")
     people = population.select("year", "geography", "population", F.col("source_status").alias("population_source_status"))
     rated = add_rates(join_denominator(covered, people, ["year", "geography"], strict=True))
     labelled = rated.withColumn("period_status", death_period_status("year", "outcome_id"))

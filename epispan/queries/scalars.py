@@ -42,7 +42,7 @@ def _(spark, folder):
 @query("p03_parse_compact_date", """
     SELECT DTOBITO AS raw, CAST(try_strptime(DTOBITO, '%d%m%Y') AS DATE) AS day, count(*) AS n FROM raw_d GROUP BY ALL""")
 def _(spark, folder):
-    return tally(raw_deaths(spark, folder), F.col("DTOBITO").alias("raw"), dates.compact_date("DTOBITO").alias("day"))
+    return tally(raw_deaths(spark, folder), F.col("DTOBITO").alias("raw"), dates.compact_date(text.clean_text("DTOBITO")).alias("day"))
 
 
 @query("p04_parse_date_lenient", """

@@ -85,18 +85,18 @@ def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def raw_deaths(spark: SparkSession, folder: str) -> DataFrame:
-    return _project(table(spark, folder, "lineitem"), RAW_DEATH)
+    return _project(spread(table(spark, folder, "lineitem")), RAW_DEATH)
 
 
 def raw_notifications(spark: SparkSession, folder: str) -> DataFrame:
-    return _project(table(spark, folder, "orders"), RAW_NOTIFICATION)
+    return _project(spread(table(spark, folder, "orders")), RAW_NOTIFICATION)
 
 
 _STAGED: dict[tuple[str, str, str], str] = {}
 
 
 def _staged(
-    spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame], small: bool = False
+    spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]
 ) -> DataFrame:
     """Write a stage once per application and let every query read the written result.
 
@@ -106,8 +106,7 @@ def _staged(
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _STAGED:
         path = fresh_path(spark, name)
-        frame = build()
-        (frame if small else spread(frame)).write.option("compression", "zstd").parquet(path)
+        build().write.option("compression", "zstd").parquet(path)
         _STAGED[key] = path
     return spark.read.parquet(_STAGED[key])
 
@@ -132,18 +131,21 @@ def notifications(spark: SparkSession, folder: str) -> DataFrame:
 
 def municipal_population(spark: SparkSession, folder: str) -> DataFrame:
     """Population per municipality of the country and year; 1998 has none."""
-    people = table(spark, folder, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    areas = table(spark, folder, "nation").where("n_nationkey % 5 <> 4").join(people, "n_nationkey", "left")
-    return dense_grid(areas, year=POPULATION_YEARS).selectExpr(
-        "year",
-        f"{code6('n_nationkey')} || CAST(n_nationkey % 10 AS STRING) AS municipality_code_ibge",
-        "n_name || CASE WHEN n_nationkey % 2 = 0 THEN ' - RJ' ELSE ' (RJ)' END AS municipality_name",
-        "(coalesce(n, 0) + 1) * (1000 + (year - 1995) * 7) AS population",
-        f"CASE WHEN year = {STANDARD_YEAR} THEN 'census' ELSE 'annual_estimate' END AS source_status",
-        "'population_' || CAST(year AS STRING) AS source_file",
-    )
+    def build() -> DataFrame:
+        people = table(spark, folder, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(
+            F.count(F.lit(1)).alias("n")
+        )
+        areas = table(spark, folder, "nation").where("n_nationkey % 5 <> 4").join(people, "n_nationkey", "left")
+        return dense_grid(areas, year=POPULATION_YEARS).selectExpr(
+            "year",
+            f"{code6('n_nationkey')} || CAST(n_nationkey % 10 AS STRING) AS municipality_code_ibge",
+            "n_name || CASE WHEN n_nationkey % 2 = 0 THEN ' - RJ' ELSE ' (RJ)' END AS municipality_name",
+            "(coalesce(n, 0) + 1) * (1000 + (year - 1995) * 7) AS population",
+            f"CASE WHEN year = {STANDARD_YEAR} THEN 'census' ELSE 'annual_estimate' END AS source_status",
+            "'population_' || CAST(year AS STRING) AS source_file",
+        )
+
+    return _staged(spark, folder, "population-municipal", build)
 
 
 def state_municipal_population(spark: SparkSession, folder: str) -> DataFrame:
@@ -152,11 +154,12 @@ def state_municipal_population(spark: SparkSession, folder: str) -> DataFrame:
 
 def population(spark: SparkSession, folder: str) -> DataFrame:
     """Year by area denominators of the state areas and the country."""
-    municipal = municipal_population(spark, folder)
-    state = state_denominators(
-        municipal.where(F.col("municipality_code_ibge").startswith("33")), TERRITORY, MUNICIPALITIES
-    )
-    return population_product(municipal, state, national_denominators(municipal))
+    def build() -> DataFrame:
+        municipal = municipal_population(spark, folder)
+        state = state_denominators(state_municipal_population(spark, folder), TERRITORY, MUNICIPALITIES)
+        return population_product(municipal, state, national_denominators(municipal))
+
+    return _staged(spark, folder, "population-denominators", build)
 
 
 def _age_case(value: str) -> str:
@@ -171,15 +174,18 @@ SEX_EXPR = "CASE WHEN c_mktsegment < 'C' THEN 'masculino' ELSE 'feminino' END"
 
 def population_age_sex(spark: SparkSession, folder: str) -> DataFrame:
     """Complete municipality by age by sex population of the country."""
-    cells = table(spark, folder, "customer").groupBy(
-        F.col("c_nationkey").alias("n_nationkey"), F.expr(AGE_EXPR).alias("age_group"), F.expr(SEX_EXPR).alias("sex")
-    ).agg(F.count(F.lit(1)).alias("n"))
-    areas = table(spark, folder, "nation").where("n_nationkey % 5 <> 4")
-    grid = dense_grid(areas, age_group=AGE_GROUPS, sex=SEXES)
-    return grid.join(cells, ["n_nationkey", "age_group", "sex"], "left").selectExpr(
-        f"{code6('n_nationkey')} || CAST(n_nationkey % 10 AS STRING) AS municipality_code_ibge",
-        "n_name AS municipality_name", "age_group", "sex", "100 + coalesce(n, 0) * 1000 AS population",
-    )
+    def build() -> DataFrame:
+        cells = table(spark, folder, "customer").groupBy(
+            F.col("c_nationkey").alias("n_nationkey"), F.expr(AGE_EXPR).alias("age_group"), F.expr(SEX_EXPR).alias("sex")
+        ).agg(F.count(F.lit(1)).alias("n"))
+        areas = table(spark, folder, "nation").where("n_nationkey % 5 <> 4")
+        grid = dense_grid(areas, age_group=AGE_GROUPS, sex=SEXES)
+        return grid.join(cells, ["n_nationkey", "age_group", "sex"], "left").selectExpr(
+            f"{code6('n_nationkey')} || CAST(n_nationkey % 10 AS STRING) AS municipality_code_ibge",
+            "n_name AS municipality_name", "age_group", "sex", "100 + coalesce(n, 0) * 1000 AS population",
+        )
+
+    return _staged(spark, folder, "population-age-sex", build)
 
 
 def state_age_sex(spark: SparkSession, folder: str) -> DataFrame:
@@ -219,21 +225,21 @@ def admission_windows(spark: SparkSession, folder: str) -> DataFrame:
 def death_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Outcome counts, written once: every rate product starts from them, not from the facts."""
     return _staged(
-        spark, folder, "death-counts", lambda: death_outcome_counts(deaths(spark, folder), TERRITORY, SIM), small=True
+        spark, folder, "death-counts", lambda: death_outcome_counts(deaths(spark, folder), TERRITORY, SIM)
     )
 
 
 def notification_totals(spark: SparkSession, folder: str) -> DataFrame:
     return _staged(
         spark, folder, "notification-counts",
-        lambda: notification_outcome_counts(notifications(spark, folder), TERRITORY), small=True,
+        lambda: notification_outcome_counts(notifications(spark, folder), TERRITORY),
     )
 
 
 def death_rates(spark: SparkSession, folder: str) -> DataFrame:
     return _staged(
         spark, folder, "death-rates",
-        lambda: mortality_rates(death_counts(spark, folder), population(spark, folder)), small=True,
+        lambda: mortality_rates(death_counts(spark, folder), population(spark, folder)),
     )
 
 
@@ -241,7 +247,6 @@ def map_rates(spark: SparkSession, folder: str) -> DataFrame:
     return _staged(
         spark, folder, "map-rates",
         lambda: municipal_map_rates(deaths(spark, folder), state_municipal_population(spark, folder), TERRITORY, SIM),
-        small=True,
     )
 
 
@@ -251,7 +256,6 @@ def profile_cells(spark: SparkSession, folder: str) -> DataFrame:
         lambda: municipal_profiles(
             deaths(spark, folder), state_age_sex(spark, folder), TERRITORY, PROFILE, STANDARD_YEAR
         ),
-        small=True,
     )
 
 

@@ -109,12 +109,13 @@ def scan_notification_parquet(spark: SparkSession, path: str | list[str]) -> Dat
     )
 
 
-def _header(residence: Column, source: str, year: Column | None, territory: Territory) -> dict[str, Column]:
+def _header(source: str, year: Column | None, territory: Territory) -> dict[str, Column]:
     file_year = year_in_name(F.element_at(F.split(F.col("source_file"), "/"), -1))
+    failure = F.raise_error(F.concat(F.lit("cannot infer the year of "), F.col("source_file")))
+    residence = F.col("municipality_code_datasus")
     return {
         "source": F.lit(source),
-        "source_year": F.coalesce(file_year if year is None else year, F.raise_error(
-            F.concat(F.lit("cannot infer the year of "), F.col("source_file")))).cast("short"),
+        "source_year": F.coalesce(file_year if year is None else F.col("_year"), failure).cast("short"),
         "source_file": F.col("source_file"),
         "source_row_number": F.col("source_row_number").cast("long"),
         "municipality_code_datasus": residence,
@@ -123,49 +124,62 @@ def _header(residence: Column, source: str, year: Column | None, territory: Terr
     }
 
 
+def _cleaned(raw: DataFrame, fields: dict[str, str], extra: dict[str, Column], year: Column | None) -> DataFrame:
+    """First projection: every raw text cleaned once, under its common name."""
+    texts = {name: optional_text(raw.columns, field) for name, field in fields.items()}
+    kept = {"source_file": F.col("source_file"), "source_row_number": F.col("source_row_number")}
+    if year is not None:
+        kept["_year"] = year
+    return raw.select(*[expr.alias(name) for name, expr in (kept | texts | extra).items()])
+
+
+def _named(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    return df.select(*[expr.alias(name) for name, expr in columns.items()])
+
+
 def harmonize_deaths(raw: DataFrame, territory: Territory, year: Column | None = None) -> DataFrame:
     """Raw death fields to the common table. Residence never falls back to occurrence."""
-    def text(name: str) -> Column:
-        return optional_text(raw.columns, name)
-
-    columns = _header(text("CODMUNRES"), "SIM", year, territory) | {
-        "municipality_code_occurrence": text("CODMUNOCOR"),
-        "sex_raw": text("SEXO"),
-        "age_raw": text("IDADE"),
-        "underlying_cause": text("CAUSABAS"),
-        "multiple_cause_raw": text("CAUSAMAT"),
-        "death_date_raw": text("DTOBITO"),
-        "death_date": compact_date(text("DTOBITO")),
-        "birth_date_raw": text("DTNASC"),
-        "birth_date": compact_date(text("DTNASC")),
-        "death_type_raw": text("TIPOBITO"),
-        "status_raw": text("STDOEPIDEM"),
-    }
-    return raw.select(*[expr.alias(name) for name, expr in columns.items()])
+    cleaned = _cleaned(raw, {
+        "municipality_code_datasus": "CODMUNRES", "municipality_code_occurrence": "CODMUNOCOR", "sex_raw": "SEXO",
+        "age_raw": "IDADE", "underlying_cause": "CAUSABAS", "multiple_cause_raw": "CAUSAMAT", "death_date_raw": "DTOBITO",
+        "birth_date_raw": "DTNASC", "death_type_raw": "TIPOBITO", "status_raw": "STDOEPIDEM",
+    }, {}, year)
+    return _named(cleaned, _header("SIM", year, territory) | {
+        "municipality_code_occurrence": F.col("municipality_code_occurrence"),
+        "sex_raw": F.col("sex_raw"),
+        "age_raw": F.col("age_raw"),
+        "underlying_cause": F.col("underlying_cause"),
+        "multiple_cause_raw": F.col("multiple_cause_raw"),
+        "death_date_raw": F.col("death_date_raw"),
+        "death_date": compact_date("death_date_raw"),
+        "birth_date_raw": F.col("birth_date_raw"),
+        "birth_date": compact_date("birth_date_raw"),
+        "death_type_raw": F.col("death_type_raw"),
+        "status_raw": F.col("status_raw"),
+    })
 
 
 def harmonize_notifications(raw: DataFrame, territory: Territory, year: Column | None = None) -> DataFrame:
     """Raw notification fields to the common table; notification place stays apart from residence."""
-    def text(name: str) -> Column:
-        return optional_text(raw.columns, name)
-
     def moment(name: str) -> Column:
         return lenient_timestamp(name) if name in raw.columns else F.lit(None).cast("timestamp")
 
-    columns = _header(text("CO_MUN_RES"), "SIVEP-SRAG", year, territory) | {
-        "municipality_code_notification": text("CO_MUN_NOT"),
-        "sex_raw": text("CS_SEXO"),
-        "age_raw": text("NU_IDADE_N"),
-        "age_unit_raw": text("TP_IDADE"),
+    moments = {
         "symptom_onset_date": moment("DT_SIN_PRI"),
         "notification_date": moment("DT_NOTIFIC"),
         "outcome_date": moment("DT_EVOLUCA"),
-        "final_classification_raw": text("CLASSI_FIN"),
-        "outcome_raw": text("EVOLUCAO"),
-        "race_raw": text("CS_RACA"),
-        "gestation_raw": text("CS_GESTANT"),
     }
-    return raw.select(*[expr.alias(name) for name, expr in columns.items()])
+    texts = {
+        "municipality_code_notification": "CO_MUN_NOT", "sex_raw": "CS_SEXO", "age_raw": "NU_IDADE_N",
+        "age_unit_raw": "TP_IDADE", "final_classification_raw": "CLASSI_FIN", "outcome_raw": "EVOLUCAO",
+        "race_raw": "CS_RACA", "gestation_raw": "CS_GESTANT",
+    }
+    cleaned = _cleaned(raw, {"municipality_code_datasus": "CO_MUN_RES"} | texts, moments, year)
+    order = [
+        "municipality_code_notification", "sex_raw", "age_raw", "age_unit_raw", *moments, "final_classification_raw",
+        "outcome_raw", "race_raw", "gestation_raw",
+    ]
+    return _named(cleaned, _header("SIVEP-SRAG", year, territory) | {name: F.col(name) for name in order})
 
 
 def scan_harmonized(spark: SparkSession, path: str, years: list[int]) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from epispan.fixed_values import Territory, outcome_definitions
 from epispan.functions import dates, demographics, labels, periods, text
-from epispan.functions.icd import icd_match
+from epispan.functions.icd import icd_match, with_outcomes
 from epispan.functions.territory import classify_geography, classify_state_geography, territory_membership
 from epispan.sources.tables import label_component
 
@@ -36,6 +36,21 @@ def test_four_character_bounds_have_a_strict_and_a_two_digit_reading(rows):
     assert rows(codes, "c string", icd_match("c", dementia, strict=False)) == [True, True, True, True, True, False, False]
 
 
+@pytest.mark.parametrize("strict", [True, False])
+def test_lookup_join_agrees_with_the_predicates(spark, strict):
+    definitions = outcome_definitions("SIM")
+    letters = F.explode(F.split(F.lit("ACDFGIJU"), ""))
+    codes = spark.range(1000).withColumn("l", letters).where("l <> ''").select(F.format_string("%s%03d", "l", "id").alias("c"))
+    odd = spark.createDataFrame([("J9",), ("J 9",), ("C5",), ("",), ("F00",), ("G30",), ("J1",), ("JX1",), ("F0001",), ("C501X",)], "c string")
+    every = codes.union(odd)
+    joined = {tuple(r) for r in with_outcomes(every, "c", definitions, strict).collect()}
+    direct = every.select("c", F.explode(F.array_compact(F.array(*[
+        F.when(icd_match("c", d.ranges, strict), F.lit(d.id)) for d in definitions
+    ]))))
+    assert joined == {tuple(r) for r in direct.collect()}
+    assert ("J9", "influenza") in joined and ("C5", "breast") not in joined
+
+
 def test_range_across_letters_is_refused():
     with pytest.raises(ValueError):
         icd_match(F.lit("A00"), ["A00-B99"])
