@@ -211,11 +211,22 @@ def polygon_rings(features: DataFrame) -> DataFrame:
 
 
 def number_arcs(rings: DataFrame) -> DataFrame:
-    """Running ring number over all areas in code order: rings before the area plus the ring's own place."""
-    per_area = rings.groupBy("code").agg(F.count(F.lit(1)).alias("_rings"))
-    before = Window.orderBy("code").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_area.withColumn("_before", F.coalesce(F.sum("_rings").over(before), F.lit(0))).drop("_rings")
-    return rings.join(offsets, "code").withColumn("arc", F.col("_before") + F.col("arc_in_area")).drop("_before")
+    """Running ring number over all areas in code order.
+
+    The rings before an area are those of smaller code prefixes plus those of
+    earlier areas with its prefix, so no task has to walk through every area.
+    """
+    prefix = F.substring("code", 1, 4).alias("_prefix")
+    per_area = rings.groupBy("code", prefix).agg(F.count(F.lit(1)).alias("_rings"))
+    per_prefix = per_area.groupBy("_prefix").agg(F.sum("_rings").alias("_rings"))
+
+    def before(window) -> Column:
+        return F.coalesce(F.sum("_rings").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    earlier = per_prefix.select("_prefix", before(Window.orderBy("_prefix")).alias("_base"))
+    offsets = per_area.withColumn("_before", before(Window.partitionBy("_prefix").orderBy("code"))).join(earlier, "_prefix")
+    arc = F.col("_base") + F.col("_before") + F.col("arc_in_area")
+    return rings.join(offsets.drop("_rings", "_prefix"), "code").withColumn("arc", arc).drop("_base", "_before")
 
 
 def geometry_table(rings: DataFrame, names: DataFrame, selected: str) -> DataFrame:

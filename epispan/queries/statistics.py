@@ -348,6 +348,14 @@ def _(spark, folder):
     )
 
 
+@query("st16_model_eligibility", """
+    WITH m AS (SELECT outcome_id, geography, count(*) AS n_obs, sum(value)::BIGINT AS total_events FROM adm WHERE year IN (SELECT year FROM adm_years)
+      AND geography IN ('volta_redonda', 'rest_of_rj_excluding_vr') GROUP BY ALL)
+    SELECT *, CASE WHEN n_obs < 24 OR total_events < 5 THEN 'suppressed_insufficient_events' ELSE 'fitted_descriptive_its' END AS model_status FROM m""")
+def _(spark, folder):
+    return _interrupted(spark, folder).select("outcome_id", "geography", "n_obs", "total_events", "model_status")
+
+
 @query("st17_linear_combination_rr")
 def _(spark, folder):
     fitted = _interrupted(spark, folder)

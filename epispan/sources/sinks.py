@@ -10,10 +10,18 @@ from ..fixed_values import DOWNLOAD_FIELDS
 BOM = "﻿"
 
 
-def write_table(df: DataFrame, path: str, partitions: list[str], mode: str = "overwrite") -> DataFrame:
-    """Zstandard Parquet partitioned by ``partitions``; only partitions present in ``df`` are replaced."""
+def write_table(
+    df: DataFrame, path: str, partitions: list[str], mode: str = "overwrite", rebalance: bool = True
+) -> DataFrame:
+    """Zstandard Parquet partitioned by ``partitions``; only partitions present in ``df`` are replaced.
+
+    Rebalancing gathers each partition's rows into files of even size and splits a
+    partition that holds most of them. Turn it off for input that already comes
+    one file per partition, such as a scan of yearly raw files.
+    """
+    even = df.hint("rebalance", *partitions) if rebalance else df
     (
-        df.write.mode(mode).option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
+        even.write.mode(mode).option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions).parquet(path)
     )
     return df.sparkSession.read.parquet(path)
@@ -33,7 +41,7 @@ def write_public_download(observations: DataFrame, path: str) -> None:
 
 def write_json_per_key(df: DataFrame, path: str, key: str, order: list[str]) -> None:
     """One folder of JSON lines per key, in a stable order; no document is built in memory."""
-    df.sortWithinPartitions(key, *order).write.mode("overwrite").partitionBy(key).json(path)
+    df.hint("rebalance", key).sortWithinPartitions(key, *order).write.mode("overwrite").partitionBy(key).json(path)
 
 
 def nested_documents(df: DataFrame, keys: list[str], order: list[str], name: str = "observations") -> DataFrame:

@@ -12,7 +12,8 @@ from epispan.operators.rollup import component_sums
 from epispan.sources import provenance, sinks
 from epispan.sources.config import load_outcomes
 from epispan.sources.microdata import (
-    harmonize_deaths, harmonize_notifications, number_rows, scan_death_csv, scan_notification_parquet, scan_zipped_csv,
+    harmonize_deaths, harmonize_notifications, number_rows, scan_death_csv, scan_harmonized, scan_notification_parquet,
+    scan_zipped_csv,
 )
 from epispan.sources.population import scan_population_age_sex_json, scan_population_json
 from epispan.sources.tables import (
@@ -159,6 +160,15 @@ def test_rerun_replaces_only_its_own_partitions_and_entries(spark, tmp_path):
     assert {tuple(r) for r in merged.collect()} == {(2020, 1), (2021, 5)}
 
 
+def test_year_filter_prunes_partitions(spark, tmp_path):
+    path = str(tmp_path / "years")
+    sinks.write_table(spark.createDataFrame([("SIM", y, y) for y in (2019, 2020, 2021)], "source string, source_year int, v int"), path, ["source", "source_year"])
+    chosen = scan_harmonized(spark, path, [2020])
+    assert [r["v"] for r in chosen.collect()] == [2020]
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source_year" in plan or "PartitionFilters: [(source_year" in plan
+
+
 def test_public_csv_starts_with_a_byte_order_mark(spark, tmp_path):
     sinks.write_csv(spark.createDataFrame([("é", 1)], "a string, b int").coalesce(1), str(tmp_path / "c"), ["a", "b"], public=True)
     part = next((tmp_path / "c").glob("part-*.csv")).read_bytes()
