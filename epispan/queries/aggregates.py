@@ -98,9 +98,9 @@ def _(spark, folder):
 
 
 NEUROLOGICAL_SQL = """
-    nd AS (SELECT year, code6, cause, starts_with(cause, 'G30') OR cause IN ('F000', 'F001', 'F002') AS a,
-        starts_with(cause, 'G30') OR substr(cause, 1, 3) IN ('F00', 'F01', 'F02', 'F03') AS b FROM death),
-    nb AS (SELECT d.year, coalesce(p.code7, 'rest_of_brazil_excluding_rj') AS geography, count(*) FILTER (WHERE a) AS alzheimer, count(*) FILTER (WHERE b) AS dementias_all
+    nd AS (SELECT year, code6, count(*) FILTER (WHERE starts_with(cause, 'G30') OR cause IN ('F000', 'F001', 'F002')) AS a,
+        count(*) FILTER (WHERE starts_with(cause, 'G30') OR substr(cause, 1, 3) IN ('F00', 'F01', 'F02', 'F03')) AS b FROM death GROUP BY ALL),
+    nb AS (SELECT d.year, coalesce(p.code7, 'rest_of_brazil_excluding_rj') AS geography, sum(a)::BIGINT AS alzheimer, sum(b)::BIGINT AS dementias_all
       FROM nd d LEFT JOIN statepop p ON p.year = d.year AND substr(p.code7, 1, 6) = d.code6
       WHERE p.code7 IS NOT NULL OR regexp_full_match(d.code6, '[0-9]{6}') GROUP BY ALL),
     nu AS (SELECT * FROM nb UNION ALL SELECT year, 'rj_total', sum(alzheimer)::BIGINT, sum(dementias_all)::BIGINT FROM nb WHERE starts_with(geography, '33') GROUP BY 1

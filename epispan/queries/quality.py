@@ -19,7 +19,8 @@ from .standins import (
     municipal_population, population, population_age_sex, profile_cells, raw_deaths, state_age_sex,
 )
 
-CITY = F.col("municipality_code_ibge").alias("code7")
+def area_code():
+    return F.col("municipality_code_ibge").alias("code7")
 
 
 @query("dq01_layout_audit", """
@@ -75,7 +76,7 @@ def _(spark, folder):
     """Some areas lose their oldest cells: the check names each of them."""
     cells = state_age_sex(spark, folder).where("NOT (municipality_code_ibge < '3300055' AND age_group = '75+')")
     gaps = coverage_gaps(cells, population_age_sex(spark, folder), ["municipality_code_ibge"])
-    return gaps.select(CITY, "missing_cells", "extra_cells")
+    return gaps.select(area_code(), "missing_cells", "extra_cells")
 
 
 @query("dq06_reconciliation", """

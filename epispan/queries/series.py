@@ -20,7 +20,8 @@ from .standins import (
     municipal_population, notifications, population, profile_cells, state_municipal_population,
 )
 
-CITY = F.col("municipality_code_ibge").alias("code7")
+def area_code():
+    return F.col("municipality_code_ibge").alias("code7")
 
 
 def r6(*names):
@@ -62,7 +63,7 @@ def _(spark, folder):
 
     cells = profile_cells(spark, folder).withColumn("count", F.col("count") * 4)
     marked = complementary_suppression(cells, ["outcome_id", "age_group", "sex"])
-    return marked.select(CITY, "outcome_id", "age_group", "sex", "count", F.col("suppression_status").alias("status"))
+    return marked.select(area_code(), "outcome_id", "age_group", "sex", "count", F.col("suppression_status").alias("status"))
 
 
 @query("w04_latest_period_per_key", """
@@ -72,27 +73,27 @@ def _(spark, folder):
     metric = F.when((F.col("year") == 1999) & (F.col("count") % 2 == 0), F.lit("standardized")).otherwise(F.lit("crude"))
     rows = map_rates(spark, folder).withColumn("metricKind", metric)
     latest = series.latest_period(rows, ["municipality_code_ibge", "outcome_id"], "standardized")
-    return latest.select(CITY, "outcome_id", "year", F.col("metricKind").alias("metric"), "count")
+    return latest.select(area_code(), "outcome_id", "year", F.col("metricKind").alias("metric"), "count")
 
 
 @query("w04_latest_names", "SELECT code7, arg_max(municipality_name, year) AS name FROM munipop GROUP BY 1")
 def _(spark, folder):
 
-    return latest_names(municipal_population(spark, folder)).select(CITY, F.col("municipality_name").alias("name"))
+    return latest_names(municipal_population(spark, folder)).select(area_code(), F.col("municipality_name").alias("name"))
 
 
 @query("w05_competition_rank", """
     SELECT year, outcome_id, code7, rank() OVER (PARTITION BY year, outcome_id ORDER BY n DESC) AS rank FROM munimap WHERE n >= 5""")
 def _(spark, folder):
     ranked = series.competition_rank(city_series(spark, folder), ["year", "outcome_id"], "shown_count")
-    return ranked.select("year", "outcome_id", CITY, F.col("rank").cast("long"))
+    return ranked.select("year", "outcome_id", area_code(), F.col("rank").cast("long"))
 
 
 @query("w06_leave_one_out_rate", """
     SELECT year, outcome_id, code7, rest_count, rest_population, round(rest, 6) AS rest_rate FROM cityseries""")
 def _(spark, folder):
     return city_series(spark, folder).select(
-        "year", "outcome_id", CITY, "rest_count", "rest_population", F.round("rest_rate_per_100k", 6).alias("rest_rate")
+        "year", "outcome_id", area_code(), "rest_count", "rest_population", F.round("rest_rate_per_100k", 6).alias("rest_rate")
     )
 
 
@@ -104,7 +105,7 @@ def _(spark, folder):
 def _(spark, folder):
     rows = series.comparison_rows(city_series(spark, folder))
     return rows.select(
-        CITY, "outcome_id", "year", F.col("comparisonId").alias("place"), F.round("value", 6).alias("value"), "count",
+        area_code(), "outcome_id", "year", F.col("comparisonId").alias("place"), F.round("value", 6).alias("value"), "count",
         "denominator", "suppressed",
     )
 
@@ -160,7 +161,7 @@ def _(spark, folder):
       (SELECT *, CASE WHEN year - lag(year) OVER (PARTITION BY code7, outcome_id ORDER BY year) > 1 THEN 1 ELSE 0 END AS gap FROM munimap WHERE n >= 5)""")
 def _(spark, folder):
     shown = city_series(spark, folder).where("NOT suppressed")
-    return series.contiguous_segments(shown, ["municipality_code_ibge", "outcome_id"]).select(CITY, "outcome_id", "year", "segment")
+    return series.contiguous_segments(shown, ["municipality_code_ibge", "outcome_id"]).select(area_code(), "outcome_id", "year", "segment")
 
 
 @query("w11_missing_periods", """
@@ -169,7 +170,7 @@ def _(spark, folder):
 def _(spark, folder):
     shown = city_series(spark, folder).where("NOT suppressed")
     missing = series.missing_years(shown, ["municipality_code_ibge", "outcome_id"])
-    return missing.select(CITY, "outcome_id", "missing_year")
+    return missing.select(area_code(), "outcome_id", "missing_year")
 
 
 @query("w11_missing_months", """

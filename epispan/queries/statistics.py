@@ -30,7 +30,8 @@ from .standins import (
     state_age_sex, state_municipal_population,
 )
 
-CITY = F.col("municipality_code_ibge").alias("code7")
+def area_code():
+    return F.col("municipality_code_ibge").alias("code7")
 _INTERVAL = """
     ks AS (SELECT DISTINCT n AS k FROM {source}),
     bis AS (
@@ -75,7 +76,7 @@ def _(spark, folder):
 @query("st01_crude_rate", "SELECT code7, year, outcome_id, n AS count, round(rate, 6) AS rate FROM munimap")
 def _(spark, folder):
     rated = map_rates(spark, folder).withColumn("rate", F.round(crude_rate("count", "population"), 6))
-    return rated.select(CITY, "year", "outcome_id", "count", "rate")
+    return rated.select(area_code(), "year", "outcome_id", "count", "rate")
 
 
 @query("st02_poisson_exact_ci", f"""
@@ -177,7 +178,7 @@ def _(spark, folder):
         deaths(spark, folder), state_age_sex(spark, folder), TERRITORY, PROFILE, STANDARD_YEAR
     )
     return cells.select(
-        CITY, "outcome_id", "age_group", "sex", "count", "population", F.round("rate_per_100k", 6).alias("rate"),
+        area_code(), "outcome_id", "age_group", "sex", "count", "population", F.round("rate_per_100k", 6).alias("rate"),
         F.round("rate_ci_lower_per_100k", 3).alias("ci_lower"), F.round("rate_ci_upper_per_100k", 3).alias("ci_upper"),
         F.col("suppression_status").alias("status"),
     )
@@ -190,7 +191,7 @@ def _(spark, folder):
 def _(spark, folder):
     rates = products.municipal_map_rates(deaths(spark, folder), state_municipal_population(spark, folder), TERRITORY, SIM)
     return rates.select(
-        "year", CITY, "outcome_id", "count", "population", F.round("rate_per_100k", 6).alias("rate"),
+        "year", area_code(), "outcome_id", "count", "population", F.round("rate_per_100k", 6).alias("rate"),
         F.round("rate_ci_lower_per_100k", 4).alias("ci_lower"), F.round("rate_ci_upper_per_100k", 4).alias("ci_upper"), "period_status",
     )
 
@@ -210,7 +211,7 @@ def _(spark, folder):
     ).agg(F.count(F.lit(1)).alias("count"))
     rates = products.municipal_admission_rates(counts, state_municipal_population(spark, folder))
     return rates.select(
-        "year", CITY, "outcome_id", "count", "population", F.round("rate_per_100k", 6).alias("rate"),
+        "year", area_code(), "outcome_id", "count", "population", F.round("rate_per_100k", 6).alias("rate"),
         F.round("rate_ci_lower_per_100k", 4).alias("ci_lower"), F.round("rate_ci_upper_per_100k", 4).alias("ci_upper"), "period_status",
     )
 
@@ -218,8 +219,8 @@ def _(spark, folder):
 @query("st10_neurological_rates", f"""
     WITH {NEUROLOGICAL_SQL},
       ap AS (SELECT year, code7 AS geography, population FROM statepop UNION ALL SELECT year, geography, population FROM pop),
-      g AS (SELECT ap.*, o.outcome_id, coalesce(CASE o.outcome_id WHEN 'alzheimer' THEN nu.alzheimer ELSE nu.dementias_all END, 0) AS n FROM ap
-        CROSS JOIN (VALUES ('alzheimer'), ('dementias_all')) o(outcome_id) LEFT JOIN nu ON nu.year = ap.year AND nu.geography = ap.geography)
+      g AS (SELECT ap.*, 'alzheimer' AS outcome_id, coalesce(nu.alzheimer, 0) AS n FROM ap LEFT JOIN nu ON nu.year = ap.year AND nu.geography = ap.geography
+        UNION ALL SELECT ap.*, 'dementias_all', coalesce(nu.dementias_all, 0) FROM ap LEFT JOIN nu ON nu.year = ap.year AND nu.geography = ap.geography)
     SELECT year, geography, outcome_id, n AS count, population, round(n / population * 100000.0, 6) AS rate, 'source_year_observed' AS period_status FROM g""")
 def _(spark, folder):
     rates = products.neurological_rates(
@@ -256,7 +257,7 @@ def _(spark, folder):
     cells = profile_cells(spark, folder).select("municipality_code_ibge", "outcome_id", "age_group", "sex", "count", "population")
     rates = direct_standardized_rate(cells, population_age_sex(spark, folder), ["municipality_code_ibge", "outcome_id"])
     return rates.select(
-        CITY, "outcome_id", F.round("standardized_rate_per_100k", 5).alias("rate"),
+        area_code(), "outcome_id", F.round("standardized_rate_per_100k", 5).alias("rate"),
         F.round("standardized_ci_low_per_100k", 5).alias("ci_low"), F.round("standardized_ci_high_per_100k", 5).alias("ci_high"),
         "count", "denominator",
     )
@@ -270,7 +271,7 @@ def _(spark, folder):
     rates = standardized_rest_of_state(
         profile_cells(spark, folder), population_age_sex(spark, folder), "municipality_code_ibge", ["outcome_id"]
     )
-    return rates.select(CITY, "outcome_id", F.round("standardized_rate_per_100k", 5).alias("rate"), "count", "denominator")
+    return rates.select(area_code(), "outcome_id", F.round("standardized_rate_per_100k", 5).alias("rate"), "count", "denominator")
 
 
 @query("st13_notification_rates", """
@@ -369,13 +370,13 @@ def _(spark, folder):
 def _(spark, folder):
     window = Window.partitionBy("municipality_code_ibge", "outcome_id").orderBy("year")
     change = percent_change(F.col("rate_per_100k"), F.lag("rate_per_100k").over(window))
-    return map_rates(spark, folder).select(CITY, "outcome_id", "year", F.round(change, 6).alias("change"))
+    return map_rates(spark, folder).select(area_code(), "outcome_id", "year", F.round(change, 6).alias("change"))
 
 
 @query("st19_ratio_guarded", "SELECT code7, outcome_id, year, CASE WHEN rest > 0 THEN round(value / rest, 6) END AS ratio FROM cityseries")
 def _(spark, folder):
     ratio = ratio_guarded("value", "rest_rate_per_100k")
-    return city_series(spark, folder).select(CITY, "outcome_id", "year", F.round(ratio, 6).alias("ratio"))
+    return city_series(spark, folder).select(area_code(), "outcome_id", "year", F.round(ratio, 6).alias("ratio"))
 
 
 @query("pv01_primary_suppression", """
@@ -395,7 +396,7 @@ def _(spark, folder):
       CASE WHEN status = 'suppressed_complementary' THEN 'suppressed' ELSE status END AS status FROM profile_status""")
 def _(spark, folder):
     public = protect_profile(profile_cells(spark, folder), ["count", "rate_per_100k"])
-    return public.select(CITY, "outcome_id", "age_group", "sex", "count", "population", F.col("suppression_status").alias("status"))
+    return public.select(area_code(), "outcome_id", "age_group", "sex", "count", "population", F.col("suppression_status").alias("status"))
 
 
 @query("pv03_applicability", """

@@ -1,3 +1,7 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -131,3 +135,10 @@ def test_new_files_add_to_the_monthly_totals_once(spark, tmp_path):
         count_new_files(spark, source, events.schema, count, output, marks).awaitTermination()
     got = {r["period"]: r["count"] for r in merged_counts(spark, output, ["period"], ["count"]).collect()}
     assert got == {"2020-01": 4, "2020-02": 2}
+
+
+def test_contract_loads_before_any_session_exists():
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    root = str(Path(contract.__file__).parent)
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert [int(n) for n in done.stdout.split()] == [len(contract.queries()), len(contract.oracle_sql())]
