@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from epispan.session import table
 
-from . import decontaminate
+from . import decontaminate, id_coder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,7 +21,12 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.with_digest(found)
 
 
+def op10_token_id_output(spark: SparkSession, folder: str) -> DataFrame:
+    return id_coder.store_and_digest(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op10_token_id_output": op10_token_id_output,
 }
 LLM_SQL: dict[str, str] = {}
