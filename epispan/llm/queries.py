@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from epispan.session import table
 
-from . import decontaminate, id_coder
+from . import decontaminate, id_coder, lexicon_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    return lexicon_bpe.encode_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find_benchmark_passages(
         table(spark, folder, "documents"), table(spark, folder, "benchmark"), spans=False,
@@ -26,6 +30,7 @@ def op10_token_id_output(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Query] = {
+    "op4_bpe_encoding": op4_bpe_encoding,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_token_id_output": op10_token_id_output,
 }
