@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from epispan.session import table
 
-from . import decontaminate, id_coder, lexicon_bpe
+from . import decontaminate, id_coder, lexicon_bpe, simhash_links
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,10 @@ def op4_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return lexicon_bpe.encode_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
+def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_links.near_duplicates(table(spark, folder, "documents"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find_benchmark_passages(
         table(spark, folder, "documents"), table(spark, folder, "benchmark"), spans=False,
@@ -31,6 +35,7 @@ def op10_token_id_output(spark: SparkSession, folder: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op4_bpe_encoding": op4_bpe_encoding,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_token_id_output": op10_token_id_output,
 }
