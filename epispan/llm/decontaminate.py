@@ -137,7 +137,21 @@ def with_digest(found: DataFrame) -> DataFrame:
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
+    """Documents without any benchmark window, untouched and with all their columns."""
+    items, run = docs.sparkSession.sparkContext.broadcast(benchmark_items(benchmark)), uuid.uuid4().hex
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = _automaton(run, items.value, window)
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text"))
+            clean = [not automaton.matches(WORD.findall(ascii_lower_bytes(t.as_py()))) for t in texts]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(scan, docs.schema)
+
+
+def cut_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     """Documents with every passage of the benchmark cut out of their texts.
 
     Only the hit characters go, the rest of the text stays as it was; a document nothing was

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from epispan.session import table
 
-from . import decontaminate, id_coder, lexicon_bpe, simhash_links
+from . import decontaminate, id_coder, langid, lexicon_bpe, pu_quality, simhash_links
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +23,10 @@ def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_links.near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return pu_quality.score_held_out(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find_benchmark_passages(
         table(spark, folder, "documents"), table(spark, folder, "benchmark"), spans=False,
@@ -29,6 +34,10 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.with_digest(found)
 
 
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.predict_held_out(table(spark, folder, "documents"))
+
+
 def op10_token_id_output(spark: SparkSession, folder: str) -> DataFrame:
     return id_coder.store_and_digest(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -36,7 +45,10 @@ def op10_token_id_output(spark: SparkSession, folder: str) -> DataFrame:
 LLM_QUERIES: dict[str, Query] = {
     "op4_bpe_encoding": op4_bpe_encoding,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_language_id": op9_language_id,
     "op10_token_id_output": op10_token_id_output,
+    "pipeline": corpus_pipeline.run,
 }
 LLM_SQL: dict[str, str] = {}
