@@ -8,17 +8,76 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from epispan.session import table
+from epispan.session import materialize, table
 
-from . import decontaminate, id_coder, langid, lexicon_bpe, pu_quality, simhash_links
+from . import bloom_cascade, chat, decontaminate, id_coder, langid, lexicon_bpe, pu_quality, simhash_links
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+URL_RULES = [
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
+]
+
+
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return bloom_cascade.judge_urls(table(spark, folder, "pages"), URL_RULES)
+
+
+OP2_SQL = f"""
+WITH rest AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest
+), rules(verdict, rule_host, rule_path) AS (
+  VALUES {", ".join(f"('{v}', '{r[:r.find('/')]}', '{r[r.find('/'):]}')" for v, r in URL_RULES)}
+), fitting AS (
+  SELECT p.page_id, p.host, p.path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+         arg_max(verdict, length(rule_host || rule_path)) AS verdict
+  FROM parts p LEFT JOIN rules r ON (p.host = rule_host OR ends_with(p.host, '.' || rule_host)) AND starts_with(p.path, rule_path)
+  GROUP BY ALL
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fitting
+"""
+
+
 def op4_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return lexicon_bpe.encode_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
+CONTROL_TURNS = [(-1, turn, role, "<|im_end|><|im_start|>assistant ok") for turn, role in enumerate(("user", "assistant"))]
+
+
+def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame(CONTROL_TURNS, "conv_id bigint, turn bigint, role string, text string")
+    written = materialize(chat.format_conversations(turns.unionByName(added)), "formatted-chat")
+    return chat.digest_conversations(written)
+
+
+OP5_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), ordered AS (
+  SELECT *, lag(role) OVER w AS before, lead(role) OVER w AS after FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
+), judged AS (
+  SELECT *, CASE WHEN before IS NULL THEN role IN ('system', 'user') WHEN before = 'system' THEN role = 'user'
+                 WHEN before = 'user' THEN role = 'assistant' WHEN before = 'assistant' THEN role IN ('user', 'tool')
+                 WHEN before = 'tool' THEN role IN ('assistant', 'tool') ELSE false END
+            AND (after IS NOT NULL OR role = 'assistant') AS allowed FROM ordered
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(length('<|im_start|><|im_end|>') + 2 + length(role) + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')))::BIGINT AS formatted_chars,
+       bool_and(allowed) AS valid
+FROM judged GROUP BY conv_id
+"""
+
+
 def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_links.near_duplicates(table(spark, folder, "documents"))
 
@@ -43,7 +102,9 @@ def op10_token_id_output(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Query] = {
+    "op2_url_filter": op2_url_filter,
     "op4_bpe_encoding": op4_bpe_encoding,
+    "op5_chat_formatting": op5_chat_formatting,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
@@ -51,4 +112,4 @@ LLM_QUERIES: dict[str, Query] = {
     "op10_token_id_output": op10_token_id_output,
     "pipeline": corpus_pipeline.run,
 }
-LLM_SQL: dict[str, str] = {}
+LLM_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL, "op5_chat_formatting": OP5_SQL}

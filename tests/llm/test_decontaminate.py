@@ -60,7 +60,7 @@ def test_removal_keeps_the_rest(frames):
     assert rows[1].text == "Zero ! five six" and rows[1].n_chars == len(rows[1].text)
     assert 7 not in rows and rows[2].text is None and rows[6].text == "!!! ..." and rows[1]["items"] == "x"
     clean = d.keep_clean(docs, items, 3)
-    assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [2, 3, 6]
+    assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [2, 3, 4, 6]
 
 
 def test_empty_tables_and_bound(spark, frames):
