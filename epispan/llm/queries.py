@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from epispan.session import materialize, table
 
-from . import bloom_cascade, chat, decontaminate, id_coder, langid, lexicon_bpe, pu_quality, simhash_links
+from . import bloom_cascade, chat, decontaminate, hnsw, id_coder, langid, lexicon_bpe, pu_quality, simhash_links
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,10 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 """
 
 
+def op3_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return hnsw.nearest(table(spark, folder, "embeddings"))
+
+
 def op4_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return lexicon_bpe.encode_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
@@ -103,6 +107,7 @@ def op10_token_id_output(spark: SparkSession, folder: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op2_url_filter": op2_url_filter,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_bpe_encoding": op4_bpe_encoding,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
