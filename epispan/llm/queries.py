@@ -10,11 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from epispan.session import materialize, table
 
-from . import bloom_cascade, chat, decontaminate, hnsw, id_coder, langid, lexicon_bpe, pu_quality, simhash_links
+from . import bloom_cascade, chat, decontaminate, hnsw, id_coder, katz, langid, lexicon_bpe, pu_quality, simhash_links
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return katz.score_held_out(table(spark, folder, "documents"))
+
+
 URL_RULES = [
     ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
 ]
@@ -106,6 +110,7 @@ def op10_token_id_output(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Query] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_url_filter": op2_url_filter,
     "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_bpe_encoding": op4_bpe_encoding,
