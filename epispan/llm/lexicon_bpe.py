@@ -40,10 +40,16 @@ from .public_bpe import WHITE, chunks_of
 LEXICON_WORDS = 65_536
 #: Longer words are left to merging.
 LEXICON_WORD_BYTES = 48
-#: A word is counted for the lexicon where a slice of text holds it so often.
+#: A word is counted for the lexicon where a slice of text holds it so often, in chunks that it holds twice.
 COUNTED_FROM = 4
+#: Chunks whose forms a worker keeps from one slice to the next.
+MEMO_CHUNKS = 250_000
 #: Longer words are merged with a heap, shorter ones many at a time.
 TOGETHER_BYTES = 64
+#: Marks that end a chunk of letters as a word of their own (an apostrophe could begin a contraction).
+POINTS = frozenset(".,;:?!()\"-#$%&*")
+#: Texts whose distinct words are encoded together.
+TOGETHER_CHARS = 16_000_000
 #: Up to here Unicode has long been settled; beyond, a character may be newer than Python's tables.
 STABLE_TO = "\u052f"
 _NONE = np.int64(1) << 40
@@ -118,7 +124,7 @@ class TokenizerFile:
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         # White space is spelt out: the libraries disagree on the four separator controls.
         self.words = regex.compile(pattern.replace(r"\s", WHITE)).findall
-        self.path, self.library = path, None
+        self.path, self.library, self.shown_parts = path, None, None
         self.byte_of = {c: b for b, c in enumerate(letters)}
 
     def cut_by_library(self, part: str) -> list[str]:
@@ -130,8 +136,15 @@ class TokenizerFile:
 
     def cut(self, chunk: str) -> list[str | int]:
         """A white-space-free chunk as words and, for special tokens, their ids."""
-        if chunk.isascii() and chunk.isalpha():
-            return [chunk.lower()]
+        if chunk.isascii():
+            if chunk.isalpha():
+                return [chunk.lower()]
+            if chunk[:-1].isalpha() and chunk[-1] in POINTS:
+                return [chunk[:-1].lower(), chunk[-1]]
+        elif chunk.isalpha() and unicodedata.is_normalized("NFC", chunk):
+            folded = chunk.replace("Σ", "σ").lower()
+            if folded.isalpha():
+                return [folded]
         out: list[str | int] = []
         for part in self.special_pattern.split(chunk):
             if part in self.special:
@@ -148,6 +161,17 @@ class TokenizerFile:
         """The text of ids: their token strings with one blank between; unknown ids give nothing."""
         return b" ".join([self.token[i] for i in ids if i in self.token])
 
+    def shown(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """Token strings of known ids, each with a blank behind it, and where each begins (one more entry than ids)."""
+        if self.shown_parts is None:
+            size = max(self.token) + 1
+            parts = [self.token.get(i, b"") + b" " for i in range(size)]
+            lengths = np.array([len(p) for p in parts])
+            self.shown_parts = np.frombuffer(b"".join(parts), np.uint8), np.cumsum(lengths) - lengths, lengths
+        letters, starts, lengths = self.shown_parts
+        counts = lengths[ids]
+        return letters[_runs(starts[ids], counts)].tobytes(), np.concatenate([[0], np.cumsum(counts)])
+
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         found = HashTable.find(self.slots, self.rows, np.where((left < 0) | (right < 0), 0, (left << 20) | right))
         return np.where((found < 0) | (left < 0) | (right < 0), _NONE, found)
@@ -344,45 +368,78 @@ class Lexicon:
 
 
 class LexiconEncoder:
-    def __init__(self, tokenizer: TokenizerFile, lexicon: Lexicon | None):
+    """Encodes texts with a lexicon; keeps the forms of chunks it met more than once, up to a bound."""
+
+    def __init__(self, tokenizer: TokenizerFile, lexicon: Lexicon | None, memo_chunks: int = MEMO_CHUNKS):
         self.tokenizer, self.lexicon = tokenizer, lexicon
+        self.memo: dict[str, tuple[bytes, bytes]] = {}
+        self.memo_chunks = memo_chunks
 
-    def word_ids(self, words: list[bytes]) -> list[np.ndarray]:
+    def word_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in one row, and where each word's begin (one more entry than words)."""
         places = self.lexicon.places(words) if self.lexicon else np.full(len(words), -1, np.int64)
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
-        if self.lexicon:
-            known = np.flatnonzero(places >= 0)
-            offsets, ids = self.lexicon.offsets, np.asarray(self.lexicon.ids)
-            starts, ends = offsets[places[known]].tolist(), offsets[places[known] + 1].tolist()
-            for i, a, b in zip(known.tolist(), starts, ends, strict=True):
-                out[i] = ids[a:b]
-        missing = np.flatnonzero(places < 0).tolist()
-        for i, ids in zip(missing, self.tokenizer.merge([words[i] for i in missing]), strict=True):
-            out[i] = ids
+        missing = np.flatnonzero(places < 0)
+        merged = self.tokenizer.merge([words[i] for i in missing.tolist()])
+        counts = np.zeros(len(words), np.int64)
+        counts[missing] = [len(m) for m in merged]
+        known = np.flatnonzero(places >= 0)
+        if len(known):
+            starts = self.lexicon.offsets[places[known]].astype(np.int64)
+            counts[known] = self.lexicon.offsets[places[known] + 1] - starts
+        begins = np.concatenate([[0], np.cumsum(counts)])
+        flat = np.zeros(begins[-1], np.int64)
+        if len(missing):
+            flat[_runs(begins[missing], counts[missing])] = np.concatenate(merged)
+        if len(known):
+            flat[_runs(begins[known], counts[known])] = self.lexicon.ids[_runs(starts, counts[known])]
+        return flat, begins
+
+    def _forms(self, chunks: list[str]) -> dict[str, tuple[bytes, bytes]]:
+        """Ids and decoded text of distinct chunks."""
+        plain = {c: c.lower() for c in chunks if c.isascii() and c.isalpha()}
+        cut = {c: self.tokenizer.cut(c) for c in chunks if c not in plain}
+        words = list({*plain.values(), *(w for parts in cut.values() for w in parts if isinstance(w, str))})
+        flat, begins = self.word_ids([w.encode() for w in words])
+        raw = flat.astype("<u4").tobytes()
+        shown, shown_at = self.tokenizer.shown(flat)
+        ends, shown_ends = (4 * begins).tolist(), shown_at[begins].tolist()
+        forms: dict[str | int, tuple[bytes, bytes]] = {
+            w: (raw[a:b], shown[x:y - 1]) for w, a, b, x, y in zip(words, ends, ends[1:], shown_ends, shown_ends[1:])
+        }
+        for token in self.tokenizer.special.values():
+            forms[token] = np.array([token], "<u4").tobytes(), self.tokenizer.decoded([token])
+        out = {c: forms[w] for c, w in plain.items()}
+        for chunk, parts in cut.items():
+            pairs = [forms[p] for p in parts]
+            out[chunk] = b"".join([p[0] for p in pairs]), b" ".join([p[1] for p in pairs])
         return out
 
     def encode(self, texts: list[str | None]) -> tuple[list[bytes], list[bytes]]:
         """Per text its ids as little-endian 32-bit integers and its decoded text in UTF-8."""
+        memo = self.memo
         split = [chunks_of(t) for t in texts]
-        cut = {c: self.tokenizer.cut(c) for c in {c for chunks in split for c in chunks}}
-        words = list({w for parts in cut.values() for w in parts if isinstance(w, str)})
-        ids = self.word_ids([w.encode() for w in words])
-        flat = np.concatenate([*ids, np.zeros(0, np.int64)]).astype("<u4").tobytes()
-        forms: dict[str | int, tuple[bytes, bytes]] = {}
-        start = 0
-        for word, own in zip(words, ids, strict=True):
-            end = start + 4 * len(own)
-            forms[word] = flat[start:end], self.tokenizer.decoded(own.tolist())
-            start = end
-        for token in self.tokenizer.special.values():
-            forms[token] = np.array([token], "<u4").tobytes(), self.tokenizer.decoded([token])
-        raw = {c: b"".join([forms[p][0] for p in parts]) for c, parts in cut.items()}
-        shown = {c: b" ".join([forms[p][1] for p in parts]) for c, parts in cut.items()}
-        return (
-            [b"".join([raw[c] for c in chunks]) for chunks in split],
-            # A chunk may hold no word at all only if it is white space, which chunks never are.
-            [b" ".join([shown[c] for c in chunks]) for chunks in split],
-        )
+        seen: Counter = Counter()
+        for chunks in split:
+            seen.update(chunks)
+        found = self._forms([c for c in seen if c not in memo])
+        kept = [c for c in found if seen[c] > 1][:max(0, self.memo_chunks - len(memo))]
+        passing = found.keys() - set(kept)
+        del seen
+        memo.update(found)
+        ids, shown = [], []
+        for chunks in split:
+            pairs = [memo[c] for c in chunks]
+            ids.append(b"".join([p[0] for p in pairs]))
+            shown.append(b" ".join([p[1] for p in pairs]))
+        for chunk in passing:
+            del memo[chunk]
+        return ids, shown
+
+
+def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of every run, one after the other."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)
 
 
 def frequent_words(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS) -> list[str]:
@@ -390,11 +447,15 @@ def frequent_words(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS)
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         cut = tokenizer_file(tokenizer).cut
         for _, texts in text_slices(batches):
+            chunks: Counter = Counter()
+            for text in texts:
+                chunks.update(chunks_of(text))
             counts: Counter = Counter()
-            for chunk, n in Counter(c for t in texts for c in chunks_of(t)).items():
-                for word in cut(chunk):
-                    if isinstance(word, str):
-                        counts[word] += n
+            for chunk, n in chunks.items():
+                if n > 1:
+                    for word in cut(chunk):
+                        if isinstance(word, str):
+                            counts[word] += n
             kept = {w: n for w, n in counts.items() if n >= COUNTED_FROM and len(w.encode()) <= LEXICON_WORD_BYTES}
             yield {"word": list(kept), "n": list(kept.values())}
 
@@ -414,14 +475,15 @@ def ship_lexicon(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS) ->
     return name
 
 
-_MAPPED: dict[str, Lexicon] = {}
+_ENCODERS: dict[str, LexiconEncoder] = {}
 
 
 def _encoder(tokenizer: str, lexicon: str) -> LexiconEncoder:
-    if lexicon not in _MAPPED:
-        _MAPPED.clear()
-        _MAPPED[lexicon] = Lexicon(SparkFiles.get(lexicon))
-    return LexiconEncoder(tokenizer_file(tokenizer), _MAPPED[lexicon])
+    """This worker's encoder; the lexicon file of another run is let go."""
+    if lexicon not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[lexicon] = LexiconEncoder(tokenizer_file(tokenizer), Lexicon(SparkFiles.get(lexicon)))
+    return _ENCODERS[lexicon]
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, with_ids: bool = True, words: int = LEXICON_WORDS) -> DataFrame:
@@ -435,7 +497,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, with_ids: bool = True, wor
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         worker = _encoder(tokenizer, lexicon)
-        for keys, texts in text_slices(batches):
+        for keys, texts in text_slices(batches, TOGETHER_CHARS):
             ids, shown = worker.encode(texts)
             out = {
                 "doc_id": keys, "n_tokens": [len(b) // 4 for b in ids],

@@ -70,19 +70,13 @@ class ChunkEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         memo = self.memo
         split = [chunks_of(t) for t in texts]
-        new = {c for chunks in split for c in chunks if c not in memo}
-        ids = self._encode(list(new)) if new else {}
-        if len(memo) + len(ids) <= self.memo_chunks:
-            memo.update(ids)
-            known = memo
-        elif len(memo) < self.memo_chunks:
-            memo.update(list(ids.items())[:self.memo_chunks - len(memo)])
-            known = None
-        else:
-            known = None
-        if known is not None or not ids:
-            return [b"".join([memo[c] for c in chunks]) for chunks in split]
-        return [b"".join([memo[c] if c in memo else ids[c] for c in chunks]) for chunks in split]
+        found = self._encode(list({c for chunks in split for c in chunks if c not in memo}))
+        room = max(0, self.memo_chunks - len(memo))
+        memo.update(found)
+        out = [b"".join([memo[c] for c in chunks]) for chunks in split]
+        for chunk in list(found)[room:]:
+            del memo[chunk]
+        return out
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
