@@ -120,6 +120,8 @@ NOTIFICATION_STATUS = {
     "": "sem informação",
 }
 STATUS_MISSING = "sem informação"
+DEATH_UNIT = "óbito de residente no SIM; causa básica"
+NOTIFICATION_UNIT = "notificação de SRAG de residente; vigilância, não incidência"
 STATUS_DEATH = "óbito"
 # (outcome id, label, final classification code or None for every notification)
 NOTIFICATION_OUTCOMES = [
@@ -166,6 +168,9 @@ EXTRACTION_LOG_FIELDS = [
 
 # --- Fixed values: admission table labels ---------------------------------------------
 # (accent-free lower-case label, "prefix" or "equal", component id), first match wins.
+TABLE_TOTAL = "Total"
+REGISTRY_FIELD = "Casos"
+PAGE_MARKS = ["TabNet Win32", '"Total"', "Sistema de Informações Hospitalares"]
 ADMISSION_LABEL_EXCLUDED = ["isquem transit", "sindr cor"]
 ADMISSION_LABELS = [
     ("10 doencas do aparelho respiratorio", "prefix", "resp_all"),

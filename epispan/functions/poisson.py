@@ -43,6 +43,8 @@ def _cdf_small(shape: np.ndarray, x: np.ndarray) -> np.ndarray:
         total = total + term
         if np.all(term <= 1e-17 * total):
             break
+    else:
+        raise ArithmeticError("the gamma series did not settle in 2000 terms")
     return np.clip(np.exp(_log_density(shape, x)) * x / shape * total, 0.0, 1.0)
 
 
@@ -92,7 +94,7 @@ def poisson_limits(count: np.ndarray, alpha: float = 0.05) -> tuple[np.ndarray,
     """Exact two-sided limits of a Poisson mean for each observed count."""
     count = np.asarray(count, dtype=float)
     if (count < 0).any():
-        raise ValueError("count cannot be negative")
+        raise ValueError("Poisson limits need counts from zero up")
     distinct, back = np.unique(count, return_inverse=True)
     lower = np.zeros_like(distinct)
     if (distinct > 0).any():

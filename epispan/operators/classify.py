@@ -22,9 +22,9 @@ def cause_map(events: DataFrame, code: str, definitions: list[Outcome], strict:
     return with_outcomes(causes, "cause", definitions, strict)
 
 
-def classified_events(events: DataFrame, causes: DataFrame, code: str) -> DataFrame:
-    """Facts joined to the cause map; Spark broadcasts the map only if it measures small."""
-    return events.withColumn("cause", normalize_code(code)).join(causes, "cause", "inner")
+def classified_events(events: DataFrame, code: str, definitions: list[Outcome], strict: bool = True) -> DataFrame:
+    """One row per fact and outcome it counts in: one scan, joined to the bounded category lookup."""
+    return with_outcomes(events.withColumn("cause", normalize_code(code)), "cause", definitions, strict)
 
 
 def classified_counts(

@@ -1,7 +1,8 @@
 """Joins and grids with their key rules enforced inside the plan.
 
 No operator here starts a job of its own: a broken rule raises when the result is
-computed, so validation costs no second pass over the facts.
+computed, so validation costs no second pass over the facts. Rules are filters: selecting
+only some columns of a result does not drop them.
 """
 
 from __future__ import annotations
@@ -12,16 +13,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.territory import residence_code_valid
+from .checks import at_key, require
+
+
+def _counted_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    values = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.first(v).alias(v) for v in values])
 
 
 def unique_rows(df: DataFrame, keys: list[str], what: str) -> DataFrame:
     """``df`` with one row per key; a repeated key raises instead of multiplying matches."""
-    values = [c for c in df.columns if c not in keys]
-    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.first(v).alias(v) for v in values])
-    failure = F.raise_error(F.concat(F.lit(f"{what}: repeated key "), F.to_json(F.struct(*keys))))
-    return grouped.select(
-        *keys, *[F.when(F.col("_n") > 1, failure).otherwise(F.col(v)).alias(v) for v in values]
-    )
+    return require(_counted_keys(df, keys), F.col("_n") == 1, at_key(f"{what}: repeated key", keys)).drop("_n")
+
+
+def join_unique(left: DataFrame, right: DataFrame, keys: list[str], what: str) -> DataFrame:
+    """Left many-to-one join. The check reads the joined rows, so the join stays whatever is selected."""
+    joined = left.join(_counted_keys(right, keys), keys, "left")
+    return require(joined, F.coalesce("_n", F.lit(1)) == 1, at_key(f"{what}: repeated key", keys)).drop("_n")
 
 
 def join_denominator(
@@ -31,15 +39,12 @@ def join_denominator(
 
     Keys without population stay null, as gaps, unless ``strict`` asks to raise.
     """
-    joined = counts.join(unique_rows(population, keys, "population"), keys, "left")
-    if strict:
-        failure = F.raise_error(F.concat(F.lit("no population for "), F.to_json(F.struct(*keys))))
-        joined = joined.withColumn(value, F.coalesce(F.col(value), failure))
-    return joined
+    joined = join_unique(counts, population, keys, "population")
+    return require(joined, F.col(value).isNotNull(), at_key("no population for", keys)) if strict else joined
 
 
 def join_one_to_one(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    return unique_rows(left, keys, "left side").join(unique_rows(right, keys, "right side"), keys, "left")
+    return join_unique(unique_rows(left, keys, "left side"), right, keys, "right side")
 
 
 def dense_grid(base: DataFrame, **dimensions: list) -> DataFrame:
@@ -81,11 +86,11 @@ def municipality_with_fallback(
 
     Codes that are neither are dropped.
     """
-    areas = unique_rows(municipalities.select(year, code, "municipality_code_ibge"), [year, code], "municipality")
+    areas = municipalities.select(year, code, "municipality_code_ibge")
     area = F.coalesce(
         F.col("municipality_code_ibge"), F.when(residence_code_valid(F.trim(F.col(code))), F.lit(fallback))
     )
-    joined = events.join(areas, [year, code], "left").withColumn("geography", area)
+    joined = join_unique(events, areas, [year, code], "municipality").withColumn("geography", area)
     return joined.where(F.col("geography").isNotNull()).drop("municipality_code_ibge")
 
 
@@ -125,12 +130,8 @@ def unknown_member_tally(df: DataFrame, valid: DataFrame, key: str, by: list[str
 
 def manifest_lookup(files: DataFrame, manifest: DataFrame, key: str) -> DataFrame:
     """Attach the manifest entry of every file; a file without one raises."""
-    entries = unique_rows(manifest, [key], "manifest")
-    values = [c for c in manifest.columns if c != key]
-    joined = files.join(entries.withColumn("_found", F.lit(True)), key, "left")
-    failure = F.raise_error(F.concat(F.lit("no manifest entry for "), F.col(key)))
-    checked = [F.when(F.col("_found"), F.col(v)).otherwise(failure).alias(v) for v in values]
-    return joined.select(*files.columns, *checked)
+    joined = join_unique(files, manifest.withColumn("_found", F.lit(True)), [key], "manifest")
+    return require(joined, F.col("_found"), at_key("no manifest entry for", [key])).drop("_found")
 
 
 def reference_values(

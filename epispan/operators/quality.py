@@ -39,12 +39,22 @@ def column_profile(df: DataFrame, by: list[str], parsed: dict[str, str] | None =
 
 
 def row_sequence_ok(df: DataFrame, by: list[str], number: str = "source_row_number") -> DataFrame:
-    """Whether row numbers run 1..n without a gap or a repeat."""
-    n = F.col(number)
-    distinct = df.groupBy(*by, number).agg(F.count(F.lit(1)).alias("_n"))
-    return distinct.groupBy(*by).agg(
-        ((F.min(n) == 1) & (F.max(n) == F.count(n)) & (F.max("_n") == 1)).alias("source_row_sequence_ok")
+    """Whether row numbers run 1..n without a gap or a repeat.
+
+    Numbers between 1 and their count that are all different sum to n(n+1)/2, and so do their
+    squares to theirs. One aggregate tests both; it needs no shuffle by row number.
+    """
+    wide = F.col(number).cast("decimal(38,0)")
+    sums = df.groupBy(*by).agg(
+        F.count(number).alias("_n"), F.count(F.lit(1)).alias("_rows"), F.min(number).alias("_low"), F.max(number).alias("_high"),
+        F.sum(wide).alias("_sum"), F.sum((wide * wide).cast("decimal(38,0)")).alias("_squares"),
     )
+    n = F.col("_n").cast("decimal(18,0)")
+    triangle = (n * (n + 1)).cast("decimal(38,0)")
+    return sums.select(*by, (
+        (F.col("_n") == F.col("_rows")) & (F.col("_low") == 1) & (F.col("_high") == F.col("_n"))
+        & (F.col("_sum") * 2 == triangle) & (F.col("_squares") * 6 == (triangle * (n * 2 + 1)).cast("decimal(38,0)"))
+    ).alias("source_row_sequence_ok"))
 
 
 def code_length_profile(df: DataFrame, by: list[str], code: str, target: str) -> DataFrame:
@@ -97,19 +107,34 @@ def set_mismatch(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return only_left.unionByName(only_right)
 
 
-def reconcile(detail: DataFrame, totals: DataFrame, keys: list[str], value: str = "count") -> DataFrame:
-    """Keys whose detail sum differs from an independently built total."""
+def reconcile(
+    detail: DataFrame, totals: DataFrame, keys: list[str], value: str = "count", absent_totals_pass: bool = False
+) -> DataFrame:
+    """Keys whose detail sum differs from an independently built total, either side absent counting as zero.
+
+    ``absent_totals_pass`` lets detail without any total go.
+    """
     observed = detail.groupBy(*keys).agg(F.sum(value).alias("observed"))
     expected = totals.groupBy(*keys).agg(F.sum(value).alias("expected"))
-    joined = observed.join(expected, keys, "left").withColumn("expected", F.coalesce("expected", "observed"))
-    return joined.where(F.col("observed") != F.col("expected"))
-
-
-def contract_violations(df: DataFrame, required: list[str], identity: list[str]) -> DataFrame:
-    """Records without a required field: the column is absent, or null where null is not allowed."""
-    absent = [F.lit(f) for f in required if f not in df.columns]
-    empty = [F.when(F.col(f).isNull(), F.lit(f)) for f in required if f in df.columns]
-    return df.select(*identity, F.explode(F.array_compact(F.array(*absent, *empty))).alias("missing_field"))
+    joined = observed.join(expected, keys, "full")
+    lenient = F.col("expected").isNull() & F.lit(absent_totals_pass)
+    filled = joined.select(*keys, F.coalesce("observed", F.lit(0)).alias("observed"), F.coalesce("expected", F.lit(0)).alias("expected"), lenient.alias("_pass"))
+    return filled.where(~F.col("_pass") & (F.col("observed") != F.col("expected"))).drop("_pass")
+
+
+def contract_violations(df: DataFrame, required: list[str], identity: list[str], nullable: list[str] | None = None) -> DataFrame:
+    """Breaches of a record contract: a required field that is absent, or null where null is not allowed.
+
+    ``nullable`` fields may be null, as protected figures are, but must be there.
+    """
+    allowed = set(nullable or ())
+    absent = [F.struct(F.lit(f).alias("field"), F.lit("absent").alias("breach")) for f in required if f not in df.columns]
+    empty = [
+        F.when(F.col(f).isNull(), F.struct(F.lit(f).alias("field"), F.lit("null").alias("breach")))
+        for f in required if f in df.columns and f not in allowed
+    ]
+    found = F.explode(F.array_compact(F.array(*absent, *empty))).alias("_b")
+    return df.select(*identity, found).select(*identity, F.col("_b.field").alias("missing_field"), F.col("_b.breach").alias("breach"))
 
 
 def unverified_sources(catalog: DataFrame) -> DataFrame:

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import (
     ADMISSION_COMPONENTS, ADMISSION_OUTCOME_LABELS, COUNTRY_TOTAL, INTEGRATED_OUTCOME, INTEGRATED_PARTS,
-    REST_OF_STATE, SELECTED, SITE_GROUPS, STATE_TOTAL, Territory,
+    REST_OF_STATE, SELECTED, SITE_GROUPS, STATE_TOTAL, TABLE_TOTAL, Territory,
 )
 from ..functions.labels import outcome_label
 from ..functions.rates import share_pct
 from ..functions.territory import in_state, territory_membership
 from ..functions.text import site_code
+from .checks import require
 from ..session import dimension
 
 
@@ -157,11 +158,15 @@ def mean_annual_rate(rates: DataFrame, keys: list[str], rate: str) -> DataFrame:
 
 
 def site_group_summary(detail: DataFrame, label: str = "diagnosis_label", cases: str = "cases") -> DataFrame:
-    """Cases and shares of the configured site groups; groups do not cover every site."""
+    """Cases and shares of the configured site groups; groups do not cover every site.
+
+    The table's own total row is no site: it counts neither as cases nor in the whole.
+    """
     groups = dimension(
         detail.sparkSession, [(g, c) for g, codes in SITE_GROUPS for c in codes], "site_group string, code string"
     )
-    per_code = detail.groupBy(site_code(label).alias("code")).agg(F.sum(cases).alias("cases"))
+    sites = detail.where(F.coalesce(F.trim(label), F.lit("")) != TABLE_TOTAL)
+    per_code = sites.groupBy(site_code(label).alias("code")).agg(F.sum(cases).alias("cases"))
     whole = per_code.agg(F.sum("cases").alias("total"))
     names = dimension(detail.sparkSession, [(g,) for g, _ in SITE_GROUPS], "site_group string")
     grouped = per_code.join(groups, "code").groupBy("site_group").agg(F.sum("cases").alias("cases"))
@@ -205,17 +210,13 @@ def premature_share(counts: DataFrame, keys: list[str], young: list[str]) -> Dat
 
 def establishment_production(rows: DataFrame, outcomes: list[str]) -> DataFrame:
     """Production per establishment municipality; any other basis raises."""
-    basis = F.col("geography_basis")
-    checked = F.when(basis == "establishment", basis).otherwise(
-        F.raise_error(F.lit("production must declare geography_basis=establishment"))
-    )
-    volume = F.when(F.col("count") >= 0, F.col("count")).otherwise(F.raise_error(F.lit("negative production count")))
+    chosen = rows.where(F.col("outcome_id").isin(outcomes))
+    chosen = require(chosen, F.col("geography_basis") == "establishment", "production rows must count by establishment")
     return (
-        rows.where(F.col("outcome_id").isin(outcomes))
-        .withColumn("geography_basis", checked)
+        require(chosen, F.col("count") >= 0, "production counts below zero")
         .groupBy("year", F.lpad(F.col("municipality_code_ibge").cast("string"), 7, "0").alias("geography"),
                  "outcome_id", "geography_basis")
-        .agg(F.sum(volume).alias("count"))
+        .agg(F.sum("count").alias("count"))
     )
 
 

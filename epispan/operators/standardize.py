@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed_values import AGE_GROUPS, RATE_MULTIPLIER, SEXES, Z_975
+from .checks import at_key, require
 from .joins import rest_of_state_cells, unique_rows
 
 CELL = ["age_group", "sex"]
@@ -19,12 +20,10 @@ def standard_weights(standard: DataFrame) -> DataFrame:
     """Share of each age-sex cell in the standard population, at most sixteen rows."""
     cells = known_cells(standard).groupBy(*CELL).agg(F.sum("population").alias("standard_cell"))
     whole = Window.partitionBy(F.lit(1))
-    positive = F.when(F.col("standard_cell") > 0, F.col("standard_cell")).otherwise(
-        F.raise_error(F.lit("standard population must contain positive age-sex cells"))
-    )
-    return cells.select(
+    filled = require(cells, F.col("standard_cell") > 0, at_key("standard population has no people in cell", CELL))
+    return filled.select(
         *CELL,
-        (positive / F.sum("standard_cell").over(whole)).alias("weight"),
+        (F.col("standard_cell") / F.sum("standard_cell").over(whole)).alias("weight"),
         F.sum("standard_cell").over(whole).alias("standard_population_total"),
         F.count(F.lit(1)).over(whole).alias("standard_cells"),
     )
@@ -55,9 +54,8 @@ def direct_standardized_rate(rates: DataFrame, standard: DataFrame, area: list[s
     cells = unique_rows(known_cells(rates).select(*area, *CELL, "count", "population"), [*area, *CELL], "age-sex cell")
     joined = cells.join(standard_weights(standard), CELL, "left")
     n = F.col("count").cast("double")
-    people = F.when(F.col("population") > 0, F.col("population").cast("double")).otherwise(
-        F.raise_error(F.lit("age-specific population must be positive"))
-    )
+    joined = require(joined, F.col("population") > 0, at_key("no people in age-sex cell of", area))
+    people = F.col("population").cast("double")
     grouped = joined.groupBy(*area).agg(
         F.sum(F.col("weight") * n / people * RATE_MULTIPLIER).alias("_rate"),
         F.sum(F.col("weight") ** 2 * n / people**2 * RATE_MULTIPLIER**2).alias("_variance"),
@@ -67,10 +65,9 @@ def direct_standardized_rate(rates: DataFrame, standard: DataFrame, area: list[s
         (F.count("weight") == F.max("standard_cells")).alias("_covered"),
         (F.count("weight") == F.count(F.lit(1))).alias("_known"),
     )
-    failure = F.raise_error(F.concat(F.lit("area does not cover the standard cells: "), F.to_json(F.struct(*area))))
-    rate: Column = F.when(F.col("_covered") & F.col("_known"), F.col("_rate")).otherwise(failure)
     spread = Z_975 * F.sqrt("_variance")
-    return grouped.withColumn("standardized_rate_per_100k", rate).select(
+    covered = require(grouped, F.col("_covered") & F.col("_known"), at_key("standard cells not all covered by", area))
+    return covered.withColumnRenamed("_rate", "standardized_rate_per_100k").select(
         *area,
         "standardized_rate_per_100k",
         F.greatest(F.lit(0.0), F.col("standardized_rate_per_100k") - spread).alias("standardized_ci_low_per_100k"),

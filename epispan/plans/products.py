@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed_values import (
-    AGE_GROUPS, COUNTRY_TOTAL, NOTIFICATION_OUTCOMES, OUTSIDE_STATE, REST_OF_COUNTRY, REST_OF_STATE, SELECTED, SEXES,
+    AGE_GROUPS, COUNTRY_TOTAL, DEATH_UNIT, NOTIFICATION_OUTCOMES, NOTIFICATION_UNIT, OUTSIDE_STATE, REST_OF_COUNTRY, REST_OF_STATE, SELECTED, SEXES,
     STATE_TOTAL, Outcome, Territory, outcome_definitions,
 )
 from ..functions.dates import in_observation_window, month_start
@@ -21,9 +21,10 @@ from ..functions.territory import (
     classify_geography, classify_state_geography, eligible_code, in_state,
 )
 from ..functions.text import clean_text, code7_to_code6, normalize_code
+from ..operators.checks import at_key, require
 from ..operators.classify import classified_counts, notification_counts
 from ..operators.joins import (
-    dense_counts, dense_grid, fill_grid, full_outer_series, join_denominator, known_members, municipality_with_fallback,
+    dense_counts, dense_grid, fill_grid, full_outer_series, join_denominator, known_members, manifest_lookup, municipality_with_fallback,
     unique_rows, wide_comparators,
 )
 from ..operators.rates import add_comparison, add_rates
@@ -34,8 +35,6 @@ from ..operators.suppression import complementary_suppression, mark_not_applicab
 AREAS = [COUNTRY_TOTAL, STATE_TOTAL, SELECTED, REST_OF_STATE]
 STATE_AREAS = [STATE_TOTAL, SELECTED, REST_OF_STATE]
 ADMISSION_KEYS = ["year", "month", "geography", "outcome_id"]
-DEATH_UNIT = "óbito de residente no SIM; causa básica"
-NOTIFICATION_UNIT = "notificação de SRAG de residente; vigilância, não incidência"
 
 
 def death_dimensions(deaths: DataFrame, territory: Territory) -> DataFrame:
@@ -79,34 +78,47 @@ def notification_dimensions(events: DataFrame, territory: Territory) -> DataFram
     )
 
 
+def with_provenance(counts: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Counts with the source file and digest of their year, from (source_year, source_path, source_sha256).
+
+    A year without an entry, or with two, raises.
+    """
+    return manifest_lookup(counts, manifest.select("source_year", "source_path", "source_sha256"), "source_year")
+
+
 def death_outcome_counts(
-    deaths: DataFrame, territory: Territory, definitions: list[Outcome] | None = None, strict: bool = True
+    deaths: DataFrame, territory: Territory, definitions: list[Outcome] | None = None, strict: bool = True,
+    manifest: DataFrame | None = None,
 ) -> DataFrame:
-    """Deaths per outcome, year, age and sex for each area and the totals that contain it."""
+    """Deaths per outcome, year, age and sex for each area and the totals that contain it.
+
+    With a manifest every row also names the file its year came from and that file's digest.
+    """
     keys = ["source_year", "sex", "age_group"]
     counted = classified_counts(
         death_dimensions(deaths, territory), "cause", definitions or outcome_definitions("SIM"),
         [*keys, "geography"], strict,
     )
     rolled = with_territory_totals(counted, [*keys, "outcome_id", "outcome_label"], ["count"])
-    return rolled.withColumns({"source": F.lit("SIM"), "outcome_status": F.lit("óbito"), "unit": F.lit(DEATH_UNIT)})
+    named = rolled.withColumns({"source": F.lit("SIM"), "outcome_status": F.lit("óbito"), "unit": F.lit(DEATH_UNIT)})
+    return with_provenance(named, manifest) if manifest is not None else named
 
 
-def notification_outcome_counts(events: DataFrame, territory: Territory) -> DataFrame:
+def notification_outcome_counts(events: DataFrame, territory: Territory, manifest: DataFrame | None = None) -> DataFrame:
     """Notifications per outcome, year, age, sex and evolution. State input gives no country total."""
     keys = ["source_year", "sex", "age_group", "outcome_status"]
     counted = notification_counts(
         notification_dimensions(events, territory), "final_classification_raw", [*keys, "geography"]
     )
     rolled = with_territory_totals(counted, [*keys, "outcome_id", "outcome_label"], ["count"], national=False)
-    return rolled.withColumns({"source": F.lit("SIVEP-SRAG"), "unit": F.lit(NOTIFICATION_UNIT)})
+    named = rolled.withColumns({"source": F.lit("SIVEP-SRAG"), "unit": F.lit(NOTIFICATION_UNIT)})
+    return with_provenance(named, manifest) if manifest is not None else named
 
 
 def deduplicated_admissions(windows: DataFrame) -> DataFrame:
-    """One row per month, area and outcome: the last file, and in it the last value, wins."""
-    return keep_last(
-        windows.select(*ADMISSION_KEYS, "outcome_label", "value", "source_file"), ADMISSION_KEYS, ["source_file", "value"]
-    )
+    """One row per month, area and outcome: the last row of the last file wins."""
+    order = ["source_file", "source_row_number"]
+    return keep_last(windows.select(*ADMISSION_KEYS, "outcome_label", "value", *order), ADMISSION_KEYS, order)
 
 
 def annual_admission_rates(windows: DataFrame, population: DataFrame) -> DataFrame:
@@ -155,7 +167,33 @@ def municipal_profile_counts(
     deaths: DataFrame, population: DataFrame, territory: Territory, definitions: list[Outcome], year: int
 ) -> DataFrame:
     """Deaths of the year per known municipality, outcome, age group and sex, unknown labels included."""
-    valid = population.select(code7_to_code6("municipality_code_ibge").alias("municipality_code_datasus")).distinct()
+    counted = _profile_counts(deaths, territory, definitions, year)
+    return known_members(counted, _known_municipalities(population), "municipality_code_datasus")
+
+
+def municipal_profile_exclusions(
+    deaths: DataFrame, population: DataFrame, territory: Territory, definitions: list[Outcome], year: int
+) -> DataFrame:
+    """Per outcome: deaths classified, and those left out for a code no municipality has or an unknown age or sex."""
+    counted = _profile_counts(deaths, territory, definitions, year)
+    known = _known_municipalities(population).withColumn("_known", F.lit(True))
+    joined = counted.join(known, "municipality_code_datasus", "left")
+    historical = F.col("_known").isNull()
+    unlabelled = ~(F.col("age_group").isin(AGE_GROUPS) & F.col("sex").isin(SEXES))
+    def total(test: Column) -> Column:
+        return F.coalesce(F.sum(F.when(test, F.col("count"))), F.lit(0))
+
+    return joined.groupBy("outcome_id").agg(
+        F.sum("count").alias("classified"), total(historical).alias("excluded_historical_code"),
+        total(~historical & unlabelled).alias("excluded_unknown_label"), total(~historical & ~unlabelled).alias("published"),
+    )
+
+
+def _known_municipalities(population: DataFrame) -> DataFrame:
+    return population.select(code7_to_code6("municipality_code_ibge").alias("municipality_code_datasus")).distinct()
+
+
+def _profile_counts(deaths: DataFrame, territory: Territory, definitions: list[Outcome], year: int) -> DataFrame:
     code = F.trim(F.col("municipality_code_datasus"))
     state = deaths.where((F.col("source_year") == year) & F.col("residence_code_valid") & in_state(code, territory))
     cleaned = state.select(
@@ -165,15 +203,16 @@ def municipal_profile_counts(
         "underlying_cause",
     )
     dimensions = cleaned.withColumn("years", death_age_years("age_code")).withColumn("age_group", age_bucket("years"))
-    keys = ["municipality_code_datasus", "age_group", "sex"]
-    counted = classified_counts(dimensions, "underlying_cause", definitions, keys)
-    return known_members(counted, valid, "municipality_code_datasus")
+    return classified_counts(dimensions, "underlying_cause", definitions, ["municipality_code_datasus", "age_group", "sex"])
 
 
 def municipal_profiles(
     deaths: DataFrame, population: DataFrame, territory: Territory, definitions: list[Outcome], year: int
 ) -> DataFrame:
-    """Age-sex death rates of every municipality with small and complementary cells marked."""
+    """Age-sex death rates of every municipality with small and complementary cells marked.
+
+    The cells of an outcome must add up to its classified deaths of known age and sex.
+    """
     counts = municipal_profile_counts(deaths, population, territory, definitions, year)
     cell = ["municipality_code_datasus", "age_group", "sex"]
     people = population.where(F.col("age_group").isin(AGE_GROUPS) & F.col("sex").isin(SEXES)).select(
@@ -182,7 +221,13 @@ def municipal_profiles(
     )
     grid = dense_grid(people, outcome_id=[d.id for d in definitions])
     filled = fill_grid(grid, counts, [*cell, "outcome_id"], ["count"])
-    rated = add_rates(filled).withColumn("year", F.lit(year)).withColumn(
+    known = counts.where(F.col("age_group").isin(AGE_GROUPS) & F.col("sex").isin(SEXES))
+    expected = known.groupBy("outcome_id").agg(F.sum("count").alias("_expected"))
+    shown = filled.withColumn("_shown", F.sum("count").over(Window.partitionBy("outcome_id"))).join(expected, "outcome_id", "left")
+    agreed = require(
+        shown, F.col("_shown") == F.coalesce("_expected", F.lit(0)), at_key("profile cells do not add up for", ["outcome_id"])
+    ).drop("_shown", "_expected")
+    rated = add_rates(agreed).withColumn("year", F.lit(year)).withColumn(
         "period_status", death_period_status("year", "outcome_id")
     )
     return mark_not_applicable(complementary_suppression(rated, ["outcome_id", "age_group", "sex"]))
@@ -313,9 +358,8 @@ def registry_rates(series: dict[str, DataFrame], population: DataFrame) -> DataF
     """
     wide = full_outer_series(series, "year", "cases")
     city, state = F.col(f"cases_{SELECTED}"), F.col(f"cases_{STATE_TOTAL}")
-    rest = F.when(state >= city, state - city).when(
-        state < city, F.raise_error(F.lit("state total below the selected city")).cast("long")
-    )
+    wide = require(wide, F.coalesce(state >= city, F.lit(True)), at_key("state total below the selected city in", ["year"]))
+    rest = state - city
     long = wide.withColumn(f"cases_{REST_OF_STATE}", rest).select("year", F.explode(F.array(*[
         F.struct(F.lit(place).alias("geography"), F.col(f"cases_{place}").alias("cases"))
         for place in (COUNTRY_TOTAL, SELECTED, REST_OF_STATE)

@@ -13,6 +13,7 @@ from ..functions.text import clean_place_name, finite_or_null, round_coordinates
 from ..operators.joins import reference_values
 from ..operators.series import latest_period, leave_one_out
 from ..operators.suppression import protect_profile, suppress_observations
+from ..session import materialize
 
 CRUDE = "crude_rate_per_100k"
 STANDARDIZED = "age_sex_standardized_rate_per_100k"
@@ -213,20 +214,21 @@ def polygon_rings(features: DataFrame) -> DataFrame:
 def number_arcs(rings: DataFrame) -> DataFrame:
     """Running ring number over all areas in code order.
 
-    The rings before an area are those of smaller code prefixes plus those of
-    earlier areas with its prefix, so no task has to walk through every area.
+    Areas are sorted into ranges of codes. A ring's number is the rings of earlier ranges, of
+    earlier areas in its range, and of its own area before it; only one row per range is summed
+    by a single task, however the codes are spelt.
     """
-    prefix = F.substring("code", 1, 4).alias("_prefix")
-    per_area = rings.groupBy("code", prefix).agg(F.count(F.lit(1)).alias("_rings"))
-    per_prefix = per_area.groupBy("_prefix").agg(F.sum("_rings").alias("_rings"))
-
-    def before(window) -> Column:
-        return F.coalesce(F.sum("_rings").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-
-    earlier = per_prefix.select("_prefix", before(Window.orderBy("_prefix")).alias("_base"))
-    offsets = per_area.withColumn("_before", before(Window.partitionBy("_prefix").orderBy("code"))).join(earlier, "_prefix")
-    arc = F.col("_base") + F.col("_before") + F.col("arc_in_area")
-    return rings.join(offsets.drop("_rings", "_prefix"), "code").withColumn("arc", arc).drop("_base", "_before")
+    per_area = rings.groupBy("code").agg(F.count(F.lit(1)).alias("_rings"))
+    placed = materialize(
+        per_area.repartitionByRange("code").sortWithinPartitions("code").withColumn("_range", F.spark_partition_id()), "ring-ranges",
+    )
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    ranges = placed.groupBy("_range").agg(F.sum("_rings").alias("_in_range")).select(
+        "_range", F.coalesce(F.sum("_in_range").over(earlier.orderBy("_range")), F.lit(0)).alias("_base")
+    )
+    inside = F.coalesce(F.sum("_rings").over(earlier.partitionBy("_range").orderBy("code")), F.lit(0))
+    offsets = placed.withColumn("_before", inside).join(ranges, "_range").select("code", (F.col("_base") + F.col("_before")).alias("_first"))
+    return rings.join(offsets, "code").withColumn("arc", F.col("_first") + F.col("arc_in_area")).drop("_first")
 
 
 def geometry_table(rings: DataFrame, names: DataFrame, selected: str) -> DataFrame:

@@ -60,6 +60,7 @@ def release_metrics(
         F.count(F.when(F.col("has_map") == 0, F.lit(1))).alias("without_map"),
         F.count(F.when(hospital & (F.col("has_country") == 0), F.lit(1))).alias("hospital_without_country"),
         F.count(F.when(death & (F.col("has_profile") == 0), F.lit(1))).alias("death_without_profile"),
+        F.count(F.when(death, F.lit(1))).alias("claiming_profiles"),
     )
     scalars = {
         "profile_municipalities": profiles.agg(F.countDistinct("municipalityCode")),
@@ -82,7 +83,8 @@ def release_rules() -> list[Rule]:
     def positive(name: str) -> Column:
         return F.col(name) > 0
 
-    uncovered = positive("profile_municipalities") & (F.col("profile_municipalities") != F.col("expected_municipalities"))
+    # Every death indicator claims profiles, so none at all is a gap as well.
+    uncovered = positive("claiming_profiles") & (F.col("profile_municipalities") != F.col("expected_municipalities"))
     return [
         Rule("release-not-public", "blocker", F.col("release_status") != "public_release_ready"),
         Rule("review-gates-pending", "blocker", positive("pending_gates")),

@@ -192,18 +192,35 @@ _GROUPS_SQL = ", ".join(f"('{g}', '{c}')" for g, codes in SITE_GROUPS for c in c
 def _(spark, folder):
     detail = deaths(spark, folder).select(F.upper(F.replace("underlying_cause", F.lit("."), F.lit(""))).alias("diagnosis_label"))
     cancers = detail.where(F.col("diagnosis_label").startswith("C")).withColumn("cases", F.lit(1).cast("long"))
-    return rollup.site_group_summary(cancers).withColumn("share_pct", F.round("share_pct", 6))
+    total = cancers.agg(F.lit("Total").alias("diagnosis_label"), F.sum("cases").alias("cases"))
+    return rollup.site_group_summary(cancers.unionByName(total)).withColumn("share_pct", F.round("share_pct", 6))
+
+
+def profile_sql(checks: dict[tuple[str, str], str], source: str) -> str:
+    """Failures of every (check, column) per year: a count of the rows its condition names."""
+    numbered = list(enumerate(checks.items()))
+    counts = ", ".join(f"count(*) FILTER (WHERE {test}) AS c{i}" for i, (_, test) in numbered)
+    names = ", ".join(f"('c{i}', '{check}', '{column}')" for i, ((check, column), _) in numbered)
+    return (
+        f"SELECT year, chk AS check, col AS column_name, failures, rows FROM (SELECT year, count(*) AS rows, {counts} FROM {source} GROUP BY 1) "
+        f"UNPIVOT (failures FOR k IN ({', '.join(f'c{i}' for i, _ in numbered)})) JOIN (VALUES {names}) v(k, chk, col) USING (k)"
+    )
+
+
+_NOTIFICATION_CHECKS = {
+    **{("missing", c): "false" for c in ("source", "source_file", "source_row_number", "residence_code_valid", "residence_is_vr")},
+    **{("missing", c): "true" for c in ("municipality_code_notification", "notification_date", "outcome_date", "race_raw", "gestation_raw")},
+    ("missing", "municipality_code_datasus"): "coalesce(code6, '') = ''", ("missing", "sex_raw"): "coalesce(sex_code, '') = ''",
+    ("missing", "age_raw"): "age IS NULL", ("missing", "age_unit_raw"): "coalesce(unit, '') = ''", ("missing", "symptom_onset_date"): "onset IS NULL",
+    ("missing", "final_classification_raw"): "class_code = ''", ("missing", "outcome_raw"): "outcome_code = ''",
+    ("invalid_residence", "residence_code_valid"): "NOT regexp_full_match(code6, '[0-9]{6}')",
+}
 
 
-@query("a16_column_quality_profile", """
-    SELECT year, col AS column_name, failures, rows FROM (
-      SELECT year, count(*) AS rows, count(*) FILTER (WHERE class_code = '') AS c1, count(*) FILTER (WHERE outcome_code = '') AS c2,
-        count(*) FILTER (WHERE onset IS NULL) AS c3 FROM notif GROUP BY 1)
-    UNPIVOT (failures FOR k IN (c1, c2, c3)) JOIN (VALUES ('c1', 'final_classification_raw'), ('c2', 'outcome_raw'), ('c3', 'symptom_onset_date')) v(k, col) USING (k)""")
+@query("a16_column_quality_profile", profile_sql(_NOTIFICATION_CHECKS, "notif"))
 def _(spark, folder):
     profile = column_profile(notifications(spark, folder), ["source_year"])
-    kept = F.col("column").isin("final_classification_raw", "outcome_raw", "symptom_onset_date") & (F.col("check") == "missing")
-    return profile.where(kept).select(year_of(), F.col("column").alias("column_name"), "failures", "rows")
+    return profile.select(year_of(), "check", F.col("column").alias("column_name"), "failures", "rows")
 
 
 @query("a17_code_length_profile", """

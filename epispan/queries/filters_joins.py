@@ -167,7 +167,7 @@ def _(spark, folder):
     SELECT code6 AS code, outcome_id, year, count(*) AS n FROM death JOIN causes USING (cause) GROUP BY ALL""")
 def _(spark, folder):
     facts = deaths(spark, folder)
-    classified = classified_events(facts, cause_map(facts, "underlying_cause", SIM), "underlying_cause")
+    classified = classified_events(facts, "underlying_cause", SIM)
     return tally(classified, F.col("municipality_code_datasus").alias("code"), "outcome_id", year_of())
 
 

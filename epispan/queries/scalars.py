@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..fixed_values import PERIODS
 from ..functions import dates, demographics, labels, periods, text
 from ..functions.icd import icd_match
 from ..functions.territory import (
@@ -194,22 +195,18 @@ def _(spark, folder):
     return base.withColumns({p: periods.product_period_status(p, "year") for p in periods.PRODUCT_PERIOD_DEFAULT})
 
 
-@query("p18_period_dimension", """
+_PERIOD_VALUES = ", ".join(f"('{s}', '{i}', {a[:4]}, {b[:4]}, '{t}')" for s, i, a, b, t in PERIODS)
+
+
+@query("p18_period_dimension", f"""
     SELECT section, period_id, status, count(*) AS n FROM
       (SELECT CAST(2008 + o_orderkey % 19 AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month FROM orders) e
-    JOIN (SELECT * FROM (VALUES
-      ('respiratory', 'resp_2008_2014', 2008, 2014, 'definitive_or_source_specific'), ('respiratory', 'resp_2015_2019', 2015, 2019, 'definitive_or_source_specific'),
-      ('respiratory', 'resp_2020_2021', 2020, 2021, 'pandemic'), ('respiratory', 'resp_2022', 2022, 2022, 'post_acute_pandemic'),
-      ('respiratory', 'resp_2023_2024', 2023, 2024, 'definitive_or_source_specific'), ('respiratory', 'resp_2025_2026', 2025, 2026, 'provisional'),
-      ('cancer', 'cancer_2010_2014', 2010, 2014, 'five_year_period'), ('cancer', 'cancer_2015_2019', 2015, 2019, 'five_year_period'),
-      ('cancer', 'cancer_2020_2021', 2020, 2021, 'care_disruption'), ('cancer', 'cancer_2022_2024', 2022, 2024, 'post_disruption_and_oncology_line'),
-      ('cancer', 'cancer_2025_onward', 2025, 2099, 'provisional_prevenir_50_plus')) AS v(section, period_id, y0, y1, status)) p
+    JOIN (SELECT * FROM (VALUES {_PERIOD_VALUES}) AS v(section, period_id, y0, y1, status)) p
       ON e.year BETWEEN p.y0 AND p.y1 GROUP BY ALL""")
 def _(spark, folder):
     year = (F.lit(2008) + F.col("o_orderkey") % 19).cast("int")
     per_year = tally(table(spark, folder, "orders"), year.alias("year"))
-    named = periods.period_years(spark).where(F.col("section").isin("respiratory", "cancer"))
-    return per_year.join(named, "year").groupBy("section", "period_id", "status").agg(F.sum("n").alias("n"))
+    return per_year.join(periods.period_years(spark), "year").groupBy("section", "period_id", "status").agg(F.sum("n").alias("n"))
 
 
 @query("p19_code_pad_truncate", """
@@ -269,14 +266,15 @@ def _(spark, folder):
     return tally(part, F.col("raw"), text.locale_integer("raw").alias("figure"))
 
 
-@query("p23_html_unescape_decode", """
-    SELECT doc_id, regexp_replace(text, '[^\\x{0}-\\x{ff}]', '', 'g') AS text FROM documents""")
+@query("p23_html_unescape_decode", "SELECT doc_id, text FROM documents")
 def _(spark, folder):
-    """Document texts as Latin-1 pages with entities; decoding must give the text back."""
-    latin = F.regexp_replace("text", r"[^\x{0}-\x{ff}]", "")
+    """Document texts as Latin-1 pages, everything beyond as entities; decoding must give the text back."""
+    latin = F.col("text")
     for plain, entity in [("&", "&amp;"), ("<", "&lt;"), ("ç", "&ccedil;"), ("é", "&#233;"), ("ã", "&atilde;")]:
         latin = F.replace(latin, F.lit(plain), F.lit(entity))
-    pages = table(spark, folder, "documents").select("doc_id", F.encode(latin, "ISO-8859-1").alias("content"))
+    # Each character beyond Latin-1 becomes a numeric reference.
+    letters = F.transform(F.split(latin, ""), lambda c: F.when(F.ascii(c) > 255, F.concat(F.lit("&#"), F.ascii(c), F.lit(";"))).otherwise(c))
+    pages = table(spark, folder, "documents").select("doc_id", F.encode(F.array_join(letters, ""), "ISO-8859-1").alias("content"))
     return pages.select("doc_id", text.latin1_page("content").alias("text"))
 
 

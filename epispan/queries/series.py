@@ -35,7 +35,7 @@ def year_of(name: str = "source_year"):
 @query("w01_dedup_keep_last", "SELECT year, month, geography, outcome_id, value FROM adm")
 def _(spark, folder):
     keys = ["year", "month", "geography", "outcome_id"]
-    return series.keep_last(admission_windows(spark, folder), keys, ["source_file", "value"]).select(*keys, "value")
+    return series.keep_last(admission_windows(spark, folder), keys, ["source_file", "source_row_number"]).select(*keys, "value")
 
 
 @query("w01_dedup_hot_key", """

@@ -7,12 +7,14 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..fixed_values import CENSUS_AGE, CENSUS_SEX
 from ..operators.joins import manifest_lookup
 from ..operators.quality import column_profile, row_sequence_ok
 from ..operators.rollup import component_sums
+from ..plans.harmonize import harmonize_death_files
 from ..plans.publish import observations
 from ..session import fresh_path, table
 from ..sources import provenance, sinks, snapshots
@@ -25,6 +27,7 @@ from ..sources.tables import (
     admission_components, dementia_counts, municipal_rows, page_rows, registry_years, scan_admission_csv,
     scan_registry_csv,
 )
+from .aggregates import profile_sql
 from .registry import query
 from .standins import (
     RAW_DEATH, TERRITORY, admission_windows, death_counts, death_rates, deaths, map_rates, monthly_admissions,
@@ -37,14 +40,15 @@ _DEATH_SQL = """
     FROM death GROUP BY ALL"""
 
 
-def _death_csv(spark, folder):
+def _death_csv(spark, folder, numbered=False):
     path = fresh_path(spark, "raw-deaths")
     raw_deaths(spark, folder).write.csv(path, sep=";", encoding="ISO-8859-1", header=True)
-    return scan_death_csv(spark, path)
+    return scan_death_csv(spark, path, numbered)
 
 
-def _death_tally(harmonized):
+def _death_tally(harmonized, *extra):
     return harmonized.groupBy(
+        *extra,
         F.col("source_year").cast("int").alias("year"), F.col("municipality_code_datasus").alias("code"), "sex_raw",
         "age_raw", F.col("underlying_cause").alias("cause_raw"), "death_date",
     ).agg(F.count(F.lit(1)).alias("n"))
@@ -75,17 +79,21 @@ def _(spark, folder):
 
 
 @query("s03_scan_notification_parquet", """
-    SELECT CAST(coalesce(year(onset), 1900) AS INT) AS year, code6 AS code, upper(sex_code) AS sex_code, CAST(onset AS DATE) AS onset, class_code, outcome_code, count(*) AS n
-    FROM notif GROUP BY ALL""")
+    SELECT CAST(coalesce(year(onset), 1900) AS INT) AS year, code6 AS code, upper(sex_code) AS sex_code, CAST(onset AS DATE) AS onset, class_code, outcome_code,
+      CASE WHEN year > 1995 THEN unit END AS unit, count(*) AS n FROM notif GROUP BY ALL""")
 def _(spark, folder):
+    """The first file lacks the age unit, which must not hide it in the second."""
     path = fresh_path(spark, "raw-notifications")
-    raw_notifications(spark, folder).withColumn("NOT_WANTED", F.lit("x")).write.parquet(path)
-    raw = scan_notification_parquet(spark, path)
-    harmonized = harmonize_notifications(raw, TERRITORY, F.year(F.coalesce("DT_SIN_PRI", F.lit("1900-01-01").cast("date"))))
+    raw = raw_notifications(spark, folder).withColumn("NOT_WANTED", F.lit("x"))
+    raw.where("year <= 1995").drop("TP_IDADE").write.parquet(f"{path}/a")
+    raw.where("year > 1995").write.parquet(f"{path}/b")
+    scanned = scan_notification_parquet(spark, [f"{path}/a", f"{path}/b"])
+    harmonized = harmonize_notifications(scanned, TERRITORY, F.year(F.coalesce("DT_SIN_PRI", F.lit("1900-01-01").cast("date"))))
     return harmonized.groupBy(
         F.col("source_year").cast("int").alias("year"), F.col("municipality_code_datasus").alias("code"),
         F.upper("sex_raw").alias("sex_code"), F.to_date("symptom_onset_date").alias("onset"),
         F.col("final_classification_raw").alias("class_code"), F.col("outcome_raw").alias("outcome_code"),
+        F.nullif("age_unit_raw", F.lit("")).alias("unit"),
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -199,20 +207,25 @@ def _(spark, folder):
 
 
 @query("s08_scan_admission_csv_glob", """
-    SELECT year, month, geography, outcome_id, value, 1995 AS window_start FROM adm_monthly WHERE year <= 1998
-    UNION ALL SELECT year, month, geography, outcome_id, value + CASE WHEN year = 1998 THEN 1 ELSE 0 END, 1998 FROM adm_monthly WHERE year >= 1998""")
+    WITH rows AS (SELECT year, month, geography, outcome_id, value, 1995 AS window_start FROM adm_monthly WHERE year <= 1998
+      UNION ALL SELECT year, month, geography, outcome_id, value + CASE WHEN year = 1998 THEN 1 ELSE 0 END, 1998 FROM adm_monthly WHERE year >= 1998)
+    SELECT year, month, geography, outcome_id, value, window_start, CASE WHEN month % 3 = 0 THEN 2 ELSE 1 END AS place FROM rows
+    UNION ALL SELECT year, month, geography, outcome_id, value * 2 + 9, window_start, 1 FROM rows WHERE month % 3 = 0""")
 def _(spark, folder):
     path = fresh_path(spark, "admission-windows")
     rows = admission_windows(spark, folder).select(
         "year", "month", F.format_string("%04d-%02d", "year", "month").alias("period"), "geography",
         F.lit("330000").alias("municipality_code_datasus"), "outcome_id", "outcome_label", "value", F.lit("AIH").alias("unit"),
-        F.lit("").alias("source_paths"), F.lit("").alias("source_sha256s"), "source_file",
+        F.lit("").alias("source_paths"), F.lit("").alias("source_sha256s"), "source_file", "source_row_number",
     )
+    keys = ["year", "month", "geography", "outcome_id"]
     for name in ("window_1995_1998", "window_1998_2001"):
-        rows.where(F.col("source_file") == name).drop("source_file").write.csv(f"{path}/{name}", header=True)
+        window = rows.where(F.col("source_file") == name).repartition(*keys).sortWithinPartitions(*keys, "source_row_number")
+        window.drop("source_file", "source_row_number").write.csv(f"{path}/{name}", header=True)
     start = F.regexp_extract("source_file", r"window_(\d{4})", 1).cast("int")
     scanned = scan_admission_csv(spark, f"{path}/window_*")
-    return scanned.select("year", "month", "geography", "outcome_id", "value", start.alias("window_start"))
+    place = F.row_number().over(Window.partitionBy(*keys, "window_start").orderBy("source_row_number"))
+    return scanned.withColumn("window_start", start).select(*keys, "value", "window_start", place.alias("place"))
 
 
 @query("s09_scan_parquet_glob_years", """
@@ -343,27 +356,48 @@ def _(spark, folder):
 
 @query("p07_source_row_number", "SELECT count(*) AS rows, true AS sequence_ok FROM lineitem")
 def _(spark, folder):
-    numbered = _death_csv(spark, folder)
+    numbered = _death_csv(spark, folder, numbered=True)
     per_file = row_sequence_ok(numbered, ["source_file"])
     rows = numbered.agg(F.count("source_row_number").alias("rows"))
     return per_file.agg(F.min("source_row_sequence_ok").alias("sequence_ok")).select(rows.scalar().alias("rows"), "sequence_ok")
 
 
-@query("pb12_harmonize", """
-    SELECT year, chk AS check, col AS column_name, failures, rows FROM (
-      SELECT year, count(*) AS rows, count(*) FILTER (WHERE cause_raw = '') AS cause, count(*) FILTER (WHERE NOT regexp_full_match(code6, '[0-9]{6}')) AS residence,
-        count(*) FILTER (WHERE try_strptime(date_raw, '%d%m%Y') IS NULL) AS dates FROM death GROUP BY 1)
-    UNPIVOT (failures FOR k IN (cause, residence, dates))
-    JOIN (VALUES ('cause', 'missing', 'underlying_cause'), ('residence', 'invalid_residence', 'residence_code_valid'), ('dates', 'date_parse_failure', 'death_date_raw')) AS v(k, chk, col) USING (k)""")
+_DEATH_CHECKS = {
+    **{("missing", c): "false" for c in ("source", "source_file", "source_row_number", "residence_code_valid", "residence_is_vr")},
+    **{("missing", c): "true" for c in ("multiple_cause_raw", "birth_date_raw", "birth_date", "death_type_raw", "status_raw")},
+    ("missing", "municipality_code_datasus"): "code6 = ''", ("missing", "municipality_code_occurrence"): "false", ("missing", "sex_raw"): "sex_raw = ''",
+    ("missing", "age_raw"): "age_raw = ''", ("missing", "underlying_cause"): "cause_raw = ''", ("missing", "death_date_raw"): "date_raw = ''",
+    ("missing", "death_date"): "try_strptime(date_raw, '%d%m%Y') IS NULL", ("date_parse_failure", "death_date_raw"): "try_strptime(date_raw, '%d%m%Y') IS NULL",
+    ("invalid_residence", "residence_code_valid"): "NOT regexp_full_match(code6, '[0-9]{6}')",
+}
+
+
+@query("pb12_harmonize", profile_sql(_DEATH_CHECKS, "death"))
 def _(spark, folder):
-    """CSV to harmonised table with row numbers, then its quality profile."""
-    harmonized = harmonize_deaths(_death_csv(spark, folder), TERRITORY, F.col("year").cast("int"))
+    """CSV to harmonised table with row numbers, then the quality profile of every column."""
+    harmonized = harmonize_deaths(_death_csv(spark, folder, numbered=True), TERRITORY, F.col("year").cast("int"))
     profile = column_profile(harmonized, ["source_year"], {"death_date_raw": "death_date"})
-    chosen = F.array(*[F.lit(x) for x in ("missing|underlying_cause", "invalid_residence|residence_code_valid", "date_parse_failure|death_date_raw")])
-    kept = profile.where(F.array_contains(chosen, F.concat_ws("|", "check", "column")))
-    return kept.select(
-        F.col("source_year").cast("int").alias("year"), "check", F.col("column").alias("column_name"), "failures", "rows"
-    )
+    return profile.select(F.col("source_year").cast("int").alias("year"), "check", F.col("column").alias("column_name"), "failures", "rows")
+
+
+@query("pb12_harmonize_folder", """
+    SELECT CASE WHEN year <= 1995 THEN 1 WHEN year <= 1998 THEN 2 ELSE 3 END AS layout, year, code6 AS code, sex_raw, age_raw, cause_raw,
+      CASE WHEN year > 1995 THEN CAST(try_strptime(date_raw, '%d%m%Y') AS DATE) END AS death_date, count(*) AS n
+    FROM death GROUP BY ALL""")
+def _(spark, folder):
+    """A folder of files with three layouts: the first lacks optional fields, the second is reordered, the third has one more."""
+    path = fresh_path(spark, "raw-folder")
+    raw = raw_deaths(spark, folder)
+    layouts = [
+        raw.where("year <= 1995").select("CODMUNRES", "SEXO", "IDADE", "CAUSABAS", "year"),
+        raw.where("year BETWEEN 1996 AND 1998").select(*reversed(raw.columns)),
+        raw.where("year >= 1999").withColumn("EXTRA", F.lit("x")),
+    ]
+    for number, rows in enumerate(layouts, 1):
+        rows.write.csv(f"{path}/layout_{number}", sep=";", encoding="ISO-8859-1", header=True)
+    harmonized = harmonize_death_files(spark, f"{path}/*/", TERRITORY, F.col("year").cast("int"))
+    layout = F.regexp_extract("source_file", r"layout_(\d)", 1).cast("int")
+    return _death_tally(harmonized.withColumn("layout", layout), layout.alias("layout"))
 
 
 @query("j10_manifest_lookup", """

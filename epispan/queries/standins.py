@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..fixed_values import (
     AGE_GROUPS, COUNTRY_TOTAL, NOTIFICATION_OUTCOMES, REST_OF_STATE, SECTION_PERIOD_STATUS, SELECTED, SEXES,
@@ -26,7 +27,7 @@ from ..plans.products import (
     STATE_AREAS, death_outcome_counts, mortality_rates, municipal_map_rates, municipal_profiles,
     notification_outcome_counts, population_product,
 )
-from ..session import fresh_path, spread, table
+from ..session import fresh_path, table
 from ..sources.microdata import harmonize_deaths, harmonize_notifications
 
 TERRITORY = Territory("33", "330000", "3300000")
@@ -85,18 +86,18 @@ def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def raw_deaths(spark: SparkSession, folder: str) -> DataFrame:
-    return _project(spread(table(spark, folder, "lineitem")), RAW_DEATH)
+    return _project(table(spark, folder, "lineitem"), RAW_DEATH)
 
 
 def raw_notifications(spark: SparkSession, folder: str) -> DataFrame:
-    return _project(spread(table(spark, folder, "orders")), RAW_NOTIFICATION)
+    return _project(table(spark, folder, "orders"), RAW_NOTIFICATION)
 
 
-_STAGED: dict[tuple[str, str, str], str] = {}
+_STAGED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 def _staged(
-    spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]
+    spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame], partitions: list[str] | None = None
 ) -> DataFrame:
     """Write a stage once per application and let every query read the written result.
 
@@ -105,10 +106,11 @@ def _staged(
     """
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _STAGED:
-        path = fresh_path(spark, name)
-        build().write.option("compression", "zstd").parquet(path)
-        _STAGED[key] = path
-    return spark.read.parquet(_STAGED[key])
+        path, frame = fresh_path(spark, name), build()
+        frame.write.option("compression", "zstd").partitionBy(*partitions or []).parquet(path)
+        _STAGED[key] = path, frame.schema
+    path, schema = _STAGED[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def deaths(spark: SparkSession, folder: str) -> DataFrame:
@@ -117,7 +119,7 @@ def deaths(spark: SparkSession, folder: str) -> DataFrame:
         placed = raw.withColumns({"source_file": F.lit("lineitem"), "source_row_number": F.lit(0)})
         return harmonize_deaths(placed, TERRITORY, F.col("year"))
 
-    return _staged(spark, folder, "harmonized-deaths", build)
+    return _staged(spark, folder, "harmonized-deaths", build, ["source_year"])
 
 
 def notifications(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,7 +128,7 @@ def notifications(spark: SparkSession, folder: str) -> DataFrame:
         placed = raw.withColumns({"source_file": F.lit("orders"), "source_row_number": F.lit(0)})
         return harmonize_notifications(placed, TERRITORY, F.col("year"))
 
-    return _staged(spark, folder, "harmonized-notifications", build)
+    return _staged(spark, folder, "harmonized-notifications", build, ["source_year"])
 
 
 def municipal_population(spark: SparkSession, folder: str) -> DataFrame:
@@ -213,13 +215,19 @@ def monthly_admissions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def admission_windows(spark: SparkSession, folder: str) -> DataFrame:
-    """Two overlapping admission windows; the later file revised 1998 upwards."""
+    """Two overlapping admission windows; the later file revised 1998 upwards.
+
+    Every third month is reported twice within a file: a larger first figure, then the right one.
+    """
     monthly = monthly_admissions(spark, folder).withColumn("outcome_label", F.upper("outcome_id"))
     files = F.explode(F.array_compact(F.array(
         F.when(F.col("year") <= 1998, F.lit("window_1995_1998")), F.when(F.col("year") >= 1998, F.lit("window_1998_2001"))
     )))
     revised = F.when((F.col("year") == 1998) & (F.col("source_file") == "window_1998_2001"), 1).otherwise(0)
-    return monthly.withColumn("source_file", files).withColumn("value", F.col("value") + revised)
+    rows = monthly.withColumn("source_file", files).withColumn("value", F.col("value") + revised)
+    right = F.struct(F.lit(2).cast("long").alias("source_row_number"), F.col("value"))
+    early = F.when(F.col("month") % 3 == 0, F.struct(F.lit(1).cast("long").alias("source_row_number"), (F.col("value") * 2 + 9).alias("value")))
+    return rows.withColumn("_row", F.explode(F.array_compact(F.array(early, right)))).drop("value").select("*", "_row.*").drop("_row")
 
 
 def death_counts(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,7 +11,7 @@ from ..fixed_values import (
 from ..functions.labels import indicator_id, percent_change, ratio_guarded
 from ..functions.poisson import poisson_interval
 from ..functions.rates import crude_rate, rate_difference, rate_ratio
-from ..operators.its import fit_interrupted_series
+from ..operators.its import fit_interrupted_series, fit_level_change, fitted_moments
 from ..operators.joins import join_denominator
 from ..operators.rollup import age_sex_denominators, observed_end_month
 from ..operators.rates import add_rates
@@ -333,35 +333,58 @@ def _(spark, folder):
 
 
 def _interrupted(spark, folder):
-    rows = products.interruption_input(
+    return products.interruption_input(
         admission_windows(spark, folder), population(spark, folder), list(ADMISSION_OUTCOMES.values()),
         [SELECTED, REST_OF_STATE], "1999-03-01", 1995,
     )
-    return fit_interrupted_series(rows)
 
 
-@query("st16_interrupted_time_series")
+_ITS_ROWS = """
+    s AS (SELECT a.outcome_id, a.geography, a.year, a.month, a.value AS y, p.population / 12.0 AS people, (a.year - 1995) * 12 + a.month - 1 AS t
+      FROM adm a JOIN pop p USING (year, geography) WHERE a.year IN (SELECT year FROM adm_years) AND a.geography IN ('volta_redonda', 'rest_of_rj_excluding_vr')),
+    fits AS (SELECT outcome_id, geography FROM s GROUP BY ALL HAVING count(*) >= 24 AND sum(y) >= 5)"""
+
+
+@query("st16_interrupted_time_series", f"""
+    WITH {_ITS_ROWS}, m AS (
+      SELECT outcome_id, geography, 'month_' || CAST(month AS STRING) AS moment, sum(y) AS v FROM s GROUP BY ALL
+      UNION ALL SELECT outcome_id, geography, 'time_index', sum(y * t) FROM s GROUP BY ALL
+      UNION ALL SELECT outcome_id, geography, 'pandemic_step', coalesce(sum(y) FILTER (WHERE t >= 50), 0) FROM s GROUP BY ALL
+      UNION ALL SELECT outcome_id, geography, 'post_pandemic_time', sum(y * greatest(t - 50, 0)) FROM s GROUP BY ALL)
+    SELECT outcome_id, geography, moment, round(CAST(v AS DOUBLE), 2) AS fitted FROM m JOIN fits USING (outcome_id, geography)""")
 def _(spark, folder):
-    """Poisson regressions; SQL has none, tests compare with an independent fit."""
-    fitted = _interrupted(spark, folder)
-    return rounded(fitted, 6, "pearson_dispersion", "aic").select(
-        "outcome_id", "geography", "model_status", "n_obs", "total_events", "covariance", "pearson_dispersion", "aic"
-    )
+    """A Poisson fit solves its score equations: the fitted sums are the observed ones."""
+    return rounded(fitted_moments(_interrupted(spark, folder)), 2, "fitted")
 
 
 @query("st16_model_eligibility", """
     WITH m AS (SELECT outcome_id, geography, count(*) AS n_obs, sum(value)::BIGINT AS total_events FROM adm WHERE year IN (SELECT year FROM adm_years)
       AND geography IN ('volta_redonda', 'rest_of_rj_excluding_vr') GROUP BY ALL)
-    SELECT *, CASE WHEN n_obs < 24 OR total_events < 5 THEN 'suppressed_insufficient_events' ELSE 'fitted_descriptive_its' END AS model_status FROM m""")
+    SELECT *, upper(outcome_id) AS outcome_label, CASE WHEN n_obs < 24 OR total_events < 5 THEN 'suppressed_insufficient_events' ELSE 'fitted_descriptive_its' END AS model_status,
+      CASE WHEN n_obs >= 24 AND total_events >= 5 THEN true END AS converged FROM m""")
 def _(spark, folder):
-    return _interrupted(spark, folder).select("outcome_id", "geography", "n_obs", "total_events", "model_status")
-
-
-@query("st17_linear_combination_rr")
+    fitted = fit_interrupted_series(_interrupted(spark, folder))
+    return fitted.select("outcome_id", "outcome_label", "geography", "n_obs", "total_events", "model_status", "converged")
+
+
+@query("st17_linear_combination_rr", f"""
+    WITH {_ITS_ROWS}, g AS (SELECT *, t >= 50 AS post, sum(y) OVER k AS events, sum(people) OVER k AS persons, row_number() OVER (PARTITION BY outcome_id, geography ORDER BY t) AS i,
+        count(*) OVER (PARTITION BY outcome_id, geography) AS n FROM s WINDOW k AS (PARTITION BY outcome_id, geography, t >= 50)),
+      u AS (SELECT *, CASE WHEN post THEN 1 ELSE -1 END * (y - people * events / persons) / nullif(events, 0) AS u FROM g),
+      v AS (SELECT a.outcome_id, a.geography, sum(CASE WHEN a.i = b.i THEN 1 ELSE 2 * (1 - (a.i - b.i) / 13.0) END * a.u * b.u) AS variance
+        FROM u a JOIN u b ON a.outcome_id = b.outcome_id AND a.geography = b.geography AND a.i - b.i BETWEEN 0 AND 12 GROUP BY ALL),
+      r AS (SELECT outcome_id, geography, max(n) AS n, coalesce(max(events) FILTER (WHERE post), 0) AS e1, coalesce(max(events) FILTER (WHERE NOT post), 0) AS e0,
+        max(persons) FILTER (WHERE post) AS p1, max(persons) FILTER (WHERE NOT post) AS p0 FROM g GROUP BY ALL),
+      l AS (SELECT outcome_id, geography, ln((e1 / p1) / (e0 / p0)) AS b, sqrt(variance) AS se FROM r JOIN v USING (outcome_id, geography) WHERE n >= 24 AND e0 > 0 AND e1 > 0)
+    SELECT outcome_id, geography, l.b IS NOT NULL AS estimated, round(exp(b), 5) AS rr, round(exp(b - 1.959963984540054 * se), 5) AS ci_lower, round(exp(b + 1.959963984540054 * se), 5) AS ci_upper
+    FROM r LEFT JOIN l USING (outcome_id, geography)""")
 def _(spark, folder):
-    fitted = _interrupted(spark, folder)
-    effects = [c for c in fitted.columns if "_rr" in c]
-    return rounded(fitted, 6, *effects).select("outcome_id", "geography", *effects)
+    """The intercept-and-step design, whose estimate and Bartlett-weighted variance have a closed form."""
+    fitted = fit_level_change(_interrupted(spark, folder))
+    names = {"rr": "immediate_level_rr", "ci_lower": "immediate_level_rr_ci_lower", "ci_upper": "immediate_level_rr_ci_upper"}
+    return fitted.select(
+        "outcome_id", "geography", F.col("immediate_level_rr").isNotNull().alias("estimated"), *[F.round(c, 5).alias(n) for n, c in names.items()],
+    )
 
 
 @query("st18_percent_change", """
@@ -419,16 +442,16 @@ def _(spark, folder):
 
 @query("pv05_leak_audit", """
     SELECT 'tampered' AS package, 'sim-' || replace(outcome_id, '_', '-') AS indicator, code7, year, CASE WHEN year % 2 = 0 THEN 'value|count' ELSE 'unsuppressed_small_cell' END AS leaked
-    FROM munimap WHERE n < 5 AND year IN (1995, 1996)""")
+    FROM munimap WHERE n < 5""")
 def _(spark, folder):
-    """A sound package has no leaks; one that shows 1996 cells and forgets the 1995 flags has them all."""
+    """A sound package has no leaks; one that shows even years' cells and forgets odd years' flags has them all."""
     public = observations(map_rates(spark, folder), "SIM", "population", "m.json", "municipality_code_ibge")
     raw = map_rates(spark, folder).select(
         indicator_id(F.lit("SIM"), "outcome_id").alias("indicatorId"), F.col("municipality_code_ibge").alias("geographyId"),
         F.col("year").cast("string").alias("period"), F.col("rate_per_100k").alias("value"), "count",
         F.lit(None).cast("double").alias("ciLow"), F.lit(None).cast("double").alias("ciHigh"),
-        ((F.col("count") < 5) & (F.col("year") == 1996)).alias("suppressed"),
-    ).where("period IN ('1995', '1996')")
+        ((F.col("count") < 5) & (F.col("year") % 2 == 0)).alias("suppressed"),
+    )
     sound = protected_leaks(public, F.col("suppressed"), PROTECTED_FIELDS).withColumn("package", F.lit("sound"))
     tampered = protected_leaks(raw, F.col("suppressed"), PROTECTED_FIELDS).withColumn("package", F.lit("tampered"))
     fields = ["package", "indicatorId", "geographyId", "period", "leaked_fields"]
@@ -439,9 +462,13 @@ def _(spark, folder):
     )
 
 
-@query("pv05_profile_leak_audit", "SELECT outcome_id, count(*) AS cells, 0::BIGINT AS leaks FROM profile GROUP BY 1")
+@query("pv05_profile_leak_audit", """
+    SELECT outcome_id, count(*) AS cells, count(*) FILTER (WHERE starts_with(status, 'suppressed') AND age_group = '15-24') AS leaks FROM profile_status GROUP BY 1""")
 def _(spark, folder):
-    public = profiles(profile_cells(spark, folder), STANDARD_YEAR, "m.json")
+    """Hidden cells of one age group get their counts back: each is a leak, no other cell is."""
+    sound = profiles(profile_cells(spark, folder), STANDARD_YEAR, "m.json")
+    shown = (F.col("suppressionStatus") == "suppressed") & (F.col("ageGroup") == "15-24")
+    public = sound.withColumn("count", F.when(shown, F.lit(1).cast("long")).otherwise(F.col("count")))
     protected = F.col("suppressionStatus") == "suppressed"
     leaks = protected_leaks(public, protected, PROTECTED_PROFILE_FIELDS).groupBy("indicatorId").agg(F.count(F.lit(1)).alias("leaks"))
     outcome = F.translate(F.replace("indicatorId", F.lit("sim-"), F.lit("")), "-", "_")

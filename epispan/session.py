@@ -59,12 +59,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on an input with fewer splits than cores; larger inputs stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def dimension(spark: SparkSession, rows: list[tuple], schema: str | StructType) -> DataFrame:
     """A DataFrame from driver-side configuration, broadcast only while it is provably small."""
     frame = spark.createDataFrame(rows, schema)

@@ -25,15 +25,22 @@ def require_fields(available: list[str], required: list[str], what: str) -> None
         raise ValueError(f"{what}: missing fields {missing}")
 
 
-def scan_death_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Semicolon-separated Latin-1 files, every field as text, with file name and row number.
+def scan_death_csv(spark: SparkSession, path: str | list[str], numbered: bool = False, multi_line: bool = False) -> DataFrame:
+    """Semicolon-separated Latin-1 files, every field as text, with their file name.
 
-    Files of one call must share a layout; read differing layouts apart and
-    union the harmonised tables.
+    Files of one call share a layout; ``plans.harmonize`` takes folders with several. A row with
+    more or fewer fields than the header raises, so a quoted line break cannot pass as two rows;
+    ``multi_line`` reads such files whole, one task a file. Row numbers cost a second scan and
+    a shuffle and come only when asked for.
     """
-    raw = spark.read.csv(path, sep=";", encoding="ISO-8859-1", header=True, inferSchema=False, enforceSchema=False)
+    # Without pruning the parser sees every field of a row and can count them.
+    raw = spark.read.option("columnPruning", "false").csv(
+        path, sep=";", encoding="ISO-8859-1", header=True, inferSchema=False, enforceSchema=False, multiLine=multi_line, mode="FAILFAST",
+    )
     require_fields(raw.columns, DEATH_REQUIRED, "death file")
-    return number_rows(raw)
+    if numbered:
+        return number_rows(raw)
+    return raw.withColumns({"source_file": F.col("_metadata.file_path"), "source_row_number": F.lit(None).cast("long")})
 
 
 def number_rows(raw: DataFrame) -> DataFrame:
@@ -97,10 +104,15 @@ def scan_zipped_csv(spark: SparkSession, path: str, fields: list[str]) -> DataFr
 
 
 def scan_notification_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Required and available optional fields only; other columns are never read."""
+    """Required and available optional fields only; other columns are never read.
+
+    Files may differ: a field that any of them has is read, and is null for the others. Each
+    path is checked for the required fields on its own.
+    """
     paths = [path] if isinstance(path, str) else path
-    raw = spark.read.parquet(*paths)
-    require_fields(raw.columns, NOTIFICATION_REQUIRED, "notification file")
+    for one in paths:
+        require_fields(spark.read.parquet(one).columns, NOTIFICATION_REQUIRED, one)
+    raw = spark.read.option("mergeSchema", "true").parquet(*paths)
     wanted = NOTIFICATION_REQUIRED + [f for f in NOTIFICATION_OPTIONAL if f in raw.columns]
     return raw.select(
         *wanted,

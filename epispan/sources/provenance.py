@@ -10,10 +10,11 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..fixed_values import DEATH_REQUIRED, EXTRACTION_LOG_FIELDS
+from ..fixed_values import DEATH_REQUIRED, EXTRACTION_LOG_FIELDS, PAGE_MARKS, REGISTRY_FIELD
 
 
 def checksum_manifest(files: DataFrame) -> DataFrame:
@@ -60,9 +61,10 @@ def status_histogram(log: DataFrame) -> DataFrame:
     return log.groupBy(state.alias("status")).agg(F.count(F.lit(1)).alias("entries"))
 
 
-def upsert_manifest(existing: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+def upsert_manifest(existing: DataFrame, updates: DataFrame, key: str | list[str]) -> DataFrame:
     """Entries of a re-run replace their old ones; every other entry stays."""
-    return existing.join(updates.select(key), key, "left_anti").unionByName(updates)
+    keys = [key] if isinstance(key, str) else key
+    return existing.join(updates.select(*keys), keys, "left_anti").unionByName(updates)
 
 
 def header_fields(heads: DataFrame, separator: str = ";") -> DataFrame:
@@ -71,60 +73,129 @@ def header_fields(heads: DataFrame, separator: str = ";") -> DataFrame:
     return heads.select("source_file", F.explode(names).alias("field"))
 
 
+def file_paths(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files below ``path``; their contents are not read."""
+    return sorted(r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect())
+
+
 def scan_headers(spark: SparkSession, path: str) -> DataFrame:
-    """First line of every text file: the split that starts at byte zero holds it."""
-    lines = spark.read.text(path)
-    placed = lines.select(
-        "value", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_position"),
-    )
-    return placed.where("_start = 0").groupBy("source_file").agg(F.min_by("value", "_position").alias("header"))
-
-
-def _format_problem(path: str, content: bytes) -> str | None:
-    """What is wrong with a raw file of this suffix, or nothing."""
-    suffix = path.rsplit(".", 1)[-1].lower()
-    if suffix == "json":
-        return None if isinstance(json.loads(content), (list, dict)) else "unexpected_json_type"
-    if suffix == "geojson":
-        text = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
-        shape = json.loads(text)
-        good = isinstance(shape, dict) and shape.get("type") == "FeatureCollection"
-        return None if good and isinstance(shape.get("features"), list) else "invalid_geojson_feature_collection"
-    if suffix == "zip":
-        bad = zipfile.ZipFile(io.BytesIO(content)).testzip()
-        return f"corrupt_zip_member:{bad}" if bad else None
-    if suffix == "csv":
-        line = content.split(b"\n", 1)[0].decode("latin1").strip()
-        fields = {f.strip().strip('"') for f in line.split(";")}
-        missing = sorted(set(DEATH_REQUIRED) - fields)
-        registry = len(fields) == 2 and "Casos" in fields
-        return None if registry or not missing else "missing_required_fields:" + ",".join(missing)
-    if suffix == "pdf":
-        return None if content[:5] == b"%PDF-" else "missing_pdf_header"
-    if suffix in ("html", "htm"):
-        text = content.decode("latin1")
-        marks = ("TabNet Win32", '"Total"', "Sistema de Informações Hospitalares")
-        return None if all(m in text for m in marks) else "unexpected_tabnet_html_markers"
-    if suffix == "parquet":
-        return None if content[:4] == content[-4:] == b"PAR1" else "missing_parquet_magic"
-    return f"unsupported_sample_format:.{suffix}"
+    """(source_file, header) of every text file. The limit stops each split at its first line."""
+    lines = [
+        spark.read.text(one).limit(1).select(F.lit(one).alias("source_file"), F.col("value").alias("header"))
+        for one in file_paths(spark, path)
+    ]
+    return reduce(lambda a, b: a.unionAll(b), lines) if lines else spark.createDataFrame([], "source_file string, header string")
+
+
+def layout_audit(spark: SparkSession, path: str, required: list[str], separator: str = ";") -> DataFrame:
+    """Per CSV file: number of columns, required fields it lacks (sorted) and rows below the header."""
+    named = header_fields(scan_headers(spark, path), separator)
+    columns = named.groupBy("source_file").agg(F.count(F.lit(1)).cast("int").alias("columns"), F.collect_set("field").alias("_fields"))
+    missing = F.array_sort(F.array_except(F.array(*[F.lit(r) for r in required]), "_fields"))
+    lines = spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("_path")).agg(F.count(F.lit(1)).alias("_lines"))
+    plain = F.regexp_replace(F.col("source_file"), r"\A\w+:/*", "/")
+    joined = columns.withColumn("_key", plain).join(lines.select(F.regexp_replace("_path", r"\A\w+:/*", "/").alias("_key"), "_lines"), "_key", "left")
+    return joined.select("source_file", "columns", missing.alias("missing"), (F.coalesce("_lines", F.lit(1)) - 1).alias("rows"))
+
+
+def parquet_layout(spark: SparkSession, paths: list[str], required: list[str], optional: list[str]) -> DataFrame:
+    """Per Parquet path: required and optional fields it lacks, and its rows, counted from footers."""
+    rows = []
+    for one in paths:
+        have = spark.read.parquet(one).columns
+        rows.append((one, len(have), sorted(set(required) - set(have)), sorted(set(optional) - set(have)), spark.read.parquet(one).count()))
+    return spark.createDataFrame(rows, "source_file string, columns int, missing array<string>, missing_optional array<string>, rows bigint")
+
+
+# --- Raw-file formats: each suffix has one test, most of them plain expressions over the bytes.
+
+def _latin1(content: Column) -> Column:
+    return F.decode(content, "ISO-8859-1")
+
+
+def _csv_problem(content: Column) -> Column:
+    header = F.element_at(F.split(_latin1(content), "\n"), 1)
+    fields = F.transform(F.split(header, ";"), lambda f: F.trim(F.translate(F.trim(f, F.lit("\r ")), '"', "")))
+    lacking = F.array_sort(F.array_except(F.array(*[F.lit(r) for r in DEATH_REQUIRED]), fields))
+    registry = (F.size(fields) == 2) & F.array_contains(fields, REGISTRY_FIELD)
+    return F.when(~registry & (F.size(lacking) > 0), F.concat(F.lit("header lacks "), F.array_join(lacking, ",")))
+
+
+def _page_problem(content: Column) -> Column:
+    page = _latin1(content)
+    shown = [F.contains(page, F.lit(mark)) for mark in PAGE_MARKS]
+    return F.when(~reduce(lambda a, b: a & b, shown), F.lit("no result table on the page"))
+
+
+def _pdf_problem(content: Column) -> Column:
+    return F.when(F.substring(content, 1, 5) != F.lit(b"%PDF-"), F.lit("no PDF signature"))
+
+
+def _json_problem(content: bytes) -> tuple[str | None, str]:
+    value = json.loads(content)
+    if not isinstance(value, list | dict):
+        return "neither a list nor an object", ""
+    return None, f"{type(value).__name__} of {len(value)}"
+
+
+def _shape_problem(content: bytes) -> tuple[str | None, str]:
+    packed = content.startswith(b"\x1f\x8b")
+    value = json.loads(gzip.decompress(content) if packed else content)
+    features = value.get("features") if isinstance(value, dict) and value.get("type") == "FeatureCollection" else None
+    return (None, f"{len(features)} features") if isinstance(features, list) else ("no feature collection", "")
+
+
+def _archive_problem(content: bytes) -> tuple[str | None, str]:
+    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        names, broken = archive.namelist(), archive.testzip()
+    return (f"damaged member {broken}" if broken else None), ",".join(names)
+
+
+def _columnar_problem(content: bytes) -> tuple[str | None, str]:
+    footer = pq.ParquetFile(io.BytesIO(content)).metadata
+    return None, f"{footer.num_rows} rows, {footer.num_columns} columns"
+
+
+#: Formats only a parser can judge; the rest are expressions.
+_PARSED = {"json": _json_problem, "geojson": _shape_problem, "zip": _archive_problem, "parquet": _columnar_problem}
+_EXPRESSED = {"csv": _csv_problem, "pdf": _pdf_problem, "html": _page_problem, "htm": _page_problem}
 
 
 def file_format_check(files: DataFrame) -> DataFrame:
-    """Format verdict of (path, content) rows, one file at a time."""
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Format verdict of (path, content) rows: problem, details and format_ok.
+
+    Only JSON, zip and Parquet contents go through Python.
+    """
+    suffix = F.lower(F.element_at(F.split("path", r"\."), -1))
+    known = files.select("path", "content", suffix.alias("_suffix"))
+    expressed = F.lit(None).cast("string")
+    for name, problem in _EXPRESSED.items():
+        expressed = F.when(F.col("_suffix") == name, problem(F.col("content"))).otherwise(expressed)
+    unknown = ~F.col("_suffix").isin([*_EXPRESSED, *_PARSED])
+    plain = known.where(~F.col("_suffix").isin(list(_PARSED))).select(
+        "path", F.when(unknown, F.concat(F.lit("no test for files named ."), "_suffix")).otherwise(expressed).alias("problem"),
+        F.concat(F.length("content").cast("string"), F.lit(" bytes")).alias("format_details"),
+    )
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            problems = []
-            for path, content in zip(batch["path"], batch["content"]):
+            found = []
+            for kind, content in zip(batch["_suffix"], batch["content"], strict=True):
                 try:
-                    problems.append(_format_problem(path, bytes(content)))
+                    found.append(_PARSED[kind](bytes(content)))
                 except (ValueError, OSError, zipfile.BadZipFile, EOFError) as error:
-                    problems.append(type(error).__name__)
-            yield pd.DataFrame({"path": batch["path"], "problem": pd.Series(problems, index=batch.index, dtype=object)})
+                    found.append((f"unreadable: {type(error).__name__}", ""))
+            yield pd.DataFrame({"path": batch["path"].to_numpy(), "problem": [p for p, _ in found], "format_details": [d for _, d in found]})
+
+    parsed = known.where(F.col("_suffix").isin(list(_PARSED))).mapInPandas(parse, "path string, problem string, format_details string")
+    return plain.unionByName(parsed).withColumn("format_ok", F.col("problem").isNull())
+
 
-    verdict = files.select("path", "content").mapInPandas(check, "path string, problem string")
-    return verdict.withColumn("format_ok", F.col("problem").isNull())
+def raw_file_verdict(files: DataFrame, sidecars: DataFrame) -> DataFrame:
+    """Checksum and format of each raw file together; ``ok`` needs both."""
+    hashes = sidecar_status(checksum_manifest(files), sidecars)
+    joined = hashes.join(file_format_check(files), "path")
+    return joined.withColumn("ok", F.col("hash_ok") & F.col("format_ok"))
 
 
 def artifact_manifest(spark: SparkSession, folders: dict[str, str]) -> DataFrame:

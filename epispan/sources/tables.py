@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..fixed_values import ADMISSION_LABEL_EXCLUDED, ADMISSION_LABELS, DEMENTIA_LABELS
 from ..functions.text import canonical_label, col, latin1_page, locale_integer
 from ..session import dimension
+from .microdata import number_rows
 
 _LINE = r'(?m)^\s*("[^"]+";\s*[0-9.,-]+)'
 _FIELDS = r'\A"([^"]+)";\s*([0-9.,-]+)\z'
@@ -81,9 +82,9 @@ def dementia_counts(rows: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def scan_admission_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All admission windows with their file name, which orders overlapping windows."""
+    """All admission windows with file name and row number, which order overlapping windows and repeats."""
     fields = (
         "year int, month int, period string, geography string, municipality_code_datasus string, outcome_id string, "
         "outcome_label string, value long, unit string, source_paths string, source_sha256s string"
     )
-    return spark.read.schema(fields).csv(path, header=True).withColumn("source_file", F.col("_metadata.file_path"))
+    return number_rows(spark.read.schema(fields).csv(path, header=True))

@@ -29,8 +29,10 @@ def test_an_event_counts_in_every_outcome_it_matches(spark):
 def test_cause_map_join_equals_direct_counts_under_a_hot_code(spark):
     hot = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "J189").otherwise(F.concat(F.lit("C"), F.col("id") % 97)).alias("c"))
     direct = as_dict(classified_counts(hot, "c", DEFS, []), "outcome_id", "count")
-    joined = classified_events(hot, cause_map(hot, "c", DEFS), "c").groupBy("outcome_id").count()
+    joined = classified_events(hot, "c", DEFS).groupBy("outcome_id").count()
     assert as_dict(joined, "outcome_id", "count") == direct
+    mapped = hot.join(cause_map(hot, "c", DEFS), hot["c"] == F.col("cause")).groupBy("outcome_id").count()
+    assert as_dict(mapped, "outcome_id", "count") == direct
     assert direct["pneumonia"] == 1000
 
 
@@ -175,3 +177,53 @@ def test_production_must_declare_its_basis(spark):
 
 def test_normalised_null_is_empty(spark):
     assert spark.createDataFrame([(None,)], "c string").select(normalize_code("c")).collect()[0][0] == ""
+
+
+def test_rules_hold_whatever_is_selected(spark):
+    counts = spark.createDataFrame([(2000, 5), (2001, 6)], "year int, count int")
+    doubled = spark.createDataFrame([(2000, 10), (2000, 11), (2001, 7)], "year int, population int")
+    gap = doubled.where("year = 2001")
+    for broken in (
+        joins.join_denominator(counts, doubled, ["year"]), joins.join_denominator(counts, gap, ["year"], strict=True),
+        joins.join_one_to_one(counts, doubled, ["year"]), joins.manifest_lookup(counts, gap, "year"), joins.unique_rows(doubled, ["year"], "x"),
+    ):
+        with pytest.raises(Exception, match="USER_RAISED"):
+            broken.select("year").collect()
+        with pytest.raises(Exception, match="USER_RAISED"):
+            broken.count()
+    assert joins.join_denominator(counts, gap, ["year"]).where("population is null").count() == 1
+
+
+def test_reconciliation_sees_both_sides(spark):
+    detail = spark.createDataFrame([("a", 3), ("b", 4), ("c", 5)], "k string, count int")
+    totals = spark.createDataFrame([("a", 3), ("b", 9), ("d", 7)], "k string, count int")
+    found = {r["k"]: (r["observed"], r["expected"]) for r in quality.reconcile(detail, totals, ["k"]).collect()}
+    assert found == {"b": (4, 9), "c": (5, 0), "d": (0, 7)}
+    assert {r["k"] for r in quality.reconcile(detail, totals, ["k"], absent_totals_pass=True).collect()} == {"b", "d"}
+
+
+def test_a_hidden_figure_is_no_breach(spark):
+    frame = spark.createDataFrame([("i", None, "ok"), ("j", 3.0, None)], "id string, value double, status string")
+    found = {(r["id"], r["missing_field"], r["breach"]) for r in quality.contract_violations(frame, ["value", "status", "source"], ["id"], ["value"]).collect()}
+    assert found == {("i", "source", "absent"), ("j", "source", "absent"), ("j", "status", "null")}
+
+
+def test_row_sequence(spark):
+    rows = {"good": [1, 2, 3], "gap": [1, 3], "twice": [1, 2, 2, 4, 6], "swap": [1, 2, 4, 4, 4], "low": [0, 1]}
+    frame = spark.createDataFrame([(k, n) for k, v in rows.items() for n in v], "f string, source_row_number long")
+    assert {r["f"]: r["source_row_sequence_ok"] for r in quality.row_sequence_ok(frame, ["f"]).collect()} == {k: k == "good" for k in rows}
+
+
+def test_table_total_is_no_site(spark):
+    rows = spark.createDataFrame([("C50 x", 60), ("C61 y", 40), ("Total", 100)], "diagnosis_label string, cases long")
+    shares = {r["site_group"]: r["share_pct"] for r in rollup.site_group_summary(rows).collect() if r["cases"]}
+    assert set(shares.values()) == {60.0, 40.0}
+
+
+def test_last_row_of_the_last_file_wins(spark):
+    from epispan.plans.products import deduplicated_admissions
+
+    rows = [(2020, 1, "g", "o", "O", v, f, n) for v, f, n in ((9, "a", 1), (5, "a", 2), (4, "b", 7), (3, "b", 12))]
+    frame = spark.createDataFrame(rows, "year int, month int, geography string, outcome_id string, outcome_label string, value long, source_file string, source_row_number long")
+    assert [r["value"] for r in deduplicated_admissions(frame).collect()] == [3]
+    assert [r["value"] for r in deduplicated_admissions(frame.where("source_file = 'a'")).collect()] == [5]

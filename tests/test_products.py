@@ -18,7 +18,8 @@ CITY = Territory("33", "330000", "3300000")
 def test_every_statement_has_a_query_and_columns_agree():
     queries, statements = contract.queries(), contract.oracle_sql()
     assert set(statements) <= set(queries)
-    assert set(queries) - set(statements) == {"st16_interrupted_time_series", "st17_linear_combination_rr"}
+    own = contract.all_queries()
+    assert set(own) == set(contract.all_sql()) and set(own) <= set(queries)
     con = duckdb.connect()
     for name in ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations").split():
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{DATA}/{name}.parquet'")
@@ -73,8 +74,8 @@ def test_overlapping_windows_and_incomplete_years(spark):
     months = [(y, m, "rj_total", "resp_all", 10, "w1") for y in (2019, 2020) for m in range(1, 13)][:-1]
     months += [(2019, m, "rj_total", "resp_all", 20, "w2") for m in range(1, 13)]
     windows = spark.createDataFrame(
-        [(y, m, g, o, v, f, "L") for y, m, g, o, v, f in months],
-        "year int, month int, geography string, outcome_id string, value long, source_file string, outcome_label string",
+        [(y, m, g, o, v, f, "L", i) for i, (y, m, g, o, v, f) in enumerate(months)],
+        "year int, month int, geography string, outcome_id string, value long, source_file string, outcome_label string, source_row_number long",
     )
     people = spark.createDataFrame([(y, "rj_total", 1000, "e") for y in (2019, 2020)], "year int, geography string, population long, source_status string")
     got = products.annual_admission_rates(windows, people).collect()
@@ -110,7 +111,7 @@ def test_release_rules_fire_one_by_one(spark):
         "release_status": "public_release_ready", "pending_gates": 0, "without_map": 0, "hospital_without_country": 0,
         "death_without_profile": 0, "missing_denominator_years": 0, "contract_gaps": 0, "small_cell_leaks": 0,
         "download_leaks": 0, "profile_leaks": 0, "profile_municipalities": 92, "expected_municipalities": 92, "open_sources": 0,
-        "provisional": 0,
+        "provisional": 0, "claiming_profiles": 3,
     }
     def findings(**change):
         frame = spark.createDataFrame([tuple((clean | change).values())], list(clean))
@@ -120,6 +121,8 @@ def test_release_rules_fire_one_by_one(spark):
     assert findings() == (set(), True)
     assert findings(profile_leaks=1) == ({"profile-suppression-leak"}, False)
     assert findings(provisional=3) == ({"provisional-observations"}, True)
+    assert findings(profile_municipalities=0) == ({"profile-municipality-coverage"}, False)
+    assert findings(profile_municipalities=0, claiming_profiles=0) == (set(), True)
     assert findings(profile_municipalities=91) == ({"profile-municipality-coverage"}, False)
     assert findings(release_status="technical_beta", pending_gates=2)[0] == {"release-not-public", "review-gates-pending"}
 

@@ -1,14 +1,17 @@
 import gzip
 import hashlib
+import io
 import json
 import zipfile
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from epispan.fixed_values import Territory
 from epispan.operators.quality import row_sequence_ok
 from epispan.operators.rollup import component_sums
+from epispan.plans import harmonize
 from epispan.sources import provenance, sinks
 from epispan.sources.config import load_outcomes
 from epispan.sources.microdata import (
@@ -26,7 +29,7 @@ HEAD = "CAUSABAS;IDADE;SEXO;CODMUNOCOR;CODMUNRES;DTOBITO;DTNASC\n"
 
 def test_plain_csv_keeps_residence_and_fills_absent_fields(spark, tmp_path):
     (tmp_path / "sim_2019.csv").write_bytes("CAUSABAS;IDADE;SEXO;CODMUNRES\nJ18.9;480;1;330630\nC34;401;2;ação\n".encode("latin1"))
-    first, second = harmonize_deaths(scan_death_csv(spark, str(tmp_path)), CITY).orderBy("source_row_number").collect()
+    first, second = harmonize_deaths(scan_death_csv(spark, str(tmp_path), numbered=True), CITY).orderBy("source_row_number").collect()
     assert first["source_year"] == 2019 and first["residence_is_vr"] and first["municipality_code_occurrence"] == ""
     assert second["municipality_code_datasus"] == "ação" and not second["residence_code_valid"]
     assert [first["source_row_number"], second["source_row_number"]] == [1, 2]
@@ -59,7 +62,7 @@ def test_row_numbers_run_through_every_split_of_a_file(spark, tmp_path):
         (tmp_path / name).write_text("CAUSABAS;IDADE;SEXO;CODMUNRES;LINE\n" + lines + "\n")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
     try:
-        raw = scan_death_csv(spark, str(tmp_path))
+        raw = scan_death_csv(spark, str(tmp_path), numbered=True)
         assert raw.where(F.col("source_row_number") != F.col("LINE").cast("long")).count() == 0
         assert raw.count() == 20007
         assert all(r["source_row_sequence_ok"] for r in row_sequence_ok(raw, ["source_file"]).collect())
@@ -101,8 +104,8 @@ def test_census_cells_group_to_broad_ages_and_count_dashes_as_zero(spark, tmp_pa
 
 
 def test_registry_keeps_year_rows_only(spark, tmp_path):
-    (tmp_path / "r.csv").write_bytes('"Ano do diagnóstico";"Casos"\n"2013";"120"\n"Total";"120"\n'.encode("latin1"))
-    assert [tuple(r) for r in registry_years(scan_registry_csv(spark, str(tmp_path / "r.csv"))).collect()] == [(2013, 120)]
+    (tmp_path / "r.csv").write_bytes('"Ano do diagnóstico";"Casos"\n"1987";"41"\n"1991";"8"\n"Total";"49"\n'.encode("latin1"))
+    assert [tuple(r) for r in registry_years(scan_registry_csv(spark, str(tmp_path / "r.csv"))).collect()] == [(1987, 41), (1991, 8)]
 
 
 PAGE = """<HTML><PRE>
@@ -143,11 +146,71 @@ def test_format_verdicts(spark):
     files = [
         ("a.json", b"[1]"), ("b.json", b"{"), ("c.geojson", gzip.compress(shape)), ("d.geojson", b"{}"), ("e.pdf", b"%PDF-1"),
         ("f.csv", "Ano;Casos\n1;2".encode("latin1")), ("g.csv", b"A;B;C\n"), ("h.zip", b"nope"), ("i.exe", b"x"),
-        ("j.parquet", b"PAR1....PAR1"),
+        ("j.parquet", b"PAR1....PAR1"), ("k.parquet", _parquet_bytes()), ("l.csv", b"IDADE;SEXO;CODMUNRES;CAUSABAS\r\n1;2;3;4\r\n"), ("m.zip", _zip_bytes()),
     ]
     frame = spark.createDataFrame([(p, bytearray(c)) for p, c in files], "path string, content binary")
-    good = {r["path"] for r in provenance.file_format_check(frame).where("format_ok").collect()}
-    assert good == {"a.json", "c.geojson", "e.pdf", "f.csv", "j.parquet"}
+    verdicts = {r["path"]: r for r in provenance.file_format_check(frame).collect()}
+    assert {p for p, r in verdicts.items() if r["format_ok"]} == {"a.json", "c.geojson", "e.pdf", "f.csv", "k.parquet", "l.csv", "m.zip"}
+    assert verdicts["k.parquet"]["format_details"] == "3 rows, 1 columns" and verdicts["m.zip"]["format_details"] == "inner.csv"
+    assert "CAUSABAS" in verdicts["g.csv"]["problem"]
+    hashes = frame.select("path", F.sha2("content", 256).alias("declared")).where("path <> 'e.pdf'")
+    both = {r["path"]: r["ok"] for r in provenance.raw_file_verdict(frame, hashes).collect()}
+    assert both["a.json"] and not both["e.pdf"] and not both["b.json"]
+
+
+def _parquet_bytes() -> bytes:
+    out = io.BytesIO()
+    pd.DataFrame({"n": [1, 2, 3]}).to_parquet(out)
+    return out.getvalue()
+
+
+def _zip_bytes() -> bytes:
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as archive:
+        archive.writestr("inner.csv", "x")
+    return out.getvalue()
+
+
+def test_a_quoted_line_break_is_no_row(spark, tmp_path):
+    (tmp_path / "sim_2018.csv").write_text('CODMUNRES;SEXO;IDADE;CAUSABAS\n330630;1;450;"J1\n89"\n330630;2;450;J18\n')
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+        scan_death_csv(spark, str(tmp_path)).select("SEXO").collect()
+    rows = scan_death_csv(spark, str(tmp_path), multi_line=True).collect()
+    assert [r["CAUSABAS"] for r in rows] == ["J1\n89", "J18"]
+
+
+def test_folder_of_layouts(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "sim_2016.csv").write_text("SEXO;IDADE;CODMUNRES;CAUSABAS\n1;450;330630;J10\n2;451;330630;J11\n")
+    (raw / "sim_2017.csv").write_text("CAUSABAS;CODMUNRES;DTOBITO;IDADE;SEXO;NEW\nJ12;330100;05032017;410;1;z\n")
+    rows = {(r["source_year"], r["underlying_cause"]): r for r in harmonize.harmonize_death_files(spark, str(raw), CITY).collect()}
+    assert set(rows) == {(2016, "J10"), (2016, "J11"), (2017, "J12")}
+    assert rows[2016, "J10"]["death_date"] is None and str(rows[2017, "J12"]["death_date"]) == "2017-03-05"
+    assert harmonize.harmonize_death_files(spark, str(raw), CITY, years=[2017]).count() == 1
+    with pytest.raises(FileNotFoundError):
+        harmonize.harmonize_death_files(spark, str(raw), CITY, years=[1990])
+    target = str(tmp_path / "out")
+    first = harmonize.run_years(harmonize.harmonize_death_files(spark, str(raw), CITY), target, None)
+    kept = spark.createDataFrame(first.collect(), first.schema)
+    (raw / "sim_2017.csv").write_text("CAUSABAS;CODMUNRES;IDADE;SEXO\nJ13;330630;410;1\nJ14;330630;410;1\n")
+    again = harmonize.run_years(harmonize.harmonize_death_files(spark, str(raw), CITY, years=[2017]), target, kept)
+    assert {r["source_year"]: (r["rows"], r["city_rows"]) for r in again.collect()} == {2016: (2, 2), 2017: (2, 2)}
+    (raw / "sim_2015.csv").write_text("SEXO;IDADE;CODMUNRES\n1;450;330630\n")
+    with pytest.raises(ValueError, match="CAUSABAS"):
+        harmonize.harmonize_death_files(spark, str(raw), CITY)
+
+
+def test_notification_field_missing_in_the_first_file(spark, tmp_path):
+    columns = "CO_MUN_RES string, CS_SEXO string, NU_IDADE_N string, DT_SIN_PRI date, CLASSI_FIN string, EVOLUCAO string"
+    row = ("330630", "M", "6", None, "5", "2")
+    spark.createDataFrame([row], columns).write.parquet(str(tmp_path / "a"))
+    spark.createDataFrame([(*row, "3")], columns + ", TP_IDADE string").write.parquet(str(tmp_path / "b"))
+    raw = scan_notification_parquet(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
+    assert sorted(r["TP_IDADE"] or "" for r in raw.collect()) == ["", "3"]
+    spark.createDataFrame([("1",)], "CO_MUN_RES string").write.parquet(str(tmp_path / "c"))
+    with pytest.raises(ValueError, match="missing fields"):
+        scan_notification_parquet(spark, [str(tmp_path / "a"), str(tmp_path / "c")])
 
 
 def test_rerun_replaces_only_its_own_partitions_and_entries(spark, tmp_path):

@@ -74,8 +74,8 @@ def test_an_area_that_misses_a_cell_raises_and_is_named(spark):
     standard = spark.createDataFrame(STANDARD, "age_group string, sex string, population long")
     gaps = {r["geography"]: r["missing_cells"] for r in coverage_gaps(rates, standard, ["geography"]).collect()}
     assert gaps == {"a": 0, "b": 1}
-    with pytest.raises(Exception, match="does not cover"):
-        direct_standardized_rate(rates, standard, ["geography"]).collect()
+    with pytest.raises(Exception, match="not all covered"):
+        direct_standardized_rate(rates, standard, ["geography"]).select("geography").collect()
 
 
 def test_leave_one_out_standardisation_of_two_cities_swaps_them(spark):
@@ -95,7 +95,7 @@ def _monthly(months: int = 96, seed: int = 3, missing_year: int | None = 2014) -
         step = year > 2016 or (year == 2016 and month >= 3)
         mean = 40 * math.exp(0.004 * i - 0.3 * step + 0.2 * math.sin(month / 2))
         rows.append(("o", "g", pd.Timestamp(year, month, 1).date(), year, month, int(rng.poisson(mean)), 120000 + 100 * i))
-    return pd.DataFrame(rows, columns=["outcome_id", "geography", "period", "year", "month", "count", "population"])
+    return pd.DataFrame(rows, columns=["outcome_id", "geography", "period", "year", "month", "count", "population"]).assign(outcome_label="O")
 
 
 def test_interruption_variables_do_not_shift_at_the_break(spark):
@@ -146,3 +146,23 @@ def test_short_or_empty_series_are_marked_without_estimates(spark):
     short = interruption_variables(spark.createDataFrame(_monthly(20, missing_year=None)), 2012, "2016-03-01")
     row = its.fit_interrupted_series(short).collect()[0]
     assert row["model_status"] == "suppressed_insufficient_events" and row["immediate_level_rr"] is None
+
+
+def test_a_fit_that_does_not_settle_says_so(spark, monkeypatch):
+    prepared = interruption_variables(spark.createDataFrame(_monthly()), 2012, "2016-03-01").toPandas()
+    assert its._fit_series(("o", "g"), prepared)["converged"][0]
+    monkeypatch.setattr(its, "MAX_STEPS", 1)
+    row = its._fit_series(("o", "g"), prepared).iloc[0]
+    assert row["model_status"] == "not_converged" and not row["converged"] and row["immediate_level_rr"] is None
+
+
+def test_level_change_and_moments(spark):
+    prepared = interruption_variables(spark.createDataFrame(_monthly()), 2012, "2016-03-01")
+    data = prepared.toPandas()
+    after = data["pandemic_step"] == 1
+    rate = [data.loc[m, "count"].sum() / data.loc[m, "monthly_population"].sum() for m in (after, ~after)]
+    row = its.fit_level_change(prepared).collect()[0]
+    assert row["immediate_level_rr"] == pytest.approx(rate[0] / rate[1], rel=1e-9)
+    moments = {r["moment"]: r["fitted"] for r in its.fitted_moments(prepared).collect()}
+    assert moments["time_index"] == pytest.approx((data["count"] * data["time_index"]).sum(), rel=1e-8)
+    assert moments["month_4"] == pytest.approx(data.loc[data["month"] == 4, "count"].sum(), rel=1e-8)
