@@ -180,13 +180,19 @@ def calibrate(logits: np.ndarray, truth: np.ndarray) -> float:
 
 def _sample(docs: DataFrame) -> tuple[list, list[str]]:
     """Sparse counts of a bounded, hash-chosen set of documents of each language."""
+    spark = docs.sparkSession
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    languages = sorted(r["lang"] for r in labelled.select("lang").distinct().limit(SAMPLE_DOCS).collect())
+    rows_of = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(SAMPLE_DOCS).collect()}
+    languages = sorted(rows_of)
     if not languages:
         return [], []
     each = max(1, min(SAMPLE_PER_LANGUAGE, SAMPLE_DOCS // len(languages)))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = labelled.select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= each).select("doc_id").distinct()
+    # A language's share of the hash range that holds half as many again; only those few rows are ranked.
+    whole = 1 << 40
+    shares = spark.createDataFrame([(k, min(whole, int(whole * (1.5 * each + 20) / n) + 1)) for k, n in rows_of.items()], "lang string, share bigint")
+    near = labelled.select("doc_id", "lang").join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(whole)) < F.col("share"))
+    order = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(whole)), "doc_id")
+    ids = near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each).select("doc_id").distinct()
     chosen = labelled.select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
