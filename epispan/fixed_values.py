@@ -261,6 +261,28 @@ SOURCE_ATTRIBUTES = [
     ("SIH", "hospitalization", "Internações hospitalares (AIHs)", "internações/AIHs de residentes"),
     ("SIM", "mortality", "Mortalidade", "óbitos de residentes pela causa básica"),
 ]
+# What the catalogue says about each source: (source, short name, definition, what its figures do not show).
+SOURCE_TEXTS = [
+    ("SIH", "SIH/SUS — DATASUS",
+     "Eventos de internação registrados em Autorizações de Internação Hospitalar por município de residência. "
+     "Não representam pessoas únicas nem casos novos.",
+     "Não representa pessoas únicas, casos novos, incidência ou prevalência da doença."),
+    ("SIM", "SIM — Ministério da Saúde",
+     "Óbitos de residentes classificados pela causa básica no Sistema de Informação sobre Mortalidade. "
+     "Esses óbitos não representam incidência, prevalência ou todos os casos existentes da doença.",
+     "Não mede causalidade ambiental, risco individual, incidência ou prevalência da doença."),
+]
+ALLOWED_CONCLUSION = (
+    "Descreve a frequência e a taxa registrada entre residentes e permite comparações descritivas com os territórios disponíveis."
+)
+STANDARD_POPULATION_LABEL = "Brasil — Censo 2022"
+MAP_PENDING = "context_only_pending_validated_municipal_rates"
+MAP_NOTES = {
+    "SIM": "Taxa bruta municipal de mortalidade SIM {} por residência; células <5 suprimidas.",
+    "SIH": "Taxa bruta municipal de internações SIH {} por residência; AIHs são eventos e células <5 estão suprimidas.",
+    "standardized": "Taxa padronizada por idade e sexo pela população do Brasil no Censo 2022; células com contagem total <5 estão suprimidas.",
+}
+RELEASE_COMPARATORS = ("rest_of_rj_excluding_selected_municipality", "brazil_total")
 SYNONYMS = {
     "lung": ["pulmão", "câncer de pulmão", "bronquios", "traqueia"],
     "pneumonia": ["pneumonia", "infecção pulmonar"],

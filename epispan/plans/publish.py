@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..fixed_values import PROTECTED_PROFILE_FIELDS, RATE_MULTIPLIER, SOURCE_ATTRIBUTES, STATE_TOTAL
+from ..fixed_values import (
+    ALLOWED_CONCLUSION, MAP_NOTES, MAP_PENDING, PROTECTED_PROFILE_FIELDS, RATE_MULTIPLIER, RELEASE_COMPARATORS, SMALL_CELL, SOURCE_ATTRIBUTES,
+    SOURCE_TEXTS, STANDARD_POPULATION_LABEL, STATE_TOTAL, outcome_definitions,
+)
 from ..functions.demographics import lookup
 from ..functions.labels import indicator_id, outcome_theme, synonym_array
 from ..functions.periods import data_status
@@ -62,29 +65,62 @@ def standardized_observations(rates: DataFrame, source: str, year: int, manifest
 
 
 def catalog(series: DataFrame, municipal_series: DataFrame, labels: DataFrame) -> DataFrame:
-    """One record per indicator with its coverage.
+    """One record per indicator: what it measures, how, where and when, and what may be concluded.
 
-    ``labels`` maps outcomeId to its label; nested lists come out as sorted arrays.
+    ``labels`` maps outcomeId to its label. Whether an indicator is standardised, and for which
+    year, is read from its municipal series; nested lists come out as sorted arrays.
     """
     areas = series.groupBy("indicatorId", "source", "outcomeId").agg(
         F.array_sort(F.collect_set("geographyId")).alias("geographyIds"),
         F.min(F.col("period").cast("int")).alias("yearStart"),
         F.max(F.col("period").cast("int")).alias("yearEnd"),
     )
-    measures = {s: m for s, m, _, _ in SOURCE_ATTRIBUTES}
-    units = {s: u for s, _, _, u in SOURCE_ATTRIBUTES}
-    described = areas.join(labels, "outcomeId").withColumns({
-        "theme": outcome_theme("outcomeId"),
-        "measure": lookup(measures, F.col("source")),
-        "unit": lookup(units, F.col("source")),
-        "synonyms": synonym_array("outcomeId", "label"),
-        "profileAvailability": F.when(F.col("source") == "SIM", F.lit(AVAILABLE_PROFILE)).otherwise(
-            F.lit("not_applicable_current_release")
-        ),
-    })
+    metrics = municipal_series.groupBy("indicatorId").agg(
+        F.max(F.when(F.col("metricKind") == STANDARDIZED, F.col("period"))).alias("_standard"),
+        F.max(F.when(F.col("metricKind") == CRUDE, F.col("period"))).alias("_mapped"),
+    )
+    known = areas.join(labels, "outcomeId").join(metrics, "indicatorId", "left")
+    described = known.withColumns(_source_columns() | _metric_columns()).drop("_standard", "_mapped")
     return described.join(coverage_summary(municipal_series), "indicatorId", "left")
 
 
+def _source_columns() -> dict[str, Column]:
+    """Fields that follow from source and outcome alone."""
+    source = F.col("source")
+    attributes = {s: (measure, label, unit) for s, measure, label, unit in SOURCE_ATTRIBUTES}
+    texts = {s: (name, definition, limits) for s, name, definition, limits in SOURCE_TEXTS}
+
+    def of(table: dict[str, tuple], place: int) -> Column:
+        return lookup({s: values[place] for s, values in table.items()}, source)
+
+    ranges = F.lit(None).cast("array<string>")
+    for outcome in outcome_definitions():
+        ranges = F.when(F.col("outcomeId") == outcome.id, F.array(*[F.lit(r) for r in outcome.ranges])).otherwise(ranges)
+    return {
+        "theme": outcome_theme("outcomeId"), "measure": of(attributes, 0), "measureLabel": of(attributes, 1), "unit": of(attributes, 2),
+        "sourceLabel": of(texts, 0), "definition": of(texts, 1), "doesNotAllowConclusion": of(texts, 2),
+        "allowsConclusion": F.lit(ALLOWED_CONCLUSION), "cidRanges": ranges, "synonyms": synonym_array("outcomeId", "label"),
+        "geographyBasis": F.lit("residence"), "methodologyUrl": F.concat(F.lit("/indicadores/"), "indicatorId"),
+        "profileAvailability": F.when(source == "SIM", F.lit(AVAILABLE_PROFILE)).otherwise(F.lit("not_applicable_current_release")),
+    }
+
+
+def _metric_columns() -> dict[str, Column]:
+    """Fields that follow from the metrics an indicator has."""
+    year, has = F.col("_standard"), F.col("_standard").isNotNull()
+    none = F.array().cast("array<string>")
+    shown = F.concat(F.lit("validated_"), F.lower("source"), F.lit("_"), "_mapped", F.lit("_municipal_residence_rates_crude"))
+    return {
+        "availableMetrics": F.array_compact(F.array(F.when(has, F.lit(STANDARDIZED)), F.lit(CRUDE), F.lit("count"))),
+        "standardization": F.when(has, F.concat(F.lit("age_sex_standardized_"), year, F.lit("_and_crude_annual"))).otherwise(F.lit("crude_only")),
+        "standardPopulation": F.when(has, F.lit(STANDARD_POPULATION_LABEL)),
+        "standardizationDimensions": F.when(has, F.array(F.lit("age_group"), F.lit("sex"))).otherwise(none),
+        "standardizedRateAvailability": F.when(has, F.concat(F.lit("available_"), year)).otherwise(F.lit("not_available")),
+        "metricPeriod": F.when(has, F.create_map(F.lit(STANDARDIZED), year)).otherwise(F.create_map().cast("map<string,string>")),
+        "mapStatus": F.coalesce(shown, F.lit(MAP_PENDING)),
+    }
+
+
 def coverage_summary(municipal: DataFrame) -> DataFrame:
     """Publishable areas and first, last, missing and provisional periods per indicator."""
     year = F.col("period").cast("int")
@@ -116,6 +152,88 @@ def alternative_map(series: DataFrame) -> DataFrame:
     return crude.join(latest, ["indicatorId", "period"], "left_semi")
 
 
+_VALUE_FIELDS = [
+    "source", "outcomeId", "geographyId", "period", "metricKind", "value", "count", "denominator", "ciLow", "ciHigh", "dataStatus",
+    "periodStatus", "suppressed", "manifestRef",
+]
+
+
+def _sorted_values(fields: list[str], first: str) -> Column:
+    """A group's records as an array in a stable order; groups here are an indicator's areas in one period."""
+    return F.array_sort(F.collect_list(F.struct(first, *[f for f in fields if f != first])))
+
+
+def map_documents(series: DataFrame, indicators: DataFrame) -> DataFrame:
+    """One nested map document per indicator of ``indicators`` (indicatorId), shown values first, alternative beside them.
+
+    A document holds one record per municipality. An indicator without municipal values gets an
+    empty one that says so.
+    """
+    shown = municipal_map(series).groupBy("indicatorId", "source", "metricKind", "period").agg(_sorted_values(_VALUE_FIELDS, "geographyId").alias("values"))
+    crude = alternative_map(series).groupBy("indicatorId", "metricKind", "period").agg(_sorted_values(_VALUE_FIELDS, "geographyId").alias("values"))
+    alternatives = crude.select("indicatorId", F.array(F.struct("metricKind", "period", "values")).alias("alternatives"))
+    joined = indicators.select("indicatorId").join(shown, "indicatorId", "left").join(alternatives, "indicatorId", "left")
+    standard, pending = F.col("metricKind") == STANDARDIZED, F.col("period").isNull()
+    kind = F.when(standard, F.lit("age_sex_standardized")).otherwise(F.lit("crude"))
+    note = F.lit(None).cast("string")
+    for source, text in MAP_NOTES.items():
+        before, _, behind = text.partition("{}")
+        note = F.when(F.col("source") == source, F.concat(F.lit(before), "period", F.lit(behind))).otherwise(note)
+    return joined.select(
+        "indicatorId", F.when(standard, F.lit("1.1.0")).otherwise(F.lit("1.0.0")).alias("schemaVersion"),
+        F.when(pending, F.lit(MAP_PENDING)).otherwise(
+            F.concat(F.lit("validated_"), F.lower("source"), F.lit("_"), "period", F.lit("_municipal_residence_rates_"), kind)
+        ).alias("status"),
+        F.col("period").cast("int").alias("period"), "metricKind", F.coalesce("values", F.array()).alias("values"),
+        F.coalesce("alternatives", F.array()).alias("alternatives"), F.when(standard, F.lit(MAP_NOTES["standardized"])).otherwise(note).alias("note"),
+    )
+
+
+def comparison_documents(rates: DataFrame, manifest: str) -> DataFrame:
+    """One record per indicator, city and period: the protected rest of the state nested, the country left open."""
+    rest = comparisons(rates, manifest)
+    fields = [c for c in rest.columns if c not in ("indicatorId", "municipalityCode")]
+    return rest.select(
+        "indicatorId", "municipalityCode", "period", F.struct(*fields).alias("restOfState"), F.lit(None).cast("double").alias("brazil")
+    )
+
+
+def publication_gate(signoff: dict, release_id: str, accessibility_revalidated: bool) -> dict[str, str]:
+    """Review states. A sign-off counts only for the release it names, the accessibility one only after a new audit."""
+    valid = signoff if signoff.get("releaseId") == release_id else {}
+
+    def state(name: str) -> str:
+        return valid.get(name, {}).get("status", "pending")
+
+    return {
+        "epidemiologyReview": state("epidemiologyReview"),
+        "accessibilityReview": state("accessibilityReview") if accessibility_revalidated else "pending",
+        "provenanceReview": "generated",
+    }
+
+
+def release_manifest(
+    artifacts: DataFrame, records: DataFrame, missing_years: DataFrame, signoff: dict, release_id: str, accessibility_revalidated: bool
+) -> DataFrame:
+    """The release record: gate, comparators, coverage, and the written files with their checksums.
+
+    ``artifacts`` has path, bytes, sha256 of the files as they lie in the package, one per document;
+    ``records`` is the catalogue and ``missing_years`` the years without denominator.
+    """
+    gate = publication_gate(signoff, release_id, accessibility_revalidated)
+    first = {s: F.min(F.when(F.col("theme") == s, F.col("yearStart"))).alias(f"{s}Start") for s in ("respiratory", "cardiovascular", "cardiorespiratory", "cancer")}
+    coverage = records.agg(F.count(F.lit(1)).alias("indicatorCount"), *first.values(), F.max("yearEnd").alias("latestObservedYear"))
+    files = artifacts.agg(F.array_sort(F.collect_list(F.struct("path", "bytes", "sha256"))).alias("artifacts"))
+    gaps = missing_years.agg(F.array_sort(F.collect_set("year")).alias("missingDenominatorYears"))
+    primary, secondary = RELEASE_COMPARATORS
+    return coverage.select(
+        F.lit(release_id).alias("releaseId"), F.lit(release_status(gate)).alias("status"), F.lit(SMALL_CELL).alias("smallCellThreshold"),
+        F.lit(primary).alias("primaryComparator"), F.lit(secondary).alias("secondaryComparator"),
+        F.struct(*[F.lit(v).alias(k) for k, v in gate.items()]).alias("publicationGate"),
+        F.struct(*coverage.columns, gaps.scalar().alias("missingDenominatorYears")).alias("coverage"), files.scalar().alias("artifacts"),
+    )
+
+
 def map_scale(series: DataFrame, metric: Column) -> DataFrame:
     """Fixed colour domain of an indicator: its published range over every year."""
     return series.where(F.col("value").isNotNull() & (F.col("metricKind") == metric)).groupBy("indicatorId").agg(
@@ -251,8 +369,6 @@ def filtered_download(
     return chosen.withColumn("selectedValue", shown).orderBy("period", "geographyId", "indicatorId")
 
 
-
-
 def release_status(gate: dict[str, str]) -> str:
     """Public only once both human reviews are approved."""
     approved = all(gate.get(name) == "approved" for name in ("epidemiologyReview", "accessibilityReview"))

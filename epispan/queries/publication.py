@@ -14,8 +14,8 @@ from ..session import fresh_path, table
 from ..sources import provenance, sinks
 from .registry import query
 from .standins import (
-    MUNICIPALITIES, STANDARD_YEAR, TERRITORY, admission_windows, death_counts, death_rates, map_rates, monthly_admissions,
-    municipal_population, notification_totals, population, population_age_sex, profile_cells, state_age_sex,
+    MUNICIPALITIES, SIM, STANDARD_YEAR, TERRITORY, admission_windows, death_rates, deaths, map_rates, monthly_admissions,
+    municipal_population, notifications, population, population_age_sex, profile_cells, state_age_sex,
     state_municipal_population,
 )
 
@@ -54,21 +54,37 @@ def _shown(df, *extra):
     )
 
 
+_RANGES = {o.id: "|".join(o.ranges) for o in outcome_definitions("SIM")}
+_RANGES_SQL = ", ".join(f"('{k}', '{v}')" for k, v in _RANGES.items())
+
+
 @query("pb01_catalog", f"""
-    SELECT {_IND} AS indicator, section AS theme, outcome_label AS label, 'mortality' AS measure, 'brazil_total|rest_of_rj_excluding_vr|rj_total|volta_redonda' AS geographies,
-      CAST(y0 AS INT) AS year_start, CAST(y1 AS INT) AS year_end, count(DISTINCT code7) FILTER (WHERE n >= 5) AS publishable, '1998' AS missing
-    FROM munimap JOIN (SELECT outcome_id, outcome_label FROM outcomes) o USING (outcome_id)
-    JOIN (SELECT outcome_id, min(year) AS y0, max(year) AS y1 FROM mort GROUP BY 1) USING (outcome_id) GROUP BY ALL""")
+    WITH a AS (SELECT outcome_id, CAST(min(year) AS INT) AS y0, CAST(max(year) AS INT) AS y1, string_agg(DISTINCT geography, '|' ORDER BY geography) AS geographies FROM mort GROUP BY 1),
+      y AS (SELECT outcome_id, min(year) AS first, max(year) AS last, count(DISTINCT code7) FILTER (WHERE n >= 5) AS publishable, list(DISTINCT year) AS years FROM munimap GROUP BY 1),
+      c AS (SELECT *, outcome_id IN ('alzheimer', 'dementias_all') AS standard FROM a JOIN y USING (outcome_id) JOIN (SELECT DISTINCT outcome_id, outcome_label, section FROM outcomes) USING (outcome_id)
+        JOIN (VALUES {_RANGES_SQL}) v(outcome_id, ranges) USING (outcome_id))
+    SELECT {_IND} AS indicator, section AS theme, outcome_label AS label, 'mortality' AS measure, 'Mortalidade' AS measure_label, geographies, y0 AS year_start, y1 AS year_end, publishable,
+      (SELECT coalesce(string_agg(CAST(i AS STRING), '|' ORDER BY i), '') FROM range(first, last + 1) r(i) WHERE NOT list_contains(years, i)) AS missing, ranges,
+      CASE WHEN standard THEN 'age_sex_standardized_rate_per_100k|' ELSE '' END || 'crude_rate_per_100k|count' AS metrics,
+      CASE WHEN standard THEN 'age_sex_standardized_2000_and_crude_annual' ELSE 'crude_only' END AS standardization, CASE WHEN standard THEN 'age_group|sex' ELSE '' END AS dimensions,
+      CASE WHEN standard THEN 'available_2000' ELSE 'not_available' END AS availability, CASE WHEN standard THEN '2000' END AS standard_period,
+      'validated_sim_' || CAST(last AS STRING) || '_municipal_residence_rates_crude' AS map_status, '/indicadores/' || {_IND} AS url, 'residence' AS basis FROM c""")
 def _(spark, folder):
-    crude = publish.observations(map_rates(spark, folder), "SIM", "population", MANIFEST, "municipality_code_ibge")
     labels = literal_map({o.id: o.label for o in outcome_definitions()})
     aggregate = _aggregate(spark, folder)
     named = aggregate.select("outcomeId").distinct().withColumn("label", labels[F.col("outcomeId")])
-    records = publish.catalog(aggregate, crude, named)
+    records = publish.catalog(aggregate, _municipal(spark, folder), named)
+    lists = {
+        "geographies": "geographyIds", "missing": "missingPeriods", "ranges": "cidRanges", "metrics": "availableMetrics", "dimensions": "standardizationDimensions",
+    }
+    plain = {
+        "indicator": "indicatorId", "theme": "theme", "label": "label", "measure": "measure", "measure_label": "measureLabel", "year_start": "yearStart",
+        "year_end": "yearEnd", "publishable": "publishableMunicipalityCount", "standardization": "standardization", "availability": "standardizedRateAvailability",
+        "map_status": "mapStatus", "url": "methodologyUrl", "basis": "geographyBasis",
+    }
     return records.select(
-        F.col("indicatorId").alias("indicator"), "theme", "label", "measure", F.array_join("geographyIds", "|").alias("geographies"),
-        F.col("yearStart").alias("year_start"), F.col("yearEnd").alias("year_end"),
-        F.col("publishableMunicipalityCount").alias("publishable"), F.array_join("missingPeriods", "|").alias("missing"),
+        *[F.col(c).alias(n) for n, c in plain.items()], *[F.array_join(c, "|").alias(n) for n, c in lists.items()],
+        F.col("metricPeriod")[publish.STANDARDIZED].alias("standard_period"),
     )
 
 
@@ -100,6 +116,31 @@ def _(spark, folder):
     return _shown(publish.alternative_map(_municipal(spark, folder)), F.col("geographyId").alias("code7"))
 
 
+@query("pb03_map_documents", f"""
+    WITH {_STD}, v AS (SELECT *, outcome_id IN ('alzheimer', 'dementias_all') AS standard, metric <> 'crude_rate_per_100k' AS adjusted FROM ms),
+      s AS (SELECT outcome_id, standard, max(year) AS year, count(*) AS areas, sum(CASE WHEN n >= 5 THEN n ELSE 0 END)::BIGINT AS shown FROM v
+        WHERE CASE WHEN standard THEN adjusted ELSE year = 2001 END GROUP BY ALL),
+      a AS (SELECT outcome_id, count(*) AS areas, sum(CASE WHEN n >= 5 THEN n ELSE 0 END)::BIGINT AS shown FROM v WHERE standard AND NOT adjusted AND year = 2001 GROUP BY 1)
+    SELECT {_IND.replace('outcome_id', 's.outcome_id')} AS indicator, CASE WHEN standard THEN '1.1.0' ELSE '1.0.0' END AS version, CAST(year AS INT) AS period, s.areas, s.shown,
+      'validated_sim_' || CAST(year AS STRING) || '_municipal_residence_rates_' || CASE WHEN standard THEN 'age_sex_standardized' ELSE 'crude' END AS status,
+      CASE WHEN a.areas IS NULL THEN 0 ELSE 1 END AS alternatives, coalesce(a.areas, 0) AS other_areas, coalesce(a.shown, 0) AS other_shown FROM s LEFT JOIN a USING (outcome_id)
+    UNION ALL SELECT 'sih-none', '1.0.0', NULL, 0, 0, 'context_only_pending_validated_municipal_rates', 0, 0, 0""")
+def _(spark, folder):
+    """Nested documents written one per indicator and read back; one indicator has no municipal values."""
+    series = _municipal(spark, folder)
+    wanted = series.select("indicatorId").distinct().unionByName(spark.createDataFrame([("sih-none",)], "indicatorId string"))
+    back = sinks.write_documents(publish.map_documents(series, wanted), fresh_path(spark, "maps"), "indicatorId")
+
+    def shown(values):
+        return F.aggregate(values, F.lit(0).cast("long"), lambda total, v: total + F.coalesce(v["count"], F.lit(0)))
+
+    other = F.flatten(F.transform(F.coalesce("alternatives", F.array()), lambda a: a["values"]))
+    return back.select(
+        F.col("indicatorId").alias("indicator"), F.col("schemaVersion").alias("version"), "period", F.size("values").cast("long").alias("areas"),
+        shown(F.col("values")).alias("shown"), "status", F.size("alternatives").alias("alternatives"), F.size(other).cast("long").alias("other_areas"), shown(other).alias("other_shown"),
+    )
+
+
 @query("pb04_municipal_series", f"WITH {_STD} SELECT {_IND} AS indicator, code7, CAST(year AS STRING) AS period, metric, {_SHOWN} FROM ms")
 def _(spark, folder):
     return _shown(_municipal(spark, folder), F.col("geographyId").alias("code7"), F.col("metricKind").alias("metric"))
@@ -123,8 +164,11 @@ def _(spark, folder):
       CASE WHEN n >= 5 THEN round(n / population * 100000.0, 5) END AS value FROM r""")
 def _(spark, folder):
     rates = map_rates(spark, folder).where(F.col("outcome_id").isin(NEURO))
-    rows = publish.comparisons(rates, MANIFEST)
-    return _shown(rows, F.col("municipalityCode").alias("code7"), "denominator")
+    rows = publish.comparison_documents(rates, MANIFEST)
+    return rows.select(
+        F.col("indicatorId").alias("indicator"), F.col("municipalityCode").alias("code7"), "period", F.col("restOfState.denominator").alias("denominator"),
+        F.col("restOfState.count").alias("count"), F.round("restOfState.value", 5).alias("value"),
+    )
 
 
 @query("pb07_municipality_summaries", f"""
@@ -163,18 +207,52 @@ def _(spark, folder):
     return _shown(typed, F.col("geographyId").alias("geography"), F.col("suppressed").cast("boolean").alias("suppressed"))
 
 
+_FILES_SQL = f"""
+    files AS (SELECT {_IND} AS indicator, string_agg(geography || ';' || CAST(year AS STRING) || ';' || coalesce(CAST(CASE WHEN n >= 5 THEN n END AS STRING), ''), chr(10) ORDER BY geography, year) || chr(10) AS body
+      FROM mort GROUP BY 1)"""
+
+
+def _written_files(spark, folder):
+    """One text file per indicator, its lines in order; then the files as they lie there."""
+    path = fresh_path(spark, "release-files")
+    line = F.concat_ws(";", "geographyId", "period", F.coalesce(F.col("count").cast("string"), F.lit("")))
+    rows = _aggregate(spark, folder).select("indicatorId", "geographyId", "period", line.alias("line"))
+    ordered = rows.repartition("indicatorId").sortWithinPartitions("indicatorId", "geographyId", "period")
+    ordered.select("indicatorId", "line").write.partitionBy("indicatorId").text(path)
+    return provenance.artifact_manifest(spark, {"series": path})
+
+
+@query("pb09_artifact_manifest", f"WITH {_FILES_SQL} SELECT indicator, 'series' AS \"group\", strlen(body) AS bytes, sha256(body) AS sha256 FROM files")
+def _(spark, folder):
+    """Checksums of the files written, one per indicator."""
+    name = F.regexp_extract("path", r"indicatorId=([^/]+)/", 1)
+    return _written_files(spark, folder).select(name.alias("indicator"), "group", "bytes", "sha256")
+
+
 @query("pb09_release_manifest", f"""
-    SELECT path, strlen(body) AS bytes, sha256(body) AS sha256, gate FROM (SELECT {_IND} || '.csv' AS path, string_agg(geography || ';' || CAST(year AS STRING) || ';' ||
-      coalesce(CAST(CASE WHEN n >= 5 THEN n END AS STRING), ''), chr(10) ORDER BY geography, year) AS body, 'technical_beta_not_for_public_release' AS gate FROM mort GROUP BY 1)""")
+    WITH {_FILES_SQL}, c AS (SELECT section, min(year) AS y0, max(year) AS y1, count(DISTINCT outcome_id) AS k FROM mort JOIN (SELECT DISTINCT outcome_id, section FROM outcomes) USING (outcome_id) GROUP BY 1)
+    SELECT release, CASE WHEN release = 'r1' THEN 'public_release_ready' ELSE 'technical_beta_not_for_public_release' END AS status, CASE WHEN release = 'r1' THEN 'approved' ELSE 'pending' END AS epidemiology,
+      (SELECT sum(k)::BIGINT FROM c) AS indicators, (SELECT CAST(min(y0) AS INT) FROM c WHERE section = 'cancer') AS cancer_start, (SELECT CAST(max(y1) AS INT) FROM c) AS latest,
+      (SELECT string_agg(CAST(year AS STRING), '|' ORDER BY year) FROM (SELECT DISTINCT year FROM death WHERE year NOT IN (SELECT year FROM pop))) AS missing_years,
+      (SELECT count(*) FROM files) AS artifacts, (SELECT sum(strlen(body))::BIGINT FROM files) AS bytes, (SELECT sha256(string_agg(sha256(body), '' ORDER BY indicator)) FROM files) AS digest
+    FROM (VALUES ('r1'), ('r2')) v(release)""")
 def _(spark, folder):
-    """Checksums of one document per indicator, with the release state the review gates give."""
-    line = F.concat_ws(";", "geographyId", "period", F.coalesce(F.col("count").cast("string"), F.lit("")))
-    lines = F.array_sort(F.collect_list(F.struct("geographyId", "period", line.alias("line"))))
-    files = _aggregate(spark, folder).groupBy(F.concat("indicatorId", F.lit(".csv")).alias("path")).agg(
-        F.array_join(F.transform(lines, lambda s: s["line"]), "\n").cast("binary").alias("content")
+    """A sign-off for r1 opens r1 and leaves r2 waiting."""
+    signoff = {"releaseId": "r1", "epidemiologyReview": {"status": "approved"}, "accessibilityReview": {"status": "approved"}}
+    name = F.concat(F.regexp_extract("path", r"indicatorId=([^/]+)/", 1), F.lit(".txt"))
+    artifacts = _written_files(spark, folder).select(name.alias("path"), "bytes", "sha256")
+    labels = literal_map({o.id: o.label for o in outcome_definitions()})
+    aggregate = _aggregate(spark, folder)
+    records = publish.catalog(aggregate, _municipal(spark, folder), aggregate.select("outcomeId").distinct().withColumn("label", labels[F.col("outcomeId")]))
+    years = deaths(spark, folder).select(F.col("source_year").cast("int").alias("year")).distinct()
+    missing = years.exceptAll(population(spark, folder).select("year").distinct())
+    both = union_all([publish.release_manifest(artifacts, records, missing, signoff, release, True) for release in ("r1", "r2")])
+    total = F.aggregate("artifacts", F.lit(0).cast("long"), lambda acc, a: acc + a["bytes"])
+    return both.select(
+        F.col("releaseId").alias("release"), "status", F.col("publicationGate.epidemiologyReview").alias("epidemiology"), F.col("coverage.indicatorCount").alias("indicators"),
+        F.col("coverage.cancerStart").alias("cancer_start"), F.col("coverage.latestObservedYear").alias("latest"), F.array_join("coverage.missingDenominatorYears", "|").alias("missing_years"),
+        F.size("artifacts").cast("long").alias("artifacts"), total.alias("bytes"), F.sha2(F.array_join(F.transform("artifacts", lambda a: a["sha256"]), ""), 256).alias("digest"),
     )
-    gate = publish.release_status({"epidemiologyReview": "approved", "accessibilityReview": "pending"})
-    return provenance.checksum_manifest(files).withColumn("gate", F.lit(gate))
 
 
 @query("pb10_geometry_table", """
@@ -206,12 +284,23 @@ def _(spark, folder):
 
 
 @query("pb13_outcome_counts", """
-    SELECT 'SIM' AS source, year, geography, outcome_id, 'óbito' AS outcome_status, sum(n)::BIGINT AS count FROM death_counts GROUP BY ALL
-    UNION ALL SELECT 'SIVEP-SRAG', year, geography, outcome_id, outcome_status, sum(n)::BIGINT FROM notif_counts GROUP BY ALL""")
+    SELECT 'SIM' AS source, year, geography, outcome_id, 'óbito' AS outcome_status, 'raw/sim_' || CAST(year AS STRING) || '.csv' AS source_path,
+      sha256('SIM' || CAST(year AS STRING)) AS source_sha256, sum(n)::BIGINT AS count FROM death_counts GROUP BY ALL
+    UNION ALL SELECT 'SIVEP-SRAG', year, geography, outcome_id, outcome_status, 'raw/sivep_' || CAST(year AS STRING) || '.parquet', sha256('SIVEP-SRAG' || CAST(year AS STRING)), sum(n)::BIGINT FROM notif_counts GROUP BY ALL""")
 def _(spark, folder):
-    both = death_counts(spark, folder).unionByName(notification_totals(spark, folder))
-    return both.groupBy(
-        "source", F.col("source_year").cast("int").alias("year"), "geography", "outcome_id", "outcome_status"
+    """Counts under all their keys, the file each year came from and its digest among them."""
+    def manifest(events, source, prefix, suffix):
+        return events.select("source_year").distinct().select(
+            "source_year", F.concat(F.lit(prefix), "source_year", F.lit(suffix)).alias("source_path"), F.sha2(F.concat(F.lit(source), "source_year"), 256).alias("source_sha256"),
+        )
+
+    facts, notes = deaths(spark, folder), notifications(spark, folder)
+    counted = [
+        products.death_outcome_counts(facts, TERRITORY, SIM, manifest=manifest(facts, "SIM", "raw/sim_", ".csv")),
+        products.notification_outcome_counts(notes, TERRITORY, manifest(notes, "SIVEP-SRAG", "raw/sivep_", ".parquet")),
+    ]
+    return union_all(counted).groupBy(
+        "source", F.col("source_year").cast("int").alias("year"), "geography", "outcome_id", "outcome_status", "source_path", "source_sha256",
     ).agg(F.sum("count").alias("count"))
 
 

@@ -44,6 +44,12 @@ def write_json_per_key(df: DataFrame, path: str, key: str, order: list[str]) ->
     df.hint("rebalance", key).sortWithinPartitions(key, *order).write.mode("overwrite").partitionBy(key).json(path)
 
 
+def write_documents(df: DataFrame, path: str, key: str) -> DataFrame:
+    """One JSON document per row, each alone in the folder of its key: ``key=value/part-….json``."""
+    df.repartition(key).write.mode("overwrite").partitionBy(key).json(path)
+    return df.sparkSession.read.schema(df.schema).json(path)
+
+
 def nested_documents(df: DataFrame, keys: list[str], order: list[str], name: str = "observations") -> DataFrame:
     """One nested record per key. Choose keys that bound the list, such as indicator and period."""
     fields = [c for c in df.columns if c not in keys]
