@@ -35,17 +35,17 @@ from .common import map_arrow, text_slices
 from .public_bpe import encoder
 
 MAGIC, VERSION = b"IDMX", 1
-BLOCK_IDS = 2048
+BLOCK_IDS = 1024
 SEGMENT_IDS = 4_000_000
 END_ID = 1
-CELLS = 32
+CELLS = 16
 ADAPT_EVERY = 16
-SLOTS = 1024
+SLOTS = 512
 MAX_DISTINCT = 1 << 17
 _HEAD = struct.Struct("<4sBIQIIIIIII")
-_START = np.array([2_000, 16_000, 32_000, 48_000], np.int64)
+_START = np.array([2_000, 16_000, 32_000, 48_000], np.int32)
 #: Mass of a predicted id in 64ths of the order-0 scale, by its learned probability in 1024ths; at most 3.5 scales.
-_ODDS = np.minimum(64 * np.arange(1024) / (1024 - np.arange(1024)), 224).astype(np.int64)
+_ODDS = np.minimum(64 * np.arange(1024) / (1024 - np.arange(1024)), 224).astype(np.int32)
 
 
 @dataclass
@@ -61,7 +61,8 @@ class Prior:
         self.cell = self.first * CELLS // self.total
         self.width = np.bincount(self.cell, self.slots, CELLS).astype(np.int64)
         self.cell_first = np.concatenate([[0], np.cumsum(self.width)[:-1]])
-        self.within = self.first - self.cell_first[self.cell]
+        self.within = (self.first - self.cell_first[self.cell]).astype(np.int32)
+        self.slots = self.slots.astype(np.int32)
 
     @classmethod
     def of(cls, symbols: np.ndarray, counts: np.ndarray) -> Prior:
@@ -72,46 +73,53 @@ class Prior:
 
 
 class Mixer:
-    """The models of all blocks of a segment at one position; encoder and decoder call it alike."""
+    """The models of all blocks of a segment at one position; encoder and decoder call it alike.
+
+    What orders 1 and 2 keep lies side by side in one array, so a step handles both at once.
+    """
 
     def __init__(self, prior: Prior, lanes: int):
         self.p, self.lanes = prior, lanes
         lane = np.arange(lanes)
-        self.row, self.cell_row, self.weight_row = lane * SLOTS, lane * CELLS, lane * 4
-        self.tables = [np.zeros(lanes * SLOTS, np.int32) for _ in range(2)]
-        self.weights = [np.tile(_START, lanes) for _ in range(2)]
+        self.row = np.concatenate([lane, lane + lanes]) * SLOTS
+        self.cell_row = lane * CELLS
+        self.weight_row = np.arange(2 * lanes) * 4
+        self.at = np.empty(2 * lanes, np.int64)
+        #: Per slot the id seen last, times four, plus the confidence in it.
+        self.table = np.zeros(2 * lanes * SLOTS, np.int32)
+        self.weights = np.tile(_START, 2 * lanes)
         self.seen = np.tile(np.maximum(1, prior.width * 64 // prior.total), lanes).astype(np.int64)
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
         self.step = 0
 
     def predict(self) -> None:
+        n = self.lanes
         if self.step % ADAPT_EVERY == 0:
             p = self.p
-            seen = self.seen.reshape(self.lanes, CELLS)
+            seen = self.seen.reshape(n, CELLS)
             share = seen / seen.sum(axis=1, keepdims=True)
-            times = 1 + np.floor(share * (64.0 * p.total / np.maximum(p.width, 1))).astype(np.int64)
+            times = (1 + np.floor(share * (64.0 * p.total / np.maximum(p.width, 1)))).astype(np.int32)
             mass = times * p.width
             ends = np.cumsum(mass, axis=1)
-            self.starts2 = ends - mass
-            self.starts, self.times = self.starts2.ravel(), times.ravel()
-            self.scale = ends[:, -1]
-            self.sixty_fourth = self.scale >> 6
+            self.starts2 = np.ascontiguousarray((ends - mass).astype(np.int32).T)
+            self.starts, self.times = (ends - mass).astype(np.int32).ravel(), times.ravel()
+            self.scale = ends[:, -1].astype(np.int32)
+            self.sixty_fourth = np.tile(self.scale >> 6, 2)
         self.step += 1
-        self.at = [
-            self.row + ((self.last * 40503 >> 4) & (SLOTS - 1)),
-            self.row + ((self.last * 40503 + self.before * 60493 >> 5) & (SLOTS - 1)),
-        ]
-        self.guess, self.held, self.weight_at, self.mass = [], [], [], []
-        for table, at, weights in zip(self.tables, self.at, self.weights, strict=True):
-            entry = table.take(at)
-            confidence = entry & 3
-            where = self.weight_row + confidence
-            self.guess.append(entry >> 2)
-            self.held.append(confidence)
-            self.weight_at.append(where)
-            self.mass.append(self.sixty_fourth * _ODDS.take(weights.take(where) >> 6))
-        self.sum = self.scale + self.mass[0] + self.mass[1]
+        hashed = self.last * 40503
+        at = self.at
+        np.bitwise_and(hashed >> 4, SLOTS - 1, out=at[:n])
+        hashed += self.before * 60493
+        np.bitwise_and(hashed >> 5, SLOTS - 1, out=at[n:])
+        at += self.row
+        self.entry = self.table.take(at)
+        self.held = self.entry & 3
+        self.guess = (self.entry >> 2).reshape(2, n)
+        self.weight_at = self.weight_row + self.held
+        self.weight = self.weights.take(self.weight_at)
+        self.mass = (self.sixty_fourth * _ODDS.take(self.weight >> 6)).reshape(2, n)
+        self.sum = (self.scale + self.mass[0] + self.mass[1]).astype(np.float64)
 
     def base(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Order-0 start and size of symbols."""
@@ -119,40 +127,53 @@ class Mixer:
         times = self.times.take(where)
         return self.starts.take(where) + self.p.within.take(s) * times, self.p.slots.take(s) * times
 
+    def base_start(self, s: np.ndarray) -> np.ndarray:
+        where = self.cell_row + self.p.cell.take(s)
+        return self.starts.take(where) + self.p.within.take(s) * self.times.take(where)
+
     def interval(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         start, size = self.base(s)
-        for guess, mass in zip(self.guess, self.mass, strict=True):
-            start = start + mass * (guess < s)
-            size = size + mass * (guess == s)
-        return start, size
+        narrow = s.astype(np.int32)
+        self.hit = self.guess == narrow
+        before, same = self.mass * (self.guess < narrow), self.mass * self.hit
+        start += before[0]
+        start += before[1]
+        size += same[0]
+        size += same[1]
+        return start.astype(np.float64), size.astype(np.float64)
 
     def find(self, t: np.ndarray, table: np.ndarray) -> np.ndarray:
         """The symbols whose intervals hold t."""
-        swap = self.guess[0] > self.guess[1]
-        x, y = np.where(swap, self.guess[1], self.guess[0]), np.where(swap, self.guess[0], self.guess[1])
-        mx, my = np.where(swap, self.mass[1], self.mass[0]), np.where(swap, self.mass[0], self.mass[1])
-        cx, cy = self.base(x)[0], self.base(y)[0]
-        hit_x = (t >= cx) & (t < cx + mx)
-        rest = np.where(t >= cx + mx, t - mx, t)
-        hit_y = ~hit_x & (rest >= cy) & (rest < cy + my) & (t >= cx)
-        rest = np.where(~hit_x & (rest >= cy + my) & (t >= cx + mx), rest - my, rest)
-        rest = np.where(hit_x | hit_y, 0, rest)
-        cell = (self.starts2 <= rest[:, None]).sum(axis=1) - 1
+        (g0, g1), (m0, m1) = self.guess, self.mass
+        swap = g0 > g1
+        x, y = np.minimum(g0, g1), np.maximum(g0, g1)
+        mx, my = np.where(swap, m1, m0), np.where(swap, m0, m1)
+        cx, cy = self.base_start(x), self.base_start(y)
+        # Masses lie in front of their symbols: t counts from the first, then from the second.
+        past_x = t - cx
+        hit_x = (past_x >= 0) & (past_x < mx)
+        rest = np.where(past_x >= mx, t - mx, t)
+        past_y = rest - cy
+        hit_y = (past_y >= 0) & (past_y < my) & ~hit_x
+        rest = np.where((past_y >= my) & ~hit_x, rest - my, rest)
+        hit = hit_x | hit_y
+        rest[hit] = 0
+        cell = np.add.reduce(self.starts2 <= rest, axis=0, dtype=np.int8).astype(np.int64)
+        cell -= 1
         where = self.cell_row + cell
         # Both operands are far below 2**53, so the floored double quotient is the integer one.
-        slot = np.floor((rest - self.starts.take(where)) / self.times.take(where)).astype(np.int64)
+        slot = ((rest - self.starts.take(where)) / self.times.take(where)).astype(np.int64)
         s = table.take(self.p.cell_first.take(cell) + slot)
-        return np.where(hit_x, x, np.where(hit_y, y, s))
+        return np.where(hit, np.where(hit_x, x, y), s)
 
     def learn(self, s: np.ndarray) -> None:
-        for k in range(2):
-            hit = self.guess[k] == s
-            weights, where = self.weights[k], self.weight_at[k]
-            w = weights.take(where)
-            weights[where] = w + ((hit * 65_000 - w) >> 4)
-            held = self.held[k]
-            keep = hit | (held > 0)
-            self.tables[k][self.at[k]] = np.where(keep, (self.guess[k] << 2) + np.where(hit, np.minimum(held + 1, 3), held - 1), s << 2)
+        """Take in the symbols whose intervals were asked for last."""
+        hit = self.hit.ravel()
+        self.weights[self.weight_at] = self.weight + ((np.multiply(hit, 65_000, dtype=np.int32) - self.weight) >> 4)
+        new = np.tile((s << 2).astype(np.int32), 2)
+        np.copyto(new, self.entry - 1, where=self.held > 0)
+        np.copyto(new, self.entry + (self.held < 3), where=hit)
+        self.table[self.at] = new
         where = self.cell_row + self.p.cell.take(s)
         self.seen[where] = self.seen.take(where) + 4
         self.before, self.last = self.last, s
@@ -210,7 +231,7 @@ def _decode_blocks(words: np.ndarray, length: int, prior: Prior) -> np.ndarray:
     for t in range(length):
         mixer.predict()
         r = np.floor(span / mixer.sum)
-        s = mixer.find(np.minimum(np.floor(code / r).astype(np.int64), mixer.sum - 1), table)
+        s = mixer.find(np.minimum(code / r, mixer.sum - 1).astype(np.int32), table)
         start, size = mixer.interval(s)
         code -= r * start
         span = r * size
@@ -223,13 +244,24 @@ def _decode_blocks(words: np.ndarray, length: int, prior: Prior) -> np.ndarray:
     return out
 
 
+def _distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct ids, each id's place among them, and their counts; by counting where ids are small."""
+    if not len(ids) or int(ids.max()) >= 1 << 22:
+        return np.unique(ids, return_inverse=True, return_counts=True)
+    counts = np.bincount(ids)
+    symbols = np.flatnonzero(counts)
+    places = np.zeros(len(counts), np.int64)
+    places[symbols] = np.arange(len(symbols))
+    return symbols, places.take(ids), counts[symbols]
+
+
 def _packed(values: np.ndarray) -> bytes:
     return zlib.compress(values.tobytes(), 1)
 
 
 def encode_segment(ids: np.ndarray, docs: np.ndarray, lengths: np.ndarray, known: np.ndarray, block: int = BLOCK_IDS) -> bytes:
     """The bytes of one segment. ``docs`` are integer ids, ``known`` marks those that are not null."""
-    symbols, dense, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    symbols, dense, counts = _distinct(ids)
     if len(symbols) > MAX_DISTINCT:
         raise ValueError(f"a segment holds {len(symbols)} distinct ids; the order-0 table has room for {MAX_DISTINCT}")
     blocks = -(-len(ids) // block)

@@ -1,8 +1,8 @@
 """Whole texts through a public tokenizer file with the tokenizers library, distinct chunks once.
 
 The tokenizer drops white space and never joins across it, so a text's ids are the ids of its
-white-space-separated chunks in order. Each worker keeps the ids of the chunks it met first,
-up to a bound; later new chunks are encoded each time they occur in a slice of texts.
+white-space-separated chunks in order. Each worker keeps the ids of the chunks it met
+more than once, up to a bound; other chunks are encoded each time they occur in a slice of texts.
 """
 
 from __future__ import annotations
@@ -10,11 +10,15 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from collections import Counter
+from itertools import islice
 
 import numpy as np
 
-#: Chunks whose ids a worker keeps.
-MEMO_CHUNKS = 400_000
+#: Chunks, and words, whose ids a worker keeps.
+MEMO_CHUNKS = 300_000
+#: Marks that are a word of their own behind letters (an apostrophe could begin a contraction).
+MARKS = frozenset(".,;:?!()\"-#$%&*")
 #: Simple words encoded in one call.
 JOINED_WORDS = 512
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -43,39 +47,63 @@ class ChunkEncoder:
         ends = [i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]
         self.ends_word = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.ends_word[ends] = True
+        encoded = self.tokenizer.encode_batch_fast(sorted(MARKS), add_special_tokens=False)
+        self.marks = {m: np.array(e.ids, "<u4").tobytes() for m, e in zip(sorted(MARKS), encoded, strict=True)}
+        self.words: dict[str, bytes] = {}
         self.memo: dict[str, bytes] = {}
         self.memo_chunks = memo_chunks
 
     def _encode(self, chunks: list[str]) -> dict[str, bytes]:
-        """Ids of distinct chunks. Words of letters alone are encoded many to a call and cut at word ends."""
-        simple = [c for c in chunks if c.isalpha() and (c.isascii() or unicodedata.normalize("NFC", c).lower().isalpha())]
-        known = set(simple)
-        other = [c for c in chunks if c not in known]
+        """Ids of distinct chunks.
+
+        A word of letters, alone or before one mark, has the ids of its lower-case form, then the
+        mark's. Such words go many to a call and are cut at word ends; other chunks go one by one.
+        """
+        split: dict[str, tuple[str, str]] = {}
+        other = []
+        for chunk in chunks:
+            if chunk.isalpha():
+                word, mark = chunk, ""
+            elif chunk[-1] in MARKS and chunk[:-1].isalpha():
+                word, mark = chunk[:-1], chunk[-1]
+            else:
+                other.append(chunk)
+                continue
+            if not word.isascii() and not (unicodedata.is_normalized("NFC", word) and word.lower().isalpha() and "Σ" not in word):
+                other.append(chunk)
+                continue
+            split[chunk] = word.lower(), mark
+        words = self.words
+        new = list({w for w, _ in split.values() if w not in words})
         found: dict[str, bytes] = {}
-        runs = [simple[i:i + JOINED_WORDS] for i in range(0, len(simple), JOINED_WORDS)]
+        runs = [new[i:i + JOINED_WORDS] for i in range(0, len(new), JOINED_WORDS)]
         for run, encoded in zip(runs, self.tokenizer.encode_batch_fast([" ".join(r) for r in runs], add_special_tokens=False), strict=True):
             ids = np.array(encoded.ids, "<u4")
             ends = (np.flatnonzero(self.ends_word[ids]) + 1) * 4
             if len(ends) != len(run):
-                other += run
-                continue
+                raise ValueError("the tokenizer cut a word of letters in two")
             raw, start = ids.tobytes(), 0
-            for chunk, end in zip(run, ends.tolist(), strict=True):
-                found[chunk] = raw[start:end]
+            for word, end in zip(run, ends.tolist(), strict=True):
+                found[word] = raw[start:end]
                 start = end
+        words.update(islice(found.items(), max(0, self.memo_chunks - len(words))))
+        marks, out = self.marks, {}
+        for chunk, (word, mark) in split.items():
+            ids = words[word] if word in words else found[word]
+            out[chunk] = ids + marks[mark] if mark else ids
         for chunk, encoded in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            found[chunk] = np.array(encoded.ids, "<u4").tobytes()
-        return found
+            out[chunk] = np.array(encoded.ids, "<u4").tobytes()
+        return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        memo = self.memo
-        split = [chunks_of(t) for t in texts]
-        found = self._encode(list({c for chunks in split for c in chunks if c not in memo}))
-        room = max(0, self.memo_chunks - len(memo))
-        memo.update(found)
-        out = [b"".join([memo[c] for c in chunks]) for chunks in split]
-        for chunk in list(found)[room:]:
-            del memo[chunk]
+        """Each chunk is looked up once: one that is not known yet stands in for its ids until they are."""
+        known = self.memo.get
+        parts = [[known(c, c) for c in chunks_of(t)] for t in texts]
+        seen = Counter(p for own in parts for p in own if type(p) is str)
+        found = self._encode(list(seen))
+        out = [b"".join([p if type(p) is bytes else found[p] for p in own]) for own in parts]
+        room = max(0, self.memo_chunks - len(self.memo))
+        self.memo.update(islice(((c, found[c]) for c, n in seen.items() if n > 1), room))
         return out
 
 
