@@ -251,10 +251,15 @@ def _municipal_observations(spark, folder):
 
 
 @query("a20_coverage_summary", """
-    SELECT 'sim-' || replace(outcome_id, '_', '-') AS indicator, count(DISTINCT code7) FILTER (WHERE n >= 5) AS publishable, '1995' AS first_period, '2001' AS last_period,
-      '1998' AS missing, '1995|1996|1997|1999|2000|2001' AS periods, '' AS provisional FROM munimap GROUP BY outcome_id""")
+    WITH s AS (SELECT outcome_id, count(DISTINCT code7) FILTER (WHERE n >= 5) AS publishable, min(year) AS y0, max(year) AS y1, list(DISTINCT year) AS years FROM munimap GROUP BY 1)
+    SELECT 'sim-' || replace(outcome_id, '_', '-') AS indicator, publishable, CAST(y0 AS STRING) AS first_period, CAST(y1 AS STRING) AS last_period,
+      array_to_string([CAST(y AS STRING) for y in range(y0, y1 + 1) if NOT list_contains(years, y)], '|') AS missing,
+      array_to_string([CAST(y AS STRING) for y in list_sort(years)], '|') AS periods,
+      array_to_string([CAST(y AS STRING) for y in list_sort(years) if y >= 2001], '|') AS provisional FROM s""")
 def _(spark, folder):
-    summary = coverage_summary(_municipal_observations(spark, folder))
+    """The last year is marked provisional."""
+    status = F.when(F.col("period") >= "2001", F.lit("provisional")).otherwise(F.col("dataStatus"))
+    summary = coverage_summary(_municipal_observations(spark, folder).withColumn("dataStatus", status))
     return summary.select(
         F.col("indicatorId").alias("indicator"), F.col("publishableMunicipalityCount").alias("publishable"),
         F.col("firstPeriod").alias("first_period"), F.col("lastPeriod").alias("last_period"),
@@ -273,9 +278,16 @@ def _(spark, folder):
 
 
 @query("a22_release_counters", """
-    SELECT 'SIM' AS source, 'source_observed' AS status, count(*) AS observations, count(*) FILTER (WHERE n < 5) AS suppressed, 0::BIGINT AS leaks FROM munimap""")
+    SELECT 'SIM' AS source, CASE WHEN year >= 2001 THEN 'provisional' ELSE 'source_observed' END AS status, count(*) AS observations, count(*) FILTER (WHERE n < 5 AND year <> 1996) AS suppressed,
+      count(*) FILTER (WHERE n < 5 AND year = 1996) AS leaks FROM munimap GROUP BY 2""")
 def _(spark, folder):
-    return release_counters(_municipal_observations(spark, folder)).select(
+    """One year forgot to hide its small cells, the last one is provisional."""
+    public, shown = _municipal_observations(spark, folder), F.col("suppressed") & (F.col("period") == "1996")
+    broken = public.withColumns({
+        "count": F.when(shown, F.lit(1).cast("long")).otherwise(F.col("count")), "suppressed": F.col("suppressed") & (F.col("period") != "1996"),
+        "dataStatus": F.when(F.col("period") >= "2001", F.lit("provisional")).otherwise(F.col("dataStatus")),
+    })
+    return release_counters(broken).select(
         "source", F.col("dataStatus").alias("status"), "observations", F.col("suppressedObservations").alias("suppressed"),
         F.col("unsuppressedSmallCells").alias("leaks"),
     )

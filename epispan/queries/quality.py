@@ -238,7 +238,10 @@ def _(spark, folder):
 
 
 @query("dq11_series_structure_check", """
-    SELECT count(*) AS rows, 0::BIGINT AS negatives, 1200::BIGINT AS expected_rows, CASE WHEN count(*) = 1200 THEN 'validated_structure_only_no_epidemiological_estimate'
-      ELSE 'incomplete_or_inconsistent_series' END AS status FROM adm_monthly""")
+    WITH e AS (SELECT (datediff('month', min(o_orderdate), max(o_orderdate)) + 1) * 5 * 3 AS expected_rows FROM orders)
+    SELECT count(*) AS rows, count(*) FILTER (WHERE value < 0) AS negatives, max(expected_rows)::BIGINT AS expected_rows, CASE WHEN count(*) = max(expected_rows) AND count(*) FILTER (WHERE value < 0) = 0
+      THEN 'validated_structure_only_no_epidemiological_estimate' ELSE 'incomplete_or_inconsistent_series' END AS status FROM adm_monthly, e""")
 def _(spark, folder):
-    return quality.series_structure(monthly_admissions(spark, folder), 80 * 5 * 3)
+    span = table(spark, folder, "orders").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b")).first()
+    months = (span["b"].year - span["a"].year) * 12 + span["b"].month - span["a"].month + 1
+    return quality.series_structure(monthly_admissions(spark, folder), months * 5 * 3)

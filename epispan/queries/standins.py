@@ -283,6 +283,14 @@ def city_series(spark: SparkSession, folder: str) -> DataFrame:
     return joined.withColumn("dataStatus", status)
 
 
+#: Stages that queries hand over through, in dependency order.
+STAGES = {
+    "harmonized_deaths": deaths, "harmonized_notifications": notifications, "population_municipal": municipal_population,
+    "population_denominators": population, "population_age_sex": population_age_sex, "death_counts": death_counts,
+    "notification_counts": notification_totals, "death_rates": death_rates, "map_rates": map_rates, "profile_cells": profile_cells,
+}
+
+
 # --- The same data as SQL, for the checks ---------------------------------------------
 
 def _values(rows: list[tuple], names: str) -> str:
