@@ -14,9 +14,13 @@ def compact_date(value: Column | str) -> Column:
 
 
 def lenient_timestamp(value: Column | str) -> Column:
-    """Generic date text to a timestamp, invalid text to null."""
+    """Generic date text to a timestamp, invalid text to null.
+
+    With slashes the month comes first, and the day only where it cannot be a month.
+    """
     text = col(value).cast("string")
-    return F.coalesce(text.try_cast("timestamp"), F.try_to_timestamp(text, F.lit("dd/MM/yyyy")))
+    forms = [F.try_to_timestamp(text, F.lit(form)) for form in ("MM/dd/yyyy", "dd/MM/yyyy")]
+    return F.coalesce(text.try_cast("timestamp"), *forms)
 
 
 def month_start(value: Column | str) -> Column:

@@ -47,16 +47,17 @@ def _(spark, folder):
 
 
 @query("p04_parse_date_lenient", """
-    SELECT CASE event_id % 3 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') WHEN 1 THEN strftime(ts, '%d/%m/%Y')
-             ELSE 'sem data' END AS raw,
+    SELECT CASE WHEN event_id % 3 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') WHEN event_id % 3 = 2 THEN 'sem data' WHEN event_id % 2 = 0 AND day(ts) > 12 THEN strftime(ts, '%d/%m/%Y')
+             ELSE strftime(ts, '%m/%d/%Y') END AS raw,
            CASE event_id % 3 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') WHEN 1 THEN strftime(ts, '%Y-%m-%d') || ' 00:00:00' END AS moment,
            count(*) AS n
     FROM events GROUP BY ALL""")
 def _(spark, folder):
     raw = (
         F.when(F.col("event_id") % 3 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
-        .when(F.col("event_id") % 3 == 1, F.date_format("ts", "dd/MM/yyyy"))
-        .otherwise(F.lit("sem data"))
+        .when(F.col("event_id") % 3 == 2, F.lit("sem data"))
+        .when((F.col("event_id") % 2 == 0) & (F.dayofmonth("ts") > 12), F.date_format("ts", "dd/MM/yyyy"))
+        .otherwise(F.date_format("ts", "MM/dd/yyyy"))
     )
     events = table(spark, folder, "events").select(raw.alias("raw"))
     moment = F.date_format(dates.lenient_timestamp("raw"), "yyyy-MM-dd HH:mm:ss")
