@@ -101,6 +101,28 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.with_digest(found)
 
 
+OP8_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+') AS w FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+') AS w
+  FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL
+), windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win FROM b, unnest(range(1, greatest(len(w) - 10, 0) + 2)) t(i) WHERE len(w) > 0
+), places AS (
+  SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS win FROM d, (SELECT DISTINCT k FROM windows), unnest(range(1, len(w) - k + 2)) t(i) WHERE len(w) >= k
+), found AS (
+  SELECT doc_id, i, k, item FROM places JOIN windows USING (k, win)
+), hit AS (
+  SELECT doc_id, count(DISTINCT spot) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS spot FROM found) GROUP BY 1
+), items AS (
+  SELECT doc_id, count(DISTINCT item) AS n_items, sha256(string_agg(DISTINCT item, ',' ORDER BY item)) AS items_sha256 FROM found GROUP BY 1
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predict_held_out(table(spark, folder, "documents"))
 
@@ -122,4 +144,4 @@ LLM_QUERIES: dict[str, Query] = {
     "op10_token_id_output": op10_token_id_output,
     "pipeline": corpus_pipeline.run,
 }
-LLM_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL, "op5_chat_formatting": OP5_SQL}
+LLM_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL, "op5_chat_formatting": OP5_SQL, "op8_benchmark_decontamination": OP8_SQL}
