@@ -171,7 +171,7 @@ class Chunk:
 
 
 def ask_counts(chunks: DataFrame, buckets: int) -> DataFrame:
-    """What each chunk asks each bucket: its keys there with its own training counts."""
+    """What each chunk asks each bucket: its keys there, if any, with its own training counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for number, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -181,7 +181,7 @@ def ask_counts(chunks: DataFrame, buckets: int) -> DataFrame:
                 w, p = bucket_cuts(words, buckets), bucket_cuts(pairs, buckets)
                 yield _columns([
                     _message("ask", b, number, pack(deltas(words[w[b]:w[b + 1]]), word_n[w[b]:w[b + 1]], deltas(pairs[p[b]:p[b + 1]]), pair_n[p[b]:p[b + 1]]))
-                    for b in range(buckets)
+                    for b in range(buckets) if w[b] < w[b + 1] or p[b] < p[b + 1]
                 ])
 
     return map_arrow(chunks, run, _MESSAGE)
@@ -313,7 +313,7 @@ def _score_chunk(discounts: dict[int, tuple], buckets: int):
         keys = chunk.contexts[order[sent]]
         cuts = bucket_cuts(keys, buckets)
         rows = [_message("docs", -1, number, ready)]
-        for b in range(buckets):
+        for b in np.flatnonzero(np.diff(cuts)).tolist():
             at = order[sent[cuts[b]:cuts[b + 1]]]
             rows.append(_message("ask", b, number, pack(
                 deltas(keys[cuts[b]:cuts[b + 1]]), freed_sum[at], p_sum[at], np.where(wanted[at], context_total[at], 0), wanted[at].astype(np.int8),
@@ -349,7 +349,7 @@ def _finish_chunk(train_tokens: int):
             return pd.DataFrame([], columns=columns)
         ids, known, held, lengths, n_known, base, score, doc, context, kind, times = unpack(docs["payload"].iloc[0])
         got = [unpack(p) for p in answers.sort_values("bucket")["payload"]]
-        alpha, size = (np.concatenate([g[i] for g in got]) for i in range(2))
+        alpha, size = (np.concatenate([g[i] for g in got]) if got else np.zeros(0) for i in range(2))
         late = np.where(kind == 1, alpha[context], -size[context]) * times if len(doc) else np.zeros(0)
         return pd.DataFrame({
             "doc_id": pd.array(ids, "Int64").copy() if known.all() else pd.array([i if k else None for i, k in zip(ids.tolist(), known.tolist(), strict=True)], "Int64"),

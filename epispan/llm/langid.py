@@ -243,12 +243,20 @@ def predict_held_out(docs: DataFrame, folds: int = 4, fold: int = 2) -> DataFram
 
 
 def keep_identified(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
-    """Documents whose language is determined with at least ``least_score``, all columns kept."""
+    """Documents whose language is determined with at least ``least_score``, all columns kept.
+
+    Where no row names a language there is nothing to learn, and only texts without a letter go.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.predict(t.as_py()) for t in batch.column(batch.schema.get_field_index("text"))]
-            yield batch.filter(pa.array([a != UNDETERMINED and b >= least_score for a, b in found], pa.bool_()))
+            model, texts = shared.value, batch.column(batch.schema.get_field_index("text"))
+            if model.languages:
+                found = [model.predict(t.as_py()) for t in texts]
+                keep = [a != UNDETERMINED and b >= least_score for a, b in found]
+            else:
+                keep = [ngram_counts(t.as_py()) is not None for t in texts]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
