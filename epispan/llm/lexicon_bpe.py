@@ -24,6 +24,7 @@ import unicodedata
 import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,13 +44,11 @@ LEXICON_WORD_BYTES = 48
 #: A word is counted for the lexicon where a slice of text holds it so often, in chunks that it holds twice.
 COUNTED_FROM = 4
 #: Chunks whose forms a worker keeps from one slice to the next.
-MEMO_CHUNKS = 250_000
+MEMO_CHUNKS = 150_000
 #: Longer words are merged with a heap, shorter ones many at a time.
 TOGETHER_BYTES = 64
 #: Marks that end a chunk of letters as a word of their own (an apostrophe could begin a contraction).
 POINTS = frozenset(".,;:?!()\"-#$%&*")
-#: Texts whose distinct words are encoded together.
-TOGETHER_CHARS = 16_000_000
 #: Up to here Unicode has long been settled; beyond, a character may be newer than Python's tables.
 STABLE_TO = "\u052f"
 _NONE = np.int64(1) << 40
@@ -415,24 +414,22 @@ class LexiconEncoder:
         return out
 
     def encode(self, texts: list[str | None]) -> tuple[list[bytes], list[bytes]]:
-        """Per text its ids as little-endian 32-bit integers and its decoded text in UTF-8."""
-        memo = self.memo
-        split = [chunks_of(t) for t in texts]
-        seen: Counter = Counter()
-        for chunks in split:
-            seen.update(chunks)
-        found = self._forms([c for c in seen if c not in memo])
-        kept = [c for c in found if seen[c] > 1][:max(0, self.memo_chunks - len(memo))]
-        passing = found.keys() - set(kept)
-        del seen
-        memo.update(found)
+        """Per text its ids as little-endian 32-bit integers and its decoded text in UTF-8.
+
+        A chunk is looked up once: one that is not known yet stands in for its forms until they are.
+        """
+        known = self.memo.get
+        parts = [[known(c, c) for c in chunks_of(t)] for t in texts]
+        seen = Counter(p for own in parts for p in own if type(p) is str)
+        found = self._forms(list(seen))
         ids, shown = [], []
-        for chunks in split:
-            pairs = [memo[c] for c in chunks]
+        for i, own in enumerate(parts):
+            pairs = [found[p] if type(p) is str else p for p in own]
             ids.append(b"".join([p[0] for p in pairs]))
             shown.append(b" ".join([p[1] for p in pairs]))
-        for chunk in passing:
-            del memo[chunk]
+            parts[i] = []
+        room = max(0, self.memo_chunks - len(self.memo))
+        self.memo.update(islice(((c, found[c]) for c, n in seen.items() if n > 1), room))
         return ids, shown
 
 
@@ -497,7 +494,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, with_ids: bool = True, wor
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         worker = _encoder(tokenizer, lexicon)
-        for keys, texts in text_slices(batches, TOGETHER_CHARS):
+        for keys, texts in text_slices(batches):
             ids, shown = worker.encode(texts)
             out = {
                 "doc_id": keys, "n_tokens": [len(b) // 4 for b in ids],
