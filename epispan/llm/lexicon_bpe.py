@@ -45,10 +45,14 @@ LEXICON_WORD_BYTES = 48
 COUNTED_FROM = 4
 #: Chunks whose forms a worker keeps from one slice to the next.
 MEMO_CHUNKS = 150_000
+#: Words merged in step.
+MERGED_WORDS = 16_384
 #: Longer words are merged with a heap, shorter ones many at a time.
 TOGETHER_BYTES = 64
 #: Marks that end a chunk of letters as a word of their own (an apostrophe could begin a contraction).
 POINTS = frozenset(".,;:?!()\"-#$%&*")
+#: Texts whose distinct words are encoded together; their forms are what a worker needs most memory for.
+TOGETHER_CHARS = 5_000_000
 #: Up to here Unicode has long been settled; beyond, a character may be newer than Python's tables.
 STABLE_TO = "\u052f"
 _NONE = np.int64(1) << 40
@@ -183,10 +187,12 @@ class TokenizerFile:
             out[i] = self._merge_long(words[i])
         classes = np.where((sizes > 0) & (sizes <= TOGETHER_BYTES), np.ceil(np.log2(np.maximum(sizes, 4))), -1)
         for kind in np.unique(classes[classes >= 0]).tolist():
-            chosen = np.flatnonzero(classes == kind)
-            ids, lengths = self._merge_together([words[i] for i in chosen.tolist()], sizes[chosen], 1 << int(kind))
-            for i, row, n in zip(chosen.tolist(), ids, lengths.tolist(), strict=True):
-                out[i] = row[:n]
+            members = np.flatnonzero(classes == kind)
+            for start in range(0, len(members), MERGED_WORDS):
+                chosen = members[start:start + MERGED_WORDS]
+                ids, lengths = self._merge_together([words[i] for i in chosen.tolist()], sizes[chosen], 1 << int(kind))
+                for i, row, n in zip(chosen.tolist(), ids.astype(np.int32), lengths.tolist(), strict=True):
+                    out[i] = row[:n]
         return out
 
     def _merge_together(self, words: list[bytes], sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -494,7 +500,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, with_ids: bool = True, wor
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         worker = _encoder(tokenizer, lexicon)
-        for keys, texts in text_slices(batches):
+        for keys, texts in text_slices(batches, TOGETHER_CHARS):
             ids, shown = worker.encode(texts)
             out = {
                 "doc_id": keys, "n_tokens": [len(b) // 4 for b in ids],
