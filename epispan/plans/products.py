@@ -220,12 +220,13 @@ def municipal_profiles(
         "age_group", "sex", "population",
     )
     grid = dense_grid(people, outcome_id=[d.id for d in definitions])
-    filled = fill_grid(grid, counts, [*cell, "outcome_id"], ["count"])
-    known = counts.where(F.col("age_group").isin(AGE_GROUPS) & F.col("sex").isin(SEXES))
-    expected = known.groupBy("outcome_id").agg(F.sum("count").alias("_expected"))
-    shown = filled.withColumn("_shown", F.sum("count").over(Window.partitionBy("outcome_id"))).join(expected, "outcome_id", "left")
+    # Each count carries its outcome's total into the grid, so checking costs no second scan.
+    outcome = Window.partitionBy("outcome_id")
+    known = counts.where(F.col("age_group").isin(AGE_GROUPS) & F.col("sex").isin(SEXES)).withColumn("_expected", F.sum("count").over(outcome))
+    filled = fill_grid(grid, known, [*cell, "outcome_id"], ["count", "_expected"])
+    shown = filled.withColumns({"_shown": F.sum("count").over(outcome), "_expected": F.max("_expected").over(outcome)})
     agreed = require(
-        shown, F.col("_shown") == F.coalesce("_expected", F.lit(0)), at_key("profile cells do not add up for", ["outcome_id"])
+        shown, F.col("_shown") == F.col("_expected"), at_key("profile cells do not add up for", ["outcome_id"])
     ).drop("_shown", "_expected")
     rated = add_rates(agreed).withColumn("year", F.lit(year)).withColumn(
         "period_status", death_period_status("year", "outcome_id")
