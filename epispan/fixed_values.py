@@ -282,6 +282,26 @@ MAP_NOTES = {
     "SIH": "Taxa bruta municipal de internações SIH {} por residência; AIHs são eventos e células <5 estão suprimidas.",
     "standardized": "Taxa padronizada por idade e sexo pela população do Brasil no Censo 2022; células com contagem total <5 estão suprimidas.",
 }
+SUPPRESSION_REASON = "small_cell_lt_5"
+# Texts beside a compared figure: none, equal, above, below; and change: steady, above, below.
+RELATIVE_TEXTS = ("Comparação indisponível", "Taxa semelhante", "acima", "abaixo")
+DIRECTION_TEXTS = ("estável em relação a", "acima de", "abaixo de")
+# Findings of the release audit with their severity.
+RELEASE_FINDINGS = {
+    "release-not-public": "blocker",
+    "review-gates-pending": "blocker",
+    "municipal-map-not-publishable": "blocker",
+    "sih-brazil-comparator-missing": "blocker",
+    "profiles-incomplete": "blocker",
+    "denominator-gaps": "warning",
+    "contract-incomplete": "blocker",
+    "small-cell-leak": "blocker",
+    "download-suppression-leak": "blocker",
+    "profile-suppression-leak": "blocker",
+    "profile-municipality-coverage": "blocker",
+    "source-catalog-open-items": "warning",
+    "provisional-observations": "warning",
+}
 RELEASE_COMPARATORS = ("rest_of_rj_excluding_selected_municipality", "brazil_total")
 SYNONYMS = {
     "lung": ["pulmão", "câncer de pulmão", "bronquios", "traqueia"],

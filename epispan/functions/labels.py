@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..fixed_values import SYNONYMS, outcome_definitions
+from ..fixed_values import DIRECTION_TEXTS, RELATIVE_TEXTS, SYNONYMS, outcome_definitions
 from .demographics import lookup
 from .text import col
 
@@ -45,18 +45,20 @@ def percent_change(value: Column | str, reference: Column | str) -> Column:
 def relative_difference_label(ratio: Column | str) -> Column:
     value = col(ratio)
     points = F.floor(F.abs((value - 1) * 100) + 0.5).cast("long")
-    side = F.when(value > 1, F.lit("acima")).otherwise(F.lit("abaixo"))
+    unknown, equal, above, below = RELATIVE_TEXTS
+    side = F.when(value > 1, F.lit(above)).otherwise(F.lit(below))
     return (
-        F.when(value.isNull(), F.lit("Comparação indisponível"))
-        .when(points == 0, F.lit("Taxa semelhante"))
+        F.when(value.isNull(), F.lit(unknown))
+        .when(points == 0, F.lit(equal))
         .otherwise(F.concat(points.cast("string"), F.lit("% "), side))
     )
 
 
 def direction_label(change: Column | str, stable: float = 5.0) -> Column:
     value = col(change)
+    steady, above, below = DIRECTION_TEXTS
     return (
-        F.when(F.abs(value) < stable, F.lit("estável em relação a"))
-        .when(value > 0, F.lit("acima de"))
-        .otherwise(F.lit("abaixo de"))
+        F.when(F.abs(value) < stable, F.lit(steady))
+        .when(value > 0, F.lit(above))
+        .otherwise(F.lit(below))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..fixed_values import PROTECTED_FIELDS, SEX_NOT_APPLICABLE, SMALL_CELL
+from ..fixed_values import PROTECTED_FIELDS, SEX_NOT_APPLICABLE, SMALL_CELL, SUPPRESSION_REASON
 from ..functions.text import col
 
 
@@ -24,7 +24,7 @@ def suppress_observations(df: DataFrame, threshold: int = SMALL_CELL) -> DataFra
         .withColumns(hidden)
         .withColumns({
             "suppressed": F.col("_small"),
-            "suppressionReason": F.when(F.col("_small"), F.lit("small_cell_lt_5")),
+            "suppressionReason": F.when(F.col("_small"), F.lit(SUPPRESSION_REASON)),
             "suppressionStatus": status.otherwise(F.lit("unavailable")),
         })
         .drop("_small")

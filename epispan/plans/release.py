@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..fixed_values import COUNTRY_TOTAL, SMALL_CELL
+from ..fixed_values import COUNTRY_TOTAL, RELEASE_FINDINGS, SMALL_CELL
 from ..operators.suppression import is_small
 
 
@@ -85,21 +85,22 @@ def release_rules() -> list[Rule]:
 
     # Every death indicator claims profiles, so none at all is a gap as well.
     uncovered = positive("claiming_profiles") & (F.col("profile_municipalities") != F.col("expected_municipalities"))
-    return [
-        Rule("release-not-public", "blocker", F.col("release_status") != "public_release_ready"),
-        Rule("review-gates-pending", "blocker", positive("pending_gates")),
-        Rule("municipal-map-not-publishable", "blocker", positive("without_map")),
-        Rule("sih-brazil-comparator-missing", "blocker", positive("hospital_without_country")),
-        Rule("profiles-incomplete", "blocker", positive("death_without_profile")),
-        Rule("denominator-gaps", "warning", positive("missing_denominator_years")),
-        Rule("contract-incomplete", "blocker", positive("contract_gaps")),
-        Rule("small-cell-leak", "blocker", positive("small_cell_leaks")),
-        Rule("download-suppression-leak", "blocker", positive("download_leaks")),
-        Rule("profile-suppression-leak", "blocker", positive("profile_leaks")),
-        Rule("profile-municipality-coverage", "blocker", uncovered),
-        Rule("source-catalog-open-items", "warning", positive("open_sources")),
-        Rule("provisional-observations", "warning", positive("provisional")),
-    ]
+    tests = {
+        "release-not-public": F.col("release_status") != "public_release_ready",
+        "review-gates-pending": positive("pending_gates"),
+        "municipal-map-not-publishable": positive("without_map"),
+        "sih-brazil-comparator-missing": positive("hospital_without_country"),
+        "profiles-incomplete": positive("death_without_profile"),
+        "denominator-gaps": positive("missing_denominator_years"),
+        "contract-incomplete": positive("contract_gaps"),
+        "small-cell-leak": positive("small_cell_leaks"),
+        "download-suppression-leak": positive("download_leaks"),
+        "profile-suppression-leak": positive("profile_leaks"),
+        "profile-municipality-coverage": uncovered,
+        "source-catalog-open-items": positive("open_sources"),
+        "provisional-observations": positive("provisional"),
+    }
+    return [Rule(name, severity, tests[name]) for name, severity in RELEASE_FINDINGS.items()]
 
 
 def release_findings(metrics: DataFrame) -> DataFrame:
