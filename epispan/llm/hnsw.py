@@ -185,13 +185,33 @@ def build_graph(vectors: np.ndarray, seed: int = 5) -> Graph:
 
 
 def search_graph(graph: Graph, queries: np.ndarray, top: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``top`` nodes found for each query, best first, -1 where there are fewer."""
+    """The ``top`` nodes found for each query, best first, -1 where the graph has fewer.
+
+    A beam as wide as the graph would open every node anyway, so a small graph is compared whole;
+    so are queries whose search ran dry before it had ``top`` nodes.
+    """
     beam = max(beam, top)
+    if len(graph.vectors) <= beam:
+        return _all_nodes(graph, queries, top)
     nodes = np.full((len(queries), 1), graph.entry, np.int64)
     for level in range(len(graph.links) - 1, 0, -1):
         nodes = _beam(graph.vectors, graph.links[level], queries, nodes, 1)[0]
     nodes, sims = _beam(graph.vectors, graph.links[0], queries, nodes, beam)
-    return nodes[:, :top], sims[:, :top]
+    nodes, sims = nodes[:, :top], sims[:, :top]
+    dry = np.flatnonzero(nodes[:, -1] < 0)
+    if len(dry):
+        nodes[dry], sims[dry] = _all_nodes(graph, queries[dry], top)
+    return nodes, sims
+
+
+def _all_nodes(graph: Graph, queries: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    sims = queries @ graph.vectors.T
+    nodes = np.argsort(-sims, axis=1, kind="stable")[:, :top]
+    short = top - nodes.shape[1]
+    return (
+        np.pad(nodes, ((0, 0), (0, max(0, short))), constant_values=-1),
+        np.pad(np.take_along_axis(sims, nodes, 1), ((0, 0), (0, max(0, short))), constant_values=-np.inf),
+    )
 
 
 def usable(vectors: DataFrame) -> DataFrame:
