@@ -172,15 +172,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> N
     total = known.count()
     chosen = known
     if total > sample_docs:
-        share = int(sample_docs / total * 1_000_000)
+        # A range of the ids' hashes that holds a few more than wanted; the smallest hashes of it are taken.
+        share = int(1.05 * sample_docs / total * 1_000_000) + 20
         chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
+    sample = document_features(chosen).orderBy(place, "doc_id", "x").limit(sample_docs)
     good = labels.where("quality = 1").select("doc_id").distinct().withColumn("good", F.lit(True))
-    rows = document_features(chosen).limit(sample_docs).join(good, "doc_id", "left").select("x", F.coalesce("good", F.lit(False)).alias("good"), F.xxhash64("doc_id", F.lit(1)).alias("h")).toPandas()
+    rows = sample.join(good, "doc_id", "left").select("x", F.coalesce("good", F.lit(False)).alias("good"), F.xxhash64("doc_id", F.lit(1)).alias("h")).toPandas()
     if not rows["good"].any():
         return None
-    rows = rows.sort_values("h", kind="stable")
     x = np.array(rows["x"].tolist())
-    trusted = rows["good"].to_numpy()
+    order = np.lexsort((*x.T, rows["h"].to_numpy()))
+    x, trusted = x[order], rows["good"].to_numpy()[order]
     return fit_network(x[trusted], x, estimate_prior(x[trusted], x) if trusted.sum() >= 50 else 0.5)
 
 

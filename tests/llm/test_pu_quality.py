@@ -70,3 +70,9 @@ def test_features_are_finite():
     for text in (None, "", "\n\n", "a", "a b", "!!!", "é" * 1000, "\ud800"):
         x = q.text_features(text)
         assert len(x) == q.N_FEATURES and np.isfinite(x).all()
+
+
+def test_a_bounded_sample_is_the_same_every_time(frames):
+    _, docs, labels = frames
+    nets = [q.fit(docs.repartition(n), labels, sample_docs=400) for n in (2, 5)]
+    assert all(np.array_equal(a, b) for a, b in zip(nets[0].weights, nets[1].weights, strict=True))
