@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..fixed_values import (
@@ -14,7 +19,7 @@ from ..plans.products import annual_admission_rates, municipal_profile_counts, m
 from ..plans.publish import municipal_map, observations, profiles, release_status
 from ..operators.suppression import protected_leaks
 from ..session import fresh_path, materialize, table
-from ..sources.provenance import file_format_check, layout_audit
+from ..sources.provenance import archive_layout, file_format_check, layout_audit
 from .registry import query
 from .standins import (
     MUNICIPALITIES, PROFILE, STANDARD_YEAR, TERRITORY, admission_windows, death_rates, deaths, map_rates, monthly_admissions,
@@ -36,6 +41,35 @@ def _(spark, folder):
     return audit.groupBy("layout", "columns", F.array_join("missing", "|").alias("missing")).agg(F.sum("rows").alias("rows"))
 
 
+def _archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One archive per year: a sound member, one that lacks a field in even years, and none at all in the first year."""
+    for batch in batches:
+        contents = []
+        for year, rows in zip(batch["year"], batch["rows"], strict=True):
+            blob = io.BytesIO()
+            with zipfile.ZipFile(blob, "w") as archive:
+                archive.writestr("readme.txt", str(rows))
+                if year > 1995:
+                    archive.writestr("deaths.CSV", "CODMUNRES;SEXO;IDADE;CAUSABAS;DTOBITO\n")
+                    archive.writestr("extra.csv", "CODMUNRES;SEXO;CAUSABAS\n" if year % 2 == 0 else '"CODMUNRES";"SEXO";"IDADE";"CAUSABAS"\n')
+            contents.append(blob.getvalue())
+        yield pd.DataFrame({"path": [f"/raw/sim_{y}.zip" for y in batch["year"]], "content": contents})
+
+
+@query("dq01_archive_layout", """
+    WITH y AS (SELECT DISTINCT year FROM death)
+    SELECT year, NULL AS member, NULL AS columns, '' AS missing, 'no_csv_member' AS error FROM y WHERE year <= 1995
+    UNION ALL SELECT year, 'deaths.CSV', 5, '', NULL FROM y WHERE year > 1995
+    UNION ALL SELECT year, 'extra.csv', CASE WHEN year % 2 = 0 THEN 3 ELSE 4 END, CASE WHEN year % 2 = 0 THEN 'IDADE' ELSE '' END,
+      CASE WHEN year % 2 = 0 THEN 'extra.csv:missing:IDADE' END FROM y WHERE year > 1995""")
+def _(spark, folder):
+    years = deaths(spark, folder).groupBy(F.col("source_year").cast("int").alias("year")).agg(F.count(F.lit(1)).alias("rows"))
+    audit = archive_layout(years.mapInPandas(_archives, "path string, content binary"), DEATH_REQUIRED)
+    return audit.select(
+        F.regexp_extract("path", r"sim_(\d{4})", 1).cast("int").alias("year"), "member", "columns", F.coalesce(F.array_join("missing", "|"), F.lit("")).alias("missing"), "error",
+    )
+
+
 @query("dq02_non_negative", "SELECT c_custkey AS id, c_acctbal AS balance FROM customer WHERE c_acctbal < 0")
 def _(spark, folder):
     rows = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import gzip
 import io
 import json
@@ -98,6 +99,38 @@ def layout_audit(spark: SparkSession, path: str, required: list[str], separator:
     return joined.select("source_file", "columns", missing.alias("missing"), (F.coalesce("_lines", F.lit(1)) - 1).alias("rows"))
 
 
+def archive_layout(files: DataFrame, required: list[str], separator: str = ";") -> DataFrame:
+    """Header audit of zip archives given as (path, content): one row per CSV member, only its first line is read.
+
+    Columns: path, member, columns, missing (sorted), error. An archive without a CSV member, or one
+    that cannot be opened, is one row that says so.
+    """
+    names = ["path", "member", "columns", "missing", "error"]
+
+    def members(content: bytes) -> Iterator[tuple]:
+        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            tables = [m for m in archive.namelist() if m.lower().endswith(".csv")]
+            if not tables:
+                yield None, None, None, "no_csv_member"
+            for member in tables:
+                with archive.open(member) as handle:
+                    fields = {f.strip() for f in next(csv.reader([handle.readline().decode("latin1").strip()], delimiter=separator), [])}
+                lacking = sorted(set(required) - fields)
+                yield member, len(fields), lacking, f"{member}:missing:{','.join(lacking)}" if lacking else None
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                try:
+                    rows += [(path, *found) for found in members(bytes(content))]
+                except (zipfile.BadZipFile, OSError, EOFError) as error:
+                    rows.append((path, None, None, None, type(error).__name__))
+            yield pd.DataFrame(rows, columns=names)
+
+    return files.select("path", "content").mapInPandas(read, "path string, member string, columns int, missing array<string>, error string")
+
+
 def parquet_layout(spark: SparkSession, paths: list[str], required: list[str], optional: list[str]) -> DataFrame:
     """Per Parquet path: required and optional fields it lacks, and its rows, counted from footers."""
     rows = []

@@ -249,3 +249,24 @@ def test_number_rows_is_a_plain_function(spark, tmp_path):
     (tmp_path / "x.csv").write_text("A\n1\n2\n3\n")
     numbered = number_rows(spark.read.csv(str(tmp_path), header=True))
     assert sorted((r["A"], r["source_row_number"]) for r in numbered.collect()) == [("1", 1), ("2", 2), ("3", 3)]
+
+
+def test_archive_and_parquet_layouts(spark, tmp_path):
+    def packed(members):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as archive:
+            for name, text in members.items():
+                archive.writestr(name, text)
+        return bytearray(out.getvalue())
+
+    frame = spark.createDataFrame([
+        ("a.zip", packed({"x.csv": HEAD})), ("b.zip", packed({"y.CSV": "SEXO;IDADE\n1;2\n", "z.csv": ""})), ("c.zip", packed({"t.txt": "x"})), ("d.zip", bytearray(b"no")),
+    ], "path string, content binary")
+    got = {(r["path"], r["member"]): (r["columns"], r["missing"], r["error"]) for r in provenance.archive_layout(frame, ["CODMUNRES", "SEXO"]).collect()}
+    assert got == {
+        ("a.zip", "x.csv"): (7, [], None), ("b.zip", "y.CSV"): (2, ["CODMUNRES"], "y.CSV:missing:CODMUNRES"),
+        ("b.zip", "z.csv"): (0, ["CODMUNRES", "SEXO"], "z.csv:missing:CODMUNRES,SEXO"), ("c.zip", None): (None, None, "no_csv_member"), ("d.zip", None): (None, None, "BadZipFile"),
+    }
+    spark.createDataFrame([(1, 2)], "a int, b int").write.parquet(str(tmp_path / "p"))
+    row = provenance.parquet_layout(spark, [str(tmp_path / "p")], ["a", "c"], ["d"]).collect()[0]
+    assert (row["columns"], row["missing"], row["missing_optional"], row["rows"]) == (2, ["c"], ["d"], 1)
