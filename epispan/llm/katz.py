@@ -157,7 +157,6 @@ class Chunk:
         self.token_train = self.train[self.doc]
         self.context_order = np.argsort(self.contexts)
         pairs = pair_keys(self.contexts[self.before], self.words[self.tokens])
-        self.pairs, self.pair_of, self.pair_first = None, None, None
         self.pairs, self.pair_first, self.pair_of = np.unique(pairs, return_index=True, return_inverse=True)
 
     def word_counts(self) -> np.ndarray:

@@ -467,7 +467,11 @@ def frequent_words(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS)
 
 
 def ship_lexicon(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS) -> str:
-    """Compile the lexicon of ``docs`` and hand its file to every executor; returns the file's name there."""
+    """Compile the lexicon of ``docs`` and hand its file to every executor; returns the file's name there.
+
+    The driver's copy is only what Spark ships from: each executor gets a file of its own, and
+    none reads another machine's folder.
+    """
     frequent = [w.encode() for w in frequent_words(docs, tokenizer, words)]
     data = compile_lexicon(dict(zip(frequent, tokenizer_file(tokenizer).merge(frequent), strict=True)))
     name = f"lexicon-{uuid.uuid4().hex}.mat"
