@@ -7,12 +7,15 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 #: Text handed to one step inside a task, so that a batch of very long texts stays bounded.
 SLICE_CHARS = 8_000_000
+#: Bytes Spark hands to a Python worker at once.
+BATCH_BYTES = 64 << 20
+_BATCH_SETTING, _UNBOUNDED = "spark.sql.execution.arrow.maxBytesPerBatch", 2**31 - 1
 _ASCII_UPPER = re.compile("[A-Z]+")
 
 
@@ -30,14 +33,24 @@ def ascii_lower_bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").lower()
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the bytes of a batch as well as its rows, so that very long texts travel few at a time.
+
+    A value the session has set itself stays.
+    """
+    if spark.conf.get(_BATCH_SETTING, str(_UNBOUNDED)) == str(_UNBOUNDED):
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterable[dict]], schema: str) -> DataFrame:
     """``mapInArrow`` over a function that yields dictionaries of whole columns."""
+    bound_batches(df.sparkSession)
     arrow = to_arrow_schema(schema_of(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in function(batches):
             yield pa.RecordBatch.from_arrays(
-                [c if isinstance(c, pa.Array) else pa.array(c, f.type) for f, c in ((f, columns[f.name]) for f in arrow)],
+                [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for f, c in ((f, columns[f.name]) for f in arrow)],
                 schema=arrow,
             )
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower_bytes, map_arrow
+from .common import ascii_lower_bytes, bound_batches, map_arrow
 
 #: Words of lower-cased UTF-8: digits, a-z and every byte of a character beyond ASCII.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -139,6 +139,7 @@ def with_digest(found: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     """Documents without any benchmark window, untouched and with all their columns."""
+    bound_batches(docs.sparkSession)
     items, run = docs.sparkSession.sparkContext.broadcast(benchmark_items(benchmark)), uuid.uuid4().hex
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,6 +159,7 @@ def cut_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WOR
     found in is unchanged. A document whose every word was hit goes altogether. All columns of
     ``docs`` are kept; ``n_chars``, where it exists, follows the new text.
     """
+    bound_batches(docs.sparkSession)
     items, run = docs.sparkSession.sparkContext.broadcast(benchmark_items(benchmark)), uuid.uuid4().hex
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import bound_batches, map_arrow
 from .pu_quality import in_fold
 
 BUCKETS = 1 << 14
@@ -248,6 +248,7 @@ def keep_identified(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
     Where no row names a language there is nothing to learn, and only texts without a letter go.
     """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs))
+    bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

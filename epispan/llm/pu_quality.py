@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import bound_batches, map_arrow
 
 #: Bound on the documents a fit looks at, chosen by the hash of their ids.
 SAMPLE_DOCS = 40_000
@@ -211,6 +211,7 @@ def score_held_out(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents whose score is at least 0.5, all columns kept."""
     net = fit(docs, labels)
+    bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
