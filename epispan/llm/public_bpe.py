@@ -23,7 +23,7 @@ MARKS = frozenset(".,;:?!()\"-#$%&*")
 JOINED_WORDS = 512
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 #: Unicode white space; str.split() also splits at the four separators above, the tokenizer does not.
-WHITE = "\t-\r \x85\xa0  -     　"
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WHITE = re.compile(f"[{WHITE}]+")
 
 
