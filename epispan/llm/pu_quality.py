@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 
 from .common import bound_batches, map_arrow
 
-#: Bound on the documents a fit looks at, chosen by the hash of their ids.
+#: Bound on the good documents, and on the documents of any kind, a fit looks at, chosen by the hash of their ids.
 SAMPLE_DOCS = 40_000
+#: Good documents from which the prior is estimated; with fewer it is 0.5.
+LEAST_GOOD = 50
 HIDDEN = 24
 EPOCHS = 60
 BATCH = 1024
@@ -166,25 +168,39 @@ def in_fold(folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == fold, F.lit(False))
 
 
+def _place() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
+
+
+def _sample(docs: DataFrame, sample_docs: int) -> np.ndarray:
+    """Statistics of at most ``sample_docs`` documents, those with the smallest hashes, in a fixed order."""
+    rows = document_features(docs).orderBy(_place(), "doc_id", "x").limit(sample_docs).select("x", F.xxhash64("doc_id", F.lit(1)).alias("h")).toPandas()
+    x = np.array(rows["x"].tolist()).reshape(-1, N_FEATURES)
+    return x[np.lexsort((*x.T, rows["h"].to_numpy()))]
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Network | None:
-    """Fit on at most ``sample_docs`` documents of known id; None where no good document is among them."""
+    """Fit on two hash samples of documents of known id; None where no document at all is labelled good.
+
+    The good documents are found first and only then bounded at ``sample_docs``, so however large
+    the rest grows they stay as many; the unlabelled set is a sample of at most as many from all
+    documents. Below ``LEAST_GOOD`` good documents the prior is not estimated but set to 0.5.
+    """
     known = docs.where(F.col("doc_id").isNotNull())
+    labelled = known.select("doc_id").join(labels.where("quality = 1").select("doc_id").distinct(), "doc_id", "left_semi")
+    # Ids alone are joined and ranked; the bounded list then goes to the texts.
+    ids = labelled.orderBy(_place(), "doc_id").limit(sample_docs).distinct()
+    good = _sample(known.join(F.broadcast(ids), "doc_id", "left_semi"), sample_docs)
+    if not len(good):
+        return None
     total = known.count()
     chosen = known
     if total > sample_docs:
         # A range of the ids' hashes that holds a few more than wanted; the smallest hashes of it are taken.
-        share = int(1.05 * sample_docs / total * 1_000_000) + 20
-        chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    sample = document_features(chosen).orderBy(place, "doc_id", "x").limit(sample_docs)
-    good = labels.where("quality = 1").select("doc_id").distinct().withColumn("good", F.lit(True))
-    rows = sample.join(good, "doc_id", "left").select("x", F.coalesce("good", F.lit(False)).alias("good"), F.xxhash64("doc_id", F.lit(1)).alias("h")).toPandas()
-    if not rows["good"].any():
-        return None
-    x = np.array(rows["x"].tolist())
-    order = np.lexsort((*x.T, rows["h"].to_numpy()))
-    x, trusted = x[order], rows["good"].to_numpy()[order]
-    return fit_network(x[trusted], x, estimate_prior(x[trusted], x) if trusted.sum() >= 50 else 0.5)
+        share = int((1.05 * sample_docs + 6 * sample_docs**0.5 + 20) / total * 1_000_000) + 20
+        chosen = known.where(_place() < share)
+    x = _sample(chosen, sample_docs)
+    return fit_network(good, x, estimate_prior(good, x) if len(good) >= LEAST_GOOD else 0.5)
 
 
 def score(docs: DataFrame, net: Network | None) -> DataFrame:
@@ -202,14 +218,15 @@ def score_held_out(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int
     """Learn from the rows outside one fold, score all rows: doc_id, held_out, score, predicted.
 
     Labels repeated for an id count as good if one of them is. Null ids are not learned from.
-    With no good document to learn from every score is 0.5.
+    With no good document to learn from every score is 0.5; with fewer than ``LEAST_GOOD`` of them
+    the network is fitted at a prior of 0.5.
     """
     net = fit(docs.where(~in_fold(folds, fold)), labels.where(~in_fold(folds, fold)))
     return score(docs, net).select("doc_id", in_fold(folds, fold).alias("held_out"), "score", "predicted")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents whose score is at least 0.5, all columns kept."""
+    """Documents whose score is at least 0.5, all columns kept; with no document labelled good, all of them."""
     net = fit(docs, labels)
     bound_batches(docs.sparkSession)
 

@@ -76,3 +76,18 @@ def test_a_bounded_sample_is_the_same_every_time(frames):
     _, docs, labels = frames
     nets = [q.fit(docs.repartition(n), labels, sample_docs=400) for n in (2, 5)]
     assert all(np.array_equal(a, b) for a, b in zip(nets[0].weights, nets[1].weights, strict=True))
+
+
+def test_good_documents_are_found_before_the_sample_is_bounded(frames, spark, monkeypatch):
+    rows, docs, _ = frames
+    seen = []
+    fitted = q.fit_network
+    monkeypatch.setattr(q, "fit_network", lambda good, all_, prior: seen.append((len(good), len(all_), prior)) or fitted(good, all_, prior))
+    few = [i for i, _, g in rows if g][:60]
+    labels = spark.createDataFrame([(i, 1) for i in few] + [(i, 0) for i, _, g in rows if not g], "doc_id bigint, quality int")
+    assert q.fit(docs, labels, sample_docs=80) is not None
+    # The whole set is sampled, its 60 good documents are all there and the prior is estimated from them.
+    assert seen[-1][:2] == (60, 80) and seen[-1][2] not in (None, 0.5)
+    assert q.fit(docs, labels.where(f"doc_id = {few[0]}"), sample_docs=5) is not None
+    assert seen[-1] == (1, 5, 0.5)
+    assert q.fit(docs, labels.where("quality = 0"), sample_docs=80) is None
