@@ -5,6 +5,10 @@ consecutive words, a shorter item its whole word sequence. The windows of all it
 single Aho-Corasick automaton whose letters are word numbers, so a match is a match of whole
 words and one pass over a text finds every window, overlapping ones included. Matches come
 back as word positions and, on request, as character offsets into the untouched text.
+
+A benchmark larger than one automaton may be is dealt into groups with an automaton each. A run
+of documents is scanned with one after the other, and what they hit is united before it is
+counted, so the groups change nothing in the result.
 """
 
 from __future__ import annotations
@@ -12,6 +16,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import ahocorasick
 import numpy as np
@@ -24,8 +29,10 @@ from .common import ascii_lower_bytes, bound_batches, map_arrow
 #: Words of lower-cased UTF-8: digits, a-z and every byte of a character beyond ASCII.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 WINDOW_WORDS = 10
-#: Bound on the benchmark, which is broadcast and takes a worker about 90 bytes a character; more text is refused, not cut.
-MAX_BENCHMARK_CHARS = 4_000_000
+#: Benchmark characters in one automaton, which takes a worker about 90 bytes each; a worker holds one automaton at a time.
+MAX_AUTOMATON_CHARS = 4_000_000
+#: Document bytes scanned with one automaton before the next one of several is built.
+RUN_BYTES = 64 << 20
 
 
 class WindowAutomaton:
@@ -76,51 +83,128 @@ def character_spans(text: str, hit: np.ndarray) -> list[tuple[int, int]]:
     return [(int(first[a]), int(first[b])) for a, b in spans]
 
 
-def benchmark_items(benchmark: DataFrame, max_chars: int = MAX_BENCHMARK_CHARS) -> list[tuple[str, str | None]]:
-    """The benchmark's (id, text) pairs, refused above the bound. Rows with a null id or text have no window."""
+def benchmark_items(benchmark: DataFrame, max_chars: int | None = MAX_AUTOMATON_CHARS) -> list[tuple[str, str | None]]:
+    """The benchmark's (id, text) pairs, refused above a bound. Rows with a null id or text have no window."""
     known = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(
         F.col("item_id").cast("string").alias("item_id"), "text"
     )
-    size = known.agg(F.sum(F.length("text"))).first()[0] or 0
-    if size > max_chars:
-        raise ValueError(f"the benchmark has {size} characters; the automaton is bounded at {max_chars}")
+    if max_chars is not None:
+        size = known.agg(F.sum(F.length("text"))).first()[0] or 0
+        if size > max_chars:
+            raise ValueError(f"the benchmark has {size} characters; one automaton is bounded at {max_chars}")
     return sorted((r["item_id"], r["text"]) for r in known.collect())
 
 
-#: The automaton this Python worker built last, under the name of the run it belongs to.
-_BUILT: dict[str, WindowAutomaton] = {}
-
+def item_pieces(item: str, text: str, window: int, max_chars: int) -> Iterator[tuple[str, str]]:
+    """An item as pieces that have its windows, each in one piece; only an item above the bound has several.
 
-def _automaton(run: str, items: list[tuple[str, str | None]], window: int) -> WindowAutomaton:
-    if run not in _BUILT:
+    A piece begins ``window - 1`` words before the end of the last one and is above the bound
+    only where a single window is.
+    """
+    if len(text) <= max_chars:
+        yield item, text
+        return
+    words = [w.decode("utf-8", "surrogatepass") for w in WORD.findall(ascii_lower_bytes(text))]
+    start, size = 0, 0
+    for end, word in enumerate(words):
+        if size + len(word) + 1 > max_chars and end - start >= window:
+            yield item, " ".join(words[start:end])
+            start = end - window + 1
+            size = sum(len(w) + 1 for w in words[start:end])
+        size += len(word) + 1
+    if words:
+        yield item, " ".join(words[start:])
+
+
+def benchmark_groups(benchmark: DataFrame, window: int = WINDOW_WORDS, max_chars: int = MAX_AUTOMATON_CHARS) -> list[list[tuple[str, str]]]:
+    """The whole benchmark in groups of bounded text, one where it fits."""
+    groups: list[list[tuple[str, str]]] = [[]]
+    size = 0
+    for item, text in benchmark_items(benchmark, None):
+        for piece in item_pieces(item, text, window, max_chars):
+            if groups[-1] and size + len(piece[1]) > max_chars:
+                groups.append([])
+                size = 0
+            groups[-1].append(piece)
+            size += len(piece[1])
+    return groups
+
+
+#: The automaton this Python worker built last, under the run and the group it belongs to.
+_BUILT: dict[tuple[str, int], WindowAutomaton] = {}
+
+
+def _automaton(run: str, group: int, items: list[tuple[str, str]], window: int) -> WindowAutomaton:
+    if (run, group) not in _BUILT:
         _BUILT.clear()
-        _BUILT[run] = WindowAutomaton(items, window)
-    return _BUILT[run]
-
-
-def find_benchmark_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, spans: bool = True) -> DataFrame:
+        _BUILT[run, group] = WindowAutomaton(items, window)
+    return _BUILT[run, group]
+
+
+@dataclass
+class Passages:
+    """What was found in one text: its number of words, which of them were hit (None: none) and the items."""
+
+    n_words: int = 0
+    hit: np.ndarray | None = None
+    items: set[str] = field(default_factory=set)
+
+
+def _scan(automaton: WindowAutomaton, texts: list[pa.Array], found: list[list[Passages]]) -> None:
+    for column, passages in zip(texts, found, strict=True):
+        for value, passage in zip(column, passages, strict=True):
+            words = WORD.findall(ascii_lower_bytes(value.as_py()))
+            passage.n_words = len(words)
+            matches = automaton.matches(words)
+            if matches:
+                hit = hit_words(matches, len(words))
+                passage.hit = hit if passage.hit is None else passage.hit | hit
+                passage.items.update(i for _, _, held in matches for i in held)
+
+
+def scan_batches(
+    batches: Iterator[pa.RecordBatch], column: int, run: str, groups: list[list[tuple[str, str]]], window: int,
+) -> Iterator[tuple[pa.RecordBatch, list[Passages]]]:
+    """Every batch with the passages of its texts; with several groups, batches are read ahead so that each automaton serves many texts."""
+    def flush(held: list[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[Passages]]]:
+        texts = [batch.column(column) for batch in held]
+        found = [[Passages() for _ in range(batch.num_rows)] for batch in held]
+        # The automaton built last goes first.
+        for group in sorted(range(len(groups)), key=lambda g: (run, g) not in _BUILT):
+            _scan(_automaton(run, group, groups[group], window), texts, found)
+        yield from zip(held, found, strict=True)
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if len(groups) == 1 or sum(b.nbytes for b in held) >= RUN_BYTES:
+            yield from flush(held)
+            held = []
+    if held:
+        yield from flush(held)
+
+
+def find_benchmark_passages(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, spans: bool = True, max_chars: int = MAX_AUTOMATON_CHARS,
+) -> DataFrame:
     """One row per document: word counts, items found and the character spans of benchmark text.
 
     Columns: doc_id, n_words, n_hit, items (array of ids sorted as strings), spans (array of
     start, end into the original text), contaminated. A null or empty text has no words; an
     empty benchmark hits nothing; repeated rows are judged one by one; other columns are ignored.
     """
-    items, run = docs.sparkSession.sparkContext.broadcast(benchmark_items(benchmark)), uuid.uuid4().hex
+    groups, run = docs.sparkSession.sparkContext.broadcast(benchmark_groups(benchmark, window, max_chars)), uuid.uuid4().hex
 
     def scan(batches: Iterator) -> Iterator[dict]:
-        automaton = _automaton(run, items.value, window)
-        for batch in batches:
+        for batch, passages in scan_batches(batches, 1, run, groups.value, window):
             out: dict[str, list] = {"doc_id": batch.column(0), "n_words": [], "n_hit": [], "items": [], "spans": [], "contaminated": []}
-            for value in batch.column(1):
-                text = value.as_py()
-                words = WORD.findall(ascii_lower_bytes(text))
-                found = automaton.matches(words)
-                hit = hit_words(found, len(words)) if found else np.zeros(0, bool)
-                out["n_words"].append(len(words))
-                out["n_hit"].append(int(hit.sum()))
-                out["items"].append(sorted({i for _, _, held in found for i in held}))
-                out["spans"].append([{"start": a, "end": b} for a, b in character_spans(text, hit)] if found and spans else [])
-                out["contaminated"].append(bool(found))
+            for value, p in zip(batch.column(1), passages, strict=True):
+                found = p.hit is not None
+                out["n_words"].append(p.n_words)
+                out["n_hit"].append(int(p.hit.sum()) if found else 0)
+                out["items"].append(sorted(p.items))
+                out["spans"].append([{"start": a, "end": b} for a, b in character_spans(value.as_py(), p.hit)] if found and spans else [])
+                out["contaminated"].append(found)
             yield out
 
     return map_arrow(
@@ -137,22 +221,20 @@ def with_digest(found: DataFrame) -> DataFrame:
     )
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, max_chars: int = MAX_AUTOMATON_CHARS) -> DataFrame:
     """Documents without any benchmark window, untouched and with all their columns."""
     bound_batches(docs.sparkSession)
-    items, run = docs.sparkSession.sparkContext.broadcast(benchmark_items(benchmark)), uuid.uuid4().hex
+    groups, run = docs.sparkSession.sparkContext.broadcast(benchmark_groups(benchmark, window, max_chars)), uuid.uuid4().hex
+    at = docs.columns.index("text")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = _automaton(run, items.value, window)
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text"))
-            clean = [not automaton.matches(WORD.findall(ascii_lower_bytes(t.as_py()))) for t in texts]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+        for batch, passages in scan_batches(batches, at, run, groups.value, window):
+            yield batch.filter(pa.array([p.hit is None for p in passages], pa.bool_()))
 
     return docs.mapInArrow(scan, docs.schema)
 
 
-def cut_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
+def cut_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, max_chars: int = MAX_AUTOMATON_CHARS) -> DataFrame:
     """Documents with every passage of the benchmark cut out of their texts.
 
     Only the hit characters go, the rest of the text stays as it was; a document nothing was
@@ -160,22 +242,18 @@ def cut_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WOR
     ``docs`` are kept; ``n_chars``, where it exists, follows the new text.
     """
     bound_batches(docs.sparkSession)
-    items, run = docs.sparkSession.sparkContext.broadcast(benchmark_items(benchmark)), uuid.uuid4().hex
+    groups, run = docs.sparkSession.sparkContext.broadcast(benchmark_groups(benchmark, window, max_chars)), uuid.uuid4().hex
+    at = docs.columns.index("text")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = _automaton(run, items.value, window)
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
+        for batch, passages in scan_batches(batches, at, run, groups.value, window):
             texts, keep = [], []
-            for value in batch.column(at):
+            for value, p in zip(batch.column(at), passages, strict=True):
                 text = value.as_py()
-                words = WORD.findall(ascii_lower_bytes(text))
-                found = automaton.matches(words)
-                if found:
-                    hit = hit_words(found, len(words))
-                    keep.append(not hit.all())
+                if p.hit is not None:
+                    keep.append(not p.hit.all())
                     pieces, last = [], 0
-                    for a, b in character_spans(text, hit):
+                    for a, b in character_spans(text, p.hit):
                         pieces.append(text[last:a])
                         last = b
                     text = "".join([*pieces, text[last:]])

@@ -70,3 +70,29 @@ def test_empty_tables_and_bound(spark, frames):
     assert d.find_benchmark_passages(docs.limit(0), items).count() == 0
     with pytest.raises(ValueError):
         d.benchmark_items(items, 5)
+
+
+def test_a_benchmark_above_the_bound_is_scanned_in_groups(spark, frames, monkeypatch):
+    docs, items = frames
+    assert len(d.benchmark_groups(items, 3)) == 1
+    # Item 10 has 18 characters, so at 15 its two windows lie in different pieces.
+    groups = d.benchmark_groups(items, 3, 15)
+    assert len(groups) > 4 and [t for g in groups for i, t in g if i == "10"] == ["one two three", "two three four"]
+    want = brute(DOCS, ITEMS, 3)
+    for run_bytes in (1, 1 << 20):
+        monkeypatch.setattr(d, "RUN_BYTES", run_bytes)
+        rows = d.find_benchmark_passages(docs, items, 3, max_chars=15).collect()
+        assert {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in rows} == want
+    whole, grouped = (d.cut_passages(docs, items, 3, n).orderBy("doc_id").collect() for n in (4_000_000, 15))
+    assert whole == grouped
+    assert sorted(r.doc_id for r in d.keep_clean(docs, items, 3, max_chars=15).collect()) == [2, 3, 4, 6]
+
+
+def test_more_than_an_automaton_holds_is_not_refused(spark):
+    # Long words: 5 million characters, few windows.
+    texts = [" ".join(f"w{k}x{i}" + "y" * 10_000 for i in range(20)) for k in range(25)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    part = lambda k: " ".join(texts[k].split()[3:13])
+    asked = spark.createDataFrame([(1, f"x {part(0)} y {part(24)}"), (2, "x y")], "doc_id bigint, text string")
+    rows = {r.doc_id: (r.n_hit, r["items"], r.contaminated) for r in d.find_benchmark_passages(asked, items).collect()}
+    assert rows == {1: (20, ["0", "24"], True), 2: (0, [], False)}
