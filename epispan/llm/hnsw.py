@@ -215,12 +215,12 @@ def _all_nodes(graph: Graph, queries: np.ndarray, top: int) -> tuple[np.ndarray,
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """Rows that take part: known id, and a vector that is neither null, zero nor has a null or non-finite component."""
-    v = F.transform("embedding", lambda x: x.cast("double"))
+    """Distinct rows that take part: known id, and a vector that is neither null, zero nor has a null or non-finite component."""
+    v = F.transform("embedding", lambda x: x.cast("double") + 0.0)
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     return vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).select("vec_id", v.alias("v")).where(
         F.coalesce(finite, F.lit(False)) & F.exists("v", lambda x: x != 0)
-    )
+    ).distinct()
 
 
 def _shard_graph(rows: pd.DataFrame) -> pd.DataFrame:
@@ -243,10 +243,10 @@ def build_index(vectors: DataFrame, top: int = TOP, shard_rows: int = SHARD_ROWS
     """The stored index of ``vectors`` (vec_id, embedding): one row per shard, every usable vector in it.
 
     Equal vectors become one node that lists its ``top + 1`` smallest ids: no result can hold
-    more of them. The cut is a ranking that Spark applies before the shuffle, so a vector that
+    more of them. Repeated rows are combined before the cut, so it counts ids. The cut is a ranking that Spark applies before the shuffle, so a vector that
     a third of all rows share costs each task a few rows.
     """
-    held = usable(vectors).select("vec_id", F.transform("v", lambda x: x + 0.0).alias("v"))
+    held = usable(vectors)
     first = Window.partitionBy("v").orderBy("vec_id")
     kept = held.withColumn("place", F.row_number().over(first)).where(F.col("place") <= top + 1)
     nodes = materialize(
@@ -257,10 +257,22 @@ def build_index(vectors: DataFrame, top: int = TOP, shard_rows: int = SHARD_ROWS
     return materialize(placed.groupBy("shard", "size").applyInPandas(_shard_graph, _GRAPH), "vector-graphs")
 
 
+def _best_of_ids(exact: np.ndarray, ids: list[np.ndarray], nodes: np.ndarray, q: np.ndarray, query: int) -> dict[int, float]:
+    """The best score of every id the nodes stand for, the query's own left out."""
+    best: dict[int, float] = {}
+    for k in nodes:
+        score = float(np.dot(exact[k], q))
+        for v in ids[k].tolist():
+            if v != query and score > best.get(v, -np.inf):
+                best[v] = score
+    return best
+
+
 def search(index: DataFrame, queries: DataFrame, top: int = TOP, beam: int = SEARCH_BEAM) -> DataFrame:
     """query_id, rank, vec_id, score: the ``top`` nearest found to each query, its own row left out.
 
-    Ties go to the smaller vec_id. Queries that are not usable vectors find nothing; a query only
+    Ties go to the smaller vec_id. An id counts once in a result, at its best score, however many
+    rows it or the query has. Queries that are not usable vectors find nothing; a query only
     meets vectors of its own length.
     """
     asked = usable(queries).select(F.col("vec_id").alias("query_id"), "v", F.size("v").alias("size"))
@@ -290,16 +302,19 @@ def search(index: DataFrame, queries: DataFrame, top: int = TOP, beam: int = SEA
                 # One more than asked for: the query's own row may be among them.
                 nodes, _ = search_graph(graph, np.concatenate([q, np.zeros((len(q), 1))], axis=1).astype(np.float32), top + 1, beam)
                 for i, found in enumerate(nodes):
-                    found = found[found >= 0]
-                    scores = np.array([float(np.dot(exact[k], q[i])) for k in found])
                     query = asked_ids[start + i]
-                    pairs = [(-s, v, query) for s, k in zip(scores, found, strict=True) for v in ids[k].tolist() if v != query]
-                    out += sorted(pairs)[:top]
+                    best = _best_of_ids(exact, ids, found[found >= 0], q[i], query)
+                    if len(best) < top and len(found) < len(exact):
+                        # Several nodes of one id stand in the way of others: all nodes are compared.
+                        best = _best_of_ids(exact, ids, np.arange(len(exact)), q[i], query)
+                    out += sorted((-s, v, query) for v, s in best.items())[:top]
         return pd.DataFrame([(q, v, -s) for s, v, q in out], columns=["query_id", "vec_id", "score"])
 
     found = sent.groupBy("shard", "size", "block").cogroup(graphs.groupBy("shard", "size", "block")).applyInPandas(
         run, "query_id bigint, vec_id bigint, score double",
     )
+    # Shards, and several vectors of a query id, may each have found an id.
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     ranking = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= top).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
@@ -308,6 +323,6 @@ def nearest(vectors: DataFrame, every: int = 20, top: int = TOP) -> DataFrame:
     """Search ``vectors`` for the rows whose vec_id is divisible by ``every``.
 
     Null, zero and non-finite vectors take no part, nor do rows without an id. A repeated id is a
-    candidate once per distinct vector. An empty table gives an empty result.
+    candidate with each of its distinct vectors and in a result once. An empty table gives an empty result.
     """
     return search(build_index(vectors, top), vectors.where(F.col("vec_id") % every == 0), top)

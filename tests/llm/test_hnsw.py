@@ -63,3 +63,23 @@ def test_index_holds_every_vector_once(spark):
     assert len(index) > 1 and sum(len(r.ids) for r in index) == 50
     assert sorted(ids[0] for r in index for ids in r.ids) == list(range(50))
     assert all(ids == [ids[0] + 50 * k for k in range(4)] for r in index for ids in r.ids)
+
+
+def test_repeated_rows_count_once(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=6).astype(np.float32).tolist(), "x") for i in range(60)]
+    rows += [(100 + i, rows[9][1], "x") for i in range(4)]
+    want = brute(rows, 2, 8)
+    # The query 4 twice, a candidate 30 times ahead of others with its vector.
+    repeated = rows + [rows[4]] * 2 + [rows[9]] * 30
+    found = got(h.nearest(spark.createDataFrame(repeated, SCHEMA).repartition(3), every=2, top=8))
+    assert {q: [j for j, _ in x] for q, x in found.items()} == {q: [j for j, _ in x] for q, x in want.items()}
+
+
+def test_an_id_with_many_vectors_hides_no_other(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=6).astype(np.float32).tolist(), "x") for i in range(300)]
+    rows += [(999, (np.array(rows[0][1]) * (2 + k / 100)).tolist(), "x") for k in range(40)]
+    found = got(h.search(h.build_index(spark.createDataFrame(rows, SCHEMA), top=5), spark.createDataFrame(rows[:1], SCHEMA), top=5, beam=16))[0]
+    others = sorted((-float(np.dot(v, rows[0][1])), i) for i, v, _ in rows[1:300])
+    assert [j for j, _ in found] == [999] + [i for _, i in others[:4]]
