@@ -7,10 +7,14 @@ from collections.abc import Callable
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from epispan.session import materialize, table
 
-from . import bloom_cascade, chat, decontaminate, hnsw, id_coder, katz, langid, lexicon_bpe, pu_quality, simhash_links
+from . import (
+    bloom_cascade, chat, decontaminate, hnsw, id_coder, katz, langid, lexicon_bpe, pu_quality, simhash_links, spelling_variants,
+    suffix_repeats, token_alignment,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,6 +135,27 @@ def op10_token_id_output(spark: SparkSession, folder: str) -> DataFrame:
     return id_coder.store_and_digest(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+#: Every occurrence whose checksum this divides is misspelt, so that variants with known originals exist.
+SLIP = 31
+
+
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants.group_variants(spelling_variants.count_words(table(spark, folder, "documents"), slip=SLIP))
+
+
+def op12_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_repeats.remove_repeats(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.align_documents(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_url_filter": op2_url_filter,
@@ -142,6 +167,9 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_language_id": op9_language_id,
     "op10_token_id_output": op10_token_id_output,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_token_alignment": op13_token_alignment,
     "pipeline": corpus_pipeline.run,
 }
 LLM_SQL: dict[str, str] = {"op2_url_filter": OP2_SQL, "op5_chat_formatting": OP5_SQL, "op8_benchmark_decontamination": OP8_SQL}
