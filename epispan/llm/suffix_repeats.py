@@ -42,10 +42,10 @@ LENGTH = 200
 LEAD = 40
 #: Strings of a text whose anchors are sought at once.
 BLOCK_STRINGS = 1 << 20
-#: Distinct runs of an anchor that one bucket compares.
-GROUP_LIMIT = 512
-#: Runs a bucket sorts at once, complete groups.
+#: Runs a bucket sorts at once (some megabytes), complete groups; the last group may be as large again.
 SORTED_TOGETHER = 8192
+#: Distinct runs of an anchor that one bucket compares; cutting runs into strings costs twenty times their bytes.
+GROUP_LIMIT = SORTED_TOGETHER
 #: Texts handled at once inside a task, in bytes.
 SLICE_BYTES = 8 << 20
 _BASE = 0x9E3779B97F4A7C15
