@@ -16,11 +16,13 @@ def compact_date(value: Column | str) -> Column:
 def lenient_timestamp(value: Column | str) -> Column:
     """Generic date text to a timestamp, invalid text to null.
 
-    With slashes the month comes first, and the day only where it cannot be a month.
+    With slashes the month comes first, and the day only where it cannot be a month. Eight digits
+    are year, month and day.
     """
     text = col(value).cast("string")
     forms = [F.try_to_timestamp(text, F.lit(form)) for form in ("MM/dd/yyyy", "dd/MM/yyyy")]
-    return F.coalesce(text.try_cast("timestamp"), *forms)
+    compact = F.when(F.trim(text).rlike(r"\A\d{8}\z"), F.try_to_timestamp(F.trim(text), F.lit("yyyyMMdd")))
+    return F.coalesce(compact, text.try_cast("timestamp"), *forms)
 
 
 def month_start(value: Column | str) -> Column:

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import gzip
+import hashlib
 import io
+import json
 import zipfile
-from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from ..fixed_values import (
-    AGE_GROUPS, DEATH_REQUIRED, OBSERVATION_FIELDS, PROFILE_FIELDS, PROTECTED_FIELDS, PROTECTED_PROFILE_FIELDS, SEXES,
+    AGE_GROUPS, DEATH_REQUIRED, NOTIFICATION_OPTIONAL, NOTIFICATION_REQUIRED, OBSERVATION_FIELDS, PROFILE_FIELDS, PROTECTED_FIELDS, PROTECTED_PROFILE_FIELDS, SEXES,
 )
 from ..operators import quality
 from ..operators.standardize import coverage_gaps
@@ -19,11 +22,12 @@ from ..plans.products import annual_admission_rates, municipal_profile_counts, m
 from ..plans.publish import municipal_map, observations, profiles, release_status
 from ..operators.suppression import protected_leaks
 from ..session import fresh_path, materialize, table
-from ..sources.provenance import archive_layout, file_format_check, layout_audit
+from ..sources.files import create_file, list_files
+from ..sources.provenance import archive_layout, file_format_check, layout_audit, parquet_layout, raw_file_verdict
 from .registry import query
 from .standins import (
-    MUNICIPALITIES, PROFILE, STANDARD_YEAR, TERRITORY, admission_windows, death_rates, deaths, map_rates, monthly_admissions,
-    municipal_population, population, population_age_sex, profile_cells, raw_deaths, state_age_sex,
+    MUNICIPALITIES, PROFILE, STANDARD_YEAR, TERRITORY, YEAR_SHIFT, admission_windows, death_rates, deaths, map_rates, monthly_admissions,
+    municipal_population, population, population_age_sex, profile_cells, raw_deaths, raw_notifications, state_age_sex, write_year_files,
 )
 
 def area_code():
@@ -41,19 +45,12 @@ def _(spark, folder):
     return audit.groupBy("layout", "columns", F.array_join("missing", "|").alias("missing")).agg(F.sum("rows").alias("rows"))
 
 
-def _archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One archive per year: a sound member, one that lacks a field in even years, and none at all in the first year."""
-    for batch in batches:
-        contents = []
-        for year, rows in zip(batch["year"], batch["rows"], strict=True):
-            blob = io.BytesIO()
-            with zipfile.ZipFile(blob, "w") as archive:
-                archive.writestr("readme.txt", str(rows))
-                if year > 1995:
-                    archive.writestr("deaths.CSV", "CODMUNRES;SEXO;IDADE;CAUSABAS;DTOBITO\n")
-                    archive.writestr("extra.csv", "CODMUNRES;SEXO;CAUSABAS\n" if year % 2 == 0 else '"CODMUNRES";"SEXO";"IDADE";"CAUSABAS"\n')
-            contents.append(blob.getvalue())
-        yield pd.DataFrame({"path": [f"/raw/sim_{y}.zip" for y in batch["year"]], "content": contents})
+def _members(year):
+    """The first year has a note only; later ones a sound member, and one that lacks a field in even years."""
+    full = ["CODMUNRES", "SEXO", "IDADE", "CAUSABAS", "DTOBITO"]
+    if year <= 1995:
+        return {"readme.txt": None}
+    return {"readme.txt": None, "deaths.CSV": full, "extra.csv": ["CODMUNRES", "SEXO", "CAUSABAS"] if year % 2 == 0 else full[:4]}
 
 
 @query("dq01_archive_layout", """
@@ -63,11 +60,28 @@ def _archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     UNION ALL SELECT year, 'extra.csv', CASE WHEN year % 2 = 0 THEN 3 ELSE 4 END, CASE WHEN year % 2 = 0 THEN 'IDADE' ELSE '' END,
       CASE WHEN year % 2 = 0 THEN 'extra.csv:missing:IDADE' END FROM y WHERE year > 1995""")
 def _(spark, folder):
-    years = deaths(spark, folder).groupBy(F.col("source_year").cast("int").alias("year")).agg(F.count(F.lit(1)).alias("rows"))
-    audit = archive_layout(years.mapInPandas(_archives, "path string, content binary"), DEATH_REQUIRED)
-    return audit.select(
-        F.regexp_extract("path", r"sim_(\d{4})", 1).cast("int").alias("year"), "member", "columns", F.coalesce(F.array_join("missing", "|"), F.lit("")).alias("missing"), "error",
-    )
+    """Archives that hold every row of their year."""
+    path = fresh_path(spark, "audited-archives")
+    write_year_files(raw_deaths(spark, folder), path, "year", _members)
+    audit = archive_layout(list_files(spark, path), DEATH_REQUIRED)
+    year = (F.regexp_extract("path", r"sim_(\d{4})", 1).cast("int") - YEAR_SHIFT).alias("year")
+    return audit.select(year, "member", "columns", F.coalesce(F.array_join("missing", "|"), F.lit("")).alias("missing"), "error").distinct()
+
+
+@query("dq01_parquet_layout", """
+    SELECT CASE WHEN year <= 1997 THEN 'early' ELSE 'late' END AS layout, CASE WHEN year <= 1997 THEN 6 ELSE 9 END AS columns,
+      CASE WHEN year <= 1997 THEN 'EVOLUCAO' ELSE '' END AS missing,
+      CASE WHEN year <= 1997 THEN 'CO_MUN_NOT|CS_GESTANT|CS_RACA|DT_EVOLUCA|DT_NOTIFIC|TP_IDADE' ELSE 'CO_MUN_NOT|CS_GESTANT|CS_RACA|DT_EVOLUCA|DT_NOTIFIC' END AS missing_optional,
+      count(*) AS rows FROM notif GROUP BY ALL""")
+def _(spark, folder):
+    """Footers of notification files of two layouts, one without a required field."""
+    path, raw = fresh_path(spark, "parquet-layouts"), raw_notifications(spark, folder)
+    raw.where("year <= 1997").drop("EVOLUCAO", "TP_IDADE").write.parquet(f"{path}/early")
+    raw.where("year > 1997").withColumn("MORE", F.lit(1)).write.parquet(f"{path}/late")
+    audit = parquet_layout(spark, f"{path}/*", NOTIFICATION_REQUIRED, NOTIFICATION_OPTIONAL)
+    layout = F.regexp_extract("source_file", r"/(early|late)/", 1).alias("layout")
+    texts = [F.array_join(c, "|").alias(c) for c in ("missing", "missing_optional")]
+    return audit.where("rows > 0").groupBy(layout, "columns", *texts).agg(F.sum("rows").alias("rows"))
 
 
 @query("dq02_non_negative", "SELECT c_custkey AS id, c_acctbal AS balance FROM customer WHERE c_acctbal < 0")
@@ -154,6 +168,65 @@ def _(spark, folder):
     return file_format_check(files).select(number.alias("doc_id"), "format_ok")
 
 
+_VERDICT_SQL = """
+    WITH kinds AS (SELECT doc_id, text, doc_id % 6 AS kind, doc_id % 2 = 0 AS sound, doc_id % 7 <> 3 AS sidecar FROM documents),
+    judged AS (SELECT *, CASE kind WHEN 0 THEN '{"json_type": "list"}'
+        WHEN 1 THEN '{"columns": 4, "delimiter": ";", "missing_required_fields": ["IDADE"], "required_fields_present": ["CAUSABAS", "CODMUNRES", "SEXO"]}'
+        WHEN 2 THEN '{"features": 2, "geojson_type": "FeatureCollection", "json_type": "dict"}'
+        WHEN 3 THEN '{"first_members": ["text.txt"], "members": 1}' WHEN 4 THEN '{"columns": 2, "row_groups": 1, "rows": 1}' ELSE '{}' END AS details,
+      CASE kind WHEN 1 THEN 'missing_required_fields:IDADE' WHEN 5 THEN 'unsupported_format:.txt' END AS error FROM kinds)
+    SELECT doc_id, kind NOT IN (1, 5) AS format_ok, details AS format_details,
+      concat_ws('|', CASE WHEN NOT sidecar THEN 'missing_sha256_sidecar' WHEN doc_id % 7 = 4 THEN 'sha256_mismatch' END, error) AS errors,
+      sidecar AND doc_id % 7 <> 4 AND kind NOT IN (1, 5) AS ok FROM judged"""
+
+
+def _raw_file(key, text):
+    """A document as a raw file: JSON, CSV without a required field, shapes, an archive, a Parquet table, or a kind without a test."""
+    kind = key % 6
+    if kind == 0:
+        return "json", json.dumps([{"text": text}] * 3).encode()
+    if kind == 1:
+        return "csv", f"CODMUNRES;SEXO;CAUSABAS;NOTE\n1;2;3;{key}\n{text}".encode("latin1", "replace")
+    if kind == 2:
+        body = json.dumps({"features": [{"text": text}, {}], "type": "FeatureCollection"}).encode()
+        return "geojson", gzip.compress(body, mtime=0) if key % 4 == 0 else body
+    out = io.BytesIO()
+    if kind == 3:
+        with zipfile.ZipFile(out, "w") as archive:
+            archive.writestr(zipfile.ZipInfo("text.txt"), text)
+        return "zip", out.getvalue()
+    if kind == 4:
+        pq.write_table(pa.table({"doc_id": [key], "text": [text]}), out)
+        return "parquet", out.getvalue()
+    return "txt", text.encode()
+
+
+@query("dq07_raw_file_verdict", _VERDICT_SQL)
+def _(spark, folder):
+    """Every document written as a raw file of some format, some without a sidecar and some with a wrong one."""
+    path = fresh_path(spark, "raw-files")
+
+    def write(batches):
+        for batch in batches:
+            keys, paths, digests = [], [], []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                suffix, content = _raw_file(key, text or "")
+                keys.append(key)
+                paths.append(f"{path}/{key}.{suffix}")
+                digests.append(hashlib.sha256(content).hexdigest() if key % 7 != 4 else "0" * 64)
+                with create_file(paths[-1]) as handle:
+                    handle.write(content)
+            yield pa.RecordBatch.from_pydict({"doc_id": pa.array(keys, pa.int64()), "path": paths, "declared": digests})
+
+    written = materialize(table(spark, folder, "documents").select("doc_id", "text").mapInArrow(write, "doc_id bigint, path string, declared string"), "sidecars")
+    name = F.element_at(F.split("path", "/"), -1)
+    files = list_files(spark, path)
+    sidecars = written.where("doc_id % 7 <> 3").select(name.alias("name"), "declared").join(files.select(name.alias("name"), "path"), "name").drop("name")
+    verdict = raw_file_verdict(files, sidecars)
+    number = F.regexp_extract("path", r"/(\d+)\.\w+\z", 1).cast("long").alias("doc_id")
+    return verdict.select(number, "format_ok", "format_details", F.array_join("errors", "|").alias("errors"), "ok")
+
+
 @query("dq08_contract_check", """
     SELECT 'sim-' || replace(outcome_id, '_', '-') AS indicator, 'manifestRef' AS missing_field, 'absent' AS breach, count(*) AS records FROM mort GROUP BY 1
     UNION ALL SELECT 'sim-' || replace(outcome_id, '_', '-'), 'dataStatus', 'null', count(*) FROM mort WHERE year = 1999 GROUP BY 1""")

@@ -2,25 +2,22 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..fixed_values import CENSUS_AGE, CENSUS_SEX
+from ..functions.text import year_in_name
 from ..operators.joins import manifest_lookup
 from ..operators.quality import column_profile, row_sequence_ok
 from ..operators.rollup import component_sums
-from ..plans.harmonize import harmonize_death_files
+from ..plans.harmonize import harmonize_death_files, harmonize_folder
 from ..plans.publish import observations
 from ..session import fresh_path, table
 from ..sources import provenance, sinks, snapshots
 from ..sources.config import outcome_dimension
+from ..sources.files import create_file, file_digests, list_files
 from ..sources.microdata import (
-    harmonize_deaths, harmonize_notifications, scan_death_csv, scan_harmonized, scan_notification_parquet, zip_rows,
+    harmonize_deaths, harmonize_notifications, scan_death_csv, scan_harmonized, scan_notification_parquet, scan_zipped_csv,
 )
 from ..sources.population import scan_population_age_sex_json, scan_population_json
 from ..sources.tables import (
@@ -30,8 +27,8 @@ from ..sources.tables import (
 from .aggregates import profile_sql
 from .registry import query
 from .standins import (
-    RAW_DEATH, TERRITORY, admission_windows, death_counts, death_rates, deaths, map_rates, monthly_admissions,
-    municipal_population, population_age_sex, raw_deaths, raw_notifications,
+    RAW_DEATH, TERRITORY, YEAR_SHIFT, admission_windows, death_counts, death_rates, deaths, map_rates, monthly_admissions,
+    municipal_population, population_age_sex, raw_deaths, raw_notifications, write_year_files,
 )
 
 _DEATH_KEYS = ["year", "code", "sex_raw", "age_raw", "cause_raw", "death_date"]
@@ -60,22 +57,25 @@ def _(spark, folder):
     return _death_tally(harmonize_deaths(raw, TERRITORY, F.col("year").cast("int")))
 
 
-def _zip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Every bounded batch as one zip archive per year."""
-    for batch in batches:
-        for year, rows in batch.groupby("year"):
-            blob = io.BytesIO()
-            with zipfile.ZipFile(blob, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr("deaths.CSV", rows.to_csv(sep=";", index=False).encode("latin1"))
-            yield pd.DataFrame({"path": [f"/raw/sim_{year + 20}.zip"], "content": [blob.getvalue()]})
+@query("s02_scan_zipped_csv", _DEATH_SQL)
+def _(spark, folder):
+    """Archives written from the table by its tasks, a CSV member and a note in each, streamed back."""
+    path, fields = fresh_path(spark, "raw-archives"), [c for c in RAW_DEATH if c != "year"]
+    write_year_files(raw_deaths(spark, folder), path, "year", lambda _: {"deaths.CSV": fields, "note.txt": None})
+    harmonized = harmonize_deaths(scan_zipped_csv(spark, path, fields), TERRITORY)
+    return _death_tally(harmonized.withColumn("source_year", F.col("source_year") - YEAR_SHIFT))
 
 
-@query("s02_scan_zipped_csv", _DEATH_SQL)
+@query("s02_archive_row_numbers", "SELECT year, count(*) AS rows, true AS sequence_ok FROM death GROUP BY 1")
 def _(spark, folder):
-    fields = [c for c in RAW_DEATH if c != "year"]
-    files = raw_deaths(spark, folder).mapInPandas(_zip_batches, "path string, content binary")
-    harmonized = harmonize_deaths(zip_rows(files, fields), TERRITORY)
-    return _death_tally(harmonized.withColumn("source_year", F.col("source_year") - 20))
+    """Rows of every archive are numbered from one without a gap."""
+    path, fields = fresh_path(spark, "numbered-archives"), [c for c in RAW_DEATH if c != "year"]
+    write_year_files(raw_deaths(spark, folder), path, "year", lambda _: {"deaths.CSV": fields})
+    scanned = scan_zipped_csv(spark, path, ["CODMUNRES"])
+    per_file = row_sequence_ok(scanned, ["source_file"])
+    rows = scanned.groupBy("source_file").agg(F.count("source_row_number").alias("rows"))
+    year = (year_in_name(F.element_at(F.split("source_file", "/"), -1)) - YEAR_SHIFT).alias("year")
+    return rows.join(per_file, "source_file").groupBy(year).agg(F.sum("rows").alias("rows"), F.min("source_row_sequence_ok").alias("sequence_ok"))
 
 
 @query("s03_scan_notification_parquet", """
@@ -97,6 +97,28 @@ def _(spark, folder):
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("s03_mixed_layouts", """
+    SELECT CAST(coalesce(year(onset), 1900) AS INT) AS year, code6 AS code, CAST(onset AS DATE) AS onset, CAST(CAST(age AS INT) AS STRING) AS age, class_code,
+      CASE WHEN year > 1995 THEN unit END AS unit, count(*) AS n FROM notif GROUP BY ALL""")
+def _(spark, folder):
+    """One glob over files of three layouts: fields absent, in another order, and as numbers, dates or text."""
+    path = fresh_path(spark, "mixed-notifications")
+    raw = raw_notifications(spark, folder)
+    raw.where("year <= 1995").drop("TP_IDADE").write.parquet(f"{path}/a")
+    typed = raw.withColumns({
+        "NU_IDADE_N": F.col("NU_IDADE_N").cast("int"), "TP_IDADE": F.col("TP_IDADE").cast("double"), "CLASSI_FIN": F.trim("CLASSI_FIN").try_cast("double"),
+        "DT_SIN_PRI": F.col("DT_SIN_PRI").cast("date"),
+    })
+    typed.where("year BETWEEN 1996 AND 1998").select(*reversed(typed.columns)).write.parquet(f"{path}/b")
+    raw.where("year > 1998").withColumn("DT_SIN_PRI", F.date_format("DT_SIN_PRI", "yyyyMMdd")).write.parquet(f"{path}/c")
+    scanned = scan_notification_parquet(spark, f"{path}/*")
+    harmonized = harmonize_notifications(scanned, TERRITORY, F.lit(2000)).withColumn("year", F.year(F.coalesce("symptom_onset_date", F.lit("1900-01-01").cast("date"))))
+    return harmonized.groupBy(
+        "year", F.col("municipality_code_datasus").alias("code"), F.to_date("symptom_onset_date").alias("onset"), F.col("age_raw").alias("age"),
+        F.col("final_classification_raw").alias("class_code"), F.nullif("age_unit_raw", F.lit("")).alias("unit"),
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
 _SIDRA_HEADER = "Município (Código)"
 
 
@@ -333,6 +355,30 @@ def _(spark, folder):
     return provenance.sidecar_status(manifest, sidecars).drop("declared")
 
 
+def _written_documents(spark, folder, name):
+    """Every document as a file of its own, written by the tasks that hold it; the path comes back without its folder."""
+    path = fresh_path(spark, name)
+
+    def write(batches):
+        for batch in batches:
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                with create_file(f"{path}/{key}.txt") as handle:
+                    handle.write((text or "").encode())
+            yield batch.select([0])
+
+    table(spark, folder, "documents").select("doc_id", "text").mapInArrow(write, "doc_id bigint").agg(F.count("doc_id")).collect()
+    return path
+
+
+@query("s15_streamed_digests", """
+    SELECT doc_id, strlen(text) AS bytes, sha256(text) AS sha256 FROM documents""")
+def _(spark, folder):
+    """Files written, listed, and digested as streams."""
+    path = _written_documents(spark, folder, "document-files")
+    number = F.regexp_extract("path", r"/(\d+)\.txt", 1).cast("long").alias("doc_id")
+    return file_digests(list_files(spark, path)).select(number, "bytes", "sha256")
+
+
 @query("s16_append_extraction_log", """
     SELECT CASE WHEN o_orderstatus = 'P' THEN 'empty' ELSE lower(o_orderstatus) END AS status, count(*) * 2 AS entries FROM orders GROUP BY 1""")
 def _(spark, folder):
@@ -354,6 +400,24 @@ def _(spark, folder):
     return provenance.upsert_manifest(first, rerun, "year")
 
 
+@query("s17_run_years", f"""
+    WITH entries AS (SELECT year, count(*) AS rows, count(*) FILTER (WHERE code6 = '{TERRITORY.selected_code6}') AS city_rows FROM death
+      WHERE NOT (year IN (1997, 2000) AND sex_raw = '1') GROUP BY 1)
+    SELECT year, rows, city_rows, rows AS table_rows, CASE WHEN year IN (1997, 2000) THEN 'zip' ELSE 'csv' END AS kind FROM entries""")
+def _(spark, folder):
+    """A folder harmonised once, then two years again from new archives: their entries and rows change, the others stay."""
+    path, target, manifest = (fresh_path(spark, n) for n in ("yearly-raw", "yearly-table", "yearly-manifest"))
+    raw, fields = raw_deaths(spark, folder), [c for c in RAW_DEATH if c != "year"]
+    write_year_files(raw, f"{path}/first", "year")
+    harmonize_folder(spark, f"{path}/first", TERRITORY, target, manifest)
+    again = raw.where("year IN (1997, 2000) AND trim(replace(SEXO, '.', '')) <> '1'")
+    write_year_files(again, f"{path}/again", "year", lambda _: {"deaths.csv": fields})
+    entries = harmonize_folder(spark, f"{path}/again", TERRITORY, target, manifest, years=[2017, 2020])
+    held = spark.read.parquet(target).groupBy("source_year").agg(F.count(F.lit(1)).alias("table_rows"))
+    kind = F.element_at(F.split(F.element_at("source_files", 1), r"\."), -1)
+    return entries.join(held, "source_year").select((F.col("source_year") - YEAR_SHIFT).cast("int").alias("year"), "rows", "city_rows", "table_rows", kind.alias("kind"))
+
+
 @query("p07_source_row_number", "SELECT count(*) AS rows, true AS sequence_ok FROM lineitem")
 def _(spark, folder):
     numbered = _death_csv(spark, folder, numbered=True)
@@ -400,6 +464,19 @@ def _(spark, folder):
     return _death_tally(harmonized.withColumn("layout", layout), layout.alias("layout"))
 
 
+@query("pb12_harmonize_mixed_folder", """
+    SELECT year, code6 AS code, sex_raw, age_raw, cause_raw, CASE WHEN year % 2 = 0 THEN CAST(try_strptime(date_raw, '%d%m%Y') AS DATE) END AS death_date, count(*) AS n
+    FROM death GROUP BY ALL""")
+def _(spark, folder):
+    """One call over a folder of plain files (odd years, without optional fields) and archives (even years)."""
+    path, raw = fresh_path(spark, "mixed-raw"), raw_deaths(spark, folder)
+    write_year_files(raw.where("year % 2 = 1").select("CODMUNRES", "SEXO", "IDADE", "CAUSABAS", "year"), path, "year")
+    fields = [c for c in RAW_DEATH if c != "year"]
+    write_year_files(raw.where("year % 2 = 0"), path, "year", lambda _: {"deaths.csv": fields, "note.txt": None})
+    harmonized = harmonize_death_files(spark, path, TERRITORY)
+    return _death_tally(harmonized.withColumn("source_year", F.col("source_year") - YEAR_SHIFT))
+
+
 @query("j10_manifest_lookup", """
     SELECT code6 AS code, year, count(*) AS n, 'sha-' || CAST(year AS STRING) AS source_sha256 FROM death GROUP BY ALL""")
 def _(spark, folder):

@@ -8,8 +8,14 @@ columns are deliberately untidy, as in administrative extracts.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
-
+import shutil
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -28,6 +34,7 @@ from ..plans.products import (
     notification_outcome_counts, population_product,
 )
 from ..session import fresh_path, table
+from ..sources.files import create_file
 from ..sources.microdata import harmonize_deaths, harmonize_notifications
 
 TERRITORY = Territory("33", "330000", "3300000")
@@ -93,6 +100,59 @@ def raw_notifications(spark: SparkSession, folder: str) -> DataFrame:
     return _project(table(spark, folder, "orders"), RAW_NOTIFICATION)
 
 
+def write_year_files(rows: DataFrame, folder: str, year: str, members: Callable[[int], dict[str, list[str] | None]] | None = None) -> None:
+    """Rows as semicolon-separated Latin-1 files named after their year, each task streaming its own.
+
+    With ``members``, a zip archive a year instead: it names each member with the fields it holds
+    (null: a note without fields).
+    """
+    fields = [c for c in rows.columns if c != year]
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, open_year, target = TaskContext.get().partitionId(), None, None
+        for batch in batches:
+            frame = batch.to_pandas()
+            for value in sorted(frame[year].unique()):
+                chosen = frame[frame[year] == value]
+                if value != open_year:
+                    if target is not None:
+                        target.close()
+                    target, open_year = _YearFile(f"{folder}/sim_{value + YEAR_SHIFT}_part{part}", members and members(int(value)), fields), value
+                target.append(chosen)
+        if target is not None:
+            target.close()
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32())})
+
+    rows.sortWithinPartitions(year).mapInArrow(write, "part int").agg(F.count("part")).collect()
+
+
+#: The tables' years lie before 2000, and file names are read as of the years from 2000 on.
+YEAR_SHIFT = 20
+
+
+class _YearFile:
+    def __init__(self, path: str, members: dict[str, list[str] | None] | None, fields: list[str]):
+        self.members = members or {"": fields}
+        self.plain = create_file(f"{path}.{'zip' if members else 'csv'}")
+        self.spools = {name: tempfile.TemporaryFile() for name in self.members} if members else {"": self.plain}
+        for name, own in self.members.items():
+            self.spools[name].write((";".join(own) + "\n").encode("latin1") if own else b"a note\n")
+
+    def append(self, rows: pd.DataFrame) -> None:
+        for name, own in self.members.items():
+            if own:
+                self.spools[name].write(rows[own].to_csv(sep=";", index=False, header=False).encode("latin1"))
+
+    def close(self) -> None:
+        if "" not in self.members:
+            with zipfile.ZipFile(self.plain, "w", zipfile.ZIP_DEFLATED) as archive:
+                for name, spool in self.spools.items():
+                    spool.seek(0)
+                    with archive.open(name, "w") as member:
+                        shutil.copyfileobj(spool, member)
+        self.plain.close()
+
+
 _STAGED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 

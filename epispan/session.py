@@ -11,6 +11,8 @@ from pyspark.sql.types import StructType
 
 #: Driver-built dimensions above this many rows are joined by shuffle instead.
 BROADCAST_ROW_LIMIT = 20_000
+#: Temporary folders of local applications by their id; the setting itself cannot be changed at run time.
+_LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def build_session(app: str = "epispan", master: str | None = None, **conf: str) -> SparkSession:
@@ -43,9 +45,10 @@ def shared_folder(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="epispan-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="epispan-")
+    return _LOCAL_FOLDERS[application]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

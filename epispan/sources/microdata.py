@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import csv
-import io
-import zipfile
-from collections.abc import Iterator
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,8 +11,8 @@ from ..fixed_values import DEATH_REQUIRED, NOTIFICATION_OPTIONAL, NOTIFICATION_R
 from ..functions.dates import compact_date, lenient_timestamp
 from ..functions.territory import residence_code_valid
 from ..functions.text import optional_text, year_in_name
-
-_ZIP_BATCH = 20_000
+from ..session import materialize
+from .files import list_files, parquet_footers, scan_archives
 
 
 def require_fields(available: list[str], required: list[str], what: str) -> None:
@@ -68,57 +64,62 @@ def number_rows(raw: DataFrame) -> DataFrame:
     )
 
 
-def zip_rows(files: DataFrame, fields: list[str]) -> DataFrame:
-    """Rows of zipped CSV files given as (path, content); each archive holds exactly one CSV.
+def scan_zipped_csv(spark: SparkSession, path: str | list[str], fields: list[str]) -> DataFrame:
+    """Rows of zipped CSV files, each archive with exactly one CSV member.
+
+    A zip cannot be split, so one task streams one archive, whatever its size. Fields a file lacks
+    come back as empty text; a row with more or fewer fields than its header raises.
+    """
+    return scan_archives(spark, [r["path"] for r in list_files(spark, path).select("path").collect()], fields, DEATH_REQUIRED)
+
+
+def _as_text(raw: DataFrame, name: str) -> Column:
+    """A field as text; whole numbers have no exponent, and what is no number is null."""
+    kind = dict(raw.dtypes)[name]
+    if kind not in ("float", "double"):
+        return F.col(name).cast("string").alias(name)
+    whole = F.col(name) == F.col(name).try_cast("long")
+    text = F.when(whole, F.col(name).try_cast("long").cast("string")).otherwise(F.col(name).cast("string"))
+    return F.when(~F.isnan(name), text).alias(name)
+
 
-    A zip cannot be split, so one task streams one archive, a bounded batch at a time.
-    Fields a file lacks come back as empty text.
+def notification_layouts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(layout, paths): files with the same known fields of the same types, found from their footers.
+
+    A file without a required field, or without a footer, raises and is named.
     """
-    schema = "source_file string, source_row_number long, " + ", ".join(f"`{f}` string" for f in fields)
-    names = ["source_file", "source_row_number", *fields]
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    members = [m for m in archive.namelist() if m.lower().endswith(".csv")]
-                    if len(members) != 1:
-                        raise ValueError(f"expected one CSV member in {path}, found {len(members)}")
-                    with archive.open(members[0]) as handle:
-                        reader = csv.DictReader(io.TextIOWrapper(handle, "latin1", newline=""), delimiter=";")
-                        require_fields(list(reader.fieldnames or []), DEATH_REQUIRED, path)
-                        rows: list[list[object]] = []
-                        for number, record in enumerate(reader, start=1):
-                            rows.append([path, number, *[record.get(f) or "" for f in fields]])
-                            if len(rows) == _ZIP_BATCH:
-                                yield pd.DataFrame(rows, columns=names)
-                                rows = []
-                        if rows:
-                            yield pd.DataFrame(rows, columns=names)
-
-    return files.select("path", "content").mapInPandas(read, schema)
-
-
-def scan_zipped_csv(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
-    return zip_rows(spark.read.format("binaryFile").load(path), fields)
+    footers = materialize(parquet_footers(list_files(spark, path)), "notification-footers")
+    names = F.transform("fields", lambda f: f["name"])
+    lacking = F.array_sort(F.array_except(F.array(*[F.lit(f) for f in NOTIFICATION_REQUIRED]), F.coalesce(names, F.array().cast("array<string>"))))
+    for bad in footers.select("path", "error", lacking.alias("missing")).where("error IS NOT NULL OR size(missing) > 0").orderBy("path").limit(1).collect():
+        what = f"cannot be read ({bad['error']})" if bad["error"] else f"missing fields {bad['missing']}"
+        raise ValueError(f"{bad['path']}: {what}")
+    known = F.array_sort(F.filter("fields", lambda f: f["name"].isin([*NOTIFICATION_REQUIRED, *NOTIFICATION_OPTIONAL])))
+    return footers.groupBy(known.alias("layout")).agg(F.array_sort(F.collect_list("path")).alias("paths"))
 
 
 def scan_notification_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Required and available optional fields only; other columns are never read.
+    """Required and available optional fields only, as text; other columns are never read.
 
-    Files may differ: a field that any of them has is read, and is null for the others. Each
-    path is checked for the required fields on its own.
+    Files of a folder or glob may differ in fields and types: those of one layout are one scan, with
+    their own schema. A field that any file has is read, and is null for the others. The required
+    fields are checked file by file.
     """
-    paths = [path] if isinstance(path, str) else path
-    for one in paths:
-        require_fields(spark.read.parquet(one).columns, NOTIFICATION_REQUIRED, one)
-    raw = spark.read.option("mergeSchema", "true").parquet(*paths)
-    wanted = NOTIFICATION_REQUIRED + [f for f in NOTIFICATION_OPTIONAL if f in raw.columns]
-    return raw.select(
-        *wanted,
-        F.col("_metadata.file_path").alias("source_file"),
-        (F.col("_metadata.row_index") + 1).alias("source_row_number"),
-    )
+    layouts = notification_layouts(spark, path).orderBy("paths").collect()
+    if not layouts:
+        raise FileNotFoundError(f"no notification file to read at {path}")
+    have = {f["name"] for group in layouts for f in group["layout"]}
+    wanted = NOTIFICATION_REQUIRED + [f for f in NOTIFICATION_OPTIONAL if f in have]
+    scans = []
+    for group in layouts:
+        own = {f["name"] for f in group["layout"]}
+        raw = spark.read.parquet(*group["paths"])
+        scans.append(raw.select(
+            *[_as_text(raw, f) if f in own else F.lit(None).cast("string").alias(f) for f in wanted],
+            F.col("_metadata.file_path").alias("source_file"),
+            (F.col("_metadata.row_index") + 1).alias("source_row_number"),
+        ))
+    return reduce(lambda a, b: a.unionAll(b), scans)
 
 
 def _header(source: str, year: Column | None, territory: Territory) -> dict[str, Column]:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 import gzip
 import io
 import json
@@ -16,6 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed_values import DEATH_REQUIRED, EXTRACTION_LOG_FIELDS, PAGE_MARKS, REGISTRY_FIELD
+from .files import (
+    HEADER_BYTES, UNREADABLE, archive_format, columnar_format, csv_headers, csv_members, document_format, file_digests, file_verdicts,
+    header_format, json_format, line_fields, list_files, open_file, page_format, parquet_footers, per_file, shape_format,
+)
 
 
 def checksum_manifest(files: DataFrame) -> DataFrame:
@@ -74,18 +77,9 @@ def header_fields(heads: DataFrame, separator: str = ";") -> DataFrame:
     return heads.select("source_file", F.explode(names).alias("field"))
 
 
-def file_paths(spark: SparkSession, path: str) -> list[str]:
-    """Names of the files below ``path``; their contents are not read."""
-    return sorted(r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect())
-
-
-def scan_headers(spark: SparkSession, path: str) -> DataFrame:
-    """(source_file, header) of every text file. The limit stops each split at its first line."""
-    lines = [
-        spark.read.text(one).limit(1).select(F.lit(one).alias("source_file"), F.col("value").alias("header"))
-        for one in file_paths(spark, path)
-    ]
-    return reduce(lambda a, b: a.unionAll(b), lines) if lines else spark.createDataFrame([], "source_file string, header string")
+def scan_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(source_file, header) of every text file, in one scan however many they are."""
+    return csv_headers(list_files(spark, path)).withColumnRenamed("path", "source_file")
 
 
 def layout_audit(spark: SparkSession, path: str, required: list[str], separator: str = ";") -> DataFrame:
@@ -100,44 +94,41 @@ def layout_audit(spark: SparkSession, path: str, required: list[str], separator:
 
 
 def archive_layout(files: DataFrame, required: list[str], separator: str = ";") -> DataFrame:
-    """Header audit of zip archives given as (path, content): one row per CSV member, only its first line is read.
+    """Header audit of listed zip archives: one row per CSV member, only its first line is read.
 
     Columns: path, member, columns, missing (sorted), error. An archive without a CSV member, or one
     that cannot be opened, is one row that says so.
     """
-    names = ["path", "member", "columns", "missing", "error"]
-
-    def members(content: bytes) -> Iterator[tuple]:
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            tables = [m for m in archive.namelist() if m.lower().endswith(".csv")]
-            if not tables:
-                yield None, None, None, "no_csv_member"
-            for member in tables:
-                with archive.open(member) as handle:
-                    fields = {f.strip() for f in next(csv.reader([handle.readline().decode("latin1").strip()], delimiter=separator), [])}
-                lacking = sorted(set(required) - fields)
-                yield member, len(fields), lacking, f"{member}:missing:{','.join(lacking)}" if lacking else None
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows: list[tuple] = []
-            for path, content in zip(batch["path"], batch["content"], strict=True):
-                try:
-                    rows += [(path, *found) for found in members(bytes(content))]
-                except (zipfile.BadZipFile, OSError, EOFError) as error:
-                    rows.append((path, None, None, None, type(error).__name__))
-            yield pd.DataFrame(rows, columns=names)
-
-    return files.select("path", "content").mapInPandas(read, "path string, member string, columns int, missing array<string>, error string")
-
-
-def parquet_layout(spark: SparkSession, paths: list[str], required: list[str], optional: list[str]) -> DataFrame:
-    """Per Parquet path: required and optional fields it lacks, and its rows, counted from footers."""
-    rows = []
-    for one in paths:
-        have = spark.read.parquet(one).columns
-        rows.append((one, len(have), sorted(set(required) - set(have)), sorted(set(optional) - set(have)), spark.read.parquet(one).count()))
-    return spark.createDataFrame(rows, "source_file string, columns int, missing array<string>, missing_optional array<string>, rows bigint")
+    def describe(path: str, _: int) -> Iterator[dict]:
+        try:
+            with open_file(path) as handle, zipfile.ZipFile(handle) as archive:
+                members = csv_members(archive)
+                if not members:
+                    yield {"path": path, "error": "no_csv_member"}
+                for member in members:
+                    with archive.open(member) as opened:
+                        fields = set(line_fields(opened.readline(HEADER_BYTES).decode("latin1"), separator))
+                    lacking = sorted(set(required) - fields)
+                    error = f"{member}:missing:{','.join(lacking)}" if lacking else None
+                    yield {"path": path, "member": member, "columns": len(fields), "missing": lacking, "error": error}
+        except UNREADABLE as error:
+            yield {"path": path, "error": type(error).__name__}
+
+    return per_file(files, describe, "path string, member string, columns int, missing array<string>, error string")
+
+
+def parquet_layout(spark: SparkSession, path: str | list[str], required: list[str], optional: list[str]) -> DataFrame:
+    """Per Parquet file: columns, required and optional fields it lacks, rows and error, all from footers."""
+    names = F.transform("fields", lambda f: f["name"])
+
+    def lacking(wanted: list[str]) -> Column:
+        return F.array_sort(F.array_except(F.array(*[F.lit(w) for w in wanted]), names))
+
+    footers = parquet_footers(list_files(spark, path))
+    return footers.select(
+        F.col("path").alias("source_file"), F.size(names).alias("columns"), lacking(required).alias("missing"),
+        lacking(optional).alias("missing_optional"), "rows", "error",
+    )
 
 
 # --- Raw-file formats: each suffix has one test, most of them plain expressions over the bytes.
@@ -224,18 +215,24 @@ def file_format_check(files: DataFrame) -> DataFrame:
     return plain.unionByName(parsed).withColumn("format_ok", F.col("problem").isNull())
 
 
+RAW_FORMATS = {
+    "json": json_format, "geojson": shape_format, "zip": archive_format, "parquet": columnar_format, "pdf": document_format,
+    "csv": header_format(DEATH_REQUIRED, REGISTRY_FIELD), "html": page_format(PAGE_MARKS), "htm": page_format(PAGE_MARKS),
+}
+
+
 def raw_file_verdict(files: DataFrame, sidecars: DataFrame) -> DataFrame:
-    """Checksum and format of each raw file together; ``ok`` needs both."""
-    hashes = sidecar_status(checksum_manifest(files), sidecars)
-    joined = hashes.join(file_format_check(files), "path")
-    return joined.withColumn("ok", F.col("hash_ok") & F.col("format_ok"))
+    """Checksum and format of each listed file together, with details and all errors; ``ok`` needs both.
+
+    Each file is streamed once by one task; its size does not matter.
+    """
+    judged = sidecar_status(file_verdicts(files, RAW_FORMATS), sidecars)
+    failed = F.when(~F.col("hash_ok"), F.array("hash_status")).otherwise(F.array().cast("array<string>"))
+    errors = F.concat(failed, "format_errors")
+    return judged.withColumn("errors", errors).withColumn("ok", (F.size("errors") == 0) & F.col("format_ok")).drop("format_errors")
 
 
 def artifact_manifest(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
     """Checksums of every file below named folders, for the results manifest."""
-    parts = [
-        checksum_manifest(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path))
-        .withColumn("group", F.lit(name))
-        for name, path in folders.items()
-    ]
+    parts = [file_digests(list_files(spark, path, recursive=True)).withColumn("group", F.lit(name)) for name, path in folders.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)

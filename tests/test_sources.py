@@ -2,6 +2,10 @@ import gzip
 import hashlib
 import io
 import json
+import os
+import subprocess
+import sys
+import tempfile
 import zipfile
 
 import pandas as pd
@@ -14,6 +18,7 @@ from epispan.operators.rollup import component_sums
 from epispan.plans import harmonize
 from epispan.sources import provenance, sinks
 from epispan.sources.config import load_outcomes
+from epispan.sources.files import JsonStream, first_line, list_files
 from epispan.sources.microdata import (
     harmonize_deaths, harmonize_notifications, number_rows, scan_death_csv, scan_harmonized, scan_notification_parquet,
     scan_zipped_csv,
@@ -141,7 +146,7 @@ def test_checksums_meet_their_sidecars(spark, tmp_path):
     assert {r["path"][-5:]: r["hash_status"] for r in status.collect()} == {"a.txt": "ok", "b.txt": "missing_sha256_sidecar"}
 
 
-def test_format_verdicts(spark):
+def test_format_verdicts(spark, tmp_path):
     shape = json.dumps({"type": "FeatureCollection", "features": []}).encode()
     files = [
         ("a.json", b"[1]"), ("b.json", b"{"), ("c.geojson", gzip.compress(shape)), ("d.geojson", b"{}"), ("e.pdf", b"%PDF-1"),
@@ -154,8 +159,18 @@ def test_format_verdicts(spark):
     assert verdicts["k.parquet"]["format_details"] == "3 rows, 1 columns" and verdicts["m.zip"]["format_details"] == "inner.csv"
     assert "CAUSABAS" in verdicts["g.csv"]["problem"]
     hashes = frame.select("path", F.sha2("content", 256).alias("declared")).where("path <> 'e.pdf'")
-    both = {r["path"]: r["ok"] for r in provenance.raw_file_verdict(frame, hashes).collect()}
-    assert both["a.json"] and not both["e.pdf"] and not both["b.json"]
+    for name, content in files:
+        (tmp_path / name).write_bytes(content)
+    listed = list_files(spark, str(tmp_path))
+    name = F.element_at(F.split("path", "/"), -1)
+    sidecars = listed.join(hashes.withColumnRenamed("path", "_name"), name == F.col("_name")).select("path", "declared")
+    both = {r["path"].rpartition("/")[2]: r for r in provenance.raw_file_verdict(listed, sidecars).collect()}
+    assert {p for p, r in both.items() if r["format_ok"]} == {p for p, r in verdicts.items() if r["format_ok"]}
+    assert both["a.json"]["ok"] and not both["e.pdf"]["ok"] and not both["b.json"]["ok"]
+    assert both["e.pdf"]["errors"] == ["missing_sha256_sidecar"] and both["g.csv"]["errors"] == ["missing_required_fields:CAUSABAS,CODMUNRES,IDADE,SEXO"]
+    assert json.loads(both["k.parquet"]["format_details"]) == {"columns": 1, "row_groups": 1, "rows": 3}
+    assert json.loads(both["m.zip"]["format_details"]) == {"first_members": ["inner.csv"], "members": 1} and both["h.zip"]["errors"] == ["BadZipFile"]
+    assert json.loads(both["d.geojson"]["format_details"]) == {"features": 0, "geojson_type": None, "json_type": "dict"}
 
 
 def _parquet_bytes() -> bytes:
@@ -259,14 +274,121 @@ def test_archive_and_parquet_layouts(spark, tmp_path):
                 archive.writestr(name, text)
         return bytearray(out.getvalue())
 
-    frame = spark.createDataFrame([
-        ("a.zip", packed({"x.csv": HEAD})), ("b.zip", packed({"y.CSV": "SEXO;IDADE\n1;2\n", "z.csv": ""})), ("c.zip", packed({"t.txt": "x"})), ("d.zip", bytearray(b"no")),
-    ], "path string, content binary")
-    got = {(r["path"], r["member"]): (r["columns"], r["missing"], r["error"]) for r in provenance.archive_layout(frame, ["CODMUNRES", "SEXO"]).collect()}
+    for name, content in {
+        "a.zip": packed({"x.csv": HEAD}), "b.zip": packed({"y.CSV": "SEXO;IDADE\n1;2\n", "z.csv": ""}), "c.zip": packed({"t.txt": "x"}), "d.zip": b"no",
+    }.items():
+        (tmp_path / name).write_bytes(content)
+    audit = provenance.archive_layout(list_files(spark, str(tmp_path / "*.zip")), ["CODMUNRES", "SEXO"])
+    got = {(r["path"].rpartition("/")[2], r["member"]): (r["columns"], r["missing"], r["error"]) for r in audit.collect()}
     assert got == {
         ("a.zip", "x.csv"): (7, [], None), ("b.zip", "y.CSV"): (2, ["CODMUNRES"], "y.CSV:missing:CODMUNRES"),
         ("b.zip", "z.csv"): (0, ["CODMUNRES", "SEXO"], "z.csv:missing:CODMUNRES,SEXO"), ("c.zip", None): (None, None, "no_csv_member"), ("d.zip", None): (None, None, "BadZipFile"),
     }
     spark.createDataFrame([(1, 2)], "a int, b int").write.parquet(str(tmp_path / "p"))
-    row = provenance.parquet_layout(spark, [str(tmp_path / "p")], ["a", "c"], ["d"]).collect()[0]
-    assert (row["columns"], row["missing"], row["missing_optional"], row["rows"]) == (2, ["c"], ["d"], 1)
+    rows = provenance.parquet_layout(spark, str(tmp_path / "p"), ["a", "c"], ["d"]).collect()
+    assert sum(r["rows"] for r in rows) == 1 and {(r["columns"], *r["missing"], *r["missing_optional"], r["error"]) for r in rows} == {(2, "c", "d", None)}
+
+
+def test_a_file_of_a_glob_without_a_required_field_is_named(spark, tmp_path):
+    columns = "CO_MUN_RES string, CS_SEXO string, NU_IDADE_N string, DT_SIN_PRI date, CLASSI_FIN string, EVOLUCAO string"
+    full = spark.createDataFrame([("330630", "M", "6", None, "5", "2")], columns)
+    full.coalesce(1).write.parquet(str(tmp_path / "good"))
+    full.drop("EVOLUCAO").coalesce(1).write.parquet(str(tmp_path / "lacks"))
+    for path in (f"{tmp_path}/*", [f"{tmp_path}/good", f"{tmp_path}/lacks"]):
+        with pytest.raises(ValueError, match=r"lacks/part.*missing fields \['EVOLUCAO'\]"):
+            scan_notification_parquet(spark, path)
+    (tmp_path / "good" / "broken.parquet").write_bytes(b"PAR1 no footer")
+    with pytest.raises(ValueError, match="broken.parquet: cannot be read"):
+        scan_notification_parquet(spark, f"{tmp_path}/good")
+
+
+def test_one_field_as_number_and_as_text(spark, tmp_path):
+    columns = "CO_MUN_RES {}, CS_SEXO string, NU_IDADE_N {}, DT_SIN_PRI {}, CLASSI_FIN string, EVOLUCAO string"
+    rows = [((330630, "M", 6, "2020-03-04", "5", "2"), ("int", "bigint", "string")), (("330630", "M", "6", "20200304", "5", "2"), ("string", "string", "string")),
+            ((330630.0, "M", 6.0, None, "5", "2"), ("double", "double", "date")), ((float("nan"), "M", 12345678.0, None, "5", "2"), ("double", "double", "timestamp"))]
+    for number, (row, kinds) in enumerate(rows):
+        spark.createDataFrame([row], columns.format(*kinds)).coalesce(1).write.parquet(f"{tmp_path}/{number}")
+    got = harmonize_notifications(scan_notification_parquet(spark, f"{tmp_path}/*"), CITY, F.lit(2020)).collect()
+    assert sorted((r["municipality_code_datasus"], r["age_raw"], str(r["symptom_onset_date"])[:10]) for r in got) == [
+        ("", "12345678", "None"), ("330630", "6", "2020-03-04"), ("330630", "6", "2020-03-04"), ("330630", "6", "None"),
+    ]
+
+
+def test_archives_raise_on_ragged_rows_and_stream_more_than_a_batch(spark, tmp_path):
+    fields = ["CODMUNRES", "SEXO", "IDADE", "CAUSABAS"]
+    lines = "".join(f"330630;1;{i};J18\n" for i in range(45_001))
+    with zipfile.ZipFile(tmp_path / "sim_2020.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("d.csv", ";".join(fields) + "\n" + lines)
+    rows = scan_zipped_csv(spark, str(tmp_path / "sim_2020.zip"), [*fields, "DTOBITO"])
+    assert rows.count() == 45_001 and rows.where(F.col("IDADE").cast("long") != F.col("source_row_number") - 1).count() == 0
+    assert rows.where("DTOBITO <> ''").count() == 0
+    for name, line in (("short", "330630;1"), ("long", "330630;1;400;J18;x")):
+        with zipfile.ZipFile(tmp_path / f"{name}_2021.zip", "w") as archive:
+            archive.writestr("d.csv", ";".join(fields) + "\n\n330630;1;400;J18\n" + line + "\n")
+        with pytest.raises(Exception, match="row 2 has"):
+            scan_zipped_csv(spark, str(tmp_path / f"{name}_2021.zip"), fields).collect()
+    with zipfile.ZipFile(tmp_path / "lacks_2021.zip", "w") as archive:
+        archive.writestr("d.csv", "CODMUNRES;SEXO\n")
+    with pytest.raises(Exception, match="missing fields"):
+        scan_zipped_csv(spark, str(tmp_path / "lacks_2021.zip"), fields).collect()
+
+
+def test_one_folder_of_archives_and_plain_files(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    with zipfile.ZipFile(raw / "sim_2021.ZIP", "w") as archive:
+        archive.writestr("DO21.csv", HEAD + "J189;480;1;330455;330630;01022021;03041941\n")
+    (raw / "sim_2020.csv").write_text("CAUSABAS;IDADE;SEXO;CODMUNRES\nJ18;480;1;330630\nJ18;480;1;330100\n")
+    target, manifest = str(tmp_path / "table"), str(tmp_path / "manifest")
+    first = harmonize.harmonize_folder(spark, str(raw), CITY, target, manifest).collect()
+    assert {(r["source_year"], r["rows"], r["city_rows"], len(r["source_files"])) for r in first} == {(2020, 2, 1, 1), (2021, 1, 1, 1)}
+    kept = {p: p.read_bytes() for p in (tmp_path / "table").rglob("source_year=2021/*.parquet")}
+    (raw / "sim_2020.csv").write_text("CAUSABAS;IDADE;SEXO;CODMUNRES\nJ18;480;1;330630\n")
+    again = harmonize.harmonize_folder(spark, str(raw), CITY, target, manifest, years=[2020]).collect()
+    assert {(r["source_year"], r["rows"], r["city_rows"]) for r in again} == {(2020, 1, 1), (2021, 1, 1)}
+    assert kept and {p: p.read_bytes() for p in (tmp_path / "table").rglob("source_year=2021/*.parquet")} == kept
+
+
+def test_plan_does_not_grow_with_the_files(spark, tmp_path):
+    def size(n):
+        for i in range(n):
+            (tmp_path / f"sim_20{10 + i}.csv").write_text("CAUSABAS;IDADE;SEXO;CODMUNRES\nJ18;480;1;330630\n")
+        plans = [harmonize.harmonize_death_files(spark, str(tmp_path), CITY), provenance.layout_audit(spark, str(tmp_path), ["SEXO"])]
+        return [p._jdf.queryExecution().optimizedPlan().toString().count("Relation") for p in plans]
+
+    assert size(2) == size(20)
+
+
+@pytest.mark.parametrize("step", [1, 7, 1000])
+def test_json_outline_in_pieces(step):
+    def outline(text, lists=()):
+        return JsonStream(text[i:i + step] for i in range(0, len(text), step)).outline(lists)
+
+    assert outline(' [1, -2.5e3, "a\\"]b", [2], {"x": [3]}, null ] ') == ("list", 6) and outline("[]") == ("list", 0)
+    assert outline('{"type": "T", "n": 12, "features": [{"a": 1}, {"b": []}], "o": {"features": [1]}}', ("features",)) == (
+        "dict", {"type": "T", "n": 12, "features": [2], "o": None},
+    )
+    assert outline("1234567") == ("int", 1234567) and outline("{}") == ("dict", {}) and outline(json.dumps("x" * 3000)) == ("str", "x" * 3000)
+    for bad in ("", "[1", "[1,]", "{1: 2}", '{"a" 1}', "[1] 2", "nul", "[01]", '{"a": 1,}'):
+        with pytest.raises(ValueError):
+            outline(bad)
+
+
+def test_first_line_of_a_file_without_line_breaks():
+    assert first_line(io.BytesIO(b"A;B\r\n1;2")) == b"A;B" and first_line(io.BytesIO(b"A;B")) == b"A;B" and first_line(io.BytesIO(b"")) == b""
+
+
+def test_shared_folder_of_a_plain_local_session():
+    """A session without the setting: the folder is made once and staged queries run."""
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from epispan.session import materialize, shared_folder\n"
+        "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "spark.sparkContext._conf.get('spark.checkpoint.dir') is None or print('set', end=' ')\n"
+        "assert shared_folder(spark) == shared_folder(spark)\n"
+        "print(materialize(spark.range(3), 'x').count())\n"
+    )
+    with tempfile.TemporaryDirectory() as empty:
+        env = {**os.environ, "SPARK_CONF_DIR": empty, "PYTHONPATH": os.getcwd()}
+        done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
+    assert done.stdout.split() == ["3"], done.stderr[-2000:]
