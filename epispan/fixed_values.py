@@ -66,6 +66,14 @@ PERIODS = [
     ("cancer", "cancer_2022_2024", "2022-01", "2024-12", "post_disruption_and_oncology_line"),
     ("cancer", "cancer_2025_onward", "2025-01", "2099-12", "provisional_prevenir_50_plus"),
 ]
+# Dates at which series may break: (id, month).
+BREAKS = [
+    ("respiratory_pandemic_start", "2020-03"),
+    ("cancer_care_disruption_start", "2020-01"),
+    ("cancer_care_disruption_end", "2022-12"),
+    ("oncology_line_start", "2022-03"),
+    ("prevenir_50_plus_start", "2025-01"),
+]
 PANDEMIC_START = "2020-03-01"
 INTERRUPTION_ORIGIN_YEAR = 2008
 
@@ -311,6 +319,15 @@ SYNONYMS = {
     "alzheimer": ["alzheimer", "demência de alzheimer", "perda de memória"],
     "dementias_all": ["demência", "demências", "alzheimer", "perda de memória"],
 }
+# (source, outcomes with a manifest of their own, that manifest, the manifest of all others).
+MANIFEST_REFS = [
+    ("SIH", ["alzheimer", "dementias_all"], "reports/quality/sih_neurological_rates_manifest.json", "reports/quality/respiratory_rates_manifest.json"),
+    ("SIM", ["alzheimer", "dementias_all"], "reports/quality/sim_neurological_rates_manifest.json", "reports/quality/sim_mortality_rates_manifest.json"),
+]
+STANDARDIZED_MANIFEST = "reports/quality/sim_neurological_standardized_manifest.json"
+GEOGRAPHY_BASIS = "residence"
+AVAILABLE_PROFILE = "available_2022_sim_age_sex"
+ADMISSION_UNIT = "internações agregadas pelo SIH"
 OBSERVATION_FIELDS = [
     "source", "outcomeId", "geographyId", "period", "metricKind", "value", "count", "denominator",
     "ciLow", "ciHigh", "dataStatus", "periodStatus", "suppressed", "manifestRef",
@@ -336,6 +353,35 @@ class Territory:
     selected_code7: str = "3306305"
 
 
+@dataclass(frozen=True)
+class ComparatorSet:
+    """Areas to compare with, named by codes or prefixes of codes (the empty prefix names all).
+
+    The area that is compared is left out unless ``own_included``.
+    """
+
+    id: str
+    prefixes: tuple[str, ...] = ()
+    codes: tuple[str, ...] = ()
+    own_included: bool = False
+
+
+#: Municipalities of the region around the configured city, by six-digit code.
+REGION_CODES = (
+    "330030", "330040", "330225", "330395", "330400", "330411", "330412", "330420", "330440", "330450", "330610", "330630",
+)
+
+
+def comparator_sets(territory: Territory, region: tuple[str, ...] = REGION_CODES, listed: tuple[str, ...] = ()) -> list[ComparatorSet]:
+    """The configured comparators: rest of the state, the country, the region, and a list fixed beforehand (if any)."""
+    sets = [
+        ComparatorSet("rest_of_rj_excluding_selected_municipality", prefixes=(territory.state_prefix,)),
+        ComparatorSet("brazil_total", prefixes=("",), own_included=True),
+        ComparatorSet("medio_paraiba_without_vr", codes=region),
+    ]
+    return [*sets, ComparatorSet("pre_specified_comparable_municipalities", codes=listed)] if listed else sets
+
+
 @dataclass(frozen=True)
 class Outcome:
     section: str

@@ -1,17 +1,16 @@
-"""Exact Poisson limits without a statistics package: a vectorised gamma quantile."""
+"""Exact Poisson limits without a statistics package: a gamma quantile for listed counts, an expansion above them."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .text import col
+from ..fixed_values import Z_975
 
 _NODES, _WEIGHTS = np.polynomial.legendre.leggauss(96)
 _LARGE = 100.0
@@ -103,21 +102,48 @@ def poisson_limits(count: np.ndarray, alpha: float = 0.05) -> tuple[np.ndarray,
     return lower[back], upper[back]
 
 
-_LIMITS = StructType([StructField("lower", DoubleType()), StructField("upper", DoubleType())])
-
-
-@F.pandas_udf(_LIMITS)
-def _limits(counts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for batch in counts:
-        known = batch.notna().to_numpy()
-        lower = np.full(len(batch), np.nan)
-        upper = np.full(len(batch), np.nan)
-        if known.any():
-            lower[known], upper[known] = poisson_limits(batch.to_numpy(dtype=float)[known])
-        frame = pd.DataFrame({"lower": lower, "upper": upper})
-        yield frame.astype(object).where(frame.notna(), None)
-
-
-def poisson_interval(count: Column | str) -> Column:
-    """Struct of the exact 95 % limits, computed once per distinct count of an Arrow batch."""
-    return _limits(col(count).cast("double"))
+#: Counts whose limits are listed; above them the expansion below is exact to the last digits.
+LISTED_COUNTS = 10_000
+
+
+@cache
+def _listed() -> pd.DataFrame:
+    lower, upper = poisson_limits(np.arange(LISTED_COUNTS))
+    return pd.DataFrame({"_n": np.arange(LISTED_COUNTS), "_lower": lower, "_upper": upper})
+
+
+def _chi_square_quantile(freedom: Column, z: float) -> Column:
+    """Cornish-Fisher expansion of a chi-square quantile; its error falls with the cube of the degrees of freedom."""
+    root = F.sqrt(freedom)
+    terms = [
+        F.lit(math.sqrt(2) * z) * root,
+        F.lit(2 / 3 * (z**2 - 1)),
+        F.lit((z**3 - 7 * z) / (9 * math.sqrt(2))) / root,
+        F.lit(-(6 * z**4 + 14 * z**2 - 32) / 405) / freedom,
+        F.lit((9 * z**5 + 256 * z**3 - 433 * z) / (4860 * math.sqrt(2))) / (freedom * root),
+        F.lit((12 * z**6 - 243 * z**4 - 923 * z**2 + 1472) / 25515) / (freedom * freedom),
+    ]
+    return sum(terms, freedom)
+
+
+def with_poisson_interval(df: DataFrame, count: str, name: str) -> DataFrame:
+    """``df`` with a struct of the exact 95 % limits of each count; null for a null count, an error below zero.
+
+    Limits of counts below ``LISTED_COUNTS`` are listed once and joined by count, larger ones are an
+    expression. The list has a fixed size, so it is broadcast; nothing leaves the JVM.
+    """
+    listed = F.broadcast(df.sparkSession.createDataFrame(_listed()))
+    n = F.col(count).cast("double")
+    lower = _chi_square_quantile(2 * n, -Z_975) / 2
+    upper = _chi_square_quantile(2 * n + 2, Z_975) / 2
+    large = F.struct(lower.alias("lower"), upper.alias("upper"))
+    refused = F.raise_error(F.lit("Poisson limits need counts from zero up"))
+    none = F.lit(None).cast("double")
+    limits = (
+        F.when(F.col(count).isNull(), F.struct(none.alias("lower"), none.alias("upper")))
+        .when(n < 0, refused.cast("struct<lower: double, upper: double>"))
+        .when(n >= LISTED_COUNTS, large)
+        .otherwise(F.struct(F.col("_lower").alias("lower"), F.col("_upper").alias("upper")))
+    )
+    joined = df.join(listed, F.col(count).cast("long") == F.col("_n"), "left")
+    return joined.withColumn(name, limits).drop("_n", "_lower", "_upper")

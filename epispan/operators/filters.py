@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import col, without_accents
+from ..session import dimension
+
+#: Compares letters whatever their case, accents or way of composition.
+BLIND = "UNICODE_CI_AI"
+#: Letters of a key that names and queries are matched by.
+GRAM = 3
 
 
 def folded(text: Column | str) -> Column:
@@ -13,24 +19,46 @@ def folded(text: Column | str) -> Column:
 
 
 def search_text(df: DataFrame, fields: list[str], term: str) -> DataFrame:
-    """Rows whose joined fields contain the term, accents and case aside; an empty term finds nothing."""
-    wanted = folded(F.lit(term))
-    joined = F.lower(without_accents(F.concat_ws(" ", *fields)))
-    return df.where((wanted != "") & F.contains(joined, wanted))
+    """Rows whose joined fields contain the term, accents and case aside; an empty term finds nothing.
+
+    The collation decides what is equal, so composed and decomposed spellings are.
+    """
+    wanted = F.trim(F.lit(term))
+    joined = F.collate(F.concat_ws(" ", *[F.col(f) for f in fields]), BLIND)
+    return df.where((wanted != "") & F.contains(joined, F.collate(wanted, BLIND)))
 
 
-def find_by_name(df: DataFrame, name: str, tie_break: str, queries: list[str]) -> DataFrame:
+def _grams(text: Column, size: int) -> Column:
+    places = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - (size - 1)))
+    return F.coalesce(F.transform(places, lambda i: F.substring(text, i, F.lit(size))), F.array().cast("array<string>"))
+
+
+def find_by_name(df: DataFrame, name: str, tie_break: str, queries: list[str] | DataFrame) -> DataFrame:
     """Best match per query: the exact name, else a name starting with it, else one containing it.
 
-    ``df`` is a gazetteer with one row per place; the queries unroll onto it.
+    ``df`` is a gazetteer with one row per place, ``queries`` a list or a table with the column query.
+    A name that contains a query contains each of its grams: names are posted under their grams, and a
+    query meets only the names of its rarest one (a query below ``GRAM`` letters is a gram itself).
+    The best match is an aggregate. Empty queries and null names match nothing; among equal ranks
+    the smallest ``tie_break`` wins.
     """
-    words = F.explode(F.array(*[F.lit(q) for q in queries]))
-    pairs = df.withColumn("query", words).withColumns({"_name": folded(name), "_query": folded("query")})
+    if isinstance(queries, list):
+        queries = dimension(df.sparkSession, [(q,) for q in queries], "query string")
+    words = queries.select("query").distinct().withColumn("_query", folded("query")).where("_query <> ''")
+    places = df.withColumn("_name", folded(name))
+    sizes = [_grams(F.col("_name"), n) for n in range(1, GRAM + 1)]
+    posted = places.withColumn("_gram", F.explode(F.array_distinct(F.concat(*sizes))))
+    known = posted.groupBy("_gram").agg(F.count(F.lit(1)).alias("_places"))
+    own = F.when(F.length("_query") < GRAM, F.array("_query")).otherwise(_grams(F.col("_query"), GRAM))
+    asked = words.withColumn("_gram", F.explode(F.array_distinct(own))).join(known, "_gram", "left").fillna(0, subset=["_places"])
+    rarest = asked.groupBy("query", "_query").agg(F.min(F.struct("_places", "_gram")).alias("_least"))
+    met = posted.join(rarest.select("query", "_query", F.col("_least._gram").alias("_gram")), "_gram")
     rank = (
         F.when(F.col("_name") == F.col("_query"), 0)
         .when(F.startswith("_name", "_query"), 1)
         .when(F.contains("_name", "_query"), 2)
     )
-    best = Window.partitionBy("query").orderBy("_rank", tie_break)
-    matched = pairs.withColumn("_rank", rank).where(F.col("_rank").isNotNull() & (F.col("_query") != ""))
-    return matched.withColumn("_best", F.row_number().over(best)).where("_best = 1").drop("_best", "_rank", "_name", "_query")
+    best = met.withColumn("_rank", rank).where("_rank IS NOT NULL").groupBy("query").agg(
+        F.min_by(F.struct(*df.columns), F.struct("_rank", tie_break)).alias("_best")
+    )
+    return best.select(*[F.col(f"_best.`{c}`").alias(c) for c in df.columns], "query")

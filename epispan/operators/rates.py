@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import REST_OF_STATE, SELECTED
-from ..functions.poisson import poisson_interval
+from ..functions.poisson import with_poisson_interval
 from ..functions.rates import crude_rate, log_ratio_interval, rate_difference, rate_ratio
 from .joins import wide_comparators
 
@@ -14,12 +14,12 @@ from .joins import wide_comparators
 def add_rates(df: DataFrame, count: str = "count", population: str = "population") -> DataFrame:
     """Crude rate per 100 000 with exact Poisson limits.
 
-    The interval is a vectorised function of the aggregated count, so it adds one
-    Arrow pass over result cells and no shuffle.
+    The interval comes from a listed table of fixed size and an expression, so it adds neither a
+    shuffle nor a Python worker.
     """
     limits = F.col("_limits")
     return (
-        df.withColumn("_limits", poisson_interval(count))
+        with_poisson_interval(df, count, "_limits")
         .withColumn("rate_per_100k", crude_rate(count, population))
         .withColumn("rate_ci_lower_per_100k", crude_rate(limits["lower"], population))
         .withColumn("rate_ci_upper_per_100k", crude_rate(limits["upper"], population))

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed_values import (
-    AGE_GROUPS, COUNTRY_TOTAL, DEATH_UNIT, NOTIFICATION_OUTCOMES, NOTIFICATION_UNIT, OUTSIDE_STATE, REST_OF_COUNTRY, REST_OF_STATE, SELECTED, SEXES,
+    ADMISSION_OUTCOME_LABELS, ADMISSION_UNIT, AGE_GROUPS, COUNTRY_TOTAL, DEATH_UNIT, NOTIFICATION_OUTCOMES, NOTIFICATION_UNIT, OUTSIDE_STATE, REST_OF_COUNTRY, REST_OF_STATE, SELECTED, SEXES,
     STATE_TOTAL, Outcome, Territory, outcome_definitions,
 )
-from ..functions.dates import in_observation_window, month_start
+from ..functions.dates import in_observation_window, month_from_text, month_start, months_between, year_month
 from ..functions.demographics import (
     age_bucket, death_age_years, notification_age_years, outcome_status_label, sex_label,
 )
@@ -392,32 +392,75 @@ def interruption_input(
 
 
 def derived_admissions(state: DataFrame, city: DataFrame) -> DataFrame:
-    """State and city tables of the same month to three areas per outcome.
+    """State and city tables of the same months to three areas per outcome, with what they were read from.
 
-    A month and outcome that either table lacks gives no rows.
+    Both have year, month, outcome_id, value, source_path and source_sha256; the state table also has
+    municipality_code_datasus, which names the query. A state month without any city table raises;
+    an outcome that either table of a month lacks gives no rows.
     """
-    keys = ["year", "month", "outcome_id"]
-    both = unique_rows(state.select(*keys, F.col("value").alias("_state")), keys, "state table").join(
-        unique_rows(city.select(*keys, F.col("value").alias("_city")), keys, "city table"), keys
+    months, keys = ["year", "month"], ["year", "month", "outcome_id"]
+    read = city.select(*months).distinct().withColumn("_read", F.lit(True))
+    complete = require(state.join(read, months, "left"), F.col("_read"), at_key("no city table for", months))
+    left = unique_rows(
+        complete.select(*keys, "municipality_code_datasus", *[F.col(c).alias(f"_s_{c}") for c in ("value", "source_path", "source_sha256")]), keys, "state table",
     )
-    rows = F.explode(F.array(
-        F.struct(F.lit(STATE_TOTAL).alias("geography"), F.col("_state").alias("value")),
-        F.struct(F.lit(SELECTED).alias("geography"), F.col("_city").alias("value")),
-        F.struct(F.lit(REST_OF_STATE).alias("geography"), (F.col("_state") - F.col("_city")).alias("value")),
-    ))
-    return both.select(*keys, rows.alias("_r")).select(*keys, "_r.*")
+    right = unique_rows(city.select(*keys, *[F.col(c).alias(f"_c_{c}") for c in ("value", "source_path", "source_sha256")]), keys, "city table")
+
+    def row(area: str, value: Column, sides: list[str]) -> Column:
+        sources = [F.concat_ws(";", *[F.col(f"_{s}_{c}") for s in sides]).alias(n) for c, n in (("source_path", "source_paths"), ("source_sha256", "source_sha256s"))]
+        return F.struct(F.lit(area).alias("geography"), value.alias("value"), *sources)
+
+    whole, part = F.col("_s_value"), F.col("_c_value")
+    rows = F.array(row(STATE_TOTAL, whole, ["s"]), row(SELECTED, part, ["c"]), row(REST_OF_STATE, whole - part, ["s", "c"]))
+    spread = left.join(right, keys).select(*keys, "municipality_code_datasus", F.explode(rows).alias("_r"))
+    return spread.select(
+        *months, year_month("year", "month").alias("period"), "_r.geography", "municipality_code_datasus", "outcome_id",
+        outcome_label("outcome_id", ADMISSION_OUTCOME_LABELS).alias("outcome_label"), "_r.value", F.lit(ADMISSION_UNIT).alias("unit"),
+        "_r.source_paths", "_r.source_sha256s",
+    )
+
+
+def _counted_admissions(windows: DataFrame) -> DataFrame:
+    """The row that counts of each month, area and outcome, its period, and how many rows it stands for."""
+    last = F.max_by(F.struct("outcome_label", "value"), F.struct("source_file", "source_row_number")).alias("_last")
+    counted = windows.groupBy(*ADMISSION_KEYS).agg(last, F.count(F.lit(1)).alias("_rows"))
+    return counted.select(*ADMISSION_KEYS, "_last.outcome_label", "_last.value", "_rows", year_month("year", "month").alias("period"))
+
+
+def _missing_periods(first: Column, last: Column, present: Column) -> Column:
+    months = F.transform(months_between(month_from_text(first), month_from_text(last)), lambda m: F.date_format(m, "yyyy-MM"))
+    return F.array_except(months, present)
 
 
 def admission_summary(windows: DataFrame) -> DataFrame:
-    """Deduplicated totals per outcome and area with the coverage behind them."""
-    monthly = deduplicated_admissions(windows)
-    return monthly.groupBy("outcome_id", "geography").agg(
-        F.sum("value").alias("total"),
-        F.count(F.lit(1)).alias("months"),
-        F.count(F.when(F.col("value") < 0, F.lit(1))).alias("negatives"),
-        F.min(F.format_string("%04d-%02d", "year", "month")).alias("first_period"),
-        F.max(F.format_string("%04d-%02d", "year", "month")).alias("last_period"),
+    """Deduplicated totals per outcome and area, with the label and the coverage behind them.
+
+    ``missing_periods`` are the months between the group's first and last that it lacks.
+    """
+    grouped = _counted_admissions(windows).groupBy("outcome_id", "geography").agg(
+        F.max("outcome_label").alias("outcome_label"), F.sum("value").alias("total"), F.count(F.lit(1)).alias("months"),
+        F.count(F.when(F.col("value") < 0, F.lit(1))).alias("negatives"), (F.sum("_rows") - F.count(F.lit(1))).alias("duplicates_removed"),
+        F.min("period").alias("first_period"), F.max("period").alias("last_period"), F.collect_set("period").alias("_present"),
+    )
+    return grouped.withColumn("missing_periods", _missing_periods(F.col("first_period"), F.col("last_period"), F.col("_present"))).drop("_present")
+
+
+def admission_coverage(windows: DataFrame) -> DataFrame:
+    """One row on the whole input: rows read and removed as duplicates, span, missing months and negative figures."""
+    counted = _counted_admissions(windows).agg(
+        F.sum("_rows").alias("rows_read"), (F.sum("_rows") - F.count(F.lit(1))).alias("duplicates_removed"),
+        F.count(F.when(F.col("value") < 0, F.lit(1))).alias("negatives"), F.min("period").alias("first_period"),
+        F.max("period").alias("last_period"), F.collect_set("period").alias("_present"),
+    )
+    return counted.withColumn("missing_periods", _missing_periods(F.col("first_period"), F.col("last_period"), F.col("_present"))).drop("_present")
+
+
+def death_counts_by_area(deaths: DataFrame, definitions: list[Outcome] | None = None, strict: bool = True) -> DataFrame:
+    """Deaths per year, outcome and six-digit area of residence, for comparators that name areas."""
+    events = deaths.where("residence_code_valid").select(
+        F.col("source_year").cast("int").alias("year"), normalize_code("municipality_code_datasus").alias("code"), "underlying_cause",
     )
+    return classified_counts(events, "underlying_cause", definitions or outcome_definitions("SIM"), ["year", "code"], strict)
 
 
 def population_product(municipal: DataFrame, state: DataFrame, national: DataFrame) -> DataFrame:

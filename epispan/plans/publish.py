@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed_values import (
-    ALLOWED_CONCLUSION, MAP_NOTES, MAP_PENDING, PROTECTED_PROFILE_FIELDS, RATE_MULTIPLIER, RELEASE_COMPARATORS, SMALL_CELL, SOURCE_ATTRIBUTES,
-    SOURCE_TEXTS, STANDARD_POPULATION_LABEL, STATE_TOTAL, outcome_definitions,
+    ALLOWED_CONCLUSION, AVAILABLE_PROFILE, GEOGRAPHY_BASIS, MANIFEST_REFS, MAP_NOTES, MAP_PENDING, PROTECTED_PROFILE_FIELDS, RATE_MULTIPLIER, RELEASE_COMPARATORS, SMALL_CELL, SOURCE_ATTRIBUTES,
+    SOURCE_TEXTS, STANDARD_POPULATION_LABEL, STANDARDIZED_MANIFEST, STATE_TOTAL, outcome_definitions,
 )
 from ..functions.demographics import lookup
 from ..functions.labels import indicator_id, outcome_theme, synonym_array
@@ -20,11 +20,34 @@ from ..session import materialize
 
 CRUDE = "crude_rate_per_100k"
 STANDARDIZED = "age_sex_standardized_rate_per_100k"
-AVAILABLE_PROFILE = "available_2022_sim_age_sex"
 
 
-def observations(rates: DataFrame, source: str, population: str, manifest: str, area: str = "geography") -> DataFrame:
-    """Rates to the public observation contract, small cells protected."""
+def manifest_reference(source: str, outcome: Column | str) -> Column:
+    """The manifest that documents a source's rates of an outcome; null for a source without one."""
+    for name, own, apart, common in MANIFEST_REFS:
+        if name == source:
+            return F.when(F.col(outcome).isin(own), F.lit(apart)).otherwise(F.lit(common))
+    return F.lit(None).cast("string")
+
+
+def municipal_manifest_reference(source: str, outcome: Column | str, year: Column | str) -> Column:
+    """The manifest of the municipal map of a source's year; outcomes with a manifest of their own keep that."""
+    of_map = F.concat(F.lit(f"reports/quality/{source.lower()}_municipal_map_"), F.col(year).cast("string"), F.lit("_manifest.json"))
+    for name, own, apart, _ in MANIFEST_REFS:
+        if name == source == "SIM":
+            return F.when(F.col(outcome).isin(own), F.lit(apart)).otherwise(of_map)
+    return of_map
+
+
+def observations(rates: DataFrame, source: str, population: str, manifest: str | Column | None = None, area: str = "geography") -> DataFrame:
+    """Rates to the public observation contract, small cells protected.
+
+    ``manifest`` is a reference or an expression for one; without it each row names the manifest of its
+    source and outcome, or of its municipal map.
+    """
+    if manifest is None:
+        municipal = area != "geography"
+        manifest = municipal_manifest_reference(source, "outcome_id", "year") if municipal else manifest_reference(source, "outcome_id")
     public = rates.select(
         indicator_id(F.lit(source), "outcome_id").alias("indicatorId"),
         F.lit(source).alias("source"),
@@ -40,11 +63,12 @@ def observations(rates: DataFrame, source: str, population: str, manifest: str,
         data_status(F.lit(source), F.col("year"), F.col("period_status")).alias("dataStatus"),
         F.col("period_status").alias("periodStatus"),
         F.lit(manifest).alias("manifestRef"),
+        F.lit(GEOGRAPHY_BASIS).alias("geographyBasis"),
     )
     return suppress_observations(public)
 
 
-def standardized_observations(rates: DataFrame, source: str, year: int, manifest: str) -> DataFrame:
+def standardized_observations(rates: DataFrame, source: str, year: int, manifest: str = STANDARDIZED_MANIFEST) -> DataFrame:
     public = rates.select(
         indicator_id(F.lit(source), "outcome_id").alias("indicatorId"),
         F.lit(source).alias("source"),
@@ -60,6 +84,7 @@ def standardized_observations(rates: DataFrame, source: str, year: int, manifest
         F.lit("source_observed").alias("dataStatus"),
         F.lit("source_year_observed").alias("periodStatus"),
         F.lit(manifest).alias("manifestRef"),
+        F.lit(GEOGRAPHY_BASIS).alias("geographyBasis"),
     )
     return suppress_observations(public)
 
@@ -100,7 +125,7 @@ def _source_columns() -> dict[str, Column]:
         "theme": outcome_theme("outcomeId"), "measure": of(attributes, 0), "measureLabel": of(attributes, 1), "unit": of(attributes, 2),
         "sourceLabel": of(texts, 0), "definition": of(texts, 1), "doesNotAllowConclusion": of(texts, 2),
         "allowsConclusion": F.lit(ALLOWED_CONCLUSION), "cidRanges": ranges, "synonyms": synonym_array("outcomeId", "label"),
-        "geographyBasis": F.lit("residence"), "methodologyUrl": F.concat(F.lit("/indicadores/"), "indicatorId"),
+        "geographyBasis": F.lit(GEOGRAPHY_BASIS), "methodologyUrl": F.concat(F.lit("/indicadores/"), "indicatorId"),
         "profileAvailability": F.when(source == "SIM", F.lit(AVAILABLE_PROFILE)).otherwise(F.lit("not_applicable_current_release")),
     }
 
@@ -282,6 +307,7 @@ def comparisons(rates: DataFrame, manifest: str) -> DataFrame:
         F.lit(None).cast("double").alias("ciLow"),
         F.lit(None).cast("double").alias("ciHigh"),
         F.lit(manifest).alias("manifestRef"),
+        F.lit(GEOGRAPHY_BASIS).alias("geographyBasis"),
     )
     return suppress_observations(public)
 

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..fixed_values import AGE_GROUPS, REST_OF_STATE, SELECTED, SITE_GROUPS
+from ..fixed_values import AGE_GROUPS, REST_OF_STATE, SELECTED, SITE_GROUPS, ComparatorSet
 from ..functions.dates import in_observation_window
 from ..functions.rates import crude_rate, log_ratio_interval, monthly_rate
 from ..functions.territory import classify_geography
+from ..functions.text import code7_to_code6
 from ..functions.icd import icd_match
 from ..operators import rollup
 from ..operators.classify import classified_counts
+from ..operators.comparators import compare_with_sets, membership, set_totals
 from ..operators.joins import join_denominator, wide_comparators
 from ..operators.quality import code_length_profile, column_profile, source_stats
 from ..operators.series import annual_totals
 from ..plans.products import (
-    death_dimensions, death_outcome_counts, deduplicated_admissions, monthly_event_counts, neurological_counts,
+    death_counts_by_area, death_dimensions, death_outcome_counts, deduplicated_admissions, monthly_event_counts, neurological_counts,
     notification_outcome_counts,
 )
 from ..plans.publish import coverage_summary, map_scale, observations
@@ -56,6 +58,60 @@ def _(spark, folder):
     return counts.select(year_of(), "geography", "sex", "age_group", "outcome_id", "count")
 
 
+SETS = [
+    ComparatorSet("rest_of_state", prefixes=("33",)), ComparatorSet("country", prefixes=("",), own_included=True),
+    ComparatorSet("region", prefixes=("33001",), codes=("330000", "330005", "330010", "339999")), ComparatorSet("listed", codes=("330005", "350002", "350007")),
+]
+COMPARED = ["330000", "330005"]
+SETS_SQL = """
+    areas AS (SELECT DISTINCT substr(code7, 1, 6) AS code FROM munipop UNION SELECT DISTINCT code6 FROM death WHERE regexp_full_match(code6, '[0-9]{6}')),
+    bridge AS (SELECT code, 'rest_of_state' AS comparator_id, false AS own FROM areas WHERE starts_with(code, '33') UNION ALL SELECT code, 'country', true FROM areas
+      UNION ALL SELECT code, 'region', false FROM areas WHERE starts_with(code, '33001') OR code IN ('330000', '330005', '330010', '339999')
+      UNION ALL SELECT code, 'listed', false FROM areas WHERE code IN ('330005', '350002', '350007')),
+    by_area AS (SELECT year, code6 AS code, outcome_id, count(*) AS n FROM death_dim JOIN causes USING (cause) WHERE regexp_full_match(code6, '[0-9]{6}') GROUP BY ALL),
+    people AS (SELECT year, substr(code7, 1, 6) AS code, sum(population)::BIGINT AS population FROM munipop GROUP BY ALL)"""
+
+
+@query("a02_comparator_sets", f"WITH {SETS_SQL} SELECT year, outcome_id, comparator_id, sum(n)::BIGINT AS count FROM by_area JOIN bridge USING (code) GROUP BY ALL")
+def _(spark, folder):
+    """Deaths of four overlapping sets of areas, each area counted once in every set that names it."""
+    counts = death_counts_by_area(deaths(spark, folder), SIM)
+    return set_totals(counts, membership(counts, SETS), ["year", "outcome_id"], ["count"])
+
+
+@query("s11_comparator_bridge", f"WITH {SETS_SQL} SELECT comparator_id, code, own AS own_included, population FROM bridge JOIN people USING (code) WHERE year = 2000")
+def _(spark, folder):
+    """Every area of the population table with the sets that name it."""
+    people = _area_people(spark, folder).where("year = 2000")
+    return membership(people, SETS).join(people, "code").select("comparator_id", "code", "own_included", "population")
+
+
+def _area_people(spark, folder):
+    return municipal_population(spark, folder).select("year", code7_to_code6("municipality_code_ibge").alias("code"), "population")
+
+
+@query("w06_comparator_sets", f"""
+    WITH {SETS_SQL},
+    grid AS (SELECT p.year, p.code, p.population, o.outcome_id, s.comparator_id FROM people p, outcomes o, (SELECT DISTINCT comparator_id FROM bridge) s WHERE p.code IN ('330000', '330005')),
+    own AS (SELECT g.*, coalesce(b.n, 0) AS n FROM grid g LEFT JOIN by_area b USING (year, code, outcome_id)),
+    rest AS (SELECT o.year, o.code, o.outcome_id, o.comparator_id, o.n, o.population,
+        (SELECT coalesce(sum(p.population), 0) FROM people p JOIN bridge b USING (code) WHERE b.comparator_id = o.comparator_id AND p.year = o.year AND (b.own OR p.code <> o.code)) AS rp,
+        (SELECT coalesce(sum(a.n), 0) FROM by_area a JOIN bridge b USING (code) WHERE b.comparator_id = o.comparator_id AND a.year = o.year AND a.outcome_id = o.outcome_id AND (b.own OR a.code <> o.code)) AS rn
+      FROM own o)
+    SELECT year, outcome_id, code, comparator_id, n AS count, population, rn::BIGINT AS comparator_count, rp::BIGINT AS comparator_population, round(n / population * 100000.0, 6) AS rate,
+      round(rn / rp * 100000.0, 6) AS comparator_rate, CASE WHEN rn > 0 THEN round((n / population) / (rn / rp), 6) END AS ratio,
+      CASE WHEN n > 0 AND rn > 0 THEN round(exp(ln(n / population) - ln(rn / rp) - 1.959963984540054 * sqrt(1.0 / n + 1.0 / rn)), 6) END AS ratio_lower FROM rest""")
+def _(spark, folder):
+    """Two areas, one of them in two listed sets, against four comparators in one plan."""
+    counts = death_counts_by_area(deaths(spark, folder), SIM)
+    compared = compare_with_sets(counts, _area_people(spark, folder), SETS, COMPARED, {"outcome_id": [o.id for o in SIM]})
+    figures = {"rate": "rate_per_100k", "comparator_rate": "comparator_rate_per_100k", "ratio": "rate_ratio", "ratio_lower": "rate_ratio_ci_lower"}
+    return compared.select(
+        "year", "outcome_id", "code", "comparator_id", "count", "population", "comparator_count", "comparator_population",
+        *[F.round(c, 6).alias(n) for n, c in figures.items()],
+    )
+
+
 @query("a03_complement_total", """
     SELECT year, outcome_id, sum(n)::BIGINT AS total, coalesce(sum(n) FILTER (WHERE code7 = '3300000'), 0)::BIGINT AS selected,
       coalesce(sum(n) FILTER (WHERE code7 <> '3300000'), 0)::BIGINT AS rest FROM munimap GROUP BY ALL""")

@@ -118,6 +118,29 @@ def _(spark, folder):
     return hits.orderBy("doc_id").limit(6).select("doc_id", "lang")
 
 
+@query("f08_search_decomposed", """
+    SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'e')""")
+def _(spark, folder):
+    """Letters written with combining accents, or precomposed ones, are found alike."""
+    spelled = F.when(F.col("p_partkey") % 2 == 0, F.replace("p_name", F.lit("e"), F.lit("e\u0301"))).otherwise(F.replace("p_name", F.lit("e"), F.lit("\u00c9")))
+    hits = search_text(table(spark, folder, "part").withColumn("spelled", spelled), ["spelled"], "\u00e8")
+    return hits.select("p_partkey", "p_name")
+
+
+@query("f09_name_lookup_table", """
+    WITH g AS (SELECT p_partkey, lower(p_name) AS nm FROM part), q AS (SELECT DISTINCT lower(substr(s_name, 1 + CAST(s_suppkey % 3 AS INT), 2 + CAST(s_suppkey % 9 AS INT))) AS q FROM supplier
+      UNION SELECT lower(substr(p_name, 1, 1 + CAST(p_partkey % 12 AS INT))) FROM part WHERE p_partkey % 3 = 0)
+    SELECT q AS query, p_partkey FROM (SELECT q, p_partkey, row_number() OVER (PARTITION BY q ORDER BY CASE WHEN nm = q THEN 0 WHEN starts_with(nm, q) THEN 1 ELSE 2 END, p_partkey) AS pos
+      FROM q JOIN g ON contains(nm, q) WHERE trim(q) = q AND q <> '') WHERE pos = 1""")
+def _(spark, folder):
+    """Queries as a table: pieces of part and supplier names of many lengths."""
+    piece = F.lower(F.expr("substr(s_name, 1 + CAST(s_suppkey % 3 AS INT), 2 + CAST(s_suppkey % 9 AS INT))"))
+    other = F.lower(F.expr("substr(p_name, 1, 1 + CAST(p_partkey % 12 AS INT))"))
+    queries = table(spark, folder, "supplier").select(piece.alias("query")).unionAll(table(spark, folder, "part").where("p_partkey % 3 = 0").select(other.alias("query")))
+    found = find_by_name(table(spark, folder, "part").select("p_partkey", "p_name"), "p_name", "p_partkey", queries.where("trim(query) = query"))
+    return found.select("query", "p_partkey")
+
+
 @query("f09_name_lookup", """
     SELECT q AS query, code7 FROM (SELECT q, code7, row_number() OVER (PARTITION BY q ORDER BY
         CASE WHEN nm = lq THEN 0 WHEN starts_with(nm, lq) THEN 1 ELSE 2 END, code7) AS pos FROM

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..fixed_values import COUNTRY_TOTAL, SELECTED, STATE_TOTAL, outcome_definitions
+from ..fixed_values import ADMISSION_OUTCOME_LABELS, COUNTRY_TOTAL, SELECTED, STATE_TOTAL, outcome_definitions
+from ..functions.dates import year_month
 from ..functions.demographics import literal_map
 from ..operators.rollup import age_sex_denominators, national_denominators, state_denominators
 from ..operators.series import union_all
@@ -14,8 +15,8 @@ from ..session import fresh_path, table
 from ..sources import provenance, sinks
 from .registry import query
 from .standins import (
-    MUNICIPALITIES, SIM, STANDARD_YEAR, TERRITORY, admission_windows, death_rates, deaths, map_rates, monthly_admissions,
-    municipal_population, notifications, population, population_age_sex, profile_cells, state_age_sex,
+    MUNICIPALITIES, SIM, STANDARD_YEAR, TERRITORY, admission_windows, death_counts, death_rates, deaths, map_rates, monthly_admissions,
+    municipal_population, notification_totals, population, population_age_sex, profile_cells, state_age_sex,
     state_municipal_population,
 )
 
@@ -102,6 +103,28 @@ def _(spark, folder):
     return _shown(publish.observations(rates, "SIH", "denominator", MANIFEST), F.col("geographyId").alias("geography"))
 
 
+_NEURO_SQL = "outcome_id IN ('alzheimer', 'dementias_all')"
+
+
+@query("pb02_provenance", f"""
+    WITH a AS (SELECT year, outcome_id, count(DISTINCT geography) AS areas FROM adm WHERE year IN (SELECT year FROM adm_years) GROUP BY ALL)
+    SELECT 'SIM' AS source, outcome_id, CAST(year AS STRING) AS period, 'residence' AS basis, 'reports/quality/' || CASE WHEN {_NEURO_SQL} THEN 'sim_neurological' ELSE 'sim_mortality' END || '_rates_manifest.json' AS manifest,
+      count(*) AS rows FROM mort GROUP BY ALL
+    UNION ALL SELECT 'SIH', outcome_id, CAST(year AS STRING), 'residence', 'reports/quality/respiratory_rates_manifest.json', areas FROM a
+    UNION ALL SELECT 'municipal', outcome_id, CAST(year AS STRING), 'residence',
+      CASE WHEN {_NEURO_SQL} THEN 'reports/quality/sim_neurological_rates_manifest.json' ELSE 'reports/quality/sim_municipal_map_' || CAST(year AS STRING) || '_manifest.json' END, count(*) FROM munimap GROUP BY ALL""")
+def _(spark, folder):
+    """Basis of the area and the manifest behind every public row, by source, outcome and map year."""
+    admissions = products.annual_admission_rates(admission_windows(spark, folder), population(spark, folder))
+    parts = [
+        publish.observations(death_rates(spark, folder), "SIM", "population"), publish.observations(admissions, "SIH", "denominator"),
+        publish.observations(map_rates(spark, folder), "SIM", "population", area="municipality_code_ibge").withColumn("source", F.lit("municipal")),
+    ]
+    return union_all(parts).groupBy(
+        "source", F.col("outcomeId").alias("outcome_id"), "period", F.col("geographyBasis").alias("basis"), F.col("manifestRef").alias("manifest"),
+    ).agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("pb03_municipal_map", f"""
     WITH {_STD} SELECT {_IND} AS indicator, code7, CAST(year AS STRING) AS period, metric, {_SHOWN} FROM ms
     WHERE CASE WHEN outcome_id IN ('alzheimer', 'dementias_all') THEN metric <> 'crude_rate_per_100k' ELSE year = 2001 END""")
@@ -279,8 +302,39 @@ def _(spark, folder):
     SELECT year, month, outcome_id, g AS geography, CASE g WHEN 'rj_total' THEN s WHEN 'volta_redonda' THEN c ELSE s - c END AS value FROM s,
       (VALUES ('rj_total'), ('volta_redonda'), ('rest_of_rj_excluding_vr')) v(g) WHERE c IS NOT NULL""")
 def _(spark, folder):
-    monthly = monthly_admissions(spark, folder)
-    return products.derived_admissions(monthly.where(F.col("geography") == STATE_TOTAL), monthly.where(F.col("geography") == SELECTED))
+    state, city = _admission_tables(spark, folder)
+    read = state.join(city.select("year", "month").distinct(), ["year", "month"], "left_semi")
+    return products.derived_admissions(read, city).select("year", "month", "outcome_id", "geography", "value")
+
+
+def _admission_tables(spark, folder):
+    """Monthly tables of the state and the city as they are read from pages, with the page and its digest."""
+    monthly, keys = monthly_admissions(spark, folder), ["year", "month", "outcome_id", "value"]
+
+    def read(geography, name):
+        path = F.concat(F.lit(f"raw/{name}_"), year_month("year", "month"), F.lit(".html"))
+        chosen = monthly.where(F.col("geography") == geography).select(*keys, F.lit("33").alias("municipality_code_datasus"), path.alias("source_path"))
+        return chosen.withColumn("source_sha256", F.sha2("source_path", 256))
+
+    return read(STATE_TOTAL, "rj_total"), read(SELECTED, "volta_redonda")
+
+
+_DERIVED_LABELS = ", ".join(f"('{k}', '{v}')" for k, v in ADMISSION_OUTCOME_LABELS.items())
+
+
+@query("pb11_derived_admission_rows", f"""
+    WITH c AS (SELECT *, printf('%04d-%02d', year, month) AS period FROM adm_monthly),
+    b AS (SELECT s.year, s.month, s.period, s.outcome_id, s.value AS sv, v.value AS cv, 'raw/rj_total_' || s.period || '.html' AS sp, 'raw/volta_redonda_' || s.period || '.html' AS cp
+      FROM c s JOIN c v ON s.geography = 'rj_total' AND v.geography = 'volta_redonda' AND s.period = v.period AND s.outcome_id = v.outcome_id)
+    SELECT year, month, period, g AS geography, '33' AS municipality_code_datasus, outcome_id, label AS outcome_label,
+      CASE g WHEN 'rj_total' THEN sv WHEN 'volta_redonda' THEN cv ELSE sv - cv END AS value, 'internações agregadas pelo SIH' AS unit,
+      CASE g WHEN 'rj_total' THEN sp WHEN 'volta_redonda' THEN cp ELSE sp || ';' || cp END AS source_paths,
+      CASE g WHEN 'rj_total' THEN sha256(sp) WHEN 'volta_redonda' THEN sha256(cp) ELSE sha256(sp) || ';' || sha256(cp) END AS source_sha256s
+    FROM b JOIN (VALUES {_DERIVED_LABELS}) l(outcome_id, label) USING (outcome_id), (VALUES ('rj_total'), ('volta_redonda'), ('rest_of_rj_excluding_vr')) v(g)""")
+def _(spark, folder):
+    """Every field of the derived series: period, label, unit, pages and their digests."""
+    state, city = _admission_tables(spark, folder)
+    return products.derived_admissions(state.join(city.select("year", "month").distinct(), ["year", "month"], "left_semi"), city)
 
 
 @query("pb13_outcome_counts", """
@@ -290,14 +344,14 @@ def _(spark, folder):
 def _(spark, folder):
     """Counts under all their keys, the file each year came from and its digest among them."""
     def manifest(events, source, prefix, suffix):
-        return events.select("source_year").distinct().select(
+        return events.select(F.col("source_year")).distinct().select(
             "source_year", F.concat(F.lit(prefix), "source_year", F.lit(suffix)).alias("source_path"), F.sha2(F.concat(F.lit(source), "source_year"), 256).alias("source_sha256"),
         )
 
-    facts, notes = deaths(spark, folder), notifications(spark, folder)
+    dead, notified = death_counts(spark, folder), notification_totals(spark, folder)
     counted = [
-        products.death_outcome_counts(facts, TERRITORY, SIM, manifest=manifest(facts, "SIM", "raw/sim_", ".csv")),
-        products.notification_outcome_counts(notes, TERRITORY, manifest(notes, "SIVEP-SRAG", "raw/sivep_", ".parquet")),
+        products.with_provenance(dead, manifest(dead, "SIM", "raw/sim_", ".csv")),
+        products.with_provenance(notified, manifest(notified, "SIVEP-SRAG", "raw/sivep_", ".parquet")),
     ]
     return union_all(counted).groupBy(
         "source", F.col("source_year").cast("int").alias("year"), "geography", "outcome_id", "outcome_status", "source_path", "source_sha256",
@@ -329,4 +383,32 @@ def _(spark, folder):
     SELECT outcome_id, geography, sum(value)::BIGINT AS total, count(*) AS months, 0::BIGINT AS negatives, min(printf('%04d-%02d', year, month)) AS first_period,
       max(printf('%04d-%02d', year, month)) AS last_period FROM adm GROUP BY ALL""")
 def _(spark, folder):
-    return products.admission_summary(admission_windows(spark, folder))
+    summary = products.admission_summary(admission_windows(spark, folder))
+    return summary.select("outcome_id", "geography", "total", "months", "negatives", "first_period", "last_period")
+
+
+_COVERAGE_SQL = """
+    WITH reported AS (SELECT *, printf('%04d-%02d', year, month) AS period, CASE WHEN month % 3 = 0 THEN 2 ELSE 1 END * CASE WHEN year = 1998 THEN 2 ELSE 1 END AS times FROM adm),
+    kept AS (SELECT * FROM reported WHERE month <> 5 OR year <> 1997),
+    spans AS (SELECT {keys} min(period) AS first_period, max(period) AS last_period, list(DISTINCT period) AS present, sum(times)::BIGINT AS rows_read, (sum(times) - count(*))::BIGINT AS duplicates_removed,
+      count(*) AS months, sum(value)::BIGINT AS total FROM kept GROUP BY ALL)
+    SELECT {columns} first_period, last_period, duplicates_removed, 0::BIGINT AS negatives,
+      (SELECT coalesce(string_agg(strftime(m, '%Y-%m'), '|' ORDER BY m), '') FROM generate_series(strptime(first_period || '-01', '%Y-%m-%d'), strptime(last_period || '-01', '%Y-%m-%d'), INTERVAL 1 MONTH) g(m)
+        WHERE NOT list_contains(present, strftime(m, '%Y-%m'))) AS missing FROM spans"""
+
+
+def _without_a_month(spark, folder):
+    return admission_windows(spark, folder).where("month <> 5 OR year <> 1997")
+
+
+@query("pb15_admission_summary_coverage", _COVERAGE_SQL.format(keys="outcome_id, geography,", columns="outcome_id, geography, upper(outcome_id) AS outcome_label, total, months,"))
+def _(spark, folder):
+    """Per outcome and area: label, removed duplicates and missing months; one month was never read."""
+    summary = products.admission_summary(_without_a_month(spark, folder))
+    return summary.withColumn("missing", F.array_join("missing_periods", "|")).drop("missing_periods")
+
+
+@query("pb15_admission_coverage", _COVERAGE_SQL.format(keys="", columns="rows_read,"))
+def _(spark, folder):
+    coverage = products.admission_coverage(_without_a_month(spark, folder))
+    return coverage.withColumn("missing", F.array_join("missing_periods", "|")).drop("missing_periods")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..fixed_values import PERIODS
+from ..fixed_values import BREAKS, PERIODS
 from ..functions import dates, demographics, labels, periods, text
 from ..functions.icd import icd_match
 from ..functions.territory import (
@@ -210,6 +210,41 @@ def _(spark, folder):
     return per_year.join(periods.period_years(spark), "year").groupBy("section", "period_id", "status").agg(F.sum("n").alias("n"))
 
 
+_MONTHS_SQL = """
+    e AS (SELECT CAST(2005 + o_orderkey % 23 AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month, count(*) AS n FROM orders GROUP BY ALL),
+    m AS (SELECT *, year * 12 + month - 1 AS number FROM e)"""
+_INTERVALS = [*PERIODS, ("admissions", "until_february", "2000-01", "2010-02", "early"), ("admissions", "from_march", "2010-03", "2012-11", "late"), ("admissions", "open", "2014-06", None, "open")]
+_INTERVAL_VALUES = ", ".join(
+    f"('{s}', '{i}', {periods.month_number(a)}, {periods.month_number(b) if b else 'NULL'}, '{t}')" for s, i, a, b, t in _INTERVALS
+)
+
+
+def _months(spark, folder):
+    date = F.make_date((F.lit(2005) + F.col("o_orderkey") % 23).cast("int"), F.month("o_orderdate"), F.lit(28))
+    return tally(table(spark, folder, "orders"), date.alias("date"))
+
+
+@query("p18_period_months", f"""
+    WITH {_MONTHS_SQL}, p AS (SELECT * FROM (VALUES {_INTERVAL_VALUES}) v(section, period_id, lo, hi, status))
+    SELECT s.section, p.period_id, p.status AS period_status, sum(n)::BIGINT AS n FROM m CROSS JOIN (SELECT DISTINCT section FROM p) s
+    LEFT JOIN p ON p.section = s.section AND m.number >= p.lo AND (p.hi IS NULL OR m.number <= p.hi) GROUP BY ALL""")
+def _(spark, folder):
+    """Months in half-open periods: some start inside a year, one never ends, and there are gaps."""
+    sections = F.explode(F.array(*[F.lit(s) for s in dict.fromkeys(r[0] for r in _INTERVALS)]))
+    placed = periods.with_period(_months(spark, folder).withColumn("section", sections), "date", _INTERVALS)
+    return placed.groupBy("section", "period_id", "period_status").agg(F.sum("n").alias("n"))
+
+
+@query("p18_break_sides", f"""
+    WITH {_MONTHS_SQL}, b AS (SELECT * FROM (VALUES {", ".join(f"('{n}', {periods.month_number(at)})" for n, at in BREAKS)}) v(break_id, begins))
+    SELECT break_id, number >= begins AS after, sum(n)::BIGINT AS n FROM m, b GROUP BY ALL""")
+def _(spark, folder):
+    """Months before and from each configured break on."""
+    sides = _months(spark, folder).select("n", F.explode(periods.break_sides("date")).alias("_b")).select("n", "_b.*")
+    known = periods.break_dimension(spark).select("break_id")
+    return sides.join(known, "break_id").groupBy("break_id", "after").agg(F.sum("n").alias("n"))
+
+
 @query("p19_code_pad_truncate", """
     SELECT raw, lpad(raw, 7, '0') AS code7, substr(lpad(raw, 7, '0'), 1, 6) AS code6,
       CASE WHEN ltrim(raw, '0') = '' THEN '0' ELSE ltrim(raw, '0') END AS bare, count(*) AS n

@@ -9,7 +9,7 @@ from ..fixed_values import (
     PROTECTED_FIELDS, PROTECTED_PROFILE_FIELDS, REST_OF_STATE, SELECTED, COUNTRY_TOTAL, STATE_TOTAL,
 )
 from ..functions.labels import indicator_id, percent_change, ratio_guarded
-from ..functions.poisson import poisson_interval
+from ..functions.poisson import with_poisson_interval
 from ..functions.rates import crude_rate, rate_difference, rate_ratio
 from ..operators.its import fit_interrupted_series, fit_level_change, fitted_moments
 from ..operators.joins import join_denominator
@@ -84,7 +84,7 @@ def _(spark, folder):
     SELECT year, geography, outcome_id, n AS count, round(lower, 5) AS lower, round(upper, 5) AS upper FROM death_year JOIN lim ON k = n""")
 def _(spark, folder):
     totals = death_counts(spark, folder).groupBy(year_of(), "geography", "outcome_id").agg(F.sum("count").alias("count"))
-    limits = totals.withColumn("_l", poisson_interval("count"))
+    limits = with_poisson_interval(totals, "count", "_l")
     return limits.select(
         "year", "geography", "outcome_id", "count", F.round("_l.lower", 5).alias("lower"), F.round("_l.upper", 5).alias("upper")
     )

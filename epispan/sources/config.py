@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..fixed_values import Outcome, Territory, outcome_definitions
+from ..fixed_values import ComparatorSet, Outcome, Territory, outcome_definitions
 from ..session import dimension
 
 
@@ -36,6 +36,24 @@ def load_territory(path: str | Path, city: str) -> Territory:
     )
 
 
+def load_comparators(path: str | Path) -> list[ComparatorSet]:
+    """Comparator sets from a YAML file: the primary one, then the secondary ones in order.
+
+    Each has an ``id`` and ``prefixes`` or ``municipalities``; ``include_selected`` keeps the compared
+    area in. Sets that name no area yet are left out.
+    """
+    content = _load_yaml(path)["comparators"]
+    items = [content["primary"], *(content.get("secondary") or [])]
+    sets = [
+        ComparatorSet(
+            item["id"], tuple(str(p) for p in item.get("prefixes") or ()), tuple(str(c) for c in item.get("municipalities") or ()),
+            bool(item.get("include_selected", False)),
+        )
+        for item in items
+    ]
+    return [s for s in sets if s.prefixes or s.codes]
+
+
 def _load_yaml(path: str | Path) -> dict:
     try:
         import yaml

@@ -1,14 +1,19 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from epispan.fixed_values import PROTECTED_FIELDS, outcome_definitions
+from epispan.fixed_values import PROTECTED_FIELDS, ComparatorSet, Territory, comparator_sets, outcome_definitions
+from epispan.functions import periods
 from epispan.functions.text import normalize_code
 from epispan.operators import joins, quality, rollup, series
 from epispan.operators.classify import cause_map, classified_counts, classified_events
+from epispan.operators.comparators import compare_with_sets, membership
 from epispan.operators.filters import find_by_name, search_text
 from epispan.operators.suppression import (
     complementary_suppression, mark_not_applicable, protect_profile, protected_leaks, suppress_observations,
 )
+from epispan.sources.config import load_comparators
 
 DEFS = outcome_definitions("SIM")
 
@@ -227,3 +232,81 @@ def test_last_row_of_the_last_file_wins(spark):
     frame = spark.createDataFrame(rows, "year int, month int, geography string, outcome_id string, outcome_label string, value long, source_file string, source_row_number long")
     assert [r["value"] for r in deduplicated_admissions(frame).collect()] == [3]
     assert [r["value"] for r in deduplicated_admissions(frame.where("source_file = 'a'")).collect()] == [5]
+
+
+def test_name_lookup_against_every_pair(spark):
+    pick = random.Random(4)
+    names = ["".join(pick.choice("abçé ") for _ in range(pick.randint(1, 9))) for _ in range(120)]
+    asked = ["".join(pick.choice("abceÁ ") for _ in range(pick.randint(0, 5))) for _ in range(80)] + names[:5] + ["zzz", ""]
+    plain = lambda t: t.strip(" ").lower().translate(str.maketrans("áçé", "ace"))
+    want = {}
+    for q in set(asked):
+        ranked = [(0 if plain(n) == plain(q) else 1 if plain(n).startswith(plain(q)) else 2, i) for i, n in enumerate(names) if plain(q) and plain(q) in plain(n)]
+        if ranked:
+            want[q] = min(ranked)[1]
+    places = spark.createDataFrame([*enumerate(names), (999, None)], "code int, name string")
+    queries = spark.createDataFrame([(q,) for q in asked] + [(None,)], "query string")
+    found = find_by_name(places, "name", "code", queries)
+    assert found.columns == ["code", "name", "query"] and {r["query"]: r["code"] for r in found.collect()} == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert find_by_name(places.limit(0), "name", "code", ["a"]).count() == 0
+
+
+def test_search_reads_every_way_of_composition(spark):
+    df = spark.createDataFrame([("1", "Sa\u0303o Jose\u0301"), ("2", "São José"), ("3", "SAO JOSE"), ("4", None)], "code string, name string")
+    for term in ("são josé", "Sa\u0303o jose", " SAO "):
+        assert {r["code"] for r in search_text(df, ["name"], term).collect()} == {"1", "2", "3"}
+
+
+SETS = [
+    ComparatorSet("state", prefixes=("33",)), ComparatorSet("country", prefixes=("",), own_included=True),
+    ComparatorSet("region", prefixes=("3301",), codes=("330100", "330200")), ComparatorSet("nobody", codes=("999999",)),
+]
+
+
+def test_an_area_counts_once_in_each_set_that_names_it(spark):
+    areas = spark.createDataFrame([("330100",), ("330100",), ("330200",), ("350000",)], "code string")
+    assert {(r["code"], r["comparator_id"]) for r in membership(areas, SETS).collect()} == {
+        ("330100", "state"), ("330100", "country"), ("330100", "region"), ("330200", "state"), ("330200", "country"), ("330200", "region"), ("350000", "country"),
+    }
+
+
+def test_comparison_takes_the_area_off_its_own_sets_only(spark):
+    counts = spark.createDataFrame([(2020, "330100", "x", 5), (2020, "330200", "x", 7), (2020, "350000", "x", 11), (2021, "330100", "x", 1)], "year int, code string, outcome_id string, count long")
+    people = spark.createDataFrame([(2020, "330100", 100), (2020, "330200", 200), (2020, "350000", 400)], "year int, code string, population long")
+    rows = compare_with_sets(counts, people, SETS, ["330100", "350000"], {"outcome_id": ["x", "y"]}).collect()
+    got = {(r["code"], r["outcome_id"], r["comparator_id"]): (r["count"], r["comparator_count"], r["comparator_population"]) for r in rows}
+    assert len(rows) == 2 * 2 * 4 and {r["year"] for r in rows} == {2020}
+    assert got["330100", "x", "state"] == (5, 7, 200) and got["330100", "x", "country"] == (5, 23, 700) and got["330100", "x", "region"] == (5, 7, 200)
+    assert got["350000", "x", "state"] == (11, 12, 300) and got["350000", "x", "country"] == (11, 23, 700)
+    assert got["330100", "x", "nobody"] == (5, None, None) and got["330100", "y", "state"] == (0, 0, 200)
+    ratio = next(r for r in rows if (r["code"], r["outcome_id"], r["comparator_id"]) == ("350000", "x", "state"))
+    assert ratio["rate_ratio"] == pytest.approx((11 / 400) / (12 / 300)) and ratio["rate_ratio_ci_lower"] < ratio["rate_ratio"] < ratio["rate_ratio_ci_upper"]
+
+
+def test_configured_comparators(tmp_path):
+    pytest.importorskip("yaml")
+    path = tmp_path / "t.yml"
+    path.write_text(
+        "comparators:\n  primary:\n    id: rest\n    prefixes: ['33']\n  secondary:\n    - id: all\n      prefixes: ['']\n      include_selected: true\n"
+        "    - id: region\n      municipalities: [330040, '330420']\n    - id: later\n"
+    )
+    assert load_comparators(path) == [
+        ComparatorSet("rest", prefixes=("33",)), ComparatorSet("all", prefixes=("",), own_included=True), ComparatorSet("region", codes=("330040", "330420")),
+    ]
+    assert [s.id for s in comparator_sets(Territory(), listed=("330040",))][-1] == "pre_specified_comparable_municipalities" and len(comparator_sets(Territory())) == 3
+
+
+def test_periods_start_inside_years_and_may_stay_open(spark):
+    rows = [("s", "a", "2019-03", "2020-02", "old"), ("s", "b", "2020-03", "2021-12", "new"), ("s", "c", "2022-06", None, "open"), ("t", "d", "2020-01", "2020-12", "x")]
+    dates = ["2019-02-28", "2019-03-01", "2020-01-31", "2020-02-29", "2020-03-01", "2021-12-31", "2022-01-01", "2150-01-01"]
+    frame = spark.createDataFrame([("s", d) for d in dates] + [("t", "2020-05-05"), ("u", "2020-05-05"), ("s", None)], "section string, d string")
+    got = {(r["section"], r["d"]): r["period_id"] for r in periods.with_period(frame.withColumn("date", F.col("d").cast("date")), "date", rows).collect()}
+    assert [got["s", d] for d in dates] == [None, "a", "a", "a", "b", "b", None, "c"]
+    assert got["t", "2020-05-05"] == "d" and got["u", "2020-05-05"] is None and got["s", None] is None
+    with pytest.raises(ValueError, match="overlap"):
+        periods.period_intervals(spark, [("s", "a", "2019-01", "2020-03", ""), ("s", "b", "2020-03", "2020-05", "")])
+    sides = spark.sql("SELECT DATE'2020-02-29' AS d UNION ALL SELECT DATE'2020-03-01'").select("d", F.explode(periods.break_sides("d")).alias("b")).select("d", "b.*")
+    assert [r["after"] for r in sides.where("break_id = 'respiratory_pandemic_start'").orderBy("d").collect()] == [False, True]
+    assert periods.break_dimension(spark).count() == 5

@@ -145,3 +145,45 @@ def test_contract_loads_before_any_session_exists():
     root = str(Path(contract.__file__).parent)
     done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
     assert [int(n) for n in done.stdout.split()] == [len(contract.queries()), len(contract.oracle_sql())]
+
+
+def test_derived_admissions_need_every_city_month(spark):
+    columns = "year int, month int, outcome_id string, value long, municipality_code_datasus string, source_path string, source_sha256 string"
+    state = spark.createDataFrame([(2020, 1, "asthma", 9, "33", "s1", "h1"), (2020, 1, "copd", 4, "33", "s1", "h1"), (2020, 2, "asthma", 3, "33", "s2", "h2")], columns)
+    city = spark.createDataFrame([(2020, 1, "asthma", 2, "33", "c1", "g1"), (2020, 3, "asthma", 1, "33", "c3", "g3")], columns)
+    with pytest.raises(Exception, match="no city table for.*\"month\":2"):
+        products.derived_admissions(state, city).collect()
+    rows = products.derived_admissions(state.where("month = 1"), city).collect()
+    assert {(r["geography"], r["outcome_id"], r["value"], r["period"], r["source_paths"], r["source_sha256s"]) for r in rows} == {
+        ("rj_total", "asthma", 9, "2020-01", "s1", "h1"), ("volta_redonda", "asthma", 2, "2020-01", "c1", "g1"),
+        ("rest_of_rj_excluding_vr", "asthma", 7, "2020-01", "s1;c1", "h1;g1"),
+    }
+    assert {(r["unit"], r["municipality_code_datasus"]) for r in rows} == {("internações agregadas pelo SIH", "33")}
+
+
+def test_admission_summary_counts_duplicates_and_names_gaps(spark):
+    def row(month, value, line, outcome="asthma"):
+        return 2020, month, "rj_total", outcome, outcome.upper(), value, "f", line
+
+    columns = "year int, month int, geography string, outcome_id string, outcome_label string, value long, source_file string, source_row_number long"
+    windows = spark.createDataFrame([row(1, 5, 1), row(1, 7, 2), row(4, -1, 3), row(2, 1, 4, "copd"), row(2, 1, 5, "copd"), row(2, 1, 6, "copd")], columns)
+    got = {r["outcome_id"]: r for r in products.admission_summary(windows).collect()}
+    assert (got["asthma"]["total"], got["asthma"]["duplicates_removed"], got["asthma"]["missing_periods"], got["asthma"]["negatives"]) == (6, 1, ["2020-02", "2020-03"], 1)
+    assert (got["copd"]["outcome_label"], got["copd"]["duplicates_removed"], got["copd"]["missing_periods"]) == ("COPD", 2, [])
+    whole = products.admission_coverage(windows).collect()[0]
+    assert (whole["rows_read"], whole["duplicates_removed"], whole["first_period"], whole["last_period"], whole["missing_periods"]) == (6, 3, "2020-01", "2020-04", ["2020-03"])
+
+
+def test_public_rows_name_basis_and_manifest(spark):
+    columns = "outcome_id string, geography string, year int, count long, population long, rate_per_100k double, rate_ci_lower_per_100k double, rate_ci_upper_per_100k double, period_status string"
+    rates = spark.createDataFrame([(o, "g", 2024, 9, 100, 1.0, 0.5, 2.0, "x") for o in ("alzheimer", "lung")], columns)
+
+    def refs(source, area="geography", manifest=None):
+        renamed = rates.withColumnRenamed("geography", area)
+        return {r["outcomeId"]: (r["manifestRef"], r["geographyBasis"]) for r in publish.observations(renamed, source, "population", manifest, area).collect()}
+
+    assert refs("SIM") == {"alzheimer": ("reports/quality/sim_neurological_rates_manifest.json", "residence"), "lung": ("reports/quality/sim_mortality_rates_manifest.json", "residence")}
+    assert refs("SIH")["lung"][0] == "reports/quality/respiratory_rates_manifest.json" and refs("SIH")["alzheimer"][0] == "reports/quality/sih_neurological_rates_manifest.json"
+    assert refs("SIH", "municipality_code_ibge")["alzheimer"][0] == "reports/quality/sih_municipal_map_2024_manifest.json"
+    assert refs("SIM", "municipality_code_ibge")["lung"][0] == "reports/quality/sim_municipal_map_2024_manifest.json"
+    assert refs("SIM", manifest="m.json")["lung"][0] == "m.json"

@@ -9,7 +9,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from epispan.functions.poisson import poisson_interval, poisson_limits
+from epispan.functions.poisson import LISTED_COUNTS, poisson_limits, with_poisson_interval
 from epispan.functions.rates import log_ratio_interval
 from epispan.operators import its
 from epispan.operators.series import interruption_variables
@@ -35,15 +35,29 @@ def test_limits_satisfy_their_defining_tails(count):
 
 def test_known_limits_and_nulls(spark):
     frame = spark.createDataFrame([(0,), (10,), (None,)], "n long")
-    got = [r[0] for r in frame.select(poisson_interval("n")).collect()]
+    got = [r["l"] for r in with_poisson_interval(frame, "n", "l").orderBy(F.col("n").asc_nulls_last()).collect()]
     assert got[0]["lower"] == 0 and got[0]["upper"] == pytest.approx(3.688879, abs=1e-6)
     assert (got[1]["lower"], got[1]["upper"]) == (pytest.approx(4.795389, abs=1e-6), pytest.approx(18.390356, abs=1e-6))
     assert got[2]["lower"] is None and got[2]["upper"] is None
 
 
-def test_negative_count_is_refused():
+def test_negative_count_is_refused(spark):
     with pytest.raises(ValueError):
         poisson_limits(np.array([-1]))
+    with pytest.raises(Exception, match="from zero up"):
+        with_poisson_interval(spark.createDataFrame([(-1,)], "n long"), "n", "l").collect()
+
+
+def test_large_counts_follow_the_expansion(spark):
+    counts = [LISTED_COUNTS - 1, LISTED_COUNTS, LISTED_COUNTS + 1, 123_456, 10**7, 3 * 10**9]
+    got = {r["n"]: r["l"] for r in with_poisson_interval(spark.createDataFrame([(n,) for n in counts], "n long"), "n", "l").collect()}
+    for n, lower, upper in zip(counts, *poisson_limits(np.array(counts)), strict=True):
+        assert got[n]["lower"] == pytest.approx(lower, rel=1e-12) and got[n]["upper"] == pytest.approx(upper, rel=1e-12)
+
+
+def test_limits_stay_in_the_jvm(spark):
+    plan = with_poisson_interval(spark.range(5), "id", "l")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "BroadcastHashJoin" in plan
 
 
 def test_ratio_interval_contains_the_published_ratio(rows):
