@@ -326,6 +326,15 @@ MANIFEST_REFS = [
 ]
 STANDARDIZED_MANIFEST = "reports/quality/sim_neurological_standardized_manifest.json"
 GEOGRAPHY_BASIS = "residence"
+# States of snapshots and texts of public records.
+RECONCILED, NOT_RECONCILED = "reconciled_with_annual_series", "reconciliation_failed"
+VALIDATED_DEATHS = "validated_sim_"
+MAP_STATUS = ("validated_", "_municipal_residence_rates_")
+MAP_SCHEMA, STANDARDIZED_MAP_SCHEMA = "1.0.0", "1.1.0"
+STANDARDIZED_METRIC, CRUDE_METRIC = "age_sex_standardized_rate_per_100k", "crude_rate_per_100k"
+STANDARDIZED_KIND, CRUDE_KIND = "age_sex_standardized", "crude"
+STANDARDIZATION, NO_STANDARDIZATION = ("age_sex_standardized_", "_and_crude_annual"), "crude_only"
+AVAILABLE, NOT_AVAILABLE, NO_PROFILE = "available_", "not_available", "not_applicable_current_release"
 AVAILABLE_PROFILE = "available_2022_sim_age_sex"
 ADMISSION_UNIT = "internações agregadas pelo SIH"
 OBSERVATION_FIELDS = [

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed_values import (
-    ADMISSION_OUTCOME_LABELS, ADMISSION_UNIT, AGE_GROUPS, COUNTRY_TOTAL, DEATH_UNIT, NOTIFICATION_OUTCOMES, NOTIFICATION_UNIT, OUTSIDE_STATE, REST_OF_COUNTRY, REST_OF_STATE, SELECTED, SEXES,
-    STATE_TOTAL, Outcome, Territory, outcome_definitions,
+    ADMISSION_OUTCOME_LABELS, ADMISSION_UNIT, AGE_GROUPS, COUNTRY_TOTAL, DEATH_UNIT, NOT_RECONCILED, NOTIFICATION_OUTCOMES, NOTIFICATION_UNIT,
+    OUTSIDE_STATE, RECONCILED, REST_OF_COUNTRY, REST_OF_STATE, SELECTED, SEXES, SMALL_CELL, STATE_TOTAL, Outcome, Territory, outcome_definitions,
 )
 from ..functions.dates import in_observation_window, month_from_text, month_start, months_between, year_month
 from ..functions.demographics import (
@@ -27,6 +27,7 @@ from ..operators.joins import (
     dense_counts, dense_grid, fill_grid, full_outer_series, join_denominator, known_members, manifest_lookup, municipality_with_fallback,
     unique_rows, wide_comparators,
 )
+from ..operators.quality import reconcile
 from ..operators.rates import add_comparison, add_rates
 from ..operators.rollup import complete_years, conditional_counts, status_pivot, union_totals, with_territory_totals
 from ..operators.series import interruption_variables, keep_last, month_spine, union_all
@@ -265,6 +266,26 @@ def municipal_admission_rates(counts: DataFrame, population: DataFrame) -> DataF
     )
 
 
+def admission_map_manifest(rates: DataFrame, annual: DataFrame) -> DataFrame:
+    """One entry per year of municipal admission rates: what it holds and whether it adds up to the annual series.
+
+    ``annual`` has year, geography, outcome_id and count. An outcome whose municipalities do not sum to
+    the state's figure is listed with both, and the year's status says so; outcomes the annual series
+    lacks are not judged. Snapshots are later chosen by this status.
+    """
+    totals = annual.where(F.col("geography") == STATE_TOTAL)
+    off = reconcile(rates, totals.join(rates.select("year").distinct(), "year", "left_semi"), ["year", "outcome_id"], absent_totals_pass=True)
+    gaps = off.groupBy("year").agg(F.array_sort(F.collect_list(F.struct(
+        "outcome_id", F.col("observed").alias("municipal_total"), F.col("expected").alias("annual_total"),
+    ))).alias("reconciliation"))
+    held = rates.groupBy("year").agg(
+        F.countDistinct("municipality_code_ibge").alias("municipalities"), F.array_sort(F.collect_set("outcome_id")).alias("outcome_ids"),
+        F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("count") < SMALL_CELL, F.lit(1))).alias("suppressed_cells"),
+    )
+    state = F.when(F.col("reconciliation").isNull(), F.lit(RECONCILED)).otherwise(F.lit(NOT_RECONCILED))
+    return held.join(gaps, "year", "left").withColumns({"source": F.lit("SIH"), "status": state})
+
+
 def neurological_counts(deaths: DataFrame, municipalities: DataFrame, territory: Territory) -> DataFrame:
     """Deaths of the two dementia outcomes per municipality, plus state, country and rest totals."""
     definitions = {d.id: d for d in outcome_definitions("SIM") if d.section == "neurological"}

@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed_values import (
-    ALLOWED_CONCLUSION, AVAILABLE_PROFILE, GEOGRAPHY_BASIS, MANIFEST_REFS, MAP_NOTES, MAP_PENDING, PROTECTED_PROFILE_FIELDS, RATE_MULTIPLIER, RELEASE_COMPARATORS, SMALL_CELL, SOURCE_ATTRIBUTES,
-    SOURCE_TEXTS, STANDARD_POPULATION_LABEL, STANDARDIZED_MANIFEST, STATE_TOTAL, outcome_definitions,
+    ALLOWED_CONCLUSION, AVAILABLE, AVAILABLE_PROFILE, CRUDE_KIND, CRUDE_METRIC, GEOGRAPHY_BASIS, MANIFEST_REFS, MAP_NOTES, MAP_PENDING,
+    MAP_SCHEMA, MAP_STATUS, NO_PROFILE, NO_STANDARDIZATION, NOT_AVAILABLE, PROTECTED_PROFILE_FIELDS, RATE_MULTIPLIER, RELEASE_COMPARATORS, SMALL_CELL, SOURCE_ATTRIBUTES,
+    SOURCE_TEXTS, STANDARD_POPULATION_LABEL, STANDARDIZATION, STANDARDIZED_KIND, STANDARDIZED_MANIFEST, STANDARDIZED_MAP_SCHEMA,
+    STANDARDIZED_METRIC, STATE_TOTAL, outcome_definitions,
 )
 from ..functions.demographics import lookup
 from ..functions.labels import indicator_id, outcome_theme, synonym_array
@@ -18,8 +20,7 @@ from ..operators.series import latest_period, leave_one_out
 from ..operators.suppression import protect_profile, suppress_observations
 from ..session import materialize
 
-CRUDE = "crude_rate_per_100k"
-STANDARDIZED = "age_sex_standardized_rate_per_100k"
+CRUDE, STANDARDIZED = CRUDE_METRIC, STANDARDIZED_METRIC
 
 
 def manifest_reference(source: str, outcome: Column | str) -> Column:
@@ -126,21 +127,25 @@ def _source_columns() -> dict[str, Column]:
         "sourceLabel": of(texts, 0), "definition": of(texts, 1), "doesNotAllowConclusion": of(texts, 2),
         "allowsConclusion": F.lit(ALLOWED_CONCLUSION), "cidRanges": ranges, "synonyms": synonym_array("outcomeId", "label"),
         "geographyBasis": F.lit(GEOGRAPHY_BASIS), "methodologyUrl": F.concat(F.lit("/indicadores/"), "indicatorId"),
-        "profileAvailability": F.when(source == "SIM", F.lit(AVAILABLE_PROFILE)).otherwise(F.lit("not_applicable_current_release")),
+        "profileAvailability": F.when(source == "SIM", F.lit(AVAILABLE_PROFILE)).otherwise(F.lit(NO_PROFILE)),
     }
 
 
+def _map_status(period: Column, kind: Column) -> Column:
+    return F.concat(F.lit(MAP_STATUS[0]), F.lower("source"), F.lit("_"), period, F.lit(MAP_STATUS[1]), kind)
+
+
 def _metric_columns() -> dict[str, Column]:
     """Fields that follow from the metrics an indicator has."""
     year, has = F.col("_standard"), F.col("_standard").isNotNull()
     none = F.array().cast("array<string>")
-    shown = F.concat(F.lit("validated_"), F.lower("source"), F.lit("_"), "_mapped", F.lit("_municipal_residence_rates_crude"))
+    shown = _map_status(F.col("_mapped"), F.lit(CRUDE_KIND))
     return {
         "availableMetrics": F.array_compact(F.array(F.when(has, F.lit(STANDARDIZED)), F.lit(CRUDE), F.lit("count"))),
-        "standardization": F.when(has, F.concat(F.lit("age_sex_standardized_"), year, F.lit("_and_crude_annual"))).otherwise(F.lit("crude_only")),
+        "standardization": F.when(has, F.concat(F.lit(STANDARDIZATION[0]), year, F.lit(STANDARDIZATION[1]))).otherwise(F.lit(NO_STANDARDIZATION)),
         "standardPopulation": F.when(has, F.lit(STANDARD_POPULATION_LABEL)),
         "standardizationDimensions": F.when(has, F.array(F.lit("age_group"), F.lit("sex"))).otherwise(none),
-        "standardizedRateAvailability": F.when(has, F.concat(F.lit("available_"), year)).otherwise(F.lit("not_available")),
+        "standardizedRateAvailability": F.when(has, F.concat(F.lit(AVAILABLE), year)).otherwise(F.lit(NOT_AVAILABLE)),
         "metricPeriod": F.when(has, F.create_map(F.lit(STANDARDIZED), year)).otherwise(F.create_map().cast("map<string,string>")),
         "mapStatus": F.coalesce(shown, F.lit(MAP_PENDING)),
     }
@@ -199,15 +204,15 @@ def map_documents(series: DataFrame, indicators: DataFrame) -> DataFrame:
     alternatives = crude.select("indicatorId", F.array(F.struct("metricKind", "period", "values")).alias("alternatives"))
     joined = indicators.select("indicatorId").join(shown, "indicatorId", "left").join(alternatives, "indicatorId", "left")
     standard, pending = F.col("metricKind") == STANDARDIZED, F.col("period").isNull()
-    kind = F.when(standard, F.lit("age_sex_standardized")).otherwise(F.lit("crude"))
+    kind = F.when(standard, F.lit(STANDARDIZED_KIND)).otherwise(F.lit(CRUDE_KIND))
     note = F.lit(None).cast("string")
     for source, text in MAP_NOTES.items():
         before, _, behind = text.partition("{}")
         note = F.when(F.col("source") == source, F.concat(F.lit(before), "period", F.lit(behind))).otherwise(note)
     return joined.select(
-        "indicatorId", F.when(standard, F.lit("1.1.0")).otherwise(F.lit("1.0.0")).alias("schemaVersion"),
+        "indicatorId", F.when(standard, F.lit(STANDARDIZED_MAP_SCHEMA)).otherwise(F.lit(MAP_SCHEMA)).alias("schemaVersion"),
         F.when(pending, F.lit(MAP_PENDING)).otherwise(
-            F.concat(F.lit("validated_"), F.lower("source"), F.lit("_"), "period", F.lit("_municipal_residence_rates_"), kind)
+            _map_status(F.col("period"), kind)
         ).alias("status"),
         F.col("period").cast("int").alias("period"), "metricKind", F.coalesce("values", F.array()).alias("values"),
         F.coalesce("alternatives", F.array()).alias("alternatives"), F.when(standard, F.lit(MAP_NOTES["standardized"])).otherwise(note).alias("note"),

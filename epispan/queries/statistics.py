@@ -22,6 +22,7 @@ from ..operators.suppression import (
 from ..plans import products
 from ..plans.publish import observations, profiles
 from ..session import table
+from ..sources.snapshots import valid_status, validated_rows
 from .aggregates import NEUROLOGICAL_SQL
 from .registry import query
 from .standins import (
@@ -216,6 +217,32 @@ def _(spark, folder):
     )
 
 
+@query("st09_admission_map_manifest", """
+    WITH m AS (SELECT p.year, p.code7, a.outcome_id, a.n FROM statepop p JOIN (SELECT CAST(year(o_orderdate) AS INT) AS year, '33' || lpad(CAST(o_custkey % 25 AS STRING), 4, '0') AS code6,
+        o_orderpriority AS outcome_id, count(*) AS n FROM orders GROUP BY ALL) a ON a.year = p.year AND a.code6 = substr(p.code7, 1, 6)),
+    t AS (SELECT year, outcome_id, n + CASE WHEN year % 2 = 1 AND outcome_id <> '5-LOW' THEN 3 ELSE 0 END AS n FROM (SELECT CAST(year(o_orderdate) AS INT) AS year, o_orderpriority AS outcome_id, count(*) AS n
+      FROM orders WHERE o_custkey % 5 IN (0, 1) AND o_orderpriority <> '2-HIGH' GROUP BY ALL)),
+    o AS (SELECT year, outcome_id, sum(n)::BIGINT AS n FROM m GROUP BY ALL),
+    off AS (SELECT year, string_agg(outcome_id || ':' || coalesce(o.n, 0) || ':' || t.n, '|' ORDER BY outcome_id) AS gaps FROM t LEFT JOIN o USING (year, outcome_id) WHERE year IN (SELECT year FROM m) AND coalesce(o.n, 0) <> t.n GROUP BY 1)
+    SELECT year, count(DISTINCT code7) AS municipalities, count(*) AS rows, count(*) FILTER (WHERE n < 5) AS suppressed_cells, coalesce(any_value(gaps), '') AS reconciliation,
+      CASE WHEN any_value(gaps) IS NULL THEN 'reconciled_with_annual_series' ELSE 'reconciliation_failed' END AS status, CASE WHEN any_value(gaps) IS NULL THEN count(*) ELSE 0 END AS usable_rows
+    FROM m LEFT JOIN off USING (year) GROUP BY year""")
+def _(spark, folder):
+    """Entries of yearly admission maps against an annual series revised in odd years, and the rows their status lets through."""
+    orders = table(spark, folder, "orders").withColumns({"year": F.year("o_orderdate"), "outcome_id": F.col("o_orderpriority")})
+    counts = orders.groupBy("year", F.expr("'33' || lpad(CAST(o_custkey % 25 AS STRING), 4, '0')").alias("municipality_code_datasus"), "outcome_id").agg(F.count(F.lit(1)).alias("count"))
+    rates = products.municipal_admission_rates(counts, state_municipal_population(spark, folder))
+    revised = F.when((F.col("year") % 2 == 1) & (F.col("outcome_id") != "5-LOW"), 3).otherwise(0)
+    annual = orders.where("o_custkey % 5 IN (0, 1) AND o_orderpriority <> '2-HIGH'").groupBy("year", "outcome_id").agg(F.count(F.lit(1)).alias("count"))
+    annual = annual.withColumns({"count": F.col("count") + revised, "geography": F.lit(STATE_TOTAL)})
+    manifest = products.admission_map_manifest(rates, annual)
+    usable = validated_rows(rates.withColumn("source", F.lit("SIH")), manifest, valid_status()).groupBy("year").agg(F.count(F.lit(1)).alias("usable_rows"))
+    listed = F.transform("reconciliation", lambda r: F.concat_ws(":", r["outcome_id"], r["municipal_total"], r["annual_total"]))
+    return manifest.join(usable, "year", "left").fillna(0, subset=["usable_rows"]).select(
+        "year", "municipalities", "rows", "suppressed_cells", F.coalesce(F.array_join(listed, "|"), F.lit("")).alias("reconciliation"), "status", "usable_rows",
+    )
+
+
 @query("st10_neurological_rates", f"""
     WITH {NEUROLOGICAL_SQL},
       ap AS (SELECT year, code7 AS geography, population FROM statepop UNION ALL SELECT year, geography, population FROM pop),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed_values import RECONCILED, VALIDATED_DEATHS
 from ..operators.series import keep_last
 
 
@@ -16,8 +17,8 @@ def validated_rows(rows: DataFrame, manifest: DataFrame, is_valid: Column) -> Da
 
 def valid_status() -> Column:
     """Death snapshots must be validated; admission snapshots must be reconciled."""
-    return F.when(F.col("source") == "SIM", F.col("status").startswith("validated_sim_")).otherwise(
-        F.col("status") == "reconciled_with_annual_series"
+    return F.when(F.col("source") == "SIM", F.col("status").startswith(VALIDATED_DEATHS)).otherwise(
+        F.col("status") == RECONCILED
     )
 
 
