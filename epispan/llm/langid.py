@@ -179,7 +179,10 @@ def calibrate(logits: np.ndarray, truth: np.ndarray) -> float:
 
 
 def _sample(docs: DataFrame) -> tuple[list, list[str]]:
-    """Sparse counts of a bounded, hash-chosen set of documents of each language."""
+    """Sparse counts of a bounded, hash-chosen set of documents of each language.
+
+    Of more than ``SAMPLE_DOCS`` languages the most frequent are learnt, which bounds the model too.
+    """
     spark = docs.sparkSession
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     rows_of = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(SAMPLE_DOCS).collect()}
@@ -204,7 +207,9 @@ def _sample(docs: DataFrame) -> tuple[list, list[str]]:
                 "counts": [c[a].astype("<u4").tobytes() if c is not None else b"" for a, c in zip(at, found, strict=True)],
             }
 
-    rows = map_arrow(chosen, run, "doc_id bigint, lang string, buckets binary, counts binary").limit(SAMPLE_DOCS).collect()
+    found = map_arrow(chosen, run, "doc_id bigint, lang string, buckets binary, counts binary")
+    # Repeated ids may make more rows than ids; those behind the bound are told by their order, not by chance.
+    rows = found.orderBy("doc_id", "lang", "buckets").limit(SAMPLE_DOCS).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["lang"], bytes(r["buckets"])))
     return [(np.frombuffer(r["buckets"], "<u2").astype(np.int64), np.frombuffer(r["counts"], "<u4"), languages.index(r["lang"])) for r in rows if r["buckets"]], languages
 
@@ -242,8 +247,8 @@ def predict_held_out(docs: DataFrame, folds: int = 4, fold: int = 2) -> DataFram
     return predict(docs, fit(docs.where(~held))).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
-    """Documents whose language is determined with at least ``least_score``, all columns kept.
+def keep_identified(docs: DataFrame, least_score: float = 0.0) -> DataFrame:
+    """Documents whose language is determined, with at least ``least_score`` if that is asked for; all columns kept.
 
     Where no row names a language there is nothing to learn, and only texts without a letter go.
     """

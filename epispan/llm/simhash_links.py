@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from epispan.session import materialize
@@ -57,13 +57,13 @@ def simhash(text: str | None, size: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and its fingerprint as a signed 64-bit integer."""
+    """doc_id, a hash of the text, and its fingerprint as a signed 64-bit integer."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             values = np.array([simhash(t.as_py()) for t in batch.column(1)], np.uint64)
-            yield {"doc_id": batch.column(0), "fp": pa.array(values.view(np.int64))}
+            yield {"doc_id": batch.column(0), "text_hash": batch.column(2), "fp": pa.array(values.view(np.int64))}
 
-    return map_arrow(docs.select("doc_id", "text"), run, "doc_id bigint, fp bigint")
+    return map_arrow(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), run, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 def _postings(nodes: DataFrame) -> DataFrame:
@@ -98,6 +98,15 @@ def fingerprint_links(nodes: DataFrame, list_limit: int = LIST_LIMIT) -> DataFra
     return paired.select("a", "b").unionAll(hung).distinct()
 
 
+def _placed(docs: DataFrame, list_limit: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of all rows, and the root of each distinct fingerprint with its smallest doc_id."""
+    prints = materialize(fingerprints(docs), "fingerprints")
+    nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
+    roots = connected_components(fingerprint_links(nodes, list_limit)).withColumnRenamed("node", "fp")
+    placed = nodes.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    return prints, materialize(placed, "fingerprint-roots")
+
+
 def near_duplicates(docs: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable over links).
 
@@ -106,11 +115,7 @@ def near_duplicates(docs: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
     never names a component, which is null only if no member has an id. Other columns of
     ``docs`` are ignored; an empty table gives an empty result.
     """
-    prints = materialize(fingerprints(docs), "fingerprints")
-    nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    roots = connected_components(fingerprint_links(nodes, list_limit)).withColumnRenamed("node", "fp")
-    placed = nodes.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    placed = materialize(placed, "fingerprint-roots")
+    prints, placed = _placed(docs, list_limit)
     named = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = placed.join(named, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select(
@@ -118,12 +123,19 @@ def near_duplicates(docs: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
     )
 
 
-def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """Documents that name their component, each once; all columns are kept.
+def keep_one_of_each(docs: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
+    """One document of each component: the smallest id, and of its texts in the component one; all columns are kept.
 
-    A row that repeats doc_id and text of another goes. Rows without an id cannot name a
-    component and stay.
+    The decision is about rows, not ids: an id that occurs with several texts may keep one of them
+    and lose another. Of rows that repeat both, the first in order of their columns stays. Rows
+    without an id name no component and stay. Texts are shuffled once, by id and hash.
     """
-    found = near_duplicates(docs)
-    kept = found.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates(["doc_id", "text"])
+    prints, placed = _placed(docs, list_limit)
+    known = prints.where("doc_id IS NOT NULL").join(placed.select("fp", "root"), "fp")
+    first = known.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    kept = first.select(F.col("first.doc_id").alias("_kept_id"), F.col("first.text_hash").alias("_kept_hash"))
+    hashed = docs.where(F.col("doc_id").isNotNull()).withColumn("_text_hash", F.xxhash64("text"))
+    chosen = hashed.join(kept, (F.col("doc_id") == F.col("_kept_id")) & (F.col("_text_hash") == F.col("_kept_hash")), "left_semi")
+    order = Window.partitionBy("doc_id", "_text_hash").orderBy(*[c for c in docs.columns if c != "doc_id"])
+    single = chosen.withColumn("_rank_in_text", F.row_number().over(order)).where("_rank_in_text = 1").select(*docs.columns)
+    return single.unionAll(docs.where(F.col("doc_id").isNull()))

@@ -80,3 +80,45 @@ def test_odd_rows(spark, docs):
     assert {r.lang_pred for r in g.predict_held_out(odd.where("lang is null")).collect()} == {"und"}
     kept = g.keep_identified(docs.unionAll(odd))
     assert kept.columns == docs.columns and kept.where("doc_id in (5000, 5001, 5002)").count() == 0 and kept.count() > 890
+
+
+def test_training_follows_the_regularised_leader_step_by_step():
+    """Every coordinate on its own, in plain numbers, in the order the fit takes the rows."""
+    pick = np.random.default_rng(3)
+    rows = [(np.sort(pick.choice(30, 5, replace=False)), pick.uniform(0.1, 1, 5), int(pick.integers(0, 3))) for _ in range(40)]
+    z, n = {}, {}
+
+    def weight(at):
+        held = z.get(at, 0.0)
+        if abs(held) <= g.L1:
+            return 0.0
+        return ((g.L1 if held > 0 else -g.L1) - held) / ((g.BETA + n.get(at, 0.0) ** 0.5) / g.ALPHA + g.L2)
+
+    order = np.random.default_rng(11)
+    for _ in range(g.EPOCHS):
+        for i in order.permutation(len(rows)):
+            buckets, values, truth = rows[i]
+            inputs = [*zip(buckets.tolist(), values.tolist(), strict=True), (g.BUCKETS, 1.0)]
+            w = {(b, k): weight((b, k)) for b, _ in inputs for k in range(3)}
+            out = [sum(w[b, k] * x for b, x in inputs) for k in range(3)]
+            odds = [np.exp(o - max(out)) for o in out]
+            for k in range(3):
+                error = odds[k] / sum(odds) - (k == truth)
+                for b, x in inputs:
+                    slope, before = error * x, n.get((b, k), 0.0)
+                    n[b, k] = before + slope * slope
+                    z[b, k] = z.get((b, k), 0.0) + slope - (n[b, k] ** 0.5 - before**0.5) / g.ALPHA * w[b, k]
+    model = g.train(rows, ["a", "b", "c"], np.ones(g.BUCKETS))
+    for b in range(30):
+        assert model.weights[b] == pytest.approx([weight((b, k)) for k in range(3)], abs=1e-9)
+    assert model.bias == pytest.approx([weight((g.BUCKETS, k)) for k in range(3)], abs=1e-9)
+    assert (model.weights[30:] == 0).all() and (model.weights[:30] == 0).any() and (model.weights[:30] != 0).any()
+
+
+def test_temperature_has_the_least_loss():
+    pick = np.random.default_rng(6)
+    logits = 4 * pick.normal(size=(300, 4))
+    truth = np.array([pick.choice(4, p=p) for p in g.softmax(logits / 2.5)])
+    loss = lambda t: -np.log(g.softmax(logits / t)[np.arange(300), truth]).mean()
+    best = g.calibrate(logits, truth)
+    assert loss(best) <= min(loss(t) for t in np.geomspace(0.05, 40, 400)) + 1e-9 and 1.5 < best < 4

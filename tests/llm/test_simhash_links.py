@@ -81,3 +81,14 @@ def test_documents(spark):
     kept = s.keep_one_of_each(docs).collect()
     assert sorted(r.doc_id or -1 for r in kept) == sorted([*set(roots.values()), -1, -1]) and kept[0].asDict().keys() == {"doc_id", "text", "fingerprint"}
     assert s.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_an_id_with_two_texts_keeps_and_loses_by_text(spark):
+    one, two = "alpha beta gamma delta epsilon zeta", "one two three four five six seven"
+    rows = [(3, one, "b"), (7, one, "a"), (7, two, "a"), (7, two, "b"), (9, two, "c"), (None, one, "n")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _place string").repartition(3)
+    kept = sorted((r.doc_id or -1, r.text, r["_place"]) for r in s.keep_one_of_each(docs).collect())
+    assert kept == [(-1, one, "n"), (3, one, "b"), (7, two, "a")]
+    # One id that names two groups keeps a text of each.
+    both = spark.createDataFrame([(1, one), (1, two), (2, one), (2, two)], "doc_id bigint, text string")
+    assert sorted(tuple(r) for r in s.keep_one_of_each(both).collect()) == [(1, one), (1, two)]
