@@ -455,15 +455,14 @@ def frequent_words(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS)
                 chunks.update(chunks_of(text))
             counts: Counter = Counter()
             for chunk, n in chunks.items():
-                if n > 1:
-                    for word in cut(chunk):
-                        if isinstance(word, str):
-                            counts[word] += n
-            kept = {w: n for w, n in counts.items() if n >= COUNTED_FROM and len(w.encode()) <= LEXICON_WORD_BYTES}
-            yield {"word": list(kept), "n": list(kept.values())}
+                for word in cut(chunk):
+                    if isinstance(word, str) and len(word) <= LEXICON_WORD_BYTES:
+                        counts[word] += n
+            yield {"word": list(counts), "n": list(counts.values())}
 
     counted = map_arrow(docs.select("doc_id", "text"), count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(words).collect()]
+    common = counted.where((F.col("n") >= COUNTED_FROM) & (F.octet_length("word") <= LEXICON_WORD_BYTES))
+    return [r["word"] for r in common.orderBy(F.desc("n"), "word").limit(words).collect()]
 
 
 def ship_lexicon(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS) -> str:
