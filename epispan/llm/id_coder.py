@@ -35,13 +35,14 @@ from .common import map_arrow, text_slices
 from .public_bpe import encoder
 
 MAGIC, VERSION = b"IDMX", 1
-BLOCK_IDS = 1024
+BLOCK_IDS = 2048
 SEGMENT_IDS = 4_000_000
 END_ID = 1
-CELLS = 16
+CELLS = 32
 ADAPT_EVERY = 16
-SLOTS = 512
-MAX_DISTINCT = 1 << 17
+SLOTS = 1024
+#: Distinct ids of a segment, up to which all sums of a step stay below 2**31.
+MAX_DISTINCT = 1 << 20
 _HEAD = struct.Struct("<4sBIQIIIIIII")
 _START = np.array([2_000, 16_000, 32_000, 48_000], np.int32)
 #: Mass of a predicted id in 64ths of the order-0 scale, by its learned probability in 1024ths; at most 3.5 scales.
@@ -325,12 +326,15 @@ def _segments(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, se
     parts: list[bytes] = []
     held, number = 0, 0
 
-    def close() -> dict:
-        ids = np.frombuffer(b"".join(parts), "<u4")
-        data = encode_segment(
-            ids, np.array([k or 0 for k in keys], np.int64), np.array([len(p) // 4 for p in parts], np.int64), np.array([k is not None for k in keys]),
-        )
-        return {"file_no": [file_no], "segment_no": [number], "n_ids": [len(ids)], "data": [data]}
+    def close() -> Iterator[dict]:
+        nonlocal number
+        for own_keys, own_parts in _within_table(keys, parts):
+            ids = np.frombuffer(b"".join(own_parts), "<u4")
+            data = encode_segment(
+                ids, np.array([k or 0 for k in own_keys], np.int64), np.array([len(p) // 4 for p in own_parts], np.int64), np.array([k is not None for k in own_keys]),
+            )
+            yield {"file_no": [file_no], "segment_no": [number], "n_ids": [len(ids)], "data": [data]}
+            number += 1
 
     for ids, texts in text_slices(batches):
         for key, raw in zip(ids, encoder(tokenizer).encode(texts), strict=True):
@@ -338,10 +342,21 @@ def _segments(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, se
             parts.append(raw + end)
             held += len(raw) // 4 + 1
             if held >= segment_ids:
-                yield close()
-                keys, parts, held, number = [], [], 0, number + 1
+                yield from close()
+                keys, parts, held = [], [], 0
     if keys:
-        yield close()
+        yield from close()
+
+
+def _within_table(keys: list, parts: list[bytes], limit: int | None = None) -> Iterator[tuple[list, list[bytes]]]:
+    """The documents in one run, or in halves of it until each has no more distinct ids than a segment takes."""
+    limit = limit or MAX_DISTINCT
+    if len(keys) > 1 and sum(map(len, parts)) // 4 > limit and len(_distinct(np.frombuffer(b"".join(parts), "<u4"))[0]) > limit:
+        middle = len(keys) // 2
+        yield from _within_table(keys[:middle], parts[:middle], limit)
+        yield from _within_table(keys[middle:], parts[middle:], limit)
+    else:
+        yield keys, parts
 
 
 def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID, segment_ids: int = SEGMENT_IDS) -> None:
@@ -352,7 +367,8 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID,
     so a lost executor costs a repeat of its ranges. A null id sorts first, a null text is
     empty (its end id alone), repeated rows are stored each; other columns are ignored.
     """
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # The text's hash is part of the range, so rows of one repeated or null id need not meet in one task.
+    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     map_arrow(
         ordered, lambda b: _segments(b, tokenizer, end_id, segment_ids), "file_no int, segment_no int, n_ids bigint, data binary",
     ).write.parquet(path)

@@ -60,3 +60,25 @@ def test_store_in_order(spark, tmp_path):
         assert digests[key].ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes()) and digests[key].start == start
         start += len(ids)
     assert c.store_and_digest(docs.limit(0), PATH).count() == 0
+
+
+def test_a_segment_closes_where_its_table_is_full(monkeypatch, spark, tmp_path):
+    monkeypatch.setattr(c, "MAX_DISTINCT", 6)
+    rng = np.random.default_rng(2)
+    parts = [rng.integers(0, 40, 3).astype("<u4").tobytes() for _ in range(30)] + [b""]
+    keys = list(range(31))
+    runs = list(c._within_table(keys, parts, 6))
+    assert [k for own, _ in runs for k in own] == keys and [p for _, own in runs for p in own] == parts
+    assert len(runs) > 1 and all(len(np.unique(np.frombuffer(b"".join(own), "<u4"))) <= 6 for _, own in runs)
+
+
+def test_many_rows_of_one_id_are_shared_out(spark, tmp_path):
+    docs = spark.range(400).selectExpr("7L AS doc_id", "concat('word ', id) AS text").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        c.write_ids(docs, PATH, str(tmp_path / "hot"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spark.read.parquet(str(tmp_path / "hot")).select("file_no").distinct().count() > 1
+    got = c.read_ids(spark, str(tmp_path / "hot")).orderBy("start").collect()
+    assert len(got) == 400 and got[0].start == 0 and all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
