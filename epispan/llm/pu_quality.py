@@ -27,8 +27,8 @@ from .common import bound_batches, map_arrow
 
 #: Bound on the good documents, and on the documents of any kind, a fit looks at, chosen by the hash of their ids.
 SAMPLE_DOCS = 40_000
-#: Good documents from which the prior is estimated; with fewer it is 0.5.
-LEAST_GOOD = 50
+#: Good documents that a prior of one half counts for beside the estimate.
+PRIOR_WEIGHT = 50
 HIDDEN = 24
 EPOCHS = 60
 BATCH = 1024
@@ -118,6 +118,20 @@ def sigmoid(g: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * g))
 
 
+def risk_slopes(gp: np.ndarray, gu: np.ndarray, prior: float | None) -> tuple[np.ndarray, np.ndarray]:
+    """Slopes of the risk with respect to the outputs for good and for unlabelled rows.
+
+    The risk is prior * E_good[loss(+)] + max(0, E_all[loss(-)] - prior * E_good[loss(-)]) with logistic
+    losses; where the second part, the risk of the unseen class, falls below zero, it alone is
+    pushed back up. Without a prior, good rows are told from unlabelled ones.
+    """
+    good_up, good_down, all_down = (sigmoid(gp) - 1) / len(gp), sigmoid(gp) / len(gp), sigmoid(gu) / len(gu)
+    if prior is None:
+        return 0.5 * good_up, 0.5 * all_down
+    negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
+    return (prior * good_up - prior * good_down, all_down) if negative >= 0 else (prior * good_down, -all_down)
+
+
 def fit_network(good: np.ndarray, all_: np.ndarray, prior: float | None) -> Network:
     """Minimise the non-negative risk at ``prior``; without one, tell good from unlabelled rows."""
     net = Network.start(np.concatenate([good, all_]))
@@ -130,15 +144,7 @@ def fit_network(good: np.ndarray, all_: np.ndarray, prior: float | None) -> Netw
         p = zp[rng.integers(0, len(zp), min(BATCH, len(zp)))]
         u = zu[rng.integers(0, len(zu), min(BATCH, len(zu)))]
         (hp, gp), (hu, gu) = net.forward(p), net.forward(u)
-        # Slopes of the logistic losses, averaged over their sets.
-        good_up, good_down = (sigmoid(gp) - 1) / len(p), sigmoid(gp) / len(p)
-        all_down = sigmoid(gu) / len(u)
-        if prior is None:
-            slope_p, slope_u = 0.5 * good_up, 0.5 * all_down
-        else:
-            negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-            # Where the risk of the unseen class falls below zero, it is pushed back up instead.
-            slope_p, slope_u = (prior * good_up - prior * good_down, all_down) if negative >= 0 else (prior * good_down, -all_down)
+        slope_p, slope_u = risk_slopes(gp, gu, prior)
         grads = [a + b for a, b in zip(net.gradients(p, hp, slope_p), net.gradients(u, hu, slope_u), strict=True)]
         rate = RATE * (0.1 + 0.9 * (1 - t / (EPOCHS * steps)))
         for w, g, m, v in zip(net.weights, grads, first, second, strict=True):
@@ -163,6 +169,12 @@ def estimate_prior(good: np.ndarray, all_: np.ndarray) -> float:
     return float(np.clip(ratio.min(), 0.05, 0.98))
 
 
+def shrunk_prior(good: np.ndarray, all_: np.ndarray) -> float:
+    """The estimated prior, drawn towards one half as if by ``PRIOR_WEIGHT`` further good documents."""
+    estimate = estimate_prior(good, all_) if len(good) > 1 else 0.5
+    return (len(good) * estimate + PRIOR_WEIGHT * 0.5) / (len(good) + PRIOR_WEIGHT)
+
+
 def in_fold(folds: int, fold: int) -> Column:
     """Whether crc32 of the id's decimal text leaves ``fold``; a null id is in no fold."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == fold, F.lit(False))
@@ -172,6 +184,11 @@ def _place() -> Column:
     return F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
 
 
+def _share(wanted: int, total: int) -> int:
+    """End of a range of the ids' hashes that holds a few more than wanted; the smallest hashes of it are taken."""
+    return int((1.05 * wanted + 6 * wanted**0.5 + 20) / total * 1_000_000) + 20
+
+
 def _sample(docs: DataFrame, sample_docs: int) -> np.ndarray:
     """Statistics of at most ``sample_docs`` documents, those with the smallest hashes, in a fixed order."""
     rows = document_features(docs).orderBy(_place(), "doc_id", "x").limit(sample_docs).select("x", F.xxhash64("doc_id", F.lit(1)).alias("h")).toPandas()
@@ -184,23 +201,25 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> N
 
     The good documents are found first and only then bounded at ``sample_docs``, so however large
     the rest grows they stay as many; the unlabelled set is a sample of at most as many from all
-    documents. Below ``LEAST_GOOD`` good documents the prior is not estimated but set to 0.5.
+    documents. The fewer the good documents, the more the prior is drawn towards one half.
     """
     known = docs.where(F.col("doc_id").isNotNull())
     labelled = known.select("doc_id").join(labels.where("quality = 1").select("doc_id").distinct(), "doc_id", "left_semi")
     # Ids alone are joined and ranked; the bounded list then goes to the texts.
-    ids = labelled.orderBy(_place(), "doc_id").limit(sample_docs).distinct()
+    ids = labelled.distinct()
+    marked = ids.count()
+    if marked > sample_docs:
+        ids = ids.where(_place() < _share(sample_docs, marked))
+    ids = ids.orderBy(_place(), "doc_id").limit(sample_docs)
     good = _sample(known.join(F.broadcast(ids), "doc_id", "left_semi"), sample_docs)
     if not len(good):
         return None
     total = known.count()
     chosen = known
     if total > sample_docs:
-        # A range of the ids' hashes that holds a few more than wanted; the smallest hashes of it are taken.
-        share = int((1.05 * sample_docs + 6 * sample_docs**0.5 + 20) / total * 1_000_000) + 20
-        chosen = known.where(_place() < share)
+        chosen = known.where(_place() < _share(sample_docs, total))
     x = _sample(chosen, sample_docs)
-    return fit_network(good, x, estimate_prior(good, x) if len(good) >= LEAST_GOOD else 0.5)
+    return fit_network(good, x, shrunk_prior(good, x))
 
 
 def score(docs: DataFrame, net: Network | None) -> DataFrame:
@@ -218,8 +237,7 @@ def score_held_out(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int
     """Learn from the rows outside one fold, score all rows: doc_id, held_out, score, predicted.
 
     Labels repeated for an id count as good if one of them is. Null ids are not learned from.
-    With no good document to learn from every score is 0.5; with fewer than ``LEAST_GOOD`` of them
-    the network is fitted at a prior of 0.5.
+    With no good document to learn from every score is 0.5.
     """
     net = fit(docs.where(~in_fold(folds, fold)), labels.where(~in_fold(folds, fold)))
     return score(docs, net).select("doc_id", in_fold(folds, fold).alias("held_out"), "score", "predicted")

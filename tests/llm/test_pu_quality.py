@@ -91,3 +91,36 @@ def test_good_documents_are_found_before_the_sample_is_bounded(frames, spark, mo
     assert q.fit(docs, labels.where(f"doc_id = {few[0]}"), sample_docs=5) is not None
     assert seen[-1] == (1, 5, 0.5)
     assert q.fit(docs, labels.where("quality = 0"), sample_docs=80) is None
+
+
+@pytest.mark.parametrize("shift", [3.0, -3.0])
+def test_risk_slopes_against_differences(shift):
+    """Slopes of the non-negative risk, on both sides of the point where its second part turns negative."""
+    rng = np.random.default_rng(4)
+    gp, gu, prior = rng.normal(size=7), rng.normal(size=11) + shift, 0.4
+    loss = lambda g: np.log1p(np.exp(-g))
+
+    def parts(p, u):
+        return prior * loss(p).mean(), loss(-u).mean() - prior * loss(-p).mean()
+
+    def objective(p, u):
+        positive, negative = parts(p, u)
+        return positive + negative if negative >= 0 else -negative
+
+    assert (parts(gp, gu)[1] >= 0) == (shift > 0)
+    slope_p, slope_u = q.risk_slopes(gp, gu, prior)
+    for slopes, at in ((slope_p, 0), (slope_u, 1)):
+        for i in range(len(slopes)):
+            step = [np.zeros(7), np.zeros(11)]
+            step[at][i] = 1e-6
+            rise = objective(gp + step[0], gu + step[1]) - objective(gp - step[0], gu - step[1])
+            assert slopes[i] == pytest.approx(rise / 2e-6, abs=1e-7)
+
+
+def test_prior_is_drawn_to_one_half_by_scarcity():
+    rng = np.random.default_rng(5)
+    junk, fine = rng.normal(4, 1, (4000, q.N_FEATURES)), rng.normal(0, 1, (1000, q.N_FEATURES))
+    everything = rng.permutation(np.concatenate([junk, fine]))
+    full = q.shrunk_prior(fine, everything)
+    assert full == pytest.approx((1000 * q.estimate_prior(fine, everything) + 25) / 1050) and abs(full - 0.2) < 0.06
+    assert 0.35 < q.shrunk_prior(fine[:10], everything) < 0.55 and q.shrunk_prior(fine[:1], everything) == 0.5
