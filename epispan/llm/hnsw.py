@@ -3,7 +3,9 @@
 Vectors are sharded by hash. Each shard builds its own graph and keeps it as flat arrays: the
 vectors, and per level the members and a fixed-width row of neighbour numbers for each. Queries
 go to all shards in blocks; a shard searches a whole block in step, and the best of every shard
-are merged by exact double-precision inner product.
+are merged by exact double-precision inner product. When a shard is built, its search is measured
+against brute force on a sample of its vectors and the beam widened until the recall is right; the
+beam is stored with the graph.
 
 Largest inner product is not a distance, so a coordinate is added that makes all stored
 vectors of a shard equally long (queries get a zero there); the order by distance among them is
@@ -31,6 +33,8 @@ SHARD_ROWS = 8192
 #: Neighbours per node, on the ground level twice as many.
 NEIGHBOURS = 16
 BUILD_BEAM, SEARCH_BEAM = 64, 224
+#: Least recall a shard's beam must reach on ``PROBES`` of its own vectors before the index is stored.
+LEAST_RECALL, PROBES = 0.97, 256
 #: Nodes inserted, and queries searched, in step.
 INSERT_BLOCK, SEARCH_BLOCK = 512, 512
 QUERY_BLOCK_ROWS = 4096
@@ -184,6 +188,22 @@ def build_graph(vectors: np.ndarray, seed: int = 5) -> Graph:
     return Graph(vectors, links, entry)
 
 
+def fitted_beam(graph: Graph, queries: np.ndarray, top: int, least: float = LEAST_RECALL, beam: int = SEARCH_BEAM) -> int:
+    """The beam, doubled from ``beam``, at which the graph finds ``least`` of the true ``top`` of ``queries``.
+
+    How wide it must be depends on the number, dimension and lengths of the vectors, so it is measured
+    against brute force. A beam as wide as the graph compares all nodes.
+    """
+    truth = _all_nodes(graph, queries, top)[0]
+    while beam < len(graph.vectors):
+        found = search_graph(graph, queries, top, beam)[0]
+        hit = np.mean([len(np.intersect1d(a, b)) for a, b in zip(found, truth, strict=True)]) / truth.shape[1]
+        if hit >= least:
+            break
+        beam *= 2
+    return beam
+
+
 def search_graph(graph: Graph, queries: np.ndarray, top: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """The ``top`` nodes found for each query, best first, -1 where the graph has fewer.
 
@@ -230,13 +250,17 @@ def _shard_graph(rows: pd.DataFrame) -> pd.DataFrame:
     squares = np.einsum("nd,nd->n", exact, exact)
     lift = np.sqrt(np.maximum(0, squares.max() - squares))
     graph = build_graph(np.concatenate([exact, lift[:, None]], axis=1).astype(np.float32))
+    probes = np.random.default_rng(9).permutation(len(exact))[:PROBES]
+    asked = np.concatenate([exact[probes], np.zeros((len(probes), 1))], axis=1).astype(np.float32)
+    beam = fitted_beam(graph, asked, TOP + 1)
     return pd.DataFrame([{
+        "beam": beam,
         "shard": rows["shard"].iloc[0], "nodes": rows["node"].to_numpy("<i8").tobytes(), "ids": rows["ids"].map(list).tolist(),
         "vectors": exact.astype("<f8").tobytes(), "links": graph.pack(), "entry": graph.entry, "size": exact.shape[1],
     }])
 
 
-_GRAPH = "shard int, nodes binary, ids array<array<bigint>>, vectors binary, links array<binary>, entry int, size int"
+_GRAPH = "shard int, nodes binary, ids array<array<bigint>>, vectors binary, links array<binary>, entry int, size int, beam int"
 
 
 def build_index(vectors: DataFrame, top: int = TOP, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -268,12 +292,12 @@ def _best_of_ids(exact: np.ndarray, ids: list[np.ndarray], nodes: np.ndarray, q:
     return best
 
 
-def search(index: DataFrame, queries: DataFrame, top: int = TOP, beam: int = SEARCH_BEAM) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, top: int = TOP, beam: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: the ``top`` nearest found to each query, its own row left out.
 
     Ties go to the smaller vec_id. An id counts once in a result, at its best score, however many
     rows it or the query has. Queries that are not usable vectors find nothing; a query only
-    meets vectors of its own length.
+    meets vectors of its own length. Each shard is searched with the beam fitted to it unless ``beam`` is given.
     """
     asked = usable(queries).select(F.col("vec_id").alias("query_id"), "v", F.size("v").alias("size"))
     asked = materialize(asked.select("query_id", "v", "size", F.pmod(F.xxhash64("query_id"), F.lit(1 << 20)).alias("h")), "queries")
@@ -300,7 +324,7 @@ def search(index: DataFrame, queries: DataFrame, top: int = TOP, beam: int = SEA
             for start in range(0, len(left), SEARCH_BLOCK):
                 q = asked_v[start:start + SEARCH_BLOCK]
                 # One more than asked for: the query's own row may be among them.
-                nodes, _ = search_graph(graph, np.concatenate([q, np.zeros((len(q), 1))], axis=1).astype(np.float32), top + 1, beam)
+                nodes, _ = search_graph(graph, np.concatenate([q, np.zeros((len(q), 1))], axis=1).astype(np.float32), top + 1, beam or int(row["beam"]))
                 for i, found in enumerate(nodes):
                     query = asked_ids[start + i]
                     best = _best_of_ids(exact, ids, found[found >= 0], q[i], query)

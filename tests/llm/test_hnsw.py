@@ -83,3 +83,28 @@ def test_an_id_with_many_vectors_hides_no_other(spark):
     found = got(h.search(h.build_index(spark.createDataFrame(rows, SCHEMA), top=5), spark.createDataFrame(rows[:1], SCHEMA), top=5, beam=16))[0]
     others = sorted((-float(np.dot(v, rows[0][1])), i) for i, v, _ in rows[1:300])
     assert [j for j, _ in found] == [999] + [i for _, i in others[:4]]
+
+
+def _probe(kind, n, size):
+    rng = np.random.default_rng(n + size)
+    if kind == "clustered":
+        return rng.normal(size=(60, size))[rng.integers(0, 60, n)] + 0.4 * rng.normal(size=(n, size))
+    x = rng.normal(size=(n, size))
+    return x * rng.lognormal(0, 0.5, (n, 1)) if kind == "lengths" else x
+
+
+@pytest.mark.parametrize("kind, n, size", [("clustered", 8192, 64), ("even", 8192, 64), ("lengths", 8192, 64), ("even", 8192, 256), ("even", 16384, 64)])
+def test_recall_of_hard_shards(kind, n, size):
+    """Vectors without clusters, of unequal lengths, of many dimensions, and more of them: the beam grows to suit."""
+    import pandas as pd
+
+    x = _probe(kind, n, size)
+    (row,) = h._shard_graph(pd.DataFrame({"shard": 0, "node": np.arange(n), "v": list(x), "ids": [[i] for i in range(n)]})).to_dict("records")
+    squares = np.einsum("nd,nd->n", x, x)
+    lifted = np.concatenate([x, np.sqrt(np.maximum(0, squares.max() - squares))[:, None]], axis=1).astype(np.float32)
+    graph = h.Graph(lifted, [np.frombuffer(b, "<i4").reshape(n, -1).astype(np.int64) for b in row["links"]], row["entry"])
+    asked = np.random.default_rng(1).permutation(n)[:200]
+    found, _ = h.search_graph(graph, np.concatenate([x[asked], np.zeros((200, 1))], axis=1).astype(np.float32), 21, row["beam"])
+    truth = np.argsort(-(x[asked] @ x.T), axis=1)[:, :21]
+    recall = np.mean([len(np.intersect1d(a, b)) / 21 for a, b in zip(found, truth, strict=True)])
+    assert recall >= 0.93, (recall, row["beam"])
