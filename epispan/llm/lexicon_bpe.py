@@ -34,6 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from epispan.session import materialize
+
 from .common import map_arrow, mix64, text_slices
 from .public_bpe import WHITE, chunks_of
 
@@ -43,6 +45,8 @@ LEXICON_WORDS = 65_536
 LEXICON_WORD_BYTES = 48
 #: A word is counted for the lexicon where a slice of text holds it so often, in chunks that it holds twice.
 COUNTED_FROM = 4
+#: Below this many occurrences words are told apart by their exact count.
+EXACT_COUNTS = 4096
 #: Chunks whose forms a worker keeps from one slice to the next.
 MEMO_CHUNKS = 150_000
 #: Words merged in step.
@@ -446,7 +450,12 @@ def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def frequent_words(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS) -> list[str]:
-    """The corpus's most frequent words, at most ``words`` of them (a bound on what reaches the driver)."""
+    """The corpus's most frequent words, at most ``words`` of them (a bound on what reaches the driver).
+
+    Words are counted over the whole corpus; how many words there are of each count tells where to
+    cut, so only the words chosen are sent. Of the words at the cut, those with the smallest hashes
+    are taken; counts from ``EXACT_COUNTS`` on are told apart to one per cent.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         cut = tokenizer_file(tokenizer).cut
         for _, texts in text_slices(batches):
@@ -461,8 +470,20 @@ def frequent_words(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS)
             yield {"word": list(counts), "n": list(counts.values())}
 
     counted = map_arrow(docs.select("doc_id", "text"), count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    common = counted.where((F.col("n") >= COUNTED_FROM) & (F.octet_length("word") <= LEXICON_WORD_BYTES))
-    return [r["word"] for r in common.orderBy(F.desc("n"), "word").limit(words).collect()]
+    common = materialize(counted.where((F.col("n") >= COUNTED_FROM) & (F.octet_length("word") <= LEXICON_WORD_BYTES)), "word-counts")
+    level = F.when(F.col("n") < EXACT_COUNTS, F.col("n")).otherwise(EXACT_COUNTS + F.floor(64 * F.log2(F.col("n") / EXACT_COUNTS))).cast("long")
+    above, cut, share = 0, 0, 1.0
+    for at, size in sorted(common.groupBy(level.alias("level")).agg(F.count("*").alias("size")).collect(), reverse=True):
+        if above + size > words:
+            wanted = words - above
+            cut, share = at, min(1.0, (1.05 * wanted + 6 * wanted**0.5 + 20) / size)
+            break
+        above += size
+    place = F.pmod(F.xxhash64("word"), F.lit(1 << 40))
+    # A little more than the share wanted, of which the smallest hashes are kept.
+    at_cut = common.where((level == cut) & (place < int(share * (1 << 40)))) if cut else common.limit(0)
+    chosen = common.where(level > cut).select("word").collect()
+    return [r["word"] for r in chosen + at_cut.orderBy(place, "word").limit(words - above).select("word").collect()]
 
 
 def ship_lexicon(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS) -> str:

@@ -69,3 +69,15 @@ def test_documents(spark):
         assert rows[i].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert rows[i].decoded_sha256 == hashlib.sha256(shown.encode()).hexdigest()
     assert b.encode_documents(docs.limit(0), PATH).count() == 0
+
+
+def test_lexicon_words_are_counted_over_all_partitions(spark):
+    """Words too rare in each slice are frequent in the corpus, and a cut among equals takes as many as asked for."""
+    rows = [(i, "common " + " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60)) + (" rare" if i < 2 else "")) for i in range(12)]
+    docs = spark.createDataFrame(rows * 1, "doc_id bigint, text string").repartition(12)
+    all_ = b.frequent_words(docs, PATH)
+    assert len(all_) == 61 and "common" in all_ and "rare" not in all_
+    few = b.frequent_words(docs.unionAll(docs.selectExpr("doc_id", "'common'")), PATH, 10)
+    assert len(few) == 10 and few[0] == "common" and set(few) <= set(all_)
+    assert few == b.frequent_words(docs.repartition(3).unionAll(docs.selectExpr("doc_id", "'common'")), PATH, 10)
+    assert b.frequent_words(docs.limit(0), PATH) == []
