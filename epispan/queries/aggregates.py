@@ -99,7 +99,7 @@ def _area_people(spark, folder):
         (SELECT coalesce(sum(a.n), 0) FROM by_area a JOIN bridge b USING (code) WHERE b.comparator_id = o.comparator_id AND a.year = o.year AND a.outcome_id = o.outcome_id AND (b.own OR a.code <> o.code)) AS rn
       FROM own o)
     SELECT year, outcome_id, code, comparator_id, n AS count, population, rn::BIGINT AS comparator_count, rp::BIGINT AS comparator_population, round(n / population * 100000.0, 6) AS rate,
-      round(rn / rp * 100000.0, 6) AS comparator_rate, CASE WHEN rn > 0 THEN round((n / population) / (rn / rp), 6) END AS ratio,
+      round(rn / rp * 100000.0, 6) AS comparator_rate, CASE WHEN rn > 0 THEN round((n / population * 100000.0) / (rn / rp * 100000.0), 6) END AS ratio,
       CASE WHEN n > 0 AND rn > 0 THEN round(exp(ln(n / population) - ln(rn / rp) - 1.959963984540054 * sqrt(1.0 / n + 1.0 / rn)), 6) END AS ratio_lower FROM rest""")
 def _(spark, folder):
     """Two areas, one of them in two listed sets, against four comparators in one plan."""
