@@ -359,11 +359,44 @@ def _finish_chunk(train_tokens: int):
     return run
 
 
-def _stored(messages: DataFrame, name: str) -> tuple[DataFrame, str]:
+def _stored(messages: DataFrame, path: str) -> DataFrame:
     """Write messages partitioned by kind (the model tables are the kind "model") and read them back."""
-    path = fresh_path(messages.sparkSession, name)
     messages.write.partitionBy("kind").parquet(path)
-    return messages.sparkSession.read.schema(_MESSAGE).parquet(path), path
+    return messages.sparkSession.read.schema(_MESSAGE).parquet(path)
+
+
+_SUMMARY = "level int, total bigint, kinds bigint, repeats array<bigint>, buckets int"
+_SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+
+
+def _chunks(docs: DataFrame) -> DataFrame:
+    marked = docs.select("doc_id", "text", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("train", "held_out")])
+    return materialize(chunk_documents(marked), "token-chunks")
+
+
+def _learn(chunks: DataFrame, folder: str) -> tuple[DataFrame, DataFrame, dict[int, tuple]]:
+    """Write the model of the chunks' training rows into ``folder``: counts, backoff weights and a summary.
+
+    Returns the messages of the chunks scored so far, those of the weights, and the counts of
+    counts of each order.
+    """
+    spark = chunks.sparkSession
+    buckets = max(12, -(-chunks.count() // CHUNKS_PER_BUCKET))
+    counted = _stored(ask_counts(chunks, buckets).groupBy("bucket").applyInPandas(_count_bucket, _MESSAGE), f"{folder}/counts")
+    totals = counted.where("kind = 'stats'").select(F.col("chunk").alias("level"), F.posexplode("stats")).groupBy("level", "pos").agg(F.sum("col").alias("n")).collect()
+    found = {(r["level"], r["pos"]): r["n"] for r in totals}
+    discounts = {k: (found.get((k, 0), 0), found.get((k, 1), 0), [found.get((k, 2 + r), 0) for r in range(DISCOUNTED_TO + 1)]) for k in (1, 2)}
+    answers = counted.where("kind = 'answer'").groupBy("chunk")
+    scored = _stored(chunks.groupBy("chunk").cogroup(answers).applyInPandas(_score_chunk(discounts, buckets), _MESSAGE), fresh_path(spark, "chunk-scores"))
+    weighed = _stored(scored.where("kind = 'ask'").groupBy("bucket").applyInPandas(_weigh_bucket, _MESSAGE), f"{folder}/weights")
+    # The summary is written last: a folder without one holds no finished model.
+    spark.createDataFrame([(k, *discounts[k], buckets) for k in (1, 2)], _SUMMARY).coalesce(1).write.parquet(f"{folder}/summary")
+    return scored, weighed, discounts
+
+
+def _finished(scored: DataFrame, weighed: DataFrame, train_tokens: int) -> DataFrame:
+    docs, answers = scored.where("kind = 'docs'").groupBy("chunk"), weighed.where("kind = 'answer'").groupBy("chunk")
+    return docs.cogroup(answers).applyInPandas(_finish_chunk(train_tokens), _SCORES)
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -373,22 +406,98 @@ def score_documents(docs: DataFrame) -> DataFrame:
     with an end mark, counted as a token. Columns: doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score (log10 of the text's probability). A null text is empty and
     has its end alone, repeated rows count and are scored each, null marks count as false. With
-    no training row everything is the unknown word, of probability one.
+    no training row everything is the unknown word, of probability one. A text is never cut, so
+    one above ``CHUNK_TOKENS`` makes a chunk of its own length.
     """
-    marked = docs.select("doc_id", "text", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("train", "held_out")])
-    chunks = materialize(chunk_documents(marked), "token-chunks")
-    buckets = max(12, -(-chunks.count() // CHUNKS_PER_BUCKET))
-    counted, _ = _stored(ask_counts(chunks, buckets).groupBy("bucket").applyInPandas(_count_bucket, _MESSAGE), "ngram-counts")
-    totals = counted.where("kind = 'stats'").select(F.col("chunk").alias("level"), F.posexplode("stats")).groupBy("level", "pos").agg(F.sum("col").alias("n")).collect()
-    found = {(r["level"], r["pos"]): r["n"] for r in totals}
-    discounts = {k: (found.get((k, 0), 0), found.get((k, 1), 0), [found.get((k, 2 + r), 0) for r in range(DISCOUNTED_TO + 1)]) for k in (1, 2)}
-    answers = counted.where("kind = 'answer'").groupBy("chunk")
-    scored, _ = _stored(chunks.groupBy("chunk").cogroup(answers).applyInPandas(_score_chunk(discounts, buckets), _MESSAGE), "chunk-scores")
-    weighed, _ = _stored(scored.where("kind = 'ask'").groupBy("bucket").applyInPandas(_weigh_bucket, _MESSAGE), "backoff-weights")
-    return scored.where("kind = 'docs'").groupBy("chunk").cogroup(weighed.where("kind = 'answer'").groupBy("chunk")).applyInPandas(
-        _finish_chunk(discounts[1][0]),
-        "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
+    scored, weighed, discounts = _learn(_chunks(docs), fresh_path(docs.sparkSession, "katz-model"))
+    return _finished(scored, weighed, discounts[1][0])
+
+
+# ---- stored models -----------------------------------------------------------------------------
+
+def train_model(docs: DataFrame, folder: str) -> str:
+    """Learn from every row of ``docs`` (text) and keep the model in ``folder``, which must not exist yet.
+
+    Null texts are empty ones, repeated rows count each. ``score_with_model`` reads the folder,
+    from any session that reaches it.
+    """
+    rows = docs.select(F.lit(None).cast("bigint").alias("doc_id"), "text", F.lit(True).alias("train"), F.lit(False).alias("held_out"))
+    _learn(_chunks(rows), folder)
+    return folder
+
+
+def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each wanted key stands in sorted keys, and whether it is there (elsewhere the place means nothing)."""
+    at = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
+    return at, keys[at] == wanted if len(keys) else np.zeros(len(wanted), bool)
+
+
+def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    at, there = _found(keys, wanted)
+    return np.where(there, values[at], 0) if len(keys) else np.zeros(len(wanted), values.dtype)
+
+
+def _tables(model: pd.DataFrame, empty: list[np.ndarray]) -> list[np.ndarray]:
+    return unpack(model["payload"].iloc[0]) if len(model) else empty
+
+
+def _answer_counts(_: tuple, asked: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+    """Counts of the words and pairs that chunks ask a stored bucket for; nobody owns a pair here."""
+    none = [np.zeros(0, np.uint64), np.zeros(0, np.int64)]
+    words, word_n, pairs, pair_n = _tables(model, none * 2)
+    words, pairs = undelta(words), undelta(pairs)
+    # The model's part of a bucket is in key order, as the counting left it.
+    out = []
+    for bucket, chunk, payload in zip(asked["bucket"], asked["chunk"], asked["payload"], strict=True):
+        word_steps, _, pair_steps, _ = unpack(payload)
+        found = _looked_up(words, word_n, undelta(word_steps)), _looked_up(pairs, pair_n, undelta(pair_steps))
+        out.append(_message("answer", int(bucket), int(chunk), pack(*(f.astype(np.int64) for f in found), np.zeros(len(pair_steps), np.int8))))
+    return pd.DataFrame(out, columns=["kind", "bucket", "chunk", "payload", "stats"])
+
+
+def _answer_weights(_: tuple, asked: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+    """Backoff weights and totals of the contexts that chunks wait for, from a stored bucket."""
+    steps, freed, p_sum = _tables(model, [np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)])
+    keys = undelta(steps)
+    out = []
+    for bucket, chunk, payload in zip(asked["bucket"], asked["chunk"], asked["payload"], strict=True):
+        wanted_steps, _, _, count, waits = unpack(payload)
+        wanted, count = undelta(wanted_steps)[waits == 1], count[waits == 1]
+        own, sums = _looked_up(keys, freed, wanted), _looked_up(keys, p_sum, wanted)
+        size = count + (own == 0)
+        alpha = np.where(own == 0, 1.0, own) / size / (1 - sums)
+        out.append(_message("answer", int(bucket), int(chunk), pack(np.log10(alpha), np.log10(np.maximum(size, 1)))))
+    return pd.DataFrame(out, columns=["kind", "bucket", "chunk", "payload", "stats"])
+
+
+def _answered(asked: DataFrame, model: DataFrame, shares: int, answer) -> DataFrame:
+    """Answers of a stored table; a bucket asked by many chunks is copied, and each copy serves a share of them."""
+    copies = model.where("kind = 'model'").withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+    dealt = asked.withColumn("share", (F.pmod(F.xxhash64("chunk"), F.lit(shares))).cast("int"))
+    return dealt.groupBy("bucket", "share").cogroup(copies.groupBy("bucket", "share")).applyInPandas(answer, _MESSAGE)
+
+
+def score_with_model(docs: DataFrame, folder: str) -> DataFrame:
+    """Score ``docs`` (doc_id, text) with the model that ``train_model`` left in ``folder``.
+
+    The columns, and what counts as a word, are those of ``score_documents``; held_out is true
+    throughout and train_tokens the model's. Only the buckets that hold a word or a pair of
+    ``docs`` are read into tasks, each as often as the texts to score outgrow those learnt from.
+    """
+    spark = docs.sparkSession
+    summary = spark.read.schema(_SUMMARY).parquet(f"{folder}/summary").collect()
+    discounts = {r["level"]: (r["total"], r["kinds"], list(r["repeats"])) for r in summary}
+    buckets = summary[0]["buckets"]
+    counts, weights = (spark.read.schema(_MESSAGE).parquet(f"{folder}/{name}") for name in ("counts", "weights"))
+    chunks = _chunks(docs.select("doc_id", "text", F.lit(False).alias("train"), F.lit(True).alias("held_out")))
+    shares = max(1, -(-chunks.count() // (CHUNKS_PER_BUCKET * buckets)))
+    answers = _stored(_answered(ask_counts(chunks, buckets), counts, shares, _answer_counts), fresh_path(spark, "model-counts"))
+    scored = _stored(
+        chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_score_chunk(discounts, buckets), _MESSAGE),
+        fresh_path(spark, "chunk-scores"),
     )
+    weighed = _stored(_answered(scored.where("kind = 'ask'"), weights, shares, _answer_weights), fresh_path(spark, "model-weights"))
+    return _finished(scored, weighed, discounts[1][0])
 
 
 def score_held_out(docs: DataFrame, folds: int = 10, fold: int = 0) -> DataFrame:

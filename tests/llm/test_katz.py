@@ -107,3 +107,31 @@ def test_packing_and_buckets(keys, buckets):
     cuts = k.bucket_cuts(keys, buckets)
     for b in range(buckets):
         assert all(int(x) * buckets >> 64 == b for x in keys[cuts[b]:cuts[b + 1]])
+
+
+@pytest.mark.parametrize("chunk, per_bucket", [(60, 1), (1 << 20, 3)])
+def test_a_stored_model_scores_other_texts(spark, monkeypatch, tmp_path, chunk, per_bucket):
+    monkeypatch.setattr(k, "CHUNK_TOKENS", chunk)
+    learnt, rows = corpus(60, 5), corpus(200, 6) + [(None, "hot pair w1 \x00 odd")]
+    known = spark.createDataFrame(learnt, "doc_id bigint, text string").repartition(2)
+    folder = k.train_model(known, f"{tmp_path}/model")
+    monkeypatch.setattr(k, "CHUNKS_PER_BUCKET", per_bucket)
+    brute, texts = Brute([t for _, t in learnt]), dict(rows)
+    others = spark.createDataFrame([(i, t, True) for i, t in rows], "doc_id bigint, text string, train boolean").repartition(3)
+    got = k.score_with_model(others, folder).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in rows)
+    size = brute.total + 0.1 * (len(brute.uni) + 1)
+    for r in got:
+        tokens = words(texts[r.doc_id])
+        assert (r.held_out, r.n_tokens, r.train_tokens) == (True, len(tokens), brute.total)
+        assert r.n_known == sum(brute.uni[w] > 0 for w in tokens)
+        assert math.isclose(r.base_score, sum(math.log10((brute.uni[w] + 0.1) / size) for w in tokens), rel_tol=1e-9)
+        assert math.isclose(r.score, brute.score(texts[r.doc_id]), rel_tol=1e-9, abs_tol=1e-9), r.doc_id
+    assert k.score_with_model(others.limit(0), folder).count() == 0
+
+
+def test_a_stored_model_of_nothing(spark, tmp_path):
+    folder = k.train_model(spark.createDataFrame([], "text string, bucket string"), f"{tmp_path}/model")
+    got = k.score_with_model(spark.createDataFrame([(1, "a b"), (1, "a b"), (2, None)], "doc_id bigint, text string"), folder).collect()
+    assert sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens) for r in got) == [(1, 3, 0, 0), (1, 3, 0, 0), (2, 1, 0, 0)]
+    assert all(r.score == 0 for r in got)
