@@ -253,6 +253,16 @@ def test_name_lookup_against_every_pair(spark):
     assert find_by_name(places.limit(0), "name", "code", ["a"]).count() == 0
 
 
+def test_name_lookup_keeps_names_off_the_driver(spark, tmp_path):
+    """A small file of names makes many posted rows, so its size says nothing about them."""
+    rows = [(i, f"place {i % 5}") for i in range(40)] + [(None, "place 3"), (7, "PLACE 2 ")]
+    spark.createDataFrame(rows, "code int, name string").write.parquet(f"{tmp_path}/places")
+    spark.createDataFrame([("place 2",), ("lace 3",), ("e",), ("none",)], "query string").write.parquet(f"{tmp_path}/queries")
+    found = find_by_name(spark.read.parquet(f"{tmp_path}/places"), "name", "code", spark.read.parquet(f"{tmp_path}/queries"))
+    assert {r["query"]: (r["code"], r["name"]) for r in found.collect()} == {"place 2": (2, "place 2"), "lace 3": (None, "place 3"), "e": (None, "place 3")}
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_search_reads_every_way_of_composition(spark):
     df = spark.createDataFrame([("1", "Sa\u0303o Jose\u0301"), ("2", "São José"), ("3", "SAO JOSE"), ("4", None)], "code string, name string")
     for term in ("são josé", "Sa\u0303o jose", " SAO "):
