@@ -163,11 +163,14 @@ def _staged(
 
     Stages hand over through files, as the published workflow does: facts are
     scanned once, and a lost executor costs a re-read, not a recomputation.
+    Partitions are gathered by a shuffle first: a writer sorts its rows by partition, and
+    would sort all that a task has scanned.
     """
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _STAGED:
         path, frame = fresh_path(spark, name), build()
-        frame.write.option("compression", "zstd").partitionBy(*partitions or []).parquet(path)
+        even = frame.hint("rebalance", *partitions) if partitions else frame
+        even.write.option("compression", "zstd").partitionBy(*partitions or []).parquet(path)
         _STAGED[key] = path, frame.schema
     path, schema = _STAGED[key]
     return spark.read.schema(schema).parquet(path)

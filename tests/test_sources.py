@@ -392,3 +392,20 @@ def test_shared_folder_of_a_plain_local_session():
         env = {**os.environ, "SPARK_CONF_DIR": empty, "PYTHONPATH": os.getcwd()}
         done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
     assert done.stdout.split() == ["3"], done.stderr[-2000:]
+
+
+def test_staged_years_are_gathered_before_they_are_written(spark, tmp_path):
+    """Tasks that scan all years would each sort their rows by year and write a file of every year."""
+    from datetime import date
+
+    from epispan.queries.standins import deaths, notifications
+
+    rows = [(i, i % 9, i % 7, i % 4, "ANR"[i % 3], date(1996 + i % 3, 5, 6)) for i in range(120)]
+    fields = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string, l_shipdate date"
+    spark.createDataFrame(rows, fields).repartition(4).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = [(i, i % 9, date(1996 + i % 3, 5, 6), "1-URGENT", "F") for i in range(120)]
+    fields = "o_orderkey long, o_custkey long, o_orderdate date, o_orderpriority string, o_orderstatus string"
+    spark.createDataFrame(orders, fields).repartition(4).write.parquet(f"{tmp_path}/orders.parquet")
+    for staged in (deaths(spark, str(tmp_path)), notifications(spark, str(tmp_path))):
+        assert sorted(r["source_year"] for r in staged.collect()) == sorted([1996, 1997, 1998] * 40)
+        assert len(staged.inputFiles()) == 3
