@@ -27,7 +27,8 @@ from ..sources.provenance import archive_layout, file_format_check, layout_audit
 from .registry import query
 from .standins import (
     MUNICIPALITIES, PROFILE, STANDARD_YEAR, TERRITORY, YEAR_SHIFT, admission_windows, death_rates, deaths, map_rates, monthly_admissions,
-    municipal_population, population, population_age_sex, profile_cells, raw_deaths, raw_notifications, state_age_sex, write_year_files,
+    municipal_population, population, population_age_sex, profile_cells, raw_deaths, raw_notifications, spread_folder, state_age_sex,
+    write_year_files,
 )
 
 def area_code():
@@ -212,7 +213,7 @@ def _(spark, folder):
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 suffix, content = _raw_file(key, text or "")
                 keys.append(key)
-                paths.append(f"{path}/{key}.{suffix}")
+                paths.append(f"{path}/{spread_folder(key)}/{key}.{suffix}")
                 digests.append(hashlib.sha256(content).hexdigest() if key % 7 != 4 else "0" * 64)
                 with create_file(paths[-1]) as handle:
                     handle.write(content)
@@ -220,7 +221,7 @@ def _(spark, folder):
 
     written = materialize(table(spark, folder, "documents").select("doc_id", "text").mapInArrow(write, "doc_id bigint, path string, declared string"), "sidecars")
     name = F.element_at(F.split("path", "/"), -1)
-    files = list_files(spark, path)
+    files = list_files(spark, f"{path}/*")
     sidecars = written.where("doc_id % 7 <> 3").select(name.alias("name"), "declared").join(files.select(name.alias("name"), "path"), "name").drop("name")
     verdict = raw_file_verdict(files, sidecars)
     number = F.regexp_extract("path", r"/(\d+)\.\w+\z", 1).cast("long").alias("doc_id")

@@ -28,7 +28,7 @@ from .aggregates import profile_sql
 from .registry import query
 from .standins import (
     RAW_DEATH, TERRITORY, YEAR_SHIFT, admission_windows, death_counts, death_rates, deaths, map_rates, monthly_admissions,
-    municipal_population, population_age_sex, raw_deaths, raw_notifications, write_year_files,
+    municipal_population, population_age_sex, raw_deaths, raw_notifications, spread_folder, write_year_files,
 )
 
 _DEATH_KEYS = ["year", "code", "sex_raw", "age_raw", "cause_raw", "death_date"]
@@ -356,18 +356,18 @@ def _(spark, folder):
 
 
 def _written_documents(spark, folder, name):
-    """Every document as a file of its own, written by the tasks that hold it; the path comes back without its folder."""
+    """Every document as a file of its own, written by the tasks that hold it; returns a glob of their folders."""
     path = fresh_path(spark, name)
 
     def write(batches):
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                with create_file(f"{path}/{key}.txt") as handle:
+                with create_file(f"{path}/{spread_folder(key)}/{key}.txt") as handle:
                     handle.write((text or "").encode())
             yield batch.select([0])
 
     table(spark, folder, "documents").select("doc_id", "text").mapInArrow(write, "doc_id bigint").agg(F.count("doc_id")).collect()
-    return path
+    return f"{path}/*"
 
 
 @query("s15_streamed_digests", """

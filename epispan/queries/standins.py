@@ -88,6 +88,14 @@ RAW_NOTIFICATION = {
 }
 
 
+#: Folders that many files are spread over: Spark lists more than 32 of them in parallel, one folder in one go.
+FOLDERS = 128
+
+
+def spread_folder(key: int | None) -> int:
+    return (key or 0) % FOLDERS
+
+
 def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
 

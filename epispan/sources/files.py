@@ -29,15 +29,20 @@ from pyspark.sql.types import StringType, StructField, StructType, _parse_dataty
 
 CHUNK_BYTES = 4 << 20
 BATCH_ROWS = 20_000
+TASKS_PER_CORE = 4
 #: Longest header line that is looked for.
 HEADER_BYTES = 1 << 20
 UNREADABLE = (ValueError, OSError, EOFError, zipfile.BadZipFile, zlib.error, NotImplementedError)
 
 
 def list_files(spark: SparkSession, path: str | list[str], recursive: bool = False) -> DataFrame:
-    """(path, bytes) of the files at a path, folder or glob; contents are not read."""
+    """(path, bytes) of the files at a path, folder or glob; contents are not read.
+
+    Spark counts each file as some megabytes at least and would start a task for some thirty files, however
+    small. Their partitions, even as they are, are joined to a few for each core.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-    return reader.load(path).selectExpr("path", "length AS bytes")
+    return reader.load(path).selectExpr("path", "length AS bytes").coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
 
 
 def _located(path: str) -> tuple[pafs.FileSystem, str]:

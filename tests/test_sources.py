@@ -18,7 +18,7 @@ from epispan.operators.rollup import component_sums
 from epispan.plans import harmonize
 from epispan.sources import provenance, sinks
 from epispan.sources.config import load_outcomes
-from epispan.sources.files import JsonStream, first_line, list_files
+from epispan.sources.files import JsonStream, file_digests, first_line, list_files
 from epispan.sources.microdata import (
     harmonize_deaths, harmonize_notifications, number_rows, scan_death_csv, scan_harmonized, scan_notification_parquet,
     scan_zipped_csv,
@@ -409,3 +409,23 @@ def test_staged_years_are_gathered_before_they_are_written(spark, tmp_path):
     for staged in (deaths(spark, str(tmp_path)), notifications(spark, str(tmp_path))):
         assert sorted(r["source_year"] for r in staged.collect()) == sorted([1996, 1997, 1998] * 40)
         assert len(staged.inputFiles()) == 3
+
+
+def test_small_files_are_read_by_few_tasks(spark, tmp_path):
+    """Spark alone would start a task for every 32 files."""
+    for i in range(660):
+        (tmp_path / f"{i % 3}").mkdir(exist_ok=True)
+        (tmp_path / f"{i % 3}" / f"{i}.txt").write_text(str(i))
+    listed = list_files(spark, f"{tmp_path}/*")
+    assert listed.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    found = {int(r["path"].rpartition("/")[2][:-4]): r["bytes"] for r in file_digests(listed).collect()}
+    assert found == {i: len(str(i)) for i in range(660)}
+
+
+def test_documents_written_as_files_are_spread_over_folders(spark, tmp_path):
+    from epispan.queries.sources import _written_documents
+
+    spark.createDataFrame([(i, f"text {i}") for i in range(300)] + [(None, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    listed = list_files(spark, _written_documents(spark, str(tmp_path), "spread-files"))
+    folders = [r["path"].split("/")[-2] for r in listed.collect()]
+    assert len(folders) == 301 and max(folders.count(f) for f in set(folders)) <= 4
