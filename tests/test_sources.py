@@ -425,7 +425,7 @@ def test_small_files_are_read_by_few_tasks(spark, tmp_path):
 def test_documents_written_as_files_are_spread_over_folders(spark, tmp_path):
     from epispan.queries.sources import _written_documents
 
-    spark.createDataFrame([(i, f"text {i}") for i in range(300)] + [(None, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, f"text {i}") for i in range(300)] + [(None, "no key")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     listed = list_files(spark, _written_documents(spark, str(tmp_path), "spread-files"))
     folders = [r["path"].split("/")[-2] for r in listed.collect()]
     assert len(folders) == 301 and max(folders.count(f) for f in set(folders)) <= 4
