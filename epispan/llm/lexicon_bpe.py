@@ -43,7 +43,7 @@ from .public_bpe import WHITE, chunks_of
 LEXICON_WORDS = 65_536
 #: Longer words are left to merging.
 LEXICON_WORD_BYTES = 48
-#: A word is counted for the lexicon where a slice of text holds it so often, in chunks that it holds twice.
+#: Words the corpus holds less often are no candidates for the lexicon.
 COUNTED_FROM = 4
 #: Below this many occurrences words are told apart by their exact count.
 EXACT_COUNTS = 4096
@@ -57,6 +57,8 @@ TOGETHER_BYTES = 64
 POINTS = frozenset(".,;:?!()\"-#$%&*")
 #: Texts whose distinct words are encoded together; their forms are what a worker needs most memory for.
 TOGETHER_CHARS = 5_000_000
+#: Texts whose distinct words are counted together before Spark adds the counts up; a bound on a worker's memory only.
+COUNTED_CHARS = 1_500_000
 #: Up to here Unicode has long been settled; beyond, a character may be newer than Python's tables.
 STABLE_TO = "\u052f"
 _NONE = np.int64(1) << 40
@@ -449,7 +451,7 @@ def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)
 
 
-def frequent_words(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS) -> list[str]:
+def frequent_words(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS, slice_chars: int = COUNTED_CHARS) -> list[str]:
     """The corpus's most frequent words, at most ``words`` of them (a bound on what reaches the driver).
 
     Words are counted over the whole corpus; how many words there are of each count tells where to
@@ -458,7 +460,7 @@ def frequent_words(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS)
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         cut = tokenizer_file(tokenizer).cut
-        for _, texts in text_slices(batches):
+        for _, texts in text_slices(batches, slice_chars):
             chunks: Counter = Counter()
             for text in texts:
                 chunks.update(chunks_of(text))

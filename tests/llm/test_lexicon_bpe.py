@@ -81,3 +81,11 @@ def test_lexicon_words_are_counted_over_all_partitions(spark):
     assert len(few) == 10 and few[0] == "common" and set(few) <= set(all_)
     assert few == b.frequent_words(docs.repartition(3).unionAll(docs.selectExpr("doc_id", "'common'")), PATH, 10)
     assert b.frequent_words(docs.limit(0), PATH) == []
+
+
+def test_words_are_counted_in_slices_of_any_size(spark):
+    """How much text a worker counts at once bounds its memory and changes no word."""
+    docs = spark.createDataFrame([(i, f"one two{chr(97 + i % 5)} three " * (i + 1)) for i in range(30)], "doc_id bigint, text string").repartition(2)
+    whole = b.frequent_words(docs, PATH, 4)
+    assert len(whole) == 4 and b.frequent_words(docs, PATH, 4, slice_chars=10) == whole
+    assert b.COUNTED_CHARS < b.TOGETHER_CHARS
