@@ -36,7 +36,8 @@ from .public_bpe import encoder
 
 MAGIC, VERSION = b"IDMX", 1
 BLOCK_IDS = 2048
-SEGMENT_IDS = 4_000_000
+#: So many that a task's blocks mostly advance in one run of long vectors.
+SEGMENT_IDS = 8_000_000
 END_ID = 1
 CELLS = 32
 ADAPT_EVERY = 16
@@ -77,169 +78,218 @@ class Mixer:
     """The models of all blocks of a segment at one position; encoder and decoder call it alike.
 
     What orders 1 and 2 keep lies side by side in one array, so a step handles both at once.
+    What belongs to a slot, a confidence or a cell lies side by side for all blocks: sums over cells
+    run along whole vectors, and blocks that meet the same frequent contexts share cache lines.
     """
 
     def __init__(self, prior: Prior, lanes: int):
         self.p, self.lanes = prior, lanes
-        lane = np.arange(lanes)
-        self.row = np.concatenate([lane, lane + lanes]) * SLOTS
-        self.cell_row = lane * CELLS
-        self.weight_row = np.arange(2 * lanes) * 4
+        self.lane = np.arange(lanes)
+        self.row = np.arange(2 * lanes)
+        self.cell_at = prior.cell * lanes
+        self.factor = (64.0 * prior.total / np.maximum(prior.width, 1))[:, None]
         self.at = np.empty(2 * lanes, np.int64)
         #: Per slot the id seen last, times four, plus the confidence in it.
         self.table = np.zeros(2 * lanes * SLOTS, np.int32)
-        self.weights = np.tile(_START, 2 * lanes)
-        self.seen = np.tile(np.maximum(1, prior.width * 64 // prior.total), lanes).astype(np.int64)
+        self.weights = np.repeat(_START, 2 * lanes)
+        self.seen = np.repeat(np.maximum(1.0, prior.width * 64 // prior.total), lanes).reshape(CELLS, lanes)
+        self.new: list[np.ndarray] = []
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
         self.step = 0
 
+    def adapt(self) -> None:
+        """Weigh the cells by the ids seen since the block's start."""
+        n, p, seen = self.lanes, self.p, self.seen
+        if self.new:
+            counts = np.bincount(np.concatenate(self.new), minlength=CELLS * n).reshape(CELLS, n)
+            counts *= 4
+            seen += counts
+            self.new = []
+        share = seen / seen.sum(axis=0)
+        share *= self.factor
+        times = share.astype(np.int32)
+        times += 1
+        mass = times * p.width.astype(np.int32)[:, None]
+        self.starts2 = np.zeros((CELLS, n), np.int32)
+        for i in range(1, CELLS):
+            np.add(self.starts2[i - 1], mass[i - 1], out=self.starts2[i])
+        self.scale = self.starts2[-1] + mass[-1]
+        self.starts, self.times = self.starts2.ravel(), times.ravel()
+        self.sixty_fourth = np.tile(self.scale >> 6, 2)
+
     def predict(self) -> None:
         n = self.lanes
         if self.step % ADAPT_EVERY == 0:
-            p = self.p
-            seen = self.seen.reshape(n, CELLS)
-            share = seen / seen.sum(axis=1, keepdims=True)
-            times = (1 + np.floor(share * (64.0 * p.total / np.maximum(p.width, 1)))).astype(np.int32)
-            mass = times * p.width
-            ends = np.cumsum(mass, axis=1)
-            self.starts2 = np.ascontiguousarray((ends - mass).astype(np.int32).T)
-            self.starts, self.times = (ends - mass).astype(np.int32).ravel(), times.ravel()
-            self.scale = ends[:, -1].astype(np.int32)
-            self.sixty_fourth = np.tile(self.scale >> 6, 2)
+            self.adapt()
         self.step += 1
         hashed = self.last * 40503
         at = self.at
-        np.bitwise_and(hashed >> 4, SLOTS - 1, out=at[:n])
+        np.right_shift(hashed, 4, out=at[:n])
         hashed += self.before * 60493
-        np.bitwise_and(hashed >> 5, SLOTS - 1, out=at[n:])
+        np.right_shift(hashed, 5, out=at[n:])
+        at &= SLOTS - 1
+        at *= 2 * n
         at += self.row
-        self.entry = self.table.take(at)
+        self.entry = self.table.take(at, mode="clip")
         self.held = self.entry & 3
         self.guess = (self.entry >> 2).reshape(2, n)
-        self.weight_at = self.weight_row + self.held
-        self.weight = self.weights.take(self.weight_at)
-        self.mass = (self.sixty_fourth * _ODDS.take(self.weight >> 6)).reshape(2, n)
+        self.weight_at = self.held * np.int64(2 * n)
+        self.weight_at += self.row
+        self.weight = self.weights.take(self.weight_at, mode="clip")
+        self.mass = (self.sixty_fourth * _ODDS.take(self.weight >> 6, mode="clip")).reshape(2, n)
         self.sum = (self.scale + self.mass[0] + self.mass[1]).astype(np.float64)
 
-    def base(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Order-0 start and size of symbols."""
-        where = self.cell_row + self.p.cell.take(s)
-        times = self.times.take(where)
-        return self.starts.take(where) + self.p.within.take(s) * times, self.p.slots.take(s) * times
-
-    def base_start(self, s: np.ndarray) -> np.ndarray:
-        where = self.cell_row + self.p.cell.take(s)
-        return self.starts.take(where) + self.p.within.take(s) * self.times.take(where)
-
-    def interval(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        start, size = self.base(s)
+    def base(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the cells of symbols lie, and the symbols' order-0 start and size; valid until the next adaptation."""
+        where = self.cell_at.take(s, mode="clip")
+        where += self.lane
+        times = self.times.take(where, mode="clip")
+        start = self.p.within.take(s, mode="clip")
+        start *= times
+        start += self.starts.take(where, mode="clip")
+        times *= self.p.slots.take(s, mode="clip")
+        return where, start, times
+
+    def interval(self, s: np.ndarray, base: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        self.where, start, size = base
         narrow = s.astype(np.int32)
-        self.hit = self.guess == narrow
-        before, same = self.mass * (self.guess < narrow), self.mass * self.hit
-        start += before[0]
-        start += before[1]
-        size += same[0]
-        size += same[1]
-        return start.astype(np.float64), size.astype(np.float64)
+        self.hit = (self.guess == narrow).astype(np.int32)
+        before, same = (self.guess < narrow).astype(np.int32), self.mass * self.hit
+        before *= self.mass
+        before[0] += before[1]
+        same[0] += same[1]
+        return np.add(start, before[0], dtype=np.float64), np.add(size, same[0], dtype=np.float64)
 
     def find(self, t: np.ndarray, table: np.ndarray) -> np.ndarray:
         """The symbols whose intervals hold t."""
         (g0, g1), (m0, m1) = self.guess, self.mass
-        swap = g0 > g1
-        x, y = np.minimum(g0, g1), np.maximum(g0, g1)
-        mx, my = np.where(swap, m1, m0), np.where(swap, m0, m1)
-        cx, cy = self.base_start(x), self.base_start(y)
-        # Masses lie in front of their symbols: t counts from the first, then from the second.
-        past_x = t - cx
-        hit_x = (past_x >= 0) & (past_x < mx)
-        rest = np.where(past_x >= mx, t - mx, t)
-        past_y = rest - cy
-        hit_y = (past_y >= 0) & (past_y < my) & ~hit_x
-        rest = np.where((past_y >= my) & ~hit_x, rest - my, rest)
-        hit = hit_x | hit_y
-        rest[hit] = 0
-        cell = np.add.reduce(self.starts2 <= rest, axis=0, dtype=np.int8).astype(np.int64)
-        cell -= 1
-        where = self.cell_row + cell
+        guess = self.guess.astype(np.int64)
+        where = self.cell_at.take(guess, mode="clip")
+        where += self.lane
+        front = self.p.within.take(guess, mode="clip")
+        front *= self.times.take(where, mode="clip")
+        front += self.starts.take(where, mode="clip")
+        # Masses lie in front of their symbols, behind those of smaller guesses; equal guesses' one behind the other.
+        second = g1 < g0
+        front[0] += m1 * second.astype(np.int32)
+        front[1] += m0 * (~second).astype(np.int32)
+        past = t - front
+        beyond = (past >= self.mass).astype(np.int32)
+        hit = (past >= 0) & (past < self.mass)
+        beyond *= self.mass
+        rest = t - beyond[0]
+        rest -= beyond[1]
+        cell = np.add.reduce((self.starts2[1:] <= rest).view(np.int8), axis=0, dtype=np.int8).astype(np.int64)
+        where = cell * self.lanes
+        where += self.lane
         # Both operands are far below 2**53, so the floored double quotient is the integer one.
-        slot = ((rest - self.starts.take(where)) / self.times.take(where)).astype(np.int64)
-        s = table.take(self.p.cell_first.take(cell) + slot)
-        return np.where(hit, np.where(hit_x, x, y), s)
+        slot = ((rest - self.starts.take(where, mode="clip")) / self.times.take(where, mode="clip")).astype(np.int64)
+        slot += self.p.cell_first.take(cell, mode="clip")
+        # Where a guess hits, what is left of t is no place in the table.
+        s = table.take(slot, mode="clip")
+        return np.where(hit[0], g0, np.where(hit[1], g1, s)).astype(np.int64)
 
     def learn(self, s: np.ndarray) -> None:
         """Take in the symbols whose intervals were asked for last."""
+        n = self.lanes
         hit = self.hit.ravel()
-        self.weights[self.weight_at] = self.weight + ((np.multiply(hit, 65_000, dtype=np.int32) - self.weight) >> 4)
-        new = np.tile((s << 2).astype(np.int32), 2)
-        np.copyto(new, self.entry - 1, where=self.held > 0)
-        np.copyto(new, self.entry + (self.held < 3), where=hit)
-        self.table[self.at] = new
-        where = self.cell_row + self.p.cell.take(s)
-        self.seen[where] = self.seen.take(where) + 4
+        aim = hit * 65_000
+        aim -= self.weight
+        aim >>= 4
+        aim += self.weight
+        self.weights[self.weight_at] = aim
+        # A hit adds confidence, a miss takes some; the id itself is replaced where there is none left.
+        state = self.held + (hit << 2)
+        new = _CHANGE.take(state, mode="clip")
+        new += self.entry
+        fresh = np.empty(2 * n, np.int32)
+        np.left_shift(s, 2, out=fresh[:n], casting="unsafe")
+        fresh[n:] = fresh[:n]
+        self.table[self.at] = np.where(state > 0, new, fresh)
+        self.new.append(self.where)
         self.before, self.last = self.last, s
 
 
+#: Change of a slot by its confidence, plus four at a hit.
+_CHANGE = np.array([0, -1, -1, -1, 1, 1, 1, 0], np.int32)
 _LOW, _WORD, _HIGH = 2.0**32, 2.0**16, 2.0**48
 
 
 def _encode_blocks(lanes: np.ndarray, prior: Prior) -> tuple[np.ndarray, np.ndarray]:
-    """Words [position, block] and the number of words of each block; ``lanes`` is [position, block]."""
+    """Words [block, position] and the number of words of each block; ``lanes`` is [position, block]."""
     length, n = lanes.shape
     mixer = Mixer(prior, n)
-    words = np.zeros((length * 2 + 8, n), np.uint32)
+    words = np.zeros((n, length * 2 + 8), np.uint32)
     flat = words.ravel()
     at = np.zeros(n, np.int64)
     low, span = np.zeros(n), np.full(n, _HIGH)
+    rows = np.arange(n) * words.shape[1]
     for t in range(length):
-        s = lanes[t]
+        s = lanes[t].astype(np.int64)
         mixer.predict()
-        start, size = mixer.interval(s)
-        r = np.floor(span / mixer.sum)
-        low += r * start
+        start, size = mixer.interval(s, mixer.base(s))
+        r = span
+        r /= mixer.sum
+        np.floor(r, out=r)
+        start *= r
+        low += start
         span = r * size
-        while (idx := np.flatnonzero(span < _LOW)).size:
-            part = low[idx]
+        idx = np.flatnonzero(span < _LOW)
+        while idx.size:
+            part, own, narrow = low.take(idx, mode="clip"), at.take(idx, mode="clip"), span.take(idx, mode="clip")
             top = np.floor(part / _LOW)
-            flat[at[idx] * n + idx] = top
-            low[idx] = (part - top * _LOW) * _WORD
-            span[idx] *= _WORD
-            at[idx] += 1
+            flat[rows.take(idx, mode="clip") + own] = top
+            top *= _LOW
+            part -= top
+            part *= _WORD
+            narrow *= _WORD
+            own += 1
+            low[idx], span[idx], at[idx] = part, narrow, own
+            idx = idx[narrow < _LOW]
         mixer.learn(s)
     for _ in range(3):
         top = np.floor(low / _LOW)
-        flat[at * n + np.arange(n)] = top
+        flat[rows + at] = top
         low = (low - top * _LOW) * _WORD
         at += 1
-    used = int(at.max())
-    for i in range(used - 1, 0, -1):
-        words[i - 1] += words[i] >> 16
-        words[i] &= 0xFFFF
-    return words[:used].astype("<u2"), at
+    words = words[:, :int(at.max())].copy()
+    # A pass moves every carry one word on; few go further.
+    while (carry := words[:, 1:] >> 16).any():
+        words[:, 1:] &= 0xFFFF
+        words[:, :-1] += carry
+    return words.astype("<u2"), at
 
 
 def _decode_blocks(words: np.ndarray, length: int, prior: Prior) -> np.ndarray:
-    """Symbols [position, block] from words [position, block], zero-padded at the end."""
-    n = words.shape[1]
+    """Symbols [position, block] from words [block, position], zero-padded at the end."""
+    n = len(words)
     mixer = Mixer(prior, n)
-    table = np.repeat(np.arange(len(prior.symbols)), prior.slots)
-    flat = np.concatenate([words, np.zeros((4, n), words.dtype)]).ravel()
-    last = len(flat) // n - 1
-    code = flat[:n] * _LOW + flat[n:2 * n] * _WORD + flat[2 * n:3 * n]
+    table = np.repeat(np.arange(len(prior.symbols), dtype=np.int32), prior.slots)
+    words = np.concatenate([words, np.zeros((n, 4), words.dtype)], axis=1)
+    flat, last = words.ravel(), words.shape[1] - 1
+    rows = np.arange(n) * words.shape[1]
+    code = words[:, 0] * _LOW + words[:, 1] * _WORD + words[:, 2]
     at = np.full(n, 3, np.int64)
     span = np.full(n, _HIGH)
-    out = np.empty((length, n), np.int64)
+    out = np.empty((length, n), np.int32)
     for t in range(length):
         mixer.predict()
         r = np.floor(span / mixer.sum)
         s = mixer.find(np.minimum(code / r, mixer.sum - 1).astype(np.int32), table)
-        start, size = mixer.interval(s)
-        code -= r * start
+        start, size = mixer.interval(s, mixer.base(s))
+        start *= r
+        code -= start
         span = r * size
-        while (idx := np.flatnonzero(span < _LOW)).size:
-            code[idx] = code[idx] * _WORD + flat[np.minimum(at[idx], last) * n + idx]
-            span[idx] *= _WORD
-            at[idx] += 1
+        idx = np.flatnonzero(span < _LOW)
+        while idx.size:
+            own, narrow, part = at.take(idx, mode="clip"), span.take(idx, mode="clip"), code.take(idx, mode="clip")
+            part *= _WORD
+            part += flat.take(rows.take(idx, mode="clip") + np.minimum(own, last), mode="clip")
+            narrow *= _WORD
+            own += 1
+            code[idx], span[idx], at[idx] = part, narrow, own
+            idx = idx[narrow < _LOW]
         mixer.learn(s)
         out[t] = s
     return out
@@ -251,7 +301,7 @@ def _distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return np.unique(ids, return_inverse=True, return_counts=True)
     counts = np.bincount(ids)
     symbols = np.flatnonzero(counts)
-    places = np.zeros(len(counts), np.int64)
+    places = np.zeros(len(counts), np.int32)
     places[symbols] = np.arange(len(symbols))
     return symbols, places.take(ids), counts[symbols]
 
@@ -271,11 +321,13 @@ def encode_segment(ids: np.ndarray, docs: np.ndarray, lengths: np.ndarray, known
         prior = Prior.of(symbols, counts)
         slots = _packed(prior.slots.astype("<u4"))
         size = block if blocks > 1 else len(ids)
-        lanes = np.zeros(blocks * size, np.int64)
+        lanes = np.zeros(blocks * size, np.int32)
         lanes[:len(ids)] = dense
-        words, used = _encode_blocks(np.ascontiguousarray(lanes.reshape(blocks, size).T), prior)
-        parts = [words[:n, i].tobytes() for i, n in enumerate(used.tolist())]
-        raw = ids.astype("<u4")
+        del dense
+        lanes = np.ascontiguousarray(lanes.reshape(blocks, size).T)
+        words, used = _encode_blocks(lanes, prior)
+        parts = [words[i, :n].tobytes() for i, n in enumerate(used.tolist())]
+        raw = ids.astype("<u4", copy=False)
         sums = [(zlib.crc32(p), zlib.crc32(raw[i * block:(i + 1) * block].tobytes())) for i, p in enumerate(parts)]
         table = _packed(np.column_stack([used, np.array(sums)]).astype("<u4"))
         payload = b"".join(parts)
@@ -301,16 +353,16 @@ def decode_segment(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     symbols = np.cumsum(read(0, a, "<u4").astype(np.int64))
     prior = Prior(symbols, read(a, b, "<u4").astype(np.int64))
     used, packed, plain = read(a + b, c, "<u4").reshape(blocks, 3).astype(np.int64).T
-    words = np.zeros((int(used.max()), blocks), np.uint16)
+    words = np.zeros((blocks, int(used.max())), np.uint16)
     at = _HEAD.size + len(body)
     for i, count in enumerate(used.tolist()):
         part = data[at:at + 2 * count]
         if zlib.crc32(part) != packed[i]:
             raise ValueError(f"block {i}: checksum mismatch")
-        words[:count, i] = np.frombuffer(part, "<u2")
+        words[i, :count] = np.frombuffer(part, "<u2")
         at += 2 * count
     dense = _decode_blocks(words, block if blocks > 1 else n, prior)
-    ids = symbols[dense.T.ravel()[:n]].astype("<u4")
+    ids = symbols.astype("<u4").take(dense.T.ravel()[:n])
     for i in range(blocks):
         if zlib.crc32(ids[i * block:(i + 1) * block].tobytes()) != plain[i]:
             raise ValueError(f"block {i}: decoded ids do not match their checksum")

@@ -1,12 +1,16 @@
+import re
+import unicodedata
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from tokenizers import Tokenizer
 
 from epispan.llm import id_coder as c
-from epispan.llm.public_bpe import ChunkEncoder, chunks_of
+from epispan.llm.public_bpe import LETTERS, WHITE, ChunkEncoder, chunks_of
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = [
@@ -25,6 +29,42 @@ def test_chunked_encoding_is_the_library_encoding():
     assert chunks_of("a\x1cb c") == ["a\x1cb", "c"]
 
 
+def test_letters_of_words_stand_alone():
+    letters = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000 and re.fullmatch(f"[{LETTERS}]", chr(i))]
+    lower = pc.utf8_lower(pa.array(letters)).to_pylist()
+    assert len(letters) > 30_000
+    for a, b in zip(letters, lower, strict=True):
+        assert a.isalpha() and b.isalpha() and a.lower() == b and unicodedata.normalize("NFC", a) == a and unicodedata.normalize("NFC", b) == b, a
+    white = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000 and re.fullmatch(f"[{WHITE}\x1c-\x1f]", chr(i))]
+    assert pc.list_value_length(pc.utf8_split_whitespace(pa.array([f"a{w}b" for w in white]))).to_pylist() == [2] * len(white)
+
+
+def test_few_calls_for_many_chunks():
+    """Words among marks and other chunks go many to a call; a chunk that holds the token between them does not mix them up."""
+    words = [f"{a}{b}{c}" for a in "kLé" for b in "oui" for c in ("n", "Σ", "st", "漢")]
+    chunks = [f"{h}{w}{t}" for w in words for h in ("", "(", '"#') for t in ("", ".", "&&&", ",***")] + [f"{i}-{w}'s" for i, w in enumerate(words)]
+    whole, encoder, handed = Tokenizer.from_file(PATH), ChunkEncoder(PATH), []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            handed.extend(texts)
+            return whole.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Counting()
+    texts = [" ".join(chunks), "...", " \n", "x\x1fy " + chunks[7]]
+    ids = lambda t: np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    assert encoder.encode(texts) == [ids(t) for t in texts] and len(handed) < 10
+    assert encoder.encode(texts) == [ids(t) for t in texts]
+    odd = ["a1 <|endoftext|> b2<|endoftext|>c3 <|startoftext|>d4 <|endof text|>"]
+    assert encoder.encode(odd) == [ids(odd[0])] and encoder.encode([]) == []
+
+
+def test_bytes_of_the_format_stay():
+    ids = (np.arange(9000, dtype="<u4") ** 2 % 251 * (np.arange(9000, dtype="<u4") % 3)).astype("<u4")
+    data = c.encode_segment(ids, np.array([1]), np.array([9000]), np.array([True]), 100)
+    assert (len(data), zlib.crc32(data)) == (9234, 2818028758)
+
+
 @pytest.mark.parametrize("n, top, block", [(0, 5, 16), (1, 5, 16), (16, 5, 16), (17, 2**32 - 1, 16), (5000, 49408, 128), (5000, 3, 64), (3000, 1, 2048), (40000, 300, 512)])
 def test_round_trip(n, top, block):
     rng = np.random.default_rng(n + top)
