@@ -1,6 +1,6 @@
-"""Files as rows: listed by Spark, opened by tasks as streams, so no file has to fit in memory.
+"""Files as rows: listed and opened by tasks as streams, so no file has to fit in memory.
 
-Spark lists the files (their contents are not read) and packs them into partitions by size. Paths
+Listing reads no contents, and each task gets its share of the files by size. Paths
 may have any scheme pyarrow knows; what is read of a file is bounded by a chunk, a line, a
 footer or one element of a JSON list.
 """
@@ -13,36 +13,144 @@ import gzip
 import hashlib
 import io
 import json
+import os
 import re
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator
+from functools import reduce
+from itertools import islice
 from typing import Any, BinaryIO
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
 
+from ..session import materialize
+
 CHUNK_BYTES = 4 << 20
 BATCH_ROWS = 20_000
 TASKS_PER_CORE = 4
 #: Longest header line that is looked for.
 HEADER_BYTES = 1 << 20
+_WILD = re.compile(r"[{}\[\]*?\\]")
 UNREADABLE = (ValueError, OSError, EOFError, zipfile.BadZipFile, zlib.error, NotImplementedError)
 
 
+#: What a level of the walk below given paths holds: files with their bytes, and folders (bytes null) still to be opened.
+#: ``steps`` are patterns for the names of the next levels, ``inner`` says whether a folder below the path lies on the way,
+#: and ``base`` is the folder above one on the way that is named like key=value.
+_LEVEL = "given int, path string, bytes bigint, steps array<string>, inner boolean, base string"
+
+
 def list_files(spark: SparkSession, path: str | list[str], recursive: bool = False) -> DataFrame:
-    """(path, bytes) of the files at a path, folder or glob; contents are not read.
+    """(path, bytes) of the files at a path, folder or glob, those that Spark's readers take; contents are not read.
 
-    Spark counts each file as some megabytes at least and would start a task for some thirty files, however
-    small. Their partitions, even as they are, are joined to a few for each core.
+    Tasks open the folders, level by level, and keep what they find in tables of the shared folder, so the driver
+    holds neither files nor folders. Hidden and empty files are left out. Without ``recursive`` the files right in
+    a folder count, or, where folders in it are named like key=value, the files in those; key=value folders
+    beside others with files raise. A few tasks for each core get the files, dealt by size.
+
+    A store that pyarrow does not know is listed by Spark's own reader, on the driver.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-    return reader.load(path).selectExpr("path", "length AS bytes").coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    starts = [(number, *start) for number, given in enumerate([path] if isinstance(path, str) else path) for start in _starts(spark, given)]
+    if not all(_reachable(at) for _, at, _ in starts):
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+        return reader.load(path).selectExpr("path", "length AS bytes").coalesce(tasks)
+    level = spark.createDataFrame([(number, at, size, steps, False, None) for number, at, steps in starts for size in _stat(at, steps)], _LEVEL)
+    levels, files, bases, keyed, met = [level], 0, set(), False, set()
+    own = F.when(F.col("bytes").isNotNull(), F.coalesce("base", F.regexp_replace("path", "/[^/]*$", "")))
+    while True:
+        facts = level.agg(
+            F.count_if(F.expr("bytes IS NULL")).alias("folders"), F.count_if(F.expr("bytes > 0")).alias("files"), F.min(own).alias("least"), F.max(own).alias("most"),
+            F.bool_or(F.expr("base IS NOT NULL AND bytes IS NOT NULL")).alias("keyed"), F.collect_set(F.when(F.size("steps") == 0, F.col("given"))).alias("met"),
+        ).first()
+        files, keyed = files + facts["files"], keyed or bool(facts["keyed"])
+        bases, met = bases | {facts["least"], facts["most"]} - {None}, met.union(facts["met"])
+        if not facts["folders"]:
+            break
+        level = materialize(level.where("bytes IS NULL").repartition(min(tasks, facts["folders"])).mapInArrow(_open_folders, _LEVEL), "_listed-files")
+        levels.append(level)
+    if lacking := {number for number, _, _ in starts} - met:
+        raise FileNotFoundError(f"nothing at {path if isinstance(path, str) else [path[n] for n in sorted(lacking)]}")
+    found = reduce(DataFrame.unionByName, levels).where("bytes > 0")
+    if not recursive:
+        if keyed and len(bases) > 1:
+            raise ValueError(f"key=value folders beside others at {path}: {', '.join(sorted(bases))}")
+        found = found.where("base IS NOT NULL" if keyed else "NOT inner")
+    dealt = max(1, min(tasks, files))
+    sized = found.select("path", "bytes").orderBy(F.desc("bytes"), "path").withColumn("_task", (F.monotonically_increasing_id() % dealt).cast("int"))
+    return sized.repartitionById(dealt, "_task").drop("_task")
+
+
+def _starts(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
+    """Where the walk for a path begins, as Hadoop names it, and patterns for the names of the levels below."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    given = hadoop.Path(path)
+    whole = given.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(given).toString()
+    if not _WILD.search(whole):
+        return [(whole, [])]
+    starts = []
+    for one in hadoop.GlobExpander.expand(whole):
+        parts = one.split("/")
+        fixed = next((i for i, part in enumerate(parts) if _WILD.search(part)), len(parts))
+        steps = [hadoop.GlobPattern(part).compiled().pattern() for part in parts[fixed:]]
+        starts.append(("/".join(parts[:fixed]) + "/" * bool(steps), steps))
+    return starts
+
+
+def _stat(path: str, steps: list[str]) -> list[int | None]:
+    """Bytes of what lies at a path: one number, null for a folder, nothing if there is none."""
+    system, name = _located(path)
+    info = system.get_file_info([name])[0]
+    if info.type == pafs.FileType.Directory:
+        return [None]
+    return [] if steps or info.type == pafs.FileType.NotFound else [0 if _hidden(info.base_name) else info.size]
+
+
+def _hidden(name: str) -> bool:
+    return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+
+
+def _entries(path: str) -> Iterator[tuple[str, int | None]]:
+    """Name and bytes (null: a folder) of what a folder holds; a local folder is streamed."""
+    system, name = _located(path)
+    if isinstance(system, pafs.LocalFileSystem):
+        with os.scandir(name) as found:
+            for entry in found:
+                yield entry.name, None if entry.is_dir() else entry.stat().st_size
+    else:
+        for info in system.get_file_info(pafs.FileSelector(name)):
+            yield info.base_name, None if info.type == pafs.FileType.Directory else info.size
+
+
+def _children(folder: dict[str, Any]) -> Iterator[dict[str, Any]]:
+    """The next level below a folder; a hidden file that a pattern names counts as an empty one."""
+    steps = folder["steps"]
+    for name, size in _entries(folder["path"]):
+        if steps:
+            if not re.fullmatch(steps[0], name, re.DOTALL) or (size is not None and steps[1:]):
+                continue
+            size = 0 if size and _hidden(name) else size
+        elif _hidden(name):
+            continue
+        below, base = size is None and not steps, folder["base"]
+        if below and "=" in name and not (base and "=" in folder["path"].rpartition("/")[2]):
+            base = folder["path"].rstrip("/")
+        yield folder | {"path": f"{folder['path'].rstrip('/')}/{name}", "bytes": size, "steps": steps[1:], "inner": folder["inner"] or below, "base": base}
+
+
+def _open_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        children = (child for folder in batch.to_pylist() for child in _children(folder))
+        while held := list(islice(children, BATCH_ROWS)):
+            yield pa.RecordBatch.from_pylist(held, schema=batch.schema)
 
 
 def _located(path: str) -> tuple[pafs.FileSystem, str]:
@@ -50,6 +158,13 @@ def _located(path: str) -> tuple[pafs.FileSystem, str]:
     return (pafs.LocalFileSystem(), local[1]) if local else pafs.FileSystem.from_uri(path)
 
 
+def _reachable(path: str) -> bool:
+    try:
+        return bool(_located(path))
+    except UNREADABLE:
+        return False
+
+
 class _Opened(io.RawIOBase):
     """A file of any file system that behaves as Python's own do, also when asked for places it does not have."""
 

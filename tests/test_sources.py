@@ -10,6 +10,7 @@ import zipfile
 
 import pandas as pd
 import pytest
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from epispan.fixed_values import Territory
@@ -429,3 +430,41 @@ def test_documents_written_as_files_are_spread_over_folders(spark, tmp_path):
     listed = list_files(spark, _written_documents(spark, str(tmp_path), "spread-files"))
     folders = [r["path"].split("/")[-2] for r in listed.collect()]
     assert len(folders) == 301 and max(folders.count(f) for f in set(folders)) <= 4
+
+
+def test_files_are_listed_by_tasks_as_spark_would(spark, tmp_path, monkeypatch):
+    """Every kind of path gives the files Spark's reader takes, and nothing but the tables the tasks wrote is scanned."""
+    for name in ("top.txt", "x.csv", "_hidden.txt", ".dot.txt", "a b/1.txt", "b/2.txt", "b/c/3.txt", "_no/4.txt", "k/year=1/5.txt", "k/year=2/deep/6.txt", "k/7.txt", "b/y.csv", "m/p=1/q=2/8.txt", "m/p=1/q=3/9.txt"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name)
+    (tmp_path / "b" / "empty.txt").write_text("")
+    given = [
+        "", "top.txt", "*", "*.txt", "b/", "b/*", "*/*.txt", "[ab]*/?.txt", "{top,b/2}.txt", "{a b,b}/*.{txt,csv}", "k", "k/*", "k/year=1", "*/c", "m", "m/p=1", "m/*", "m/*/*", ["m", "k"], ["b", "k/7.txt"], ["*.csv", "b/c"],
+        "_hidden.txt", "_no", "_n*", "b/empty.txt",
+    ]
+    for path in given:
+        paths = f"{tmp_path}/{path}" if isinstance(path, str) else [f"file://{tmp_path}/{p}" for p in path]
+        for recursive in (False, True) if path in ("", "top.txt", "b/*", "k") else (False,):
+            reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+            try:
+                want = sorted((r["path"], r["length"]) for r in reader.load(paths).select("path", "length").collect())
+            except SparkRuntimeException as error:
+                assert "CONFLICTING_DIRECTORY_STRUCTURES" in str(error)
+                with pytest.raises(ValueError, match="beside others"):
+                    list_files(spark, paths, recursive)
+                continue
+            assert sorted(tuple(r) for r in list_files(spark, paths, recursive).collect()) == want, path
+    assert not any(f.startswith(f"file://{tmp_path}") for f in list_files(spark, str(tmp_path), True).inputFiles())
+    for path in ("none", "none/*", "*.none", ["b", "*.none"]):
+        with pytest.raises(FileNotFoundError):
+            list_files(spark, f"{tmp_path}/{path}" if isinstance(path, str) else [f"{tmp_path}/{p}" for p in path])
+    # A store that pyarrow does not know is left to Spark.
+    monkeypatch.setattr("epispan.sources.files._reachable", lambda path: False)
+    assert {r["bytes"] for r in list_files(spark, f"{tmp_path}/k").collect()} == {len("k/year=1/5.txt"), len("k/year=2/deep/6.txt")}
+
+
+def test_listed_files_are_dealt_by_size(spark, tmp_path):
+    for i in range(64):
+        (tmp_path / f"{i}.txt").write_bytes(b"x" * (5000 + i if i % 16 == 0 else 1 + i % 7))
+    parts = list_files(spark, str(tmp_path)).rdd.mapPartitions(lambda rows: [[r["bytes"] for r in rows]]).collect()
+    assert sum(map(len, parts)) == 64 and max(sum(b >= 5000 for b in p) for p in parts) == 1
