@@ -124,7 +124,10 @@ def _entries(path: str) -> Iterator[tuple[str, int | None]]:
     if isinstance(system, pafs.LocalFileSystem):
         with os.scandir(name) as found:
             for entry in found:
-                yield entry.name, None if entry.is_dir() else entry.stat().st_size
+                if entry.is_dir():
+                    yield entry.name, None
+                elif os.path.exists(entry.path):  # no link that leads nowhere
+                    yield entry.name, entry.stat().st_size
     else:
         for info in system.get_file_info(pafs.FileSelector(name)):
             yield info.base_name, None if info.type == pafs.FileType.Directory else info.size

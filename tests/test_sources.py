@@ -438,6 +438,7 @@ def test_files_are_listed_by_tasks_as_spark_would(spark, tmp_path, monkeypatch):
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / name).write_text(name)
     (tmp_path / "b" / "empty.txt").write_text("")
+    (tmp_path / "b" / "nowhere.txt").symlink_to(tmp_path / "gone")
     given = [
         "", "top.txt", "*", "*.txt", "b/", "b/*", "*/*.txt", "[ab]*/?.txt", "{top,b/2}.txt", "{a b,b}/*.{txt,csv}", "k", "k/*", "k/year=1", "*/c", "m", "m/p=1", "m/*", "m/*/*", ["m", "k"], ["b", "k/7.txt"], ["*.csv", "b/c"],
         "_hidden.txt", "_no", "_n*", "b/empty.txt",
