@@ -28,6 +28,9 @@ SAMPLE_DOCS, SAMPLE_PER_LANGUAGE = 12_000, 1_200
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.5, 0.1
 UNDETERMINED = "und"
+#: How many standard deviations the n-grams of a text must say more for its language than n-grams that meet buckets by
+#: chance, or ``keep_identified`` takes the language for undetermined.
+LEAST_EVIDENCE = 2.0
 #: Characters turned into n-grams at once.
 BLOCK_CHARS = 1 << 20
 _BLANK = 32
@@ -131,6 +134,26 @@ class LanguageModel:
         return self.languages[best], float(p[best])
 
 
+def chance(model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and standard deviation per language of the weight of a bucket met by chance."""
+    return model.weights.mean(axis=0), model.weights.std(axis=0)
+
+
+def evidence(model: LanguageModel, counts: np.ndarray, mean: np.ndarray, deviation: np.ndarray) -> float:
+    """How far what the n-grams say for the likeliest language lies above chance, in standard deviations.
+
+    A text of unit length in buckets met by chance adds up to the mean weight times its sum, give or take one deviation
+    whatever its length. N-grams of no learned language meet buckets by chance, so a text in another script stays near
+    zero, where its probabilities say only which language is the least unlikely.
+    """
+    buckets = np.flatnonzero(counts)
+    x = tf_idf(buckets, counts.take(buckets), model.idf)
+    said = x @ model.weights[buckets]
+    best = int((said + model.bias).argmax())
+    above = said[best] - mean[best] * x.sum()
+    return float(above / deviation[best]) if deviation[best] > 0 else 0.0
+
+
 def softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(axis=-1, keepdims=True))
     return e / e.sum(axis=-1, keepdims=True)
@@ -247,22 +270,20 @@ def predict_held_out(docs: DataFrame, folds: int = 4, fold: int = 2) -> DataFram
     return predict(docs, fit(docs.where(~held))).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, least_score: float = 0.0) -> DataFrame:
-    """Documents whose language is determined, with at least ``least_score`` if that is asked for; all columns kept.
+def keep_identified(docs: DataFrame, least_evidence: float = LEAST_EVIDENCE) -> DataFrame:
+    """Documents whose language is determined: their n-grams speak for a learned language; all columns kept.
 
-    Where no row names a language there is nothing to learn, and only texts without a letter go.
+    Texts without a letter go, and so do those whose evidence is not above ``least_evidence``. Where no row names a
+    language, or all name one and the weights are zero, there is nothing to tell, and only texts without a letter go.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs))
+    model = fit(docs)
+    shared = docs.sparkSession.sparkContext.broadcast((model, *chance(model)) if model.weights.any() else None)
     bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            model, texts = shared.value, batch.column(batch.schema.get_field_index("text"))
-            if model.languages:
-                found = [model.predict(t.as_py()) for t in texts]
-                keep = [a != UNDETERMINED and b >= least_score for a, b in found]
-            else:
-                keep = [ngram_counts(t.as_py()) is not None for t in texts]
+            found = (ngram_counts(t.as_py()) for t in batch.column(batch.schema.get_field_index("text")))
+            keep = [c is not None and (shared.value is None or evidence(shared.value[0], c, *shared.value[1:]) > least_evidence) for c in found]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -122,3 +122,31 @@ def test_temperature_has_the_least_loss():
     loss = lambda t: -np.log(g.softmax(logits / t)[np.arange(300), truth]).mean()
     best = g.calibrate(logits, truth)
     assert loss(best) <= min(loss(t) for t in np.geomspace(0.05, 40, 400)) + 1e-9 and 1.5 < best < 4
+
+
+def test_texts_of_no_learned_language_are_undetermined(spark, docs):
+    """Another script meets buckets by chance: a language is named for it, but nothing speaks for that language."""
+    pick = random.Random(5)
+    others = ["абвгдежзиклмно", "αβγδεζηθικλμν", "日月火水木金土人口山川田"]
+    foreign = [(6000 + i, " ".join("".join(pick.choices(others[i % 3], k=pick.randint(1, 6))) for _ in range(pick.randint(4, 200))), None, 0.5) for i in range(60)]
+    # Short, mixed and half foreign texts speak for a language.
+    known = [(7000, "the", None, 0.5), (7001, "éau", None, 0.5), (7002, "thing sch ung éau", None, 0.5), (7003, "the thing on er абв где", None, 0.5)]
+    odd = spark.createDataFrame(foreign + known, docs.schema)
+    named = g.predict(odd, g.fit(docs)).collect()
+    assert len(named) == 64 and all(r.lang_pred in SYLLABLES for r in named)
+    kept = {r.doc_id for r in g.keep_identified(docs.unionAll(odd)).collect()}
+    assert kept == {*range(900), 7000, 7001, 7002, 7003}
+
+
+def test_evidence_of_chance_has_unit_deviation(rows, docs):
+    model = g.fit(docs)
+    mean, deviation = g.chance(model)
+    pick = np.random.default_rng(4)
+    texts = pick.multinomial(400, np.full(g.BUCKETS, 1 / g.BUCKETS), 300)
+    drawn = np.array([[(x @ model.weights[b])[k] - mean[k] * x.sum() for k in range(3)] for c in texts for b in [np.flatnonzero(c)] for x in [g.tf_idf(b, c[b], np.ones(g.BUCKETS))]])
+    assert drawn.std(axis=0) / deviation == pytest.approx(np.ones(3), abs=0.15) and np.abs(drawn.mean(axis=0) / deviation).max() < 0.2
+    b = np.flatnonzero(c := g.ngram_counts(rows[0][1]))
+    x = g.tf_idf(b, c[b], model.idf)
+    best = int((x @ model.weights[b] + model.bias).argmax())
+    want = (sum(v * model.weights[a, best] for a, v in zip(b, x, strict=True)) - mean[best] * sum(x)) / deviation[best]
+    assert g.evidence(model, c, mean, deviation) == pytest.approx(want) and want > g.LEAST_EVIDENCE
